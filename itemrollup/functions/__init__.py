@@ -14,6 +14,11 @@ RATIO = DecimalType(12, 2)
 NUMERIC_TEXT = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$"
 
 
+def ts_lit(value) -> Column:
+    """A time-zone-independent timestamp literal (the synthetic tables carry local timestamps)."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import item_key, to_minute
+from ..functions import ts_lit, item_key, to_minute
 from ..operators import not_in
 from ..sources import Sources
 from .params import RollupParams
@@ -15,7 +15,7 @@ TRANSFER_KEYS = ["from_location_no", "to_location_no", "transfer_id", "item_code
 
 def shipment_lines(src: Sources, p: RollupParams) -> DataFrame:
     """Shipment lines in the purchase window (inclusive of midnight after ``as_of``) with header fields."""
-    sd = src.shipment_line.where(F.col("date_received").between(F.lit(p.start_date), F.lit(p.ship_end)))
+    sd = src.shipment_line.where(F.col("date_received").between(ts_lit(p.start_date), ts_lit(p.ship_end)))
     sh = src.shipment_header.select("transfer_id", "from_location_no", "to_location_no", "drop_shipment")
     return sd.select("transfer_id", "item_code", "qty").join(sh, "transfer_id")
 
@@ -112,7 +112,7 @@ def received_union_distinct(src: Sources, received_a: DataFrame) -> DataFrame:
 
 def distribution_received(src: Sources, p: RollupParams, received_ab: DataFrame) -> DataFrame:
     """Distribution-centre receipts posted after the start date, parent 'DR'."""
-    h = src.receive_header.where(F.col("distribution_posted_date") > F.lit(p.start_date))
+    h = src.receive_header.where(F.col("distribution_posted_date") > ts_lit(p.start_date))
     rd = src.receive_line.select("receiver", "item_code", "qty_counted").join(
         h.select("receiver", "distribution_posted_date"), "receiver"
     )
@@ -128,13 +128,17 @@ def distribution_received(src: Sources, p: RollupParams, received_ab: DataFrame)
 RECEIVED_COLUMNS = ["item_code", "first_received", "last_received", "parent", "rcvd_qty"]
 
 
-def received(src: Sources, p: RollupParams) -> DataFrame:
+def received_parts(src: Sources, p: RollupParams) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Each later part adds only items absent from the earlier parts."""
     a = received_sources(src).select(*RECEIVED_COLUMNS)
     b = received_union_distinct(src, a).select(*RECEIVED_COLUMNS)
-    ab = a.unionByName(b)
-    c = distribution_received(src, p, ab).select(*RECEIVED_COLUMNS)
-    return ab.unionByName(c)
+    c = distribution_received(src, p, a.unionByName(b)).select(*RECEIVED_COLUMNS)
+    return a, b, c
+
+
+def received(src: Sources, p: RollupParams) -> DataFrame:
+    a, b, c = received_parts(src, p)
+    return a.unionByName(b).unionByName(c)
 
 
 def last_processed(rcvd: DataFrame) -> DataFrame:

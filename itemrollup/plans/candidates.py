@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import MONEY, equals_blank, is_present, left, money, number_or_zero
+from ..functions import ts_lit, MONEY, equals_blank, is_present, left, money, number_or_zero
 from ..operators import delete_where, existence_flag, keyed_update, not_in
 from ..sources import Sources
 from .contracts import WORK, conform
@@ -54,7 +54,7 @@ def _candidates(
     j = j.join(
         notes, (j["item_code"] == notes["_note_item"]) & (j["last_purchase_order"] == notes["_note_po"]), "left"
     )
-    window = lambda c: c.between(F.lit(p.start_date), F.lit(p.end_date))
+    window = lambda c: c.between(ts_lit(p.start_date), ts_lit(p.end_date))
     j = j.where(window(F.col("create_date")) | (F.col("reorderable") == "Y") | window(F.col("last_received")))
     return conform(
         j.select(

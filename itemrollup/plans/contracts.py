@@ -11,12 +11,12 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
-    TimestampType,
+    TimestampNTZType,
 )
 
 from ..functions import MONEY, RATIO
 
-S, M, Q, T = StringType(), MONEY, LongType(), TimestampType()
+S, M, Q, T = StringType(), MONEY, LongType(), TimestampNTZType()
 
 
 def _schema(cols: list[tuple[str, DataType]]) -> StructType:

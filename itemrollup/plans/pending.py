@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_blank, item_key, money, numeric_or_left, to_minute
+from ..functions import is_blank, item_key, money, number_or_zero, numeric_or_left, to_minute, ts_lit
 from ..sources import Sources
 from .candidates import item_isbn, item_master, item_title
-from ..functions import number_or_zero
 from .contracts import WORK, conform
 from .params import REORDER_CLASS, REORDER_LOCATION, RollupParams
 
@@ -105,7 +104,7 @@ def pending_reorders(src: Sources, p: RollupParams, items: DataFrame, rcvd_pos:
     lines = _order_lines(src).where(
         (F.col("location_no") == REORDER_LOCATION)
         & (F.col("created_from_requisition") == 0)
-        & (F.coalesce(F.col("po_date"), F.lit(p.as_of)) > F.lit(p.one_year_ago))
+        & (F.coalesce(F.col("po_date"), ts_lit(p.as_of)) > ts_lit(p.one_year_ago))
         & F.col("cancel_date").isNull()
     )
     lines = lines.join(items, "item_code", "left_semi")
@@ -123,7 +122,7 @@ def pending_orders(src: Sources, p: RollupParams, work: DataFrame, reorders: Dat
     lines = _order_lines(src).where(
         (F.col("distribution_type") != "A")
         & ~F.coalesce(F.col("po_type"), F.lit("")).isin("S", "C")
-        & (F.col("po_date") > F.lit(p.one_year_ago))
+        & (F.col("po_date") > ts_lit(p.one_year_ago))
         & F.col("cancel_date").isNull()
     )
     shipped = src.shipment_line.select("transfer_id", "item_code").join(

@@ -50,70 +50,67 @@ def empty_prior(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], PUBLISHED)
 
 
-@dataclass
-class RebuildResult:
-    published: DataFrame
-    work: DataFrame
-    rollup: DataFrame
-    online: DataFrame
-    pending: DataFrame
-    alias_items: DataFrame
-
+def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stager) -> dict[str, DataFrame]:
+    """Run all stages; returns every named intermediate (``published`` is the result)."""
+    t: dict[str, DataFrame] = {}
 
-def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stager) -> RebuildResult:
     # 1. activity summaries
-    ship_hist = stager.cut(activity.shipment_history(src, p), "ship_hist")
-    wh_receipts = activity.warehouse_receipts(src, ship_hist)
-    rcvd = stager.cut(activity.received(src, p), "received")
-    last_proc = activity.last_processed(rcvd)
+    ship_hist = t["ship_hist"] = stager.cut(activity.shipment_history(src, p), "ship_hist")
+    wh_receipts = t["ils_rcv"] = activity.warehouse_receipts(src, ship_hist)
+    a, b, c = activity.received_parts(src, p)
+    t["received_a"], t["received_b"], t["received_c"] = a, b, c
+    rcvd = t["received"] = stager.cut(a.unionByName(b).unionByName(c), "received")
+    last_proc = t["last_proc"] = activity.last_processed(rcvd)
 
     # 2. candidate items, quantities and status
-    work = candidates.candidates_shipped(src, p, ship_hist, last_proc).unionByName(
-        candidates.candidates_received(src, p, wh_receipts, last_proc)
-    )
-    work = candidates.drop_base_inventory(work, src)
-    work = candidates.apply_transfers(work, activity.transfer_totals(src, p))
-    work = candidates.apply_drop_ship_received(work, ship_hist, rcvd)
-    work = candidates.apply_received_status(work, last_proc)
-    work = stager.cut(candidates.apply_on_hand(work, src), "work_candidates")
+    t["cand_ship"] = candidates.candidates_shipped(src, p, ship_hist, last_proc)
+    t["cand_rcvd"] = candidates.candidates_received(src, p, wh_receipts, last_proc)
+    work = t["w10"] = candidates.drop_base_inventory(t["cand_ship"].unionByName(t["cand_rcvd"]), src)
+    t["transfers"] = activity.transfer_totals(src, p)
+    work = t["w12"] = candidates.apply_transfers(work, t["transfers"])
+    work = t["w13"] = candidates.apply_drop_ship_received(work, ship_hist, rcvd)
+    work = t["w16"] = candidates.apply_received_status(work, last_proc)
+    work = t["w18"] = stager.cut(candidates.apply_on_hand(work, src), "work_candidates")
 
     # 3. sales
-    upc = stager.cut(sales.alias_items(src), "alias_items")
-    work = sales.apply_sales(work, sales.sales_rekeyed_totals(src, p, upc, items=work))
-    online = stager.cut(sales.online_sales(src, upc, p.start_date, p.end_date), "online_sales")
-    cross = sales.cross_store_sales(src, p, items=work)
-    work = stager.cut(sales.apply_channel_sales(work, online, cross), "work_sales")
+    upc = t["upc_items"] = stager.cut(sales.alias_items(src), "alias_items")
+    t["sales_data"] = sales.sales_rekeyed_totals(src, p, upc, items=work)
+    work = t["w23"] = sales.apply_sales(work, t["sales_data"])
+    online = t["online"] = stager.cut(sales.online_sales(src, upc, p.start_date, p.end_date), "online_sales")
+    cross = t["bookworm"] = sales.cross_store_sales(src, p, items=work)
+    work = t["w26"] = stager.cut(sales.apply_channel_sales(work, online, cross), "work_sales")
 
     # 4. reorders (through the previous snapshot) and open orders
-    items = pending.reorder_items(src, prior)
-    rcvd_pos = pending.reorder_received(src, items)
-    tbri = pending.pending_reorders(src, p, items, rcvd_pos)
-    pend = pending.pending_orders(src, p, work, tbri)
-    pend_rows = stager.cut(tbri.unionByName(pend), "pending")
-    work = pending.append_pending(work, pend_rows)
+    items = t["tbri_items"] = pending.reorder_items(src, prior)
+    rcvd_pos = t["tbri_rcvd"] = pending.reorder_received(src, items)
+    tbri = t["pend_tbri"] = pending.pending_reorders(src, p, items, rcvd_pos)
+    t["pend_pend"] = pending.pending_orders(src, p, work, tbri)
+    pend_rows = t["pending"] = stager.cut(tbri.unionByName(t["pend_pend"]), "pending")
+    work = t["w34"] = pending.append_pending(work, pend_rows)
 
     # 5. last PO, notes, publisher, buyer, section, clean-up
-    best = purchasing.best_po(purchasing.po_candidates(src, work, pend_rows))
-    work = purchasing.apply_po_notes(work, best)
-    work = purchasing.fill_notes_from_last_po(work, src)
-    work = purchasing.apply_last_po(work, best, src)
-    work = purchasing.apply_publisher(work, src)
-    work = purchasing.apply_buyer(work, src)
-    work = purchasing.apply_section(work, src)
-    work = purchasing.drop_supplies(work)
-    work = stager.cut(purchasing.null_fills(work), "work_final")
+    t["pos"] = purchasing.po_candidates(src, work, pend_rows)
+    best = t["best_po"] = purchasing.best_po(t["pos"])
+    work = t["w38"] = purchasing.apply_po_notes(work, best)
+    work = t["w40"] = purchasing.fill_notes_from_last_po(work, src)
+    work = t["w42"] = purchasing.apply_last_po(work, best, src)
+    work = t["w43"] = purchasing.apply_publisher(work, src)
+    work = t["w47"] = purchasing.apply_buyer(work, src)
+    work = t["w48"] = purchasing.apply_section(work, src)
+    work = t["w49"] = purchasing.drop_supplies(work)
+    work = t["w50"] = stager.cut(purchasing.null_fills(work), "work_final")
 
     # 6. alias re-key, rollup, returns, wholesale, status
-    work = summarise.rekey_aliases(work, upc, src)
-    rollup = stager.cut(summarise.item_rollup(work, upc), "rollup")
-    returns = summarise.vendor_returns(src, rollup)
-    rollup = purchasing.drop_supplies(rollup, with_ecom=False)
-    txb = summarise.wholesale_totals(src, rollup)
-    rollup = summarise.status_reset(rollup, src, txb)
+    work = t["w51"] = summarise.rekey_aliases(work, upc, src)
+    rollup = t["rollup0"] = stager.cut(summarise.item_rollup(work, upc), "rollup")
+    returns = t["bs_rtn"] = summarise.vendor_returns(src, rollup)
+    rollup = t["rollup1"] = purchasing.drop_supplies(rollup, with_ecom=False)
+    txb = t["txb"] = summarise.wholesale_totals(src, rollup)
+    rollup = t["rollup2"] = summarise.status_reset(rollup, src, txb)
 
     # 7. publish
-    published = publish.published_rollup(rollup, returns, txb, online, src)
-    return RebuildResult(published, work, rollup, online, pend_rows, upc)
+    t["published"] = publish.published_rollup(rollup, returns, txb, online, src)
+    return t
 
 
 def rebuild(
@@ -129,7 +126,7 @@ def rebuild(
     """
     spark = spark or src.product.sparkSession
     prior = prior if prior is not None else empty_prior(spark)
-    return rebuild_stages(src, prior, params, Stager(spark, stage)).published
+    return rebuild_stages(src, prior, params, Stager(spark, stage))["published"]
 
 
 def report(rollup: DataFrame, src: Sources, params: RollupParams, ordered: bool = True) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
+    ts_lit,
     MONEY,
     RATIO,
     assortment,
@@ -80,8 +81,8 @@ def report_filter(u: DataFrame, cutoff) -> F.Column:
     """Recent, slow-selling or deeply discounted items; assortments need more than 19 shipped."""
     dpct = discount_pct(u["register_price"], u["qty_sold"], u["price"])
     recent = (
-        (u["first_received"] > F.lit(cutoff))
-        | (u["last_received"] > F.lit(cutoff))
+        (u["first_received"] > ts_lit(cutoff))
+        | (u["last_received"] > ts_lit(cutoff))
         | (u["pct_sold"] < 50)
         | ((dpct - 100) >= 25)
     )

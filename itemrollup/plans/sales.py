@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import MONEY, item_key, money
+from ..functions import ts_lit, MONEY, item_key, money
 from ..operators import conditional_totals, first_per_key, keyed_update, not_in
 from ..sources import Sources
 from .params import RollupParams
@@ -32,8 +32,8 @@ def store_sales_lines(src: Sources, p: RollupParams) -> DataFrame:
     return s.where(
         (F.col("xaction_type") == "S")
         & (F.col("status") == "A")
-        & (F.col("business_date") >= F.lit(p.start_date))
-        & (F.col("business_date") <= F.lit(p.end_date))
+        & (F.col("business_date") >= ts_lit(p.start_date))
+        & (F.col("business_date") <= ts_lit(p.end_date))
     )
 
 
@@ -114,7 +114,7 @@ def apply_sales(work: DataFrame, totals: DataFrame) -> DataFrame:
 def online_sales(src: Sources, upc: DataFrame, start, end) -> DataFrame:
     """Online marketplace sales per item: average and total price, quantity, last sale."""
     o = src.online_sale.where(
-        (F.col("date_sold") >= F.lit(start)) & (F.col("date_sold") <= F.lit(end))
+        (F.col("date_sold") >= ts_lit(start)) & (F.col("date_sold") <= ts_lit(end))
     )
     o = not_in(o, "item_code", upc, "item_code")
     return o.groupBy("item_code").agg(
@@ -135,8 +135,8 @@ def cross_store_sales(src: Sources, p: RollupParams, items: DataFrame | None = N
     )
     sih = src.sales_item.where(
         (F.col("item_code") == p.generic_item_code)
-        & (F.col("business_date") >= F.lit(p.start_date))
-        & (F.col("business_date") < F.lit(p.end_date))
+        & (F.col("business_date") >= ts_lit(p.start_date))
+        & (F.col("business_date") < ts_lit(p.end_date))
     ).select("location_id", "business_date", "sales_xaction_id", "line_number", "is_return", "quantity")
     lines = sih.join(shh, ["location_id", "business_date", "sales_xaction_id"])
     bw = src.cross_order.select(
