@@ -63,13 +63,15 @@ def not_in(
     lk = col(left_key)
     rk = col(right_key)
     if not by:
-        stats = right.select(
-            F.struct(F.count(F.lit(1)).alias("n"), F.count(rk).alias("nn")).alias("s")
+        # One de-duplicated key set (NULL kept as one value) feeds both the
+        # statistics and the anti join, so the right side is scanned once.
+        keys = right.select(rk.alias("_nk")).distinct()
+        stats = keys.select(
+            F.struct(F.count(F.lit(1)).alias("n"), F.count("_nk").alias("nn")).alias("s")
         ).scalar()
         n, nn = stats.getField("n"), stats.getField("nn")
         kept = left.where((n == 0) | ((n == nn) & lk.isNotNull()))
-        keys = distinct_keys(right, rk, "_nk")
-        return kept.join(keys, lk == F.col("_nk"), "left_anti")
+        return kept.join(keys.where(F.col("_nk").isNotNull()), lk == F.col("_nk"), "left_anti")
 
     lcols, rcols = list(by.keys()), list(by.values())
     stats = right.groupBy(*[F.col(r).alias(f"_nb{i}") for i, r in enumerate(rcols)]).agg(

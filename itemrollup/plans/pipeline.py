@@ -57,8 +57,9 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     # 1. activity summaries
     ship_hist = t["ship_hist"] = stager.cut(activity.shipment_history(src, p), "ship_hist")
     wh_receipts = t["ils_rcv"] = activity.warehouse_receipts(src, ship_hist)
-    a, b, c = activity.received_parts(src, p)
-    t["received_a"], t["received_b"], t["received_c"] = a, b, c
+    a = t["received_a"] = stager.cut(activity.received_sources(src).select(*activity.RECEIVED_COLUMNS), "received_a")
+    b = t["received_b"] = stager.cut(activity.received_union_distinct(src, a).select(*activity.RECEIVED_COLUMNS), "received_b")
+    c = t["received_c"] = activity.distribution_received(src, p, a.unionByName(b)).select(*activity.RECEIVED_COLUMNS)
     rcvd = t["received"] = stager.cut(a.unionByName(b).unionByName(c), "received")
     last_proc = t["last_proc"] = activity.last_processed(rcvd)
 
