@@ -69,8 +69,10 @@ def sales_rekeyed_totals(src: Sources, p: RollupParams, upc: DataFrame, items: D
     """P20-P22 in one scan of the sales lines.
 
     Alias-item lines are credited to their report item; other lines count for
-    their own item, restricted to ``items`` (the work items) when given.  Like
-    ``NOT IN``, a NULL alias code makes every direct line drop out.
+    their own item.  Like ``NOT IN``, a NULL alias code makes every direct line
+    drop out.  ``items`` (the work items) restricts the totals after the
+    aggregation, which equals restricting the direct lines first because the
+    totals are only ever matched to work items.
     """
     lines = store_sales_lines(src, p)
     m = upc.select(F.col("item_code").alias("_u_item"), F.col("report_item_code").alias("_u_report"))
@@ -81,13 +83,16 @@ def sales_rekeyed_totals(src: Sources, p: RollupParams, upc: DataFrame, items: D
     direct_ok = (upc_stats.getField("n") == 0) | (
         (upc_stats.getField("n") == upc_stats.getField("nn")) & F.col("item_code").isNotNull()
     )
-    direct = j.where(F.col("_u_item").isNull() & direct_ok).select(F.col("item_code").alias("_sale_key"), *lines.columns)
+    aliased = F.col("_u_item").isNotNull()
+    keyed = j.where(aliased | direct_ok).withColumn(
+        "_sale_key", F.when(aliased, F.col("_u_report")).otherwise(F.col("item_code"))
+    )
+    totals = _cast_measures(
+        conditional_totals(keyed, [F.col("_sale_key").alias("item_code")], sales_measures(keyed)), ["item_code"]
+    )
     if items is not None:
-        direct = direct.join(items.select(F.col("item_code").alias("_sale_key")).distinct(), "_sale_key", "left_semi")
-    rekeyed = j.where(F.col("_u_item").isNotNull()).select(F.col("_u_report").alias("_sale_key"), *lines.columns)
-    both = direct.unionByName(rekeyed)
-    totals = conditional_totals(both, [F.col("_sale_key").alias("item_code")], sales_measures(both))
-    return _cast_measures(totals, ["item_code"])
+        totals = totals.join(items.select("item_code").distinct(), "item_code", "left_semi")
+    return totals
 
 
 def apply_sales(work: DataFrame, totals: DataFrame) -> DataFrame:
