@@ -8,24 +8,24 @@ from pyspark.sql import functions as F
 from ..functions import ts_lit, item_key, to_minute
 from ..operators import not_in
 from ..sources import Sources
+from . import lines as fact_lines
 from .params import RollupParams
 
 TRANSFER_KEYS = ["from_location_no", "to_location_no", "transfer_id", "item_code"]
 
 
-def shipment_lines(src: Sources, p: RollupParams) -> DataFrame:
+def shipment_lines(src: Sources, p: RollupParams, lines: DataFrame | None = None) -> DataFrame:
     """Shipment lines in the purchase window (inclusive of midnight after ``as_of``) with header fields."""
-    sd = src.shipment_line.where(F.col("date_received").between(ts_lit(p.start_date), ts_lit(p.ship_end)))
-    sh = src.shipment_header.select("transfer_id", "from_location_no", "to_location_no", "drop_shipment")
-    return sd.select("transfer_id", "item_code", "qty").join(sh, "transfer_id")
+    lines = lines if lines is not None else fact_lines.shipment_lines(src)
+    return lines.where(F.col("date_received").between(ts_lit(p.start_date), ts_lit(p.ship_end)))
 
 
-def shipment_history(src: Sources, p: RollupParams) -> DataFrame:
+def shipment_history(src: Sources, p: RollupParams, lines: DataFrame | None = None) -> DataFrame:
     """warehouse/consignment -> store shipments that are not inventory transfers.
 
     Output: (item_code, drop_ship, qty_shipped); a NULL drop-shipment flag counts as a drop ship.
     """
-    lines = shipment_lines(src, p)
+    lines = shipment_lines(src, p, lines)
     frm = src.location.where(F.col("location_type").isin("R", "C")).select(F.col("location_no").alias("_from_loc"))
     to = src.location.where(F.col("location_type") == "S").select(F.col("location_no").alias("_to_loc"))
     lines = lines.join(frm, lines["from_location_no"] == frm["_from_loc"]).join(to, lines["to_location_no"] == to["_to_loc"])
@@ -36,7 +36,7 @@ def shipment_history(src: Sources, p: RollupParams) -> DataFrame:
     )
 
 
-def transfer_totals(src: Sources, p: RollupParams) -> DataFrame:
+def transfer_totals(src: Sources, p: RollupParams, lines: DataFrame | None = None) -> DataFrame:
     """P11+P12 in one pass: non-drop-ship shipment lines that *are* inventory transfers.
 
     ``qty_trans`` excludes the returns location, ``qty_damaged`` is the damage
@@ -45,7 +45,7 @@ def transfer_totals(src: Sources, p: RollupParams) -> DataFrame:
     """
     from .params import DAMAGE_LOCATION, RETURNS_LOCATION
 
-    lines = shipment_lines(src, p).where(F.col("drop_shipment") == 0)
+    lines = shipment_lines(src, p, lines).where(F.col("drop_shipment") == 0)
     lines = lines.join(src.transfer.select(*TRANSFER_KEYS), TRANSFER_KEYS, "left_semi")
     qty = F.coalesce(F.col("qty"), F.lit(0))
     return lines.groupBy("item_code").agg(

@@ -9,6 +9,7 @@ from ..functions import ts_lit, MONEY, equals_blank, is_present, left, money, nu
 from ..operators import delete_where, existence_flag, keyed_update, not_in
 from ..sources import Sources
 from .contracts import WORK, conform
+from .lines import order_lines
 from .params import BASE_INVENTORY_SCHEME, SUPPLIES_VENDOR, RollupParams
 
 
@@ -27,11 +28,10 @@ def item_title(pm: DataFrame) -> Column:
     return F.when(equals_blank(pm["title"]), pm["description"]).otherwise(pm["title"])
 
 
-def order_notes(src: Sources) -> DataFrame:
+def order_notes(src: Sources, ol: DataFrame | None = None) -> DataFrame:
     """Distinct (PO, item, header note, line note) where either note is present."""
-    oh = src.order_header.select("po_number", "spec_instructions")
-    od = src.order_line.select("po_number", "item_code", "special_instructions")
-    notes = od.join(oh, "po_number").where(is_present("spec_instructions") | is_present("special_instructions"))
+    ol = ol if ol is not None else order_lines(src)
+    notes = ol.where(is_present("spec_instructions") | is_present("special_instructions"))
     return notes.select(
         F.col("po_number").alias("_note_po"),
         F.col("item_code").alias("_note_item"),
@@ -82,21 +82,25 @@ def _candidates(
     )
 
 
-def candidates_shipped(src: Sources, p: RollupParams, ship_hist: DataFrame, last_proc: DataFrame) -> DataFrame:
+def candidates_shipped(
+    src: Sources, p: RollupParams, ship_hist: DataFrame, last_proc: DataFrame, ol: DataFrame | None = None
+) -> DataFrame:
     """Shipped items ('SHIP'), minus items replaced through receiving re-coding."""
     pm = item_master(src)
     pm = not_in(pm, "item_code", src.recv_items_created, "new_item_code")
     pm = not_in(pm, "item_code", src.recv_items_created, "item_code")
     ship = ship_hist.groupBy(F.col("item_code").alias("_qty_item")).agg(F.sum("qty_shipped").alias("qty"))
-    return _candidates(pm, ship, F.lit("SHIP"), received_dates(last_proc), order_notes(src), p)
+    return _candidates(pm, ship, F.lit("SHIP"), received_dates(last_proc), order_notes(src, ol), p)
 
 
-def candidates_received(src: Sources, p: RollupParams, wh_receipts: DataFrame, last_proc: DataFrame) -> DataFrame:
+def candidates_received(
+    src: Sources, p: RollupParams, wh_receipts: DataFrame, last_proc: DataFrame, ol: DataFrame | None = None
+) -> DataFrame:
     """Received but never shipped items: ' ' when reorderable, else 'RCVD'."""
     pm = item_master(src)
     rcv = wh_receipts.select(F.col("item_code").alias("_qty_item"), F.col("qty_rcvd").alias("qty"))
     parent = F.when(F.col("reorderable") == "Y", F.lit(" ")).otherwise(F.lit("RCVD"))
-    return _candidates(pm, rcv, parent, received_dates(last_proc), order_notes(src), p)
+    return _candidates(pm, rcv, parent, received_dates(last_proc), order_notes(src, ol), p)
 
 
 def drop_base_inventory(work: DataFrame, src: Sources) -> DataFrame:

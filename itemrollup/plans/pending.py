@@ -9,20 +9,21 @@ from ..functions import is_blank, item_key, money, number_or_zero, numeric_or_le
 from ..sources import Sources
 from .candidates import item_isbn, item_master, item_title
 from .contracts import WORK, conform
+from .lines import order_lines, shipment_lines
 from .params import REORDER_CLASS, REORDER_LOCATION, RollupParams
 
 PENDING_COLUMNS = [f.name for f in WORK.fields]
 
 
-def reorder_items(src: Sources, prior: DataFrame) -> DataFrame:
+def reorder_items(src: Sources, prior: DataFrame, ol: DataFrame | None = None) -> DataFrame:
     """Items of the previous snapshot reordered for the reorder location (class 'TTB')."""
-    oh = src.order_header.where(
+    ol = ol if ol is not None else order_lines(src)
+    od = ol.where(
         (F.col("location_no") == REORDER_LOCATION)
         & is_blank("skeleton_created_from")
         & (F.col("created_from_requisition") == 0)
         & F.col("cancel_date").isNull()
-    ).select("po_number")
-    od = src.order_line.select("po_number", "item_code").join(oh, "po_number")
+    ).select("po_number", "item_code")
     od = od.join(prior.select("item_code").distinct(), "item_code", "left_semi")
     pm = src.product.where(F.col("user_class") == REORDER_CLASS).select("item_code")
     return od.join(pm, "item_code", "left_semi").select("item_code").distinct()
@@ -87,21 +88,11 @@ def _pending_rows(j: DataFrame, parent: str) -> DataFrame:
     )
 
 
-def _order_lines(src: Sources) -> DataFrame:
-    od = src.order_line.select(
-        "po_number", "item_code", "order_qty", F.col("scheme_id").alias("line_scheme_id"),
-        "special_instructions", "distribution_type",
-    )
-    oh = src.order_header.select(
-        "po_number", "po_date", "buyer_id", "location_no", "created_from_requisition",
-        "cancel_date", "po_type", "spec_instructions",
-    )
-    return od.join(oh, "po_number")
-
-
-def pending_reorders(src: Sources, p: RollupParams, items: DataFrame, rcvd_pos: DataFrame) -> DataFrame:
+def pending_reorders(
+    src: Sources, p: RollupParams, items: DataFrame, rcvd_pos: DataFrame, ol: DataFrame | None = None
+) -> DataFrame:
     """Open reorder lines of the last year not yet received ('TBRI')."""
-    lines = _order_lines(src).where(
+    lines = (ol if ol is not None else order_lines(src)).where(
         (F.col("location_no") == REORDER_LOCATION)
         & (F.col("created_from_requisition") == 0)
         & (F.coalesce(F.col("po_date"), ts_lit(p.as_of)) > ts_lit(p.one_year_ago))
@@ -113,21 +104,22 @@ def pending_reorders(src: Sources, p: RollupParams, items: DataFrame, rcvd_pos:
     return _pending_rows(j, "TBRI")
 
 
-def pending_orders(src: Sources, p: RollupParams, work: DataFrame, reorders: DataFrame) -> DataFrame:
+def pending_orders(
+    src: Sources, p: RollupParams, work: DataFrame, reorders: DataFrame,
+    ol: DataFrame | None = None, sl: DataFrame | None = None,
+) -> DataFrame:
     """Open orders of the last 12 months for items never shipped and not yet listed ('PEND').
 
     Every qualifying order line gives a row; the exclusion sees only rows
     listed before this step (work rows and 'TBRI' rows).
     """
-    lines = _order_lines(src).where(
+    lines = (ol if ol is not None else order_lines(src)).where(
         (F.col("distribution_type") != "A")
         & ~F.coalesce(F.col("po_type"), F.lit("")).isin("S", "C")
         & (F.col("po_date") > ts_lit(p.one_year_ago))
         & F.col("cancel_date").isNull()
     )
-    shipped = src.shipment_line.select("transfer_id", "item_code").join(
-        src.shipment_header.select("transfer_id"), "transfer_id", "left_semi"
-    ).select("item_code")
+    shipped = (sl if sl is not None else shipment_lines(src)).select("item_code")
     listed = work.select("item_code").unionByName(reorders.select("item_code"))
     lines = lines.join(shipped.distinct(), "item_code", "left_anti").join(listed.distinct(), "item_code", "left_anti")
     j = lines.join(item_master(src).drop("scheme_id"), "item_code")

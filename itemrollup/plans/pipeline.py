@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import new_run_dir
 from ..sources import Sources
-from . import activity, candidates, pending, publish, purchasing, sales, summarise
+from . import activity, candidates, lines, pending, publish, purchasing, sales, summarise
 from .contracts import PUBLISHED, conform
 from .params import RollupParams
 
@@ -54,8 +54,12 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     """Run all stages; returns every named intermediate (``published`` is the result)."""
     t: dict[str, DataFrame] = {}
 
+    # 0. fact lines joined to their headers once
+    ol = t["order_lines"] = stager.cut(lines.order_lines(src), "order_lines")
+    sl = t["shipment_lines"] = stager.cut(lines.shipment_lines(src), "shipment_lines")
+
     # 1. activity summaries
-    ship_hist = t["ship_hist"] = stager.cut(activity.shipment_history(src, p), "ship_hist")
+    ship_hist = t["ship_hist"] = stager.cut(activity.shipment_history(src, p, sl), "ship_hist")
     wh_receipts = t["ils_rcv"] = activity.warehouse_receipts(src, ship_hist)
     a = t["received_a"] = stager.cut(activity.received_sources(src).select(*activity.RECEIVED_COLUMNS), "received_a")
     b = t["received_b"] = stager.cut(activity.received_union_distinct(src, a).select(*activity.RECEIVED_COLUMNS), "received_b")
@@ -64,10 +68,10 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     last_proc = t["last_proc"] = activity.last_processed(rcvd)
 
     # 2. candidate items, quantities and status
-    t["cand_ship"] = candidates.candidates_shipped(src, p, ship_hist, last_proc)
-    t["cand_rcvd"] = candidates.candidates_received(src, p, wh_receipts, last_proc)
+    t["cand_ship"] = candidates.candidates_shipped(src, p, ship_hist, last_proc, ol)
+    t["cand_rcvd"] = candidates.candidates_received(src, p, wh_receipts, last_proc, ol)
     work = t["w10"] = candidates.drop_base_inventory(t["cand_ship"].unionByName(t["cand_rcvd"]), src)
-    t["transfers"] = activity.transfer_totals(src, p)
+    t["transfers"] = activity.transfer_totals(src, p, sl)
     work = t["w12"] = candidates.apply_transfers(work, t["transfers"])
     work = t["w13"] = candidates.apply_drop_ship_received(work, ship_hist, rcvd)
     work = t["w16"] = candidates.apply_received_status(work, last_proc)
@@ -82,21 +86,21 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     work = t["w26"] = stager.cut(sales.apply_channel_sales(work, online, cross), "work_sales")
 
     # 4. reorders (through the previous snapshot) and open orders
-    items = t["tbri_items"] = pending.reorder_items(src, prior)
+    items = t["tbri_items"] = pending.reorder_items(src, prior, ol)
     rcvd_pos = t["tbri_rcvd"] = pending.reorder_received(src, items)
-    tbri = t["pend_tbri"] = pending.pending_reorders(src, p, items, rcvd_pos)
-    t["pend_pend"] = pending.pending_orders(src, p, work, tbri)
+    tbri = t["pend_tbri"] = pending.pending_reorders(src, p, items, rcvd_pos, ol)
+    t["pend_pend"] = pending.pending_orders(src, p, work, tbri, ol, sl)
     pend_rows = t["pending"] = stager.cut(tbri.unionByName(t["pend_pend"]), "pending")
     work = t["w34"] = pending.append_pending(work, pend_rows)
 
     # 5. last PO, notes, publisher, buyer, section, clean-up
-    t["pos"] = purchasing.po_candidates(src, work, pend_rows)
+    t["pos"] = purchasing.po_candidates(src, work, pend_rows, ol)
     best = t["best_po"] = purchasing.best_po(t["pos"])
     work = t["w38"] = purchasing.apply_po_notes(work, best)
-    work = t["w40"] = purchasing.fill_notes_from_last_po(work, src)
+    work = t["w40"] = purchasing.fill_notes_from_last_po(work, src, ol)
     work = t["w42"] = purchasing.apply_last_po(work, best, src)
     work = t["w43"] = purchasing.apply_publisher(work, src)
-    work = t["w47"] = purchasing.apply_buyer(work, src)
+    work = t["w47"] = purchasing.apply_buyer(work, src, ol)
     work = t["w48"] = purchasing.apply_section(work, src)
     work = t["w49"] = purchasing.drop_supplies(work)
     work = t["w50"] = stager.cut(purchasing.null_fills(work), "work_final")
@@ -110,7 +114,7 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     rollup = t["rollup2"] = summarise.status_reset(rollup, src, txb)
 
     # 7. publish
-    t["published"] = publish.published_rollup(rollup, returns, txb, online, src)
+    t["published"] = publish.published_rollup(rollup, returns, txb, online, src, ol)
     return t
 
 

@@ -23,11 +23,12 @@ from ..functions import (
 from ..operators import first_per_key, keyed_update
 from ..sources import Sources
 from .contracts import PUBLISHED, REPORT, conform
+from .lines import order_lines
 from .params import AVAILABLE_COMPANY
 
 
 def published_rollup(
-    rollup: DataFrame, returns: DataFrame, txb: DataFrame, online: DataFrame, src: Sources
+    rollup: DataFrame, returns: DataFrame, txb: DataFrame, online: DataFrame, src: Sources, ol: DataFrame | None = None
 ) -> DataFrame:
     """Add returns, wholesale and online columns, fill blank notes, compute sell-through."""
     r = returns.select(F.col("item_code").alias("_r_item"), "total_returns")
@@ -45,9 +46,7 @@ def published_rollup(
         F.col("_o_price").alias("selling_price"),
     )
     pub = conform(pub, PUBLISHED)
-    od = src.order_line.select("po_number", "item_code", "special_instructions").join(
-        src.order_header.select("po_number"), "po_number"
-    )
+    od = (ol if ol is not None else order_lines(src)).select("po_number", "item_code", "special_instructions")
     line_notes = first_per_key(
         od.where(is_present("special_instructions")).select(
             F.col("item_code").alias("_n_item"), F.col("po_number").alias("_n_po"),

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ..functions import assortment, is_blank, is_present, left
 from ..operators import delete_where, first_per_key, keyed_update, not_in
 from ..sources import Sources
+from .lines import order_lines
 from .params import ECOM_SCHEME, SUPPLIES_VENDOR
 
 
-def po_candidates(src: Sources, work: DataFrame, pending: DataFrame) -> DataFrame:
+def po_candidates(src: Sources, work: DataFrame, pending: DataFrame, ol: DataFrame | None = None) -> DataFrame:
     """Candidate last POs per (item, header note, line note).
 
     (a) the highest shipped PO per item with blank notes, (b) the highest
@@ -26,11 +27,11 @@ def po_candidates(src: Sources, work: DataFrame, pending: DataFrame) -> DataFram
         F.lit("").alias("fob_po"),
         F.lit("").alias("fob_item"),
     )
-    oh = src.order_header.where(
+    ol = ol if ol is not None else order_lines(src)
+    od = ol.where(
         is_blank("skeleton_created_from") & (F.col("created_from_requisition") == 0) & F.col("cancel_date").isNull()
-    ).select("po_number", "spec_instructions")
-    od = src.order_line.select("po_number", "item_code", "special_instructions").join(items, "item_code", "left_semi")
-    od = od.join(oh, "po_number")
+    ).select("po_number", "item_code", "special_instructions", "spec_instructions")
+    od = od.join(items, "item_code", "left_semi")
     od = not_in(od, "po_number", shipped.select(F.col("item_code").alias("_a_item"), "po_number"), "po_number", by={"item_code": "_a_item"})
     od = not_in(od, "po_number", pending, "last_po")
     ordered = od.groupBy(
@@ -56,10 +57,9 @@ def apply_po_notes(work: DataFrame, best: DataFrame) -> DataFrame:
     return keyed_update(work, b, ["item_code"], {"fob_po": F.col("_b_fob_po"), "fob_item": F.col("_b_fob_item")})
 
 
-def _po_line_notes(src: Sources) -> DataFrame:
-    od = src.order_line.select("po_number", "item_code", "special_instructions")
-    oh = src.order_header.select("po_number", "spec_instructions")
-    return od.join(oh, "po_number").select(
+def _po_line_notes(src: Sources, ol: DataFrame | None = None) -> DataFrame:
+    ol = ol if ol is not None else order_lines(src)
+    return ol.select(
         F.col("item_code").alias("_n_item"),
         F.col("po_number").alias("_n_po"),
         left("special_instructions", 250).alias("_n_item_note"),
@@ -67,13 +67,13 @@ def _po_line_notes(src: Sources) -> DataFrame:
     )
 
 
-def fill_notes_from_last_po(work: DataFrame, src: Sources) -> DataFrame:
+def fill_notes_from_last_po(work: DataFrame, src: Sources, ol: DataFrame | None = None) -> DataFrame:
     """P39 then P40: when a note is blank, take both notes from the row's last PO line.
 
     P39 needs a line note, P40 a header note; the second reads the first's result.
     Several order lines of one (PO, item) resolve to the highest notes.
     """
-    notes = _po_line_notes(src)
+    notes = _po_line_notes(src, ol)
     on = {"item_code": "_n_item", "last_po": "_n_po"}
     by_line = first_per_key(
         notes.where(is_present("_n_item_note")), ["_n_item", "_n_po"],
@@ -125,14 +125,15 @@ def apply_publisher(work: DataFrame, src: Sources) -> DataFrame:
     return keyed_update(work, i, {"isbn": "_i_isbn"}, {"publisher": F.col("_i_pub"), "author": F.col("_i_author")})
 
 
-def original_buyer(src: Sources, work: DataFrame) -> DataFrame:
+def original_buyer(src: Sources, work: DataFrame, ol: DataFrame | None = None) -> DataFrame:
     """The buyer of each item's earliest PO (NULL dates last, then lowest PO).
 
     A PO whose buyer is unknown contributes ' ' (filled later from the last PO).
     """
     oh = src.order_header.select("po_number", "po_date", "buyer_id")
-    od = src.order_line.select("po_number", "item_code").join(work.select("item_code").distinct(), "item_code", "left_semi")
-    bp = od.join(oh, "po_number").groupBy("po_number", "item_code").agg(F.min("po_date").alias("po_date"))
+    ol = ol if ol is not None else order_lines(src)
+    od = ol.select("po_number", "item_code", "po_date").join(work.select("item_code").distinct(), "item_code", "left_semi")
+    bp = od.groupBy("po_number", "item_code").agg(F.min("po_date").alias("po_date"))
     names = first_per_key(src.buyer.select("buyer_id", "name"), ["buyer_id"], [F.col("name")])
     hdr = oh.join(names, "buyer_id").select(
         F.col("po_number").alias("_h_po"), F.col("po_date").alias("_h_date"), F.col("name").alias("_h_name")
@@ -148,9 +149,9 @@ def original_buyer(src: Sources, work: DataFrame) -> DataFrame:
     )
 
 
-def apply_buyer(work: DataFrame, src: Sources) -> DataFrame:
+def apply_buyer(work: DataFrame, src: Sources, ol: DataFrame | None = None) -> DataFrame:
     """Original buyer, then the last PO's buyer where still blank."""
-    ob = original_buyer(src, work).select("item_code", F.col("buyer").alias("_ob_buyer"))
+    ob = original_buyer(src, work, ol).select("item_code", F.col("buyer").alias("_ob_buyer"))
     w = keyed_update(work, ob, ["item_code"], {"buyer": F.col("_ob_buyer")})
     names = first_per_key(src.buyer.select("buyer_id", "name"), ["buyer_id"], [F.col("name")])
     po_buyer = src.order_header.select("po_number", "buyer_id").join(names, "buyer_id")
