@@ -58,8 +58,8 @@ def warehouse_receipts(src: Sources, ship_hist: DataFrame) -> DataFrame:
     """Received quantity of items never shipped to stores (company 'SUP' excluded)."""
     rc = src.receipt_current.unionByName(src.receipt_archive)
     rc = rc.where(F.col("company") != "SUP").select(item_key("item").alias("item_code"), "total_qty")
-    rc = not_in(rc, "item_code", ship_hist, "item_code")
-    return rc.groupBy("item_code").agg(F.sum(F.coalesce(F.col("total_qty"), F.lit(0))).alias("qty_rcvd"))
+    per_item = rc.groupBy("item_code").agg(F.sum(F.coalesce(F.col("total_qty"), F.lit(0))).alias("qty_rcvd"))
+    return not_in(per_item, "item_code", ship_hist, "item_code")
 
 
 def _store_received(header: DataFrame, line: DataFrame) -> DataFrame:
@@ -85,13 +85,13 @@ def received_sources(src: Sources) -> DataFrame:
 
 def _receipt_branch(receipts: DataFrame, exclude: DataFrame) -> DataFrame:
     r = receipts.select(item_key("item").alias("item_code"), "receipt_date", "total_qty")
-    r = not_in(r, "item_code", exclude, "item_code")
-    return r.groupBy("item_code").agg(
+    per_item = r.groupBy("item_code").agg(
         F.min("receipt_date").alias("first_received"),
         F.max("receipt_date").alias("last_received"),
         F.lit(" ").alias("parent"),
         F.coalesce(F.sum("total_qty"), F.lit(0)).alias("rcvd_qty"),
     )
+    return not_in(per_item, "item_code", exclude, "item_code")
 
 
 def received_union_distinct(src: Sources, received_a: DataFrame) -> DataFrame:
@@ -116,13 +116,13 @@ def distribution_received(src: Sources, p: RollupParams, received_ab: DataFrame)
     rd = src.receive_line.select("receiver", "item_code", "qty_counted").join(
         h.select("receiver", "distribution_posted_date"), "receiver"
     )
-    rd = not_in(rd, "item_code", received_ab, "item_code")
-    return rd.groupBy("item_code").agg(
+    per_item = rd.groupBy("item_code").agg(
         F.min("distribution_posted_date").alias("first_received"),
         F.max("distribution_posted_date").alias("last_received"),
         F.lit("DR").alias("parent"),
         F.coalesce(F.sum("qty_counted"), F.lit(0)).alias("rcvd_qty"),
     )
+    return not_in(per_item, "item_code", received_ab, "item_code")
 
 
 RECEIVED_COLUMNS = ["item_code", "first_received", "last_received", "parent", "rcvd_qty"]

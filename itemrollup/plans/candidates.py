@@ -168,8 +168,10 @@ def apply_received_status(work: DataFrame, last_proc: DataFrame) -> DataFrame:
 
 def on_hand(src: Sources, work: DataFrame) -> DataFrame:
     """Stock on hand per work item."""
-    inv = src.product_inventory.join(work.select("item_code").distinct(), "item_code", "left_semi")
-    return inv.groupBy("item_code").agg(F.sum(F.coalesce(F.col("quantity_on_hand"), F.lit(0))).alias("_on_hand"))
+    per_item = src.product_inventory.groupBy("item_code").agg(
+        F.sum(F.coalesce(F.col("quantity_on_hand"), F.lit(0))).alias("_on_hand")
+    )
+    return per_item.join(work.select("item_code").distinct(), "item_code", "left_semi")
 
 
 def apply_on_hand(work: DataFrame, src: Sources) -> DataFrame:

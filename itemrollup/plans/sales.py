@@ -75,8 +75,11 @@ def sales_rekeyed_totals(src: Sources, p: RollupParams, upc: DataFrame, items: D
     totals are only ever matched to work items.
     """
     lines = store_sales_lines(src, p)
+    # Pre-aggregate per sold item (partial aggregation map-side): the re-key and the
+    # exclusions depend only on the item, so they apply to one row per item.
+    per_item = conditional_totals(lines, ["item_code"], sales_measures(lines))
     m = upc.select(F.col("item_code").alias("_u_item"), F.col("report_item_code").alias("_u_report"))
-    j = lines.join(m, lines["item_code"] == m["_u_item"], "left")
+    j = per_item.join(m, per_item["item_code"] == m["_u_item"], "left")
     upc_stats = upc.select(
         F.struct(F.count(F.lit(1)).alias("n"), F.count("item_code").alias("nn")).alias("s")
     ).scalar()
@@ -88,7 +91,8 @@ def sales_rekeyed_totals(src: Sources, p: RollupParams, upc: DataFrame, items: D
         "_sale_key", F.when(aliased, F.col("_u_report")).otherwise(F.col("item_code"))
     )
     totals = _cast_measures(
-        conditional_totals(keyed, [F.col("_sale_key").alias("item_code")], sales_measures(keyed)), ["item_code"]
+        keyed.groupBy(F.col("_sale_key").alias("item_code")).agg(*[F.sum(c).alias(c) for c in SALES_MEASURES]),
+        ["item_code"],
     )
     if items is not None:
         totals = totals.join(items.select("item_code").distinct(), "item_code", "left_semi")
@@ -121,13 +125,14 @@ def online_sales(src: Sources, upc: DataFrame, start, end) -> DataFrame:
     o = src.online_sale.where(
         (F.col("date_sold") >= ts_lit(start)) & (F.col("date_sold") <= ts_lit(end))
     )
-    o = not_in(o, "item_code", upc, "item_code")
-    return o.groupBy("item_code").agg(
+    per_item = o.groupBy("item_code").agg(
         F.avg("selling_price").cast(MONEY).alias("selling_price"),
         F.sum("selling_price").cast(MONEY).alias("extended_amt"),
         F.sum("quantity").cast("bigint").alias("online_qty_sold"),
         F.max("date_sold").alias("date_sold"),
     )
+    # the exclusion depends only on the grouping key, so it applies after the aggregation
+    return not_in(per_item, "item_code", upc, "item_code")
 
 
 def cross_store_sales(src: Sources, p: RollupParams, items: DataFrame | None = None) -> DataFrame:
