@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ts_lit, item_key, to_minute
+from ..functions import item_key, to_minute, ts_lit
 from ..operators import not_in
 from ..sources import Sources
 from . import lines as fact_lines

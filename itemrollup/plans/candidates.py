@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ts_lit, MONEY, equals_blank, is_present, left, money, number_or_zero
+from ..functions import equals_blank, is_present, left, money, number_or_zero, ts_lit
 from ..operators import delete_where, existence_flag, keyed_update, not_in
 from ..sources import Sources
 from .contracts import WORK, conform
@@ -185,5 +185,5 @@ def apply_on_hand(work: DataFrame, src: Sources) -> DataFrame:
 
 __all__ = [
     "item_master", "order_notes", "candidates_shipped", "candidates_received", "drop_base_inventory",
-    "apply_transfers", "apply_drop_ship_received", "apply_received_status", "apply_on_hand", "MONEY",
+    "apply_transfers", "apply_drop_ship_received", "apply_received_status", "apply_on_hand",
 ]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import calendar
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 # Fixed values (must equal the original procedure's codes for equal results):
@@ -41,7 +42,6 @@ class RollupParams:
     start_date: datetime = DEFAULT_START
     generic_item_code: str = GENERIC_CROSS_STORE_ITEM
     report_cutoff: datetime = DEFAULT_REPORT_CUTOFF
-    extra: dict = field(default_factory=dict)
 
     @property
     def end_date(self) -> datetime:
@@ -61,8 +61,6 @@ class RollupParams:
 def _shift_months(ts: datetime, months: int) -> datetime:
     m = ts.month - 1 + months
     y, m = ts.year + m // 12, m % 12 + 1
-    import calendar
-
     d = min(ts.day, calendar.monthrange(y, m)[1])
     return ts.replace(year=y, month=m, day=d)
 

@@ -13,12 +13,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import new_run_dir
 from ..sources import Sources
 from . import activity, candidates, lines, pending, publish, purchasing, sales, summarise
-from .contracts import PUBLISHED, conform
+from .contracts import PUBLISHED
 from .params import RollupParams
 
 
@@ -139,4 +138,4 @@ def report(rollup: DataFrame, src: Sources, params: RollupParams, ordered: bool
     return publish.report(rollup, src.buyer, src.available, params.report_cutoff, ordered=ordered)
 
 
-__all__ = ["rebuild", "rebuild_stages", "report", "Stager", "empty_prior", "conform", "F"]
+__all__ = ["rebuild", "rebuild_stages", "report", "Stager", "empty_prior"]

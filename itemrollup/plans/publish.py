@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
-    ts_lit,
     MONEY,
     RATIO,
     assortment,
@@ -18,6 +17,7 @@ from ..functions import (
     pct_sold,
     title_item,
     trimmed_item_key,
+    ts_lit,
     ymd,
 )
 from ..operators import first_per_key, keyed_update

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ts_lit, MONEY, item_key, money
-from ..operators import conditional_totals, first_per_key, keyed_update, not_in
+from ..functions import MONEY, item_key, money, ts_lit
+from ..operators import conditional_totals, keyed_update, not_in
 from ..sources import Sources
 from .params import RollupParams
 
@@ -202,5 +202,5 @@ def apply_channel_sales(work: DataFrame, online: DataFrame, cross: DataFrame) ->
 
 __all__ = [
     "alias_items", "sales_totals", "sales_rekeyed_totals", "apply_sales", "online_sales",
-    "cross_store_sales", "apply_channel_sales", "first_per_key",
+    "cross_store_sales", "apply_channel_sales",
 ]

@@ -128,4 +128,4 @@ def status_reset(rollup: DataFrame, src: Sources, txb: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["rekey_aliases", "item_rollup", "vendor_returns", "wholesale_totals", "status_reset", "keyed_update"]
+__all__ = ["rekey_aliases", "item_rollup", "vendor_returns", "wholesale_totals", "status_reset"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,11 +57,3 @@ def staging_root(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, label: str = "run") -> str:
     """A unique sub-folder of the staging root for one pipeline run."""
     return f"{staging_root(spark)}/itemrollup/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(path.replace("file:", "")) if is_local_path(path) else False
