@@ -46,9 +46,15 @@ def received_dates(last_proc: DataFrame) -> DataFrame:
     )
 
 
-def _candidates(
-    pm: DataFrame, qty: DataFrame, parent: Column, dates: DataFrame, notes: DataFrame, p: RollupParams
-) -> DataFrame:
+SHIPPED, RECEIVED = "S", "R"
+
+
+def _candidates(pm: DataFrame, qty: DataFrame, dates: DataFrame, notes: DataFrame, p: RollupParams) -> DataFrame:
+    """Candidate rows for every (item master row, quantity row) pair of the window.
+
+    ``qty`` holds (``_qty_item``, ``qty``, ``_kind``); the kind decides the status:
+    'SHIP' for shipped items, ' ' / 'RCVD' (reorderable or not) for received ones.
+    """
     j = pm.join(qty, pm["item_code"] == qty["_qty_item"])
     j = j.join(dates, j["item_code"] == dates["_rcv_item"], "left")
     j = j.join(
@@ -56,51 +62,81 @@ def _candidates(
     )
     window = lambda c: c.between(ts_lit(p.start_date), ts_lit(p.end_date))
     j = j.where(window(F.col("create_date")) | (F.col("reorderable") == "Y") | window(F.col("last_received")))
-    return conform(
-        j.select(
-            F.col("vendor_id"),
-            F.col("purchase_vendor_id").alias("reorder_vendor_id"),
-            F.col("item_code"),
-            parent.alias("parent"),
-            item_isbn(j).alias("isbn"),
-            "product_type",
-            "section_code",
-            item_title(j).alias("title"),
-            "cost",
-            "price",
-            number_or_zero("mfg_price").alias("msrp"),
-            F.col("qty").alias("qty_shipped"),
-            money(F.col("cost") * F.coalesce(F.col("qty"), F.lit(0))).alias("amt_invoiced"),
-            "scheme_id",
-            "reorderable",
-            "last_received",
-            "first_received",
-            "fob_po",
-            "fob_item",
-        ),
-        WORK,
+    parent = F.when(F.col("_kind") == SHIPPED, F.lit("SHIP")).otherwise(
+        F.when(F.col("reorderable") == "Y", F.lit(" ")).otherwise(F.lit("RCVD"))
+    )
+    out = j.select(
+        F.col("vendor_id"),
+        F.col("purchase_vendor_id").alias("reorder_vendor_id"),
+        F.col("item_code"),
+        parent.alias("parent"),
+        item_isbn(j).alias("isbn"),
+        "product_type",
+        "section_code",
+        item_title(j).alias("title"),
+        "cost",
+        "price",
+        number_or_zero("mfg_price").alias("msrp"),
+        F.col("qty").alias("qty_shipped"),
+        money(F.col("cost") * F.coalesce(F.col("qty"), F.lit(0))).alias("amt_invoiced"),
+        "scheme_id",
+        "reorderable",
+        "last_received",
+        "first_received",
+        "fob_po",
+        "fob_item",
+        "_kind",
+    )
+    return out
+
+
+def _shipped_qty(src: Sources, ship_hist: DataFrame) -> DataFrame:
+    """Shipped quantity per item, minus items replaced through receiving re-coding (both NOT INs)."""
+    ship = ship_hist.groupBy(F.col("item_code").alias("_qty_item")).agg(F.sum("qty_shipped").alias("qty"))
+    ship = not_in(ship, "_qty_item", src.recv_items_created, "new_item_code")
+    ship = not_in(ship, "_qty_item", src.recv_items_created, "item_code")
+    return ship.withColumn("_kind", F.lit(SHIPPED))
+
+
+def _received_qty(wh_receipts: DataFrame) -> DataFrame:
+    return wh_receipts.select(
+        F.col("item_code").alias("_qty_item"), F.col("qty_rcvd").alias("qty"), F.lit(RECEIVED).alias("_kind")
     )
 
 
+def candidates(
+    src: Sources, p: RollupParams, ship_hist: DataFrame, wh_receipts: DataFrame, last_proc: DataFrame,
+    ol: DataFrame | None = None,
+) -> DataFrame:
+    """P08 + P09 in one pass over the item master, received dates and order notes.
+
+    The two statements differ only in their quantity source and status, so
+    their quantity rows are unioned (tagged ``_kind``) and joined once.  The
+    re-coding exclusions of P08 test the item master key, which equals the
+    shipped item key, so they filter the shipped quantities instead.
+    """
+    qty = _shipped_qty(src, ship_hist).unionByName(_received_qty(wh_receipts))
+    return _candidates(item_master(src), qty, received_dates(last_proc), order_notes(src, ol), p)
+
+
+def work_rows(cands: DataFrame) -> DataFrame:
+    return conform(cands, WORK)
+
+
 def candidates_shipped(
     src: Sources, p: RollupParams, ship_hist: DataFrame, last_proc: DataFrame, ol: DataFrame | None = None
 ) -> DataFrame:
-    """Shipped items ('SHIP'), minus items replaced through receiving re-coding."""
-    pm = item_master(src)
-    pm = not_in(pm, "item_code", src.recv_items_created, "new_item_code")
-    pm = not_in(pm, "item_code", src.recv_items_created, "item_code")
-    ship = ship_hist.groupBy(F.col("item_code").alias("_qty_item")).agg(F.sum("qty_shipped").alias("qty"))
-    return _candidates(pm, ship, F.lit("SHIP"), received_dates(last_proc), order_notes(src, ol), p)
+    """P08 alone: shipped items ('SHIP'), minus items replaced through receiving re-coding."""
+    qty = _shipped_qty(src, ship_hist)
+    return work_rows(_candidates(item_master(src), qty, received_dates(last_proc), order_notes(src, ol), p))
 
 
 def candidates_received(
     src: Sources, p: RollupParams, wh_receipts: DataFrame, last_proc: DataFrame, ol: DataFrame | None = None
 ) -> DataFrame:
-    """Received but never shipped items: ' ' when reorderable, else 'RCVD'."""
-    pm = item_master(src)
-    rcv = wh_receipts.select(F.col("item_code").alias("_qty_item"), F.col("qty_rcvd").alias("qty"))
-    parent = F.when(F.col("reorderable") == "Y", F.lit(" ")).otherwise(F.lit("RCVD"))
-    return _candidates(pm, rcv, parent, received_dates(last_proc), order_notes(src, ol), p)
+    """P09 alone: received but never shipped items: ' ' when reorderable, else 'RCVD'."""
+    qty = _received_qty(wh_receipts)
+    return work_rows(_candidates(item_master(src), qty, received_dates(last_proc), order_notes(src, ol), p))
 
 
 def drop_base_inventory(work: DataFrame, src: Sources) -> DataFrame:
@@ -184,6 +220,7 @@ def apply_on_hand(work: DataFrame, src: Sources) -> DataFrame:
 
 
 __all__ = [
-    "item_master", "order_notes", "candidates_shipped", "candidates_received", "drop_base_inventory",
+    "item_master", "order_notes", "candidates", "candidates_shipped", "candidates_received", "work_rows",
+    "drop_base_inventory",
     "apply_transfers", "apply_drop_ship_received", "apply_received_status", "apply_on_hand",
 ]

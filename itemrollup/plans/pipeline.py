@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import new_run_dir
 from ..sources import Sources
@@ -67,9 +68,10 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     last_proc = t["last_proc"] = activity.last_processed(rcvd)
 
     # 2. candidate items, quantities and status
-    t["cand_ship"] = candidates.candidates_shipped(src, p, ship_hist, last_proc, ol)
-    t["cand_rcvd"] = candidates.candidates_received(src, p, wh_receipts, last_proc, ol)
-    work = t["w10"] = candidates.drop_base_inventory(t["cand_ship"].unionByName(t["cand_rcvd"]), src)
+    cands = candidates.candidates(src, p, ship_hist, wh_receipts, last_proc, ol)
+    t["cand_ship"] = candidates.work_rows(cands.where(F.col("_kind") == candidates.SHIPPED))
+    t["cand_rcvd"] = candidates.work_rows(cands.where(F.col("_kind") == candidates.RECEIVED))
+    work = t["w10"] = candidates.drop_base_inventory(candidates.work_rows(cands), src)
     t["transfers"] = activity.transfer_totals(src, p, sl)
     work = t["w12"] = candidates.apply_transfers(work, t["transfers"])
     work = t["w13"] = candidates.apply_drop_ship_received(work, ship_hist, rcvd)
