@@ -70,29 +70,30 @@ def _po_line_notes(src: Sources, ol: DataFrame | None = None) -> DataFrame:
 def fill_notes_from_last_po(work: DataFrame, src: Sources, ol: DataFrame | None = None) -> DataFrame:
     """P39 then P40: when a note is blank, take both notes from the row's last PO line.
 
-    P39 needs a line note, P40 a header note; the second reads the first's result.
-    Several order lines of one (PO, item) resolve to the highest notes.
+    P39 needs a line note, P40 a header note; the second reads the first's
+    result.  Several order lines of one (PO, item) resolve to the highest
+    notes.  Both candidates come from one aggregation and one join.
     """
     notes = _po_line_notes(src, ol)
-    on = {"item_code": "_n_item", "last_po": "_n_po"}
-    by_line = first_per_key(
-        notes.where(is_present("_n_item_note")), ["_n_item", "_n_po"],
-        [F.col("_n_item_note"), F.col("_n_po_note")], descending=True,
-    )
-    w = keyed_update(
-        work, by_line, on,
-        {"fob_item": F.col("_n_item_note"), "fob_po": F.col("_n_po_note")},
-        where=is_blank("fob_item"),
-    )
-    by_header = first_per_key(
-        notes.where(is_present("_n_po_note")), ["_n_item", "_n_po"],
-        [F.col("_n_item_note"), F.col("_n_po_note")], descending=True,
-    )
-    return keyed_update(
-        w, by_header, on,
-        {"fob_item": F.col("_n_item_note"), "fob_po": F.col("_n_po_note")},
-        where=is_blank("fob_po"),
-    )
+    pair = F.struct(F.col("_n_item_note").alias("i"), F.col("_n_po_note").alias("h"))
+    picks = notes.groupBy("_n_item", "_n_po").agg(
+        F.max(F.when(is_present("_n_item_note"), pair)).alias("_by_line"),
+        F.max(F.when(is_present("_n_po_note"), pair)).alias("_by_header"),
+    )
+    j = work.join(
+        picks, (work["item_code"] == picks["_n_item"]) & (work["last_po"] == picks["_n_po"]), "left"
+    )
+    line_hit = F.col("_by_line").isNotNull() & is_blank("fob_item")
+    j = j.withColumns({
+        "fob_item": F.when(line_hit, F.col("_by_line.i")).otherwise(F.col("fob_item")),
+        "fob_po": F.when(line_hit, F.col("_by_line.h")).otherwise(F.col("fob_po")),
+    })
+    header_hit = F.col("_by_header").isNotNull() & is_blank("fob_po")
+    j = j.withColumns({
+        "fob_item": F.when(header_hit, F.col("_by_header.i")).otherwise(F.col("fob_item")),
+        "fob_po": F.when(header_hit, F.col("_by_header.h")).otherwise(F.col("fob_po")),
+    })
+    return j.select(*work.columns)
 
 
 def apply_last_po(work: DataFrame, best: DataFrame, src: Sources) -> DataFrame:
