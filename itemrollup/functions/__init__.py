@@ -61,8 +61,8 @@ def money(c: str | Column) -> Column:
 
 
 def to_minute(c: str | Column) -> Column:
-    """Round a timestamp half-up to the minute (small-datetime semantics)."""
-    return F.date_trunc("minute", col(c) + F.expr("INTERVAL 30 SECONDS"))
+    """Round a timestamp half-up to the minute (small-datetime: a zone-less timestamp)."""
+    return F.date_trunc("minute", col(c) + F.expr("INTERVAL 30 SECONDS")).cast("timestamp_ntz")
 
 
 def number_or_zero(c: str | Column) -> Column:

@@ -34,6 +34,15 @@ def norm(v):
     return v
 
 
+def kind(type_name: str) -> str:
+    t = type_name.lower()
+    for key, k in (("decimal", "decimal"), ("timestamp", "timestamp"), ("char", "string"), ("string", "string"),
+                   ("double", "float"), ("float", "float"), ("bool", "bool"), ("date", "date"), ("int", "int")):
+        if key in t:
+            return k
+    return t
+
+
 def multiset(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return collections.Counter(tuple(norm(r[i]) for i in order) for r in rows)
@@ -62,12 +71,18 @@ def compare(spark, sf_dir, names=None):
             t1 = time.time()
             rel = con.sql(sql)
             o_cols = rel.columns
+            o_types = dict(zip(o_cols, [str(t) for t in rel.types]))
             o_rows = rel.fetchall()
         except Exception as e:  # noqa: BLE001
             results[name] = ("ERROR", str(e)[:400])
             print(f"{name:32s} ERROR {str(e)[:300]}", flush=True)
             continue
         ok_cols = sorted(s_cols) == sorted(o_cols)
+        s_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        type_diff = {c: (s_types[c], o_types.get(c)) for c in s_cols
+                     if c in o_types and kind(s_types[c]) != kind(o_types[c])}
+        if type_diff:
+            print(f"   TYPE {name}: {type_diff}")
         ms, mo = multiset(s_cols, s_rows), multiset(o_cols, o_rows)
         ok = ok_cols and ms == mo
         results[name] = ("OK" if ok else "DIFF", len(s_rows), len(o_rows))
