@@ -19,6 +19,28 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized to the input volume.
+
+    The widest shuffles (fact lines after projection and filters) carry about a
+    quarter of the input, so shuffle partitions ~ input / (4 x 256 MB), capped at
+    100k to bound map-status metadata.  AQE coalesces small partitions and splits
+    skewed ones: a partition 5x the median and over 256 MB is split, so one hot
+    item, PO or source cannot pin a third of the data to one task.
+    """
+    partitions = min(100_000, max(200, input_bytes // (4 * target_partition_bytes)))
+    conf = dict(RECOMMENDED_CONF)
+    conf.update({
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    })
+    return conf
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "itemrollup") -> SparkSession:
     """Local session for tests and benchmarks (the cluster supplies its own)."""
     builder = (
