@@ -134,3 +134,50 @@ def test_report_orders_by_last_received_desc_nulls_last(spark, small_sources):
     out = report(pub, small_sources.buyer, small_sources.available, datetime(2010, 1, 1)).collect()
     assert [r.item_code for r in out] == ["00000003", "00000002", "00000001"]
     assert out[0].buyer == "J.S."
+
+
+def test_drop_ship_fix_keeps_invoiced_amount(spark):
+    from itemrollup.plans import candidates
+
+    work = _work(spark, [{"item_code": "I", "parent": "SHIP", "cost": Decimal(2), "qty_shipped": 10, "amt_invoiced": Decimal(20)}])
+    ship_hist = spark.createDataFrame([("I", 1, 10)], "item_code string, drop_ship int, qty_shipped bigint")
+    rcvd = spark.createDataFrame([("I", D, D, "DS", 7)],
+                                 "item_code string, first_received timestamp_ntz, last_received timestamp_ntz, parent string, rcvd_qty bigint")
+    r = candidates.apply_drop_ship_received(work, ship_hist, rcvd).first()
+    assert (r.qty_shipped, r.amt_invoiced) == (7, Decimal("20.0000"))
+
+
+def test_alias_row_without_parent_row_disappears(spark, small_sources):
+    work = _work(spark, [{"item_code": "ALIAS", "parent": " ", "vendor_id": "V", "reorder_vendor_id": "V", "qty_sold": 4}])
+    upc = spark.createDataFrame([("ALIAS", "PARENT")], "item_code string, report_item_code string")
+    rekeyed = summarise.rekey_aliases(work, upc, small_sources)
+    r = rekeyed.first()
+    assert (r.item_code, r.parent, r.qty_shipped, r.qty_sold) == ("PARENT", None, 0, 4)
+    assert summarise.item_rollup(rekeyed, upc).count() == 0
+
+
+def _published(spark, rows):
+    base = {"vendor_id": "V", "reorder_vendor_id": "V", "parent": "", "qty_sold": 1, "qty_shipped": 100,
+            "price": Decimal(1), "register_price": Decimal(1), "first_received": datetime(2011, 1, 1)}
+    return _work(spark, [dict(base, **r) for r in rows]).withColumn("pct_sold", F.lit(1.0)) \
+        .withColumn("qty_rtv", F.lit(0)).withColumn("txb_qty", F.lit(0)).withColumn("txb_amt", F.lit(0)) \
+        .withColumn("online_qty_sold", F.lit(0)).withColumn("selling_price", F.lit(None).cast("decimal(19,4)"))
+
+
+def test_report_blank_buyer_without_blank_name_row_is_null(spark, small_sources):
+    pub = _published(spark, [{"item_code": "00000000000000000011", "buyer": ""}])
+    out = report(pub, small_sources.buyer, small_sources.available, datetime(2010, 1, 1)).collect()
+    assert [r.buyer for r in out] == [None]
+
+
+def test_report_assortment_minimum_shipped_and_available_text(spark, small_sources):
+    pub = _published(spark, [
+        {"item_code": "00000000000020000007", "qty_shipped": 19, "buyer": "A B"},
+        {"item_code": "00000000000020000057", "qty_shipped": 20, "buyer": "A B"},
+        {"item_code": "00000000000000000055", "buyer": "A B"},
+    ])
+    available = spark.createDataFrame([("00000000000000000055", "TTB", 12), ("00000000000020000057", "CDC", 9)],
+                                      "item_code string, company string, available_qty int")
+    out = {r.item_code: (r.buyer, r.ttb_inv, r.selling_price, r.online_qty_sold)
+           for r in report(pub, small_sources.buyer, available, datetime(2010, 1, 1)).collect()}
+    assert out == {"20000057": ("Assort", "", None, 0), "00000055": ("A.B.", "12", None, 0)}
