@@ -29,9 +29,14 @@ def item_title(pm: DataFrame) -> Column:
 
 
 def order_notes(src: Sources, ol: DataFrame | None = None) -> DataFrame:
-    """Distinct (PO, item, header note, line note) where either note is present."""
+    """Distinct (PO, item, header note, line note) where either note is present.
+
+    Only (item, last purchase order) pairs of the item master can match, so the
+    order lines are semi-joined to those pairs before the de-duplication.
+    """
     ol = ol if ol is not None else order_lines(src)
-    notes = ol.where(is_present("spec_instructions") | is_present("special_instructions"))
+    pairs = src.product.select("item_code", F.col("last_purchase_order").alias("po_number")).distinct()
+    notes = ol.join(pairs, ["item_code", "po_number"], "left_semi").where(is_present("spec_instructions") | is_present("special_instructions"))
     return notes.select(
         F.col("po_number").alias("_note_po"),
         F.col("item_code").alias("_note_item"),

@@ -47,6 +47,9 @@ def published_rollup(
     )
     pub = conform(pub, PUBLISHED)
     od = (ol if ol is not None else order_lines(src)).select("po_number", "item_code", "special_instructions")
+    # only the rollup's (item, last PO) pairs can match: restrict the fact before aggregating it
+    wanted = pub.where(F.col("last_po").isNotNull()).select("item_code", F.col("last_po").alias("po_number")).distinct()
+    od = od.join(wanted, ["item_code", "po_number"], "left_semi")
     line_notes = first_per_key(
         od.where(is_present("special_instructions")).select(
             F.col("item_code").alias("_n_item"), F.col("po_number").alias("_n_po"),
@@ -58,8 +61,9 @@ def published_rollup(
         pub, line_notes, {"item_code": "_n_item", "last_po": "_n_po"}, {"fob_item": F.col("_n_note")},
         where=is_blank("fob_item"),
     )
+    wanted_po = pub.where(F.col("last_po").isNotNull()).select(F.col("last_po").alias("po_number")).distinct()
     hdr_notes = first_per_key(
-        src.order_header.where(is_present("spec_instructions")).select(
+        src.order_header.join(wanted_po, "po_number", "left_semi").where(is_present("spec_instructions")).select(
             F.col("po_number").alias("_h_po"), left("spec_instructions", 250).alias("_h_note")
         ),
         ["_h_po"], [F.col("_h_note")], descending=True,

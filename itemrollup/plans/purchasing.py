@@ -74,7 +74,10 @@ def fill_notes_from_last_po(work: DataFrame, src: Sources, ol: DataFrame | None
     result.  Several order lines of one (PO, item) resolve to the highest
     notes.  Both candidates come from one aggregation and one join.
     """
-    notes = _po_line_notes(src, ol)
+    wanted = work.where(F.col("last_po").isNotNull()).select(
+        F.col("item_code").alias("_n_item"), F.col("last_po").alias("_n_po")
+    ).distinct()
+    notes = _po_line_notes(src, ol).join(wanted, ["_n_item", "_n_po"], "left_semi")
     pair = F.struct(F.col("_n_item_note").alias("i"), F.col("_n_po_note").alias("h"))
     picks = notes.groupBy("_n_item", "_n_po").agg(
         F.max(F.when(is_present("_n_item_note"), pair)).alias("_by_line"),
