@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import item_key, to_minute, ts_lit
-from ..operators import not_in
+from ..operators import current_and_archive, not_in
 from ..sources import Sources
 from . import lines as fact_lines
 from .params import RollupParams
@@ -56,7 +56,7 @@ def transfer_totals(src: Sources, p: RollupParams, lines: DataFrame | None = Non
 
 def warehouse_receipts(src: Sources, ship_hist: DataFrame) -> DataFrame:
     """Received quantity of items never shipped to stores (company 'SUP' excluded)."""
-    rc = src.receipt_current.unionByName(src.receipt_archive)
+    rc = current_and_archive(src.receipt_current, src.receipt_archive)
     rc = rc.where(F.col("company") != "SUP").select(item_key("item").alias("item_code"), "total_qty")
     per_item = rc.groupBy("item_code").agg(F.sum(F.coalesce(F.col("total_qty"), F.lit(0))).alias("qty_rcvd"))
     return not_in(per_item, "item_code", ship_hist, "item_code")
@@ -72,8 +72,8 @@ def received_sources(src: Sources) -> DataFrame:
 
     Warehouse shipments ('W') are 'SR', drop ships ('R') are 'DS'.
     """
-    lines = _store_received(src.sr_header_historical, src.sr_line_historical).unionByName(
-        _store_received(src.sr_header, src.sr_line)
+    lines = current_and_archive(
+        _store_received(src.sr_header, src.sr_line), _store_received(src.sr_header_historical, src.sr_line_historical)
     )
     parent = F.when(F.col("shipment_type") == "W", F.lit("SR")).otherwise(F.lit("DS"))
     return lines.groupBy("item_code", parent.alias("parent")).agg(

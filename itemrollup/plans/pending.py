@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_blank, item_key, money, number_or_zero, numeric_or_left, to_minute, ts_lit
+from ..operators import current_and_archive
 from ..sources import Sources
 from .candidates import item_isbn, item_master, item_title
 from .contracts import WORK, conform
@@ -47,16 +48,14 @@ def _warehouse_receipt_pos(receipts: DataFrame, items: DataFrame) -> DataFrame:
 def reorder_received(src: Sources, items: DataFrame) -> DataFrame:
     """(item, PO) pairs already received for the reorder items."""
     oh = src.order_header.select("po_number")
-    parts = [
-        _store_receipt_pos(src.sr_header_historical, src.sr_line_historical, items, oh),
+    store = current_and_archive(
         _store_receipt_pos(src.sr_header, src.sr_line, items, oh),
-        _warehouse_receipt_pos(src.receipt_current, items),
-        _warehouse_receipt_pos(src.receipt_archive, items),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.distinct()
+        _store_receipt_pos(src.sr_header_historical, src.sr_line_historical, items, oh),
+    )
+    warehouse = current_and_archive(
+        _warehouse_receipt_pos(src.receipt_current, items), _warehouse_receipt_pos(src.receipt_archive, items)
+    )
+    return store.unionByName(warehouse).distinct()
 
 
 def _pending_rows(j: DataFrame, parent: str) -> DataFrame:

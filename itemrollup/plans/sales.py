@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import MONEY, item_key, money, ts_lit
-from ..operators import conditional_totals, keyed_update, not_in
+from ..operators import conditional_totals, keyed_update, not_in, rekey
 from ..sources import Sources
 from .params import RollupParams
 
@@ -78,18 +78,14 @@ def sales_rekeyed_totals(src: Sources, p: RollupParams, upc: DataFrame, items: D
     # Pre-aggregate per sold item (partial aggregation map-side): the re-key and the
     # exclusions depend only on the item, so they apply to one row per item.
     per_item = conditional_totals(lines, ["item_code"], sales_measures(lines))
-    m = upc.select(F.col("item_code").alias("_u_item"), F.col("report_item_code").alias("_u_report"))
-    j = per_item.join(m, per_item["item_code"] == m["_u_item"], "left")
+    keyed = rekey(per_item, upc, "item_code", "item_code", "report_item_code", "_sale_key")
     upc_stats = upc.select(
         F.struct(F.count(F.lit(1)).alias("n"), F.count("item_code").alias("nn")).alias("s")
     ).scalar()
     direct_ok = (upc_stats.getField("n") == 0) | (
         (upc_stats.getField("n") == upc_stats.getField("nn")) & F.col("item_code").isNotNull()
     )
-    aliased = F.col("_u_item").isNotNull()
-    keyed = j.where(aliased | direct_ok).withColumn(
-        "_sale_key", F.when(aliased, F.col("_u_report")).otherwise(F.col("item_code"))
-    )
+    keyed = keyed.where(F.col("_rekeyed") | direct_ok)
     totals = _cast_measures(
         keyed.groupBy(F.col("_sale_key").alias("item_code")).agg(*[F.sum(c).alias(c) for c in SALES_MEASURES]),
         ["item_code"],

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import MONEY, item_key, trimmed_item_key
-from ..operators import existence_flag, first_per_key, keyed_update, not_in
+from ..operators import current_and_archive, existence_flag, first_per_key, keyed_update, not_in
 from ..sources import Sources
 from .contracts import GROUP_COLUMNS, MAX_COLUMNS, MIN_COLUMNS, ROLLUP, SUM_COLUMNS, conform
 from .params import (
@@ -101,8 +101,9 @@ def _wholesale_lines(header: DataFrame, line: DataFrame) -> DataFrame:
 
 def wholesale_totals(src: Sources, rollup: DataFrame | None = None) -> DataFrame:
     """Invoiced wholesale quantity and amount per *raw* item number (open + history)."""
-    lines = _wholesale_lines(src.sop_header_open, src.sop_line_open).unionByName(
-        _wholesale_lines(src.sop_header_history, src.sop_line_history)
+    lines = current_and_archive(
+        _wholesale_lines(src.sop_header_open, src.sop_line_open),
+        _wholesale_lines(src.sop_header_history, src.sop_line_history),
     )
     lines = lines.withColumn("_padded", trimmed_item_key("item_number"))
     if rollup is not None:

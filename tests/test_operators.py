@@ -95,3 +95,24 @@ def test_conditional_totals(spark):
     out = conditional_totals(df, ["k"], {"sold": (F.col("ret") == "N", F.col("q")), "lines": (F.col("ret") == "N", F.lit(1))})
     r = out.first()
     assert (r.sold, r.lines) == (2, 2)
+
+
+def test_rekey_maps_to_parent_even_when_parent_is_null(spark):
+    from itemrollup.operators import rekey
+
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
+    mapping = spark.createDataFrame([("a", "P"), ("b", None)], "f string, t string")
+    out = {r.v: (r.nk, r._rekeyed) for r in rekey(df, mapping, "k", "f", "t", "nk").collect()}
+    assert out == {1: ("P", True), 2: (None, True), 3: ("c", False)}
+
+
+def test_current_and_archive_requires_same_columns(spark):
+    import pytest
+
+    from itemrollup.operators import current_and_archive
+
+    a = spark.createDataFrame([(1, "x")], "k int, s string")
+    b = spark.createDataFrame([("y", 2)], "s string, k int")
+    assert sorted(tuple(r) for r in current_and_archive(a, b).collect()) == [(1, "x"), (2, "y")]
+    with pytest.raises(ValueError):
+        current_and_archive(a, spark.createDataFrame([(1,)], "k int"))
