@@ -31,14 +31,8 @@ ONLINE_END = datetime(2024, 2, 1)
 _RUNS: dict = {}
 
 
-def _pin_utc(spark: SparkSession) -> None:
-    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def run(spark: SparkSession, sf_dir: str, second: bool = False) -> dict[str, DataFrame]:
     """All stage frames of the first (or second) rebuild over ``sf_dir``."""
-    _pin_utc(spark)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), second)
     if key not in _RUNS:
         src = synthetic_sources(spark, sf_dir)
@@ -55,7 +49,6 @@ def _stage(name: str, second: bool = False) -> Callable[[SparkSession, str], Dat
 
 
 def _src(spark, sf):
-    _pin_utc(spark)
     return synthetic_sources(spark, sf)
 
 
