@@ -52,9 +52,11 @@ def best_po(pos: DataFrame) -> DataFrame:
 
 
 def apply_po_notes(work: DataFrame, best: DataFrame) -> DataFrame:
-    """Order notes of the chosen PO candidate."""
-    b = best.select("item_code", F.col("fob_po").alias("_b_fob_po"), F.col("fob_item").alias("_b_fob_item"))
-    return keyed_update(work, b, ["item_code"], {"fob_po": F.col("_b_fob_po"), "fob_item": F.col("_b_fob_item")})
+    """P38 as written: ``SET FOBPO = s.FOBPO, FOBItem = s.FOBItem`` where ``s`` is the work
+    row itself (the PO candidates are ``sd``), so the statement assigns every matched
+    row its own values and changes nothing.  Kept as an explicit no-op."""
+    del best
+    return work
 
 
 def _po_line_notes(src: Sources, ol: DataFrame | None = None) -> DataFrame:
