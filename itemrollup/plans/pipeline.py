@@ -2,10 +2,11 @@
 
 Stages follow the original statement order wherever a later statement reads
 what an earlier one wrote.  Every stage is a lazy DataFrame; the ``Stager``
-cuts the lineage at four points by writing the frame to the shared staging
-folder and reading it back, which bounds plan size, lets each cut be reused
-by all later readers without recomputation, and lets a failed executor be
-recovered from the last cut instead of from the base tables.
+cuts the lineage at 13 points by writing the frame to the shared staging
+folder (``spark.checkpoint.dir``) and reading it back.  That bounds plan size
+(one plan of all 60 statements is too large for the optimizer), lets each cut
+be reused by all later readers without recomputation, and lets a failed
+executor be recovered from the last cut instead of from the base tables.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from .params import RollupParams
 class Stager:
     """Lineage cuts: ``cut(df, name)`` writes parquet under a fresh run folder and reads it back.
 
-    ``enabled=False`` keeps everything lazy (one plan; handy for ``explain``).
+    ``enabled=False`` keeps everything lazy: one plan per stage frame, fine for
+    ``explain`` of a single stage, far too large to optimise for the whole run.
     """
 
     spark: SparkSession
