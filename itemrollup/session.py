@@ -11,6 +11,10 @@ from pyspark.sql import SparkSession
 # shuffle sizes (broadcast only what it measured small, split skewed partitions)
 # and coalesces small partitions; ANSI mode keeps decimal overflow an error.
 RECOMMENDED_CONF = {
+    # Broadcast bound: a join side is broadcast only when its estimated (planner) or
+    # measured (AQE, after its shuffle) size is under 32 MB; otherwise sort-merge.
+    "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 << 20),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -36,7 +40,6 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> d
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     })
     return conf
 

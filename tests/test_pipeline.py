@@ -110,6 +110,7 @@ def test_cluster_conf_sizes_partitions():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert big["spark.sql.shuffle.partitions"] == "100000"
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(big["spark.sql.autoBroadcastJoinThreshold"]) <= 64 << 20
 
 
 def test_report_is_ordered_by_last_received_then_pct_sold(spark):
