@@ -12,9 +12,9 @@ from pyspark.sql import SparkSession
 # and coalesces small partitions; ANSI mode keeps decimal overflow an error.
 RECOMMENDED_CONF = {
     # Broadcast bound: a join side is broadcast only when its estimated (planner) or
-    # measured (AQE, after its shuffle) size is under 32 MB; otherwise sort-merge.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 << 20),
+    # measured (AQE, after its shuffle) size is under 10 MB; otherwise sort-merge.
+    "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 << 20),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
