@@ -104,8 +104,9 @@ def q_discount(spark, sf):
 
 
 def q_initials(spark, sf):
-    b = _src(spark, sf).buyer
-    return b.select("buyer_id", "name", initials("name").alias("initials"))
+    """Initials of every published row's buyer name (the report's abbreviation)."""
+    u = run(spark, sf)["published"]
+    return u.select("item_code", "parent", "buyer", initials("buyer").alias("initials"))
 
 
 def q_available_text(spark, sf):
@@ -196,7 +197,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "discount_pct": (q_discount, _sql(
         "SELECT item_code, parent, register_price, qty_sold, price, "
         f"{O.discount_sql('register_price', 'qty_sold', 'price')} AS discount_pct FROM r1_published")),
-    "buyer_initials": (q_initials, _sql(f"SELECT buyer_id, name, {O.initials_sql('name')} AS initials FROM buyer")),
+    "buyer_initials": (q_initials, _sql(
+        f"SELECT item_code, parent, buyer, {O.initials_sql('buyer')} AS initials FROM r1_published")),
     "available_stock_text": (q_available_text, _sql(
         "SELECT item_code, parent, ttb_inv FROM (" + O.report_sql("r1_published", P) + ") x")),
     "report_filter": (q_report_filter, _sql(O.report_sql("r1_published", P, where_only=True))),
