@@ -134,19 +134,26 @@ def apply_publisher(work: DataFrame, src: Sources) -> DataFrame:
 def original_buyer(src: Sources, work: DataFrame, ol: DataFrame | None = None) -> DataFrame:
     """The buyer of each item's earliest PO (NULL dates last, then lowest PO).
 
-    A PO whose buyer is unknown contributes ' ' (filled later from the last PO).
+    Per (PO, item) the earliest header date is taken, and the buyer of a header
+    with that date (smallest name when several match); a PO without a matching
+    buyer, or without a date, contributes ' ' (filled later from the last PO).
+    The order lines already carry the header date and buyer id, so this is one
+    aggregation over the work items' lines.
     """
-    oh = src.order_header.select("po_number", "po_date", "buyer_id")
     ol = ol if ol is not None else order_lines(src)
-    od = ol.select("po_number", "item_code", "po_date").join(work.select("item_code").distinct(), "item_code", "left_semi")
-    bp = od.groupBy("po_number", "item_code").agg(F.min("po_date").alias("po_date"))
     names = first_per_key(src.buyer.select("buyer_id", "name"), ["buyer_id"], [F.col("name")])
-    hdr = oh.join(names, "buyer_id").select(
-        F.col("po_number").alias("_h_po"), F.col("po_date").alias("_h_date"), F.col("name").alias("_h_name")
+    od = ol.select("po_number", "item_code", "po_date", "buyer_id").join(
+        work.select("item_code").distinct(), "item_code", "left_semi"
     )
-    hdr = first_per_key(hdr, ["_h_po", "_h_date"], [F.col("_h_name")])
-    bp = bp.join(hdr, (bp["po_number"] == hdr["_h_po"]) & (bp["po_date"] == hdr["_h_date"]), "left").select(
-        "po_number", "item_code", "po_date", F.coalesce(F.col("_h_name"), F.lit(" ")).alias("buyer")
+    od = od.join(names, "buyer_id", "left")
+    first = F.min(F.struct(
+        F.col("po_date").isNull().alias("d_null"), F.col("po_date").alias("d"),
+        F.col("name").isNull().alias("n_null"), F.col("name").alias("n"),
+    )).alias("_first")
+    no_buyer = F.col("_first.d").isNull() | F.col("_first.n").isNull()
+    bp = od.groupBy("po_number", "item_code").agg(first).select(
+        "po_number", "item_code", F.col("_first.d").alias("po_date"),
+        F.when(no_buyer, F.lit(" ")).otherwise(F.col("_first.n")).alias("buyer"),
     )
     return first_per_key(
         bp.select("item_code", "po_date", "po_number", "buyer"),
