@@ -4,7 +4,9 @@ A publish appends a new ``snapshot_version=<n>`` partition.  Spark's commit
 protocol moves the files into place only when the job commits, so readers
 never see a half-written version, and the version being read by the same
 run (its previous snapshot) is never overwritten.  The current snapshot is
-the highest committed version.
+the highest committed version.  This relies on the default (v1) file output
+committer; on object stores without atomic rename use a committer or table
+format with atomic commits for the same guarantee.
 """
 
 from __future__ import annotations
