@@ -141,6 +141,22 @@ def received(src: Sources, p: RollupParams) -> DataFrame:
     return a.unionByName(b).unionByName(c)
 
 
+def received_per_item(rcvd: DataFrame) -> DataFrame:
+    """P07 and the P13/P14 inputs in one aggregation per item.
+
+    First/last received rounded to the minute (rounding is monotone, so rounding
+    the overall min/max equals taking min/max of the per-source rounded values),
+    whether a store source ('DS', 'SR', 'DR') received the item, and the total
+    received quantity.
+    """
+    return rcvd.groupBy("item_code").agg(
+        to_minute(F.min("first_received")).alias("first_rcvd"),
+        to_minute(F.max("last_received")).alias("last_rcvd"),
+        F.max(F.col("parent").isin("DS", "SR", "DR")).alias("store_received"),
+        F.sum("rcvd_qty").alias("rcvd_qty"),
+    )
+
+
 def last_processed(rcvd: DataFrame) -> DataFrame:
     """Per (item, parent) first/last received, rounded to the minute."""
     return rcvd.groupBy("item_code", "parent").agg(

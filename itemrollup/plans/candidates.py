@@ -46,6 +46,7 @@ def order_notes(src: Sources, ol: DataFrame | None = None) -> DataFrame:
 
 
 def received_dates(last_proc: DataFrame) -> DataFrame:
+    """Per item first/last received from per-(item, source) or per-item rounded dates."""
     return last_proc.groupBy(F.col("item_code").alias("_rcv_item")).agg(
         F.min("first_rcvd").alias("first_received"), F.max("last_rcvd").alias("last_received")
     )
@@ -170,10 +171,13 @@ def apply_transfers(work: DataFrame, transfers: DataFrame) -> DataFrame:
     )
 
 
-def apply_drop_ship_received(work: DataFrame, ship_hist: DataFrame, rcvd: DataFrame) -> DataFrame:
-    """Items with any drop-ship shipment take their store-received quantity as shipped."""
+def apply_drop_ship_received(work: DataFrame, ship_hist: DataFrame, rcvd_items: DataFrame) -> DataFrame:
+    """Items with any drop-ship shipment take their store-received quantity as shipped.
+
+    ``rcvd_items`` is ``activity.received_per_item`` (one row per item).
+    """
     ds = ship_hist.where(F.col("drop_ship") == 1).select("item_code").distinct()
-    rq = rcvd.groupBy("item_code").agg(F.sum("rcvd_qty").alias("_rcvd_qty")).join(ds, "item_code", "left_semi")
+    rq = rcvd_items.select("item_code", F.col("rcvd_qty").alias("_rcvd_qty")).join(ds, "item_code", "left_semi")
     return keyed_update(
         work,
         rq,
@@ -183,12 +187,16 @@ def apply_drop_ship_received(work: DataFrame, ship_hist: DataFrame, rcvd: DataFr
     )
 
 
-def apply_received_status(work: DataFrame, last_proc: DataFrame) -> DataFrame:
-    """Received status and dates, then the never-received statuses."""
-    per_item = last_proc.groupBy("item_code").agg(
-        F.max(F.col("parent").isin("DS", "SR", "DR")).alias("_store_rcvd"),
-        F.max("last_rcvd").alias("_last"),
-        F.min("first_rcvd").alias("_first"),
+def apply_received_status(work: DataFrame, rcvd_items: DataFrame) -> DataFrame:
+    """Received status and dates, then the never-received statuses.
+
+    ``rcvd_items`` is ``activity.received_per_item`` (one row per item).
+    """
+    per_item = rcvd_items.select(
+        "item_code",
+        F.col("store_received").alias("_store_rcvd"),
+        F.col("last_rcvd").alias("_last"),
+        F.col("first_rcvd").alias("_first"),
     )
     w = keyed_update(
         work,

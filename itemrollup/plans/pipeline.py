@@ -67,17 +67,18 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     b = t["received_b"] = stager.cut(activity.received_union_distinct(src, a).select(*activity.RECEIVED_COLUMNS), "received_b")
     c = t["received_c"] = activity.distribution_received(src, p, a.unionByName(b)).select(*activity.RECEIVED_COLUMNS)
     rcvd = t["received"] = stager.cut(a.unionByName(b).unionByName(c), "received")
-    last_proc = t["last_proc"] = activity.last_processed(rcvd)
+    t["last_proc"] = activity.last_processed(rcvd)
+    rcvd_items = t["received_items"] = activity.received_per_item(rcvd)
 
     # 2. candidate items, quantities and status
-    cands = candidates.candidates(src, p, ship_hist, wh_receipts, last_proc, ol)
+    cands = candidates.candidates(src, p, ship_hist, wh_receipts, rcvd_items, ol)
     t["cand_ship"] = candidates.work_rows(cands.where(F.col("_kind") == candidates.SHIPPED))
     t["cand_rcvd"] = candidates.work_rows(cands.where(F.col("_kind") == candidates.RECEIVED))
     work = t["w10"] = candidates.drop_base_inventory(candidates.work_rows(cands), src)
     t["transfers"] = activity.transfer_totals(src, p, sl)
     work = t["w12"] = candidates.apply_transfers(work, t["transfers"])
-    work = t["w13"] = candidates.apply_drop_ship_received(work, ship_hist, rcvd)
-    work = t["w16"] = candidates.apply_received_status(work, last_proc)
+    work = t["w13"] = candidates.apply_drop_ship_received(work, ship_hist, rcvd_items)
+    work = t["w16"] = candidates.apply_received_status(work, rcvd_items)
     work = t["w18"] = stager.cut(candidates.apply_on_hand(work, src), "work_candidates")
 
     # 3. sales
