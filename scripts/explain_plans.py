@@ -12,7 +12,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from itemrollup.plans import SYNTHETIC as P  # noqa: E402
-from itemrollup.plans import activity, lines, sales, summarise  # noqa: E402
+from itemrollup.plans import activity, lines, purchasing, sales, summarise  # noqa: E402
 from itemrollup.session import local_session, new_run_dir  # noqa: E402
 from itemrollup.sources import stage_sources, synthetic_sources  # noqa: E402
 
@@ -46,6 +46,13 @@ def main() -> None:
         ("Order lines joined to headers once (lineage cut input)",
          "The only shuffle join of the order-line fact; every later statement scans the written result.",
          lines.order_lines(src)),
+        ("Deterministic first row per key (first_per_key, used for every multi-row update source)",
+         "A min over a struct (order columns first, then the payload) computed as a partial and a final "
+         "aggregate: no window and no sort of a whole key group. Here the order lines were already "
+         "hash-partitioned by item for the semi join, so neither the (PO, item) pick nor the per-item pick "
+         "adds an exchange; on unpartitioned input the partial aggregate runs before the exchange, so a "
+         "hot key is combined map-side.",
+         purchasing.original_buyer(src, activity.received_per_item(activity.received(src, P)), lines.order_lines(src))),
         ("Vendor returns (P54) without a lines x rows join",
          "Transfer lines are summed per item and multiplied by the item's rollup row count.",
          summarise.vendor_returns(src, summarise.wholesale_totals(src).select("item_number").withColumnRenamed(
