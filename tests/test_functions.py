@@ -80,3 +80,8 @@ def test_number_or_zero_and_po_text(spark):
     df = spark.createDataFrame([(Decimal("5.5"), "000123"), (None, "000123-A"), (None, None)], "m decimal(19,4), po string")
     got = [(r.m, r.p) for r in df.select(number_or_zero("m").alias("m"), numeric_or_left("po", 6).alias("p")).collect()]
     assert got == [(Decimal("5.5000"), "000123"), (Decimal("0.0000"), "000123"), (Decimal("0.0000"), None)]
+
+
+def test_minute_rounding_stays_zone_less(spark):
+    df = spark.createDataFrame([(datetime(2020, 1, 1, 10, 0, 45),)], "t timestamp_ntz")
+    assert df.select(to_minute("t").alias("x")).schema["x"].dataType.simpleString() == "timestamp_ntz"

@@ -129,3 +129,11 @@ def test_report_is_ordered_by_last_received_then_pct_sold(spark):
         if prev.last_received == cur.last_received and prev.pct_sold is not None and cur.pct_sold is not None:
             assert prev.pct_sold >= cur.pct_sold
     assert run(spark, SF_SMALL)["published"].count() >= len(rep)
+
+
+def test_flagship_schema_is_the_report_contract(spark):
+    from itemrollup.plans.contracts import REPORT
+
+    entry = importlib.import_module("__spark_entry__")
+    got = [(f.name, f.dataType.simpleString()) for f in entry.entry(spark).schema.fields]
+    assert got == [(f.name, f.dataType.simpleString()) for f in REPORT.fields]
