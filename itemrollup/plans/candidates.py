@@ -99,8 +99,11 @@ def _candidates(pm: DataFrame, qty: DataFrame, dates: DataFrame, notes: DataFram
 def _shipped_qty(src: Sources, ship_hist: DataFrame) -> DataFrame:
     """Shipped quantity per item, minus items replaced through receiving re-coding (both NOT INs)."""
     ship = ship_hist.groupBy(F.col("item_code").alias("_qty_item")).agg(F.sum("qty_shipped").alias("qty"))
-    ship = not_in(ship, "_qty_item", src.recv_items_created, "new_item_code")
-    ship = not_in(ship, "_qty_item", src.recv_items_created, "item_code")
+    # x NOT IN (A) AND x NOT IN (B) is exactly x NOT IN (A UNION ALL B) in three-valued logic
+    recoded = src.recv_items_created.select(F.col("new_item_code").alias("_code")).unionByName(
+        src.recv_items_created.select(F.col("item_code").alias("_code"))
+    )
+    ship = not_in(ship, "_qty_item", recoded, "_code")
     return ship.withColumn("_kind", F.lit(SHIPPED))
 
 

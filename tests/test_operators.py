@@ -116,3 +116,13 @@ def test_current_and_archive_requires_same_columns(spark):
     assert sorted(tuple(r) for r in current_and_archive(a, b).collect()) == [(1, "x"), (2, "y")]
     with pytest.raises(ValueError):
         current_and_archive(a, spark.createDataFrame([(1,)], "k int"))
+
+
+def test_not_in_two_lists_equals_not_in_their_union(spark):
+    left = ints(spark, [1, 2, 3, None], "k")
+    cases = [([1], [2]), ([1, None], [2]), ([], [2]), ([], []), ([None], [])]
+    for a, b in cases:
+        ra, rb = ints(spark, a, "r"), ints(spark, b, "r")
+        two = not_in(not_in(left, "k", ra, "r"), "k", rb, "r")
+        one = not_in(left, "k", ra.unionByName(rb), "r")
+        assert keys(two) == keys(one), (a, b)
