@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import prepare, table
+from .lang_id import language_id
 from .packing import pack
 from .sharding import shard_documents
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -20,6 +26,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
