@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import prepare, table
 from .lang_id import language_id
 from .packing import pack
+from .quality_rules import quality_rules
+from .quality_trees import quality_classifier
 from .sharding import shard_documents
 
 
@@ -17,6 +19,16 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -27,6 +39,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_quality_classifier": op6_quality_classifier,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
