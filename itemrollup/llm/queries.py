@@ -11,7 +11,14 @@ from .lang_id import language_id
 from .packing import pack
 from .quality_rules import quality_rules
 from .quality_trees import quality_classifier
+from .secret_scan import scan
 from .sharding import shard_documents
+from .token_counts import count_tokens
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return count_tokens(table(spark, sf_dir, "documents"))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +36,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -38,9 +50,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_secret_scan": op7_secret_scan,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
