@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import prepare, table
+from .decontaminate import decontaminate
 from .lang_id import language_id
 from .packing import pack
 from .quality_rules import quality_rules
@@ -26,6 +27,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -52,6 +58,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
+    "op3_decontamination": op3_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_secret_scan": op7_secret_scan,
