@@ -14,6 +14,7 @@ from .quality_rules import quality_rules
 from .quality_trees import quality_classifier
 from .secret_scan import scan
 from .sharding import shard_documents
+from .substring_dedup import dedup_substrings
 from .token_counts import count_tokens
 
 
@@ -32,6 +33,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -59,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_secret_scan": op7_secret_scan,
