@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import prepare, table
 from .decontaminate import decontaminate
 from .lang_id import language_id
+from .near_dups import near_duplicates
 from .packing import pack
 from .quality_rules import quality_rules
 from .quality_trees import quality_classifier
@@ -53,6 +54,11 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_secret_scan": op7_secret_scan,
+    "op8_near_dups": op8_near_dups,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
