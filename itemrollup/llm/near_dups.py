@@ -7,11 +7,19 @@ signature coordinate it keeps the dart of the smallest rank, so two texts agree
 coordinate with the probability of their weighted Jaccard similarity, and the work is the
 number of shingles plus k log k, not their product.
 
-Equal texts are one unit.  Units that share a band of coordinates meet in a bucket.  A bucket
-never emits all its pairs: in every round one unit per bucket is compared with the members of
-other classes and then leaves; links merge classes, and a bucket is done when one class is
-left.  Every comparison is exact (the similarity of the whole shingle sets), and no pair of a
-bucket is skipped but those already in one class.  Rounds go on until all buckets are done.
+Equal texts are one unit.  Units that share a band of coordinates meet in a bucket, and no
+bucket emits all its pairs:
+
+* every unit of a bucket is compared with the bucket's lead, the unit that meets the most others
+  over all buckets, and links merge classes, so
+  a family of copies of any size collapses with one comparison a member and bucket;
+* a bucket that still holds several classes, and is within ``LOCAL_UNITS`` and ``LOCAL_BYTES``,
+  is compared inside one task over an inverted index of its elements; members of its largest
+  class are not compared with each other, and only links leave it;
+* a larger one is split by a second band (then a third, ...), on which its similar pairs agree
+  in many more places still, and goes through the same steps.
+
+Every link is decided by the exact similarity of the whole shingle sets.
 
 Words are runs of digits, letters (A-Z lower-cased) and non-ASCII characters; a text of one to
 four words is one shingle.  Defined cases: null and empty texts are each a class of their
@@ -38,6 +46,7 @@ BANDS, ROWS = 32, 6  # at similarity 0.8 a pair shares no band with probability
 K = BANDS * ROWS
 U64 = np.uint64
 CELLS_AT_ONCE = 1 << 20
+LOCAL_UNITS, LOCAL_BYTES = 4096, 32 << 20  # a bucket that one task compares (larger ones are split)
 _POISSON = np.cumsum([0.36787944117144233, 0.36787944117144233, 0.18393972058572117, 0.06131324019524039, 0.015328310048810098,
                       0.0030656620097620196, 0.00051094366829367, 7.299195261338e-05, 9.12399407667e-06, 1.01377711963e-06, 1.0137771196e-07])
 
@@ -176,32 +185,94 @@ def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(verify, "a bigint, b bigint")
 
 
+def bucket_links(uid: list[int], c: list[int], sets: list[bytes], threshold: float) -> Iterator[tuple[int, int]]:
+    """Links between different classes among a bucket's units, by exact similarity."""
+    if len(set(c)) < 2:
+        return
+    size = np.array([len(x) // 8 for x in sets])
+    all_e = np.frombuffer(b"".join(sets), U64)
+    owner = np.repeat(np.arange(len(uid)), size)
+    order = np.argsort(all_e, kind="stable")
+    posting = owner[order]
+    _, inverse, counts = np.unique(all_e, return_inverse=True, return_counts=True)
+    ends = np.cumsum(counts)
+    of, classes = np.array(c), dict.fromkeys(c)
+    main = max(classes, key=c.count)
+    own = np.concatenate([[0], np.cumsum(size)])
+    for i in np.flatnonzero(of != main):
+        terms = inverse[own[i]:own[i + 1]]
+        n = counts[terms]
+        at = np.repeat(ends[terms] - n, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        common = np.bincount(posting[at], minlength=len(uid))
+        hit = (common >= threshold * (size + size[i] - common)) & (of != of[i])
+        for j in np.flatnonzero(hit):
+            yield min(uid[i], uid[j]), max(uid[i], uid[j])
+
+
+def local_links(members: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) of rows (bucket, uid, c, elements); buckets hold at most LOCAL_UNITS rows and
+    LOCAL_BYTES of elements, so a task holds one such bucket at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows = None, ([], [], [])
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            bucket, uid, c = (batch.column(i).to_pylist() for i in range(3))
+            for r in range(batch.num_rows):
+                if bucket[r] != at:
+                    out += bucket_links(*rows, threshold)
+                    at, rows = bucket[r], ([], [], [])
+                rows[0].append(uid[r]), rows[1].append(c[r]), rows[2].append(batch.column(3)[r].as_py())
+            yield _pairs(out)
+        yield _pairs(list(bucket_links(*rows, threshold)))
+
+    dealt = members.select("bucket", "uid", "c", "elements").repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _pairs(of: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in of], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
 def link_units(docs: DataFrame, units: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(labels (uid, root) of the units in any link, links (a, b)) over all buckets."""
-    spark = docs.sparkSession
-    members = units.select("uid", F.explode("keys").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("bucket")
-    members = cut(members.join(shared, "bucket", "left_semi"), "buckets")
+    """(labels (node, root) of the units in any link, links (a, b)) over all buckets."""
+    members = units.select("uid", F.explode("keys").alias("bucket")).withColumn("used", F.array("bucket"))
+    members, sets, links = shared(members), None, None
     sets = element_sets(docs, units.join(members.select("uid").distinct(), "uid", "left_semi"))
-    links = spark.createDataFrame([], "a bigint, b bigint")
-    tested = spark.createDataFrame([], "a bigint, b bigint")
-    labels = spark.createDataFrame([], "node bigint, root bigint")
     while True:
-        known = members.join(labels, members["uid"] == labels["node"], "left").select("bucket", "uid", F.coalesce("root", "uid").alias("c"))
-        sizes = known.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("uid"))
-        # the next unit to compare comes from the bucket's smallest class
-        lead = sizes.groupBy("bucket").agg(F.min(F.struct("n", "c", "uid")).alias("m"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
-        lead = cut(lead.select("bucket", F.col("m.uid").alias("a"), F.col("m.c").alias("ca")), "leads")
-        if lead.isEmpty():
-            return labels, links
-        rest = cut(known.join(lead, "bucket").where("uid <> a"), "rest")
-        ordered = rest.where("c <> ca").select(F.least("a", "uid").alias("a"), F.greatest("a", "uid").alias("b")).distinct()
-        pairs = cut(ordered.join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = cut(similar(pairs, sets, threshold), "verified")
-        tested = tested.unionByName(pairs)
-        links = links.unionByName(found)
-        labels = cut(components(links), "labels")
-        members = rest.select("bucket", "uid")
+        # the lead is the unit that meets the most others over all its buckets: the original of a
+        # family, which its copies are nearer to than to each other
+        sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+        meets = members.join(sizes, "bucket").groupBy("uid").agg(F.sum("n").alias("met"))
+        weighed = cut(members.join(meets, "uid"), "weighed")
+        lead = weighed.groupBy("bucket").agg(F.max(F.struct("met", "uid")).alias("m")).select("bucket", F.col("m.uid").alias("lead"))
+        pairs = weighed.join(lead, "bucket").where("uid <> lead").select(F.least("uid", "lead").alias("a"), F.greatest("uid", "lead").alias("b")).distinct()
+        found = cut(similar(pairs, sets, threshold), "linked")
+        links = found if links is None else links.unionByName(found)
+        labels = components(links)
+
+        known = members.join(labels, members["uid"] == labels["node"], "left").select("bucket", "used", "uid", F.coalesce("root", "uid").alias("c"))
+        known = cut(known, "classed")
+        weight = F.sum("bytes").alias("bytes")
+        open_ = known.join(sets.select("uid", F.octet_length("elements").cast("long").alias("bytes")), "uid")
+        open_ = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), weight, F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+        fits = ((F.col("n") <= LOCAL_UNITS) & (F.col("bytes") <= LOCAL_BYTES)).alias("fits")
+        known = cut(known.join(open_.select("bucket", fits), "bucket"), "open")
+        links = links.unionByName(cut(local_links(known.where("fits").join(sets, "uid"), threshold), "linked"))
+        labels = components(links)
+
+        large = known.where("not fits")
+        if large.isEmpty():
+            return labels, links.distinct()
+        parts = large.join(units.select("uid", "keys"), "uid").select("uid", "used", F.explode(F.array_except("keys", "used")).alias("key"))
+        parts = parts.select("uid", F.array_sort(F.array_append("used", F.col("key"))).alias("used"))
+        members = shared(parts.select("uid", F.xxhash64("used").alias("bucket"), "used").distinct())
+
+
+def shared(members: DataFrame) -> DataFrame:
+    """Stored (bucket, uid, used) of the buckets with more than one unit."""
+    more = members.groupBy("bucket").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("bucket")
+    return cut(members.join(more, "bucket", "left_semi").select("bucket", "uid", "used"), "buckets")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
