@@ -4,21 +4,68 @@
 returns a DataFrame; ``run`` writes each result as Parquet in the shared staging folder and
 rereads it as the next stage's documents.  All stages but the last return the columns of
 documents.
+
+Defined cases: null and blank texts fail the quality rules; repeated rows fall to the
+near-duplicate stage; an empty table passes through empty; extra columns are kept to the last
+stage, under whatever name.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from itemrollup.llm.common import cut, table
+from itemrollup.llm.common import cut, prepare, table
+from itemrollup.llm.decontaminate import drop_contaminated
+from itemrollup.llm.labelled import labelled_texts
+from itemrollup.llm.near_dups import drop_near_duplicates
 from itemrollup.llm.packing import pack
+from itemrollup.llm.quality_rules import SAMPLE_PER_CLASS, keep_good, train
+from itemrollup.llm.secret_scan import redact
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the trained verdict reject go."""
+    prepare(spark)
+    labels = table(spark, sf_dir, "labels")
+    return keep_good(docs, train(labelled_texts(docs, labels, "quality", SAMPLE_PER_CLASS)))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of exact and near copies stays."""
+    prepare(spark)
+    return drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark window go."""
+    prepare(spark)
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the text; n_chars follows the masked text."""
+    prepare(spark)
+    out = redact(docs)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.coalesce(F.char_length("text").cast(kind), F.col("n_chars")))
+    return out
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of the remaining texts in optimal length buckets and batches."""
+    prepare(spark)
     return pack(docs)
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("quality rules", quality),
+    ("near-duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("packing", packing),
+]
 
 # Trained and hashed stages have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
@@ -29,5 +76,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = cut(docs, f"pipeline-{name}")
+            docs = cut(docs, "pipeline-" + name.replace(" ", "-"))
     return docs

@@ -248,3 +248,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
         F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"),
         F.coalesce("items_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("items_sha256"),
         F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"), F.coalesce("n_near_items", zero).alias("n_near_items"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without an exact benchmark window, with all columns unchanged."""
+    row = F.xxhash64(F.col(key), F.col(text))  # rows with equal key and text share their fate
+    found = decontaminate(docs.select(row.alias("doc_id"), F.col(text).alias("text")), benchmark)
+    bad = found.where("contaminated").select(F.col("doc_id").alias("__bad")).distinct()
+    return docs.withColumn("__row", row).join(bad, F.col("__row") == F.col("__bad"), "left_anti").select(*docs.columns)

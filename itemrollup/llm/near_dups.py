@@ -275,20 +275,35 @@ def shared(members: DataFrame) -> DataFrame:
     return cut(members.join(more, "bucket", "left_semi").select("bucket", "uid", "used"), "buckets")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a document: doc_id, class_id, n_links (of its text to different texts) and first
-    (its text is the class's kept one)."""
-    docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+def text_classes(docs: DataFrame, threshold: float) -> DataFrame:
+    """Per distinct non-empty text of (doc_id, text): h1, h2, own (its smallest doc_id), class_id,
+    n_links (to different texts) and kept (it is the class's one kept text)."""
     units = units_of(docs)
     labels, links = link_units(docs, units, threshold)
     ends = links.select(F.explode(F.array("a", "b")).alias("uid")).groupBy("uid").agg(F.count(F.lit(1)).alias("n_links"))
     named = units.select("uid", "h1", "h2", "doc_id").join(labels, F.col("uid") == labels["node"], "left").select(
         "uid", "h1", "h2", "doc_id", F.coalesce("root", "uid").alias("root")).join(ends, "uid", "left")
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("uid").alias("uid"))
-    lead = named.groupBy("root").agg(F.min(order).alias("m")).select("root", F.col("m.id").alias("class_id"), F.col("m.uid").alias("kept"))
-    classes = named.join(lead, "root").select("h1", "h2", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("uid") == F.col("kept")).alias("kept"))
+    lead = named.groupBy("root").agg(F.min(order).alias("m")).select("root", F.col("m.id").alias("class_id"), F.col("m.uid").alias("lead"))
+    return named.join(lead, "root").select("h1", "h2", F.col("doc_id").alias("own"), "class_id",
+                                           F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), (F.col("uid") == F.col("lead")).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row a document: doc_id, class_id and n_links (of its text to different texts)."""
+    docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    classes = text_classes(docs, threshold).select("h1", "h2", "class_id", "n_links")
     rows = docs.select("doc_id", *_identity(), (F.coalesce(F.octet_length("text"), F.lit(0)) == 0).alias("blank"))
-    out = rows.where("not blank").join(classes, ["h1", "h2"]).select("doc_id", "class_id", "n_links", "h1", "h2", (F.col("kept") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("first"))
-    zero = F.lit(0).cast("long")
-    alone = rows.where("blank").select("doc_id", F.col("doc_id").alias("class_id"), zero.alias("n_links"), "h1", "h2", F.lit(True).alias("first"))
-    return out.unionByName(alone)
+    out = rows.where("not blank").join(classes, ["h1", "h2"]).select("doc_id", "class_id", "n_links")
+    return out.unionByName(rows.where("blank").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+
+
+def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of every class stays (smallest doc_id), with all columns; null and empty texts stay."""
+    kept = text_classes(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), threshold).where("kept")
+    kept = kept.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.col("own").alias("__own"))
+    full = F.octet_length(F.col(text)) > 0
+    rows = docs.where(full).withColumns({"__h1": F.xxhash64(text), "__h2": F.xxhash64(text, F.lit(1))})
+    rows = rows.join(kept, ["__h1", "__h2"]).where(F.col(key).eqNullSafe(F.col("__own")))
+    one = rows.dropDuplicates(["__h1", "__h2"]).select(*docs.columns)  # repeated rows
+    return one.unionByName(docs.where(~F.coalesce(full, F.lit(False))))

@@ -155,6 +155,22 @@ def judge(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, ke
     return map_blocks(plain, schema, score, text=text)
 
 
+def keep_good(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The rows that the rules and the model keep, with all columns of ``docs`` unchanged."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
+    names = docs.columns
+
+    def choose(batch, buf, offs):
+        s = base_counts(buf, offs)
+        good = ~((s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > MAX_REPEAT_PERCENT * s["n_words"]))
+        if sent.value is not None:
+            good &= sent.value.probabilities(buf, offs, s["_words"], s["_hashes"], s["_doc"]) >= threshold
+        kept = pa.array(good)
+        return {c: batch.column(i).filter(kept) for i, c in enumerate(names)}
+
+    return map_blocks(docs, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), choose, text=text)
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Train on at most ``per_class`` labelled rows of each class, then judge every row."""
     return judge(docs, train(labelled_texts(docs, labels, "quality", per_class)), keep=keep)
