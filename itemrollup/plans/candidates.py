@@ -218,17 +218,15 @@ def apply_received_status(work: DataFrame, rcvd_items: DataFrame) -> DataFrame:
     return w.withColumn("parent", F.when(F.coalesce(srpr, F.lit(False)), F.lit("SRPR")).otherwise(F.col("parent")))
 
 
-def on_hand(src: Sources, work: DataFrame) -> DataFrame:
-    """Stock on hand per work item."""
-    per_item = src.product_inventory.groupBy("item_code").agg(
+def on_hand(src: Sources) -> DataFrame:
+    """Stock on hand per item (the keyed update drops items without work rows)."""
+    return src.product_inventory.groupBy("item_code").agg(
         F.sum(F.coalesce(F.col("quantity_on_hand"), F.lit(0))).alias("_on_hand")
     )
-    return per_item.join(work.select("item_code").distinct(), "item_code", "left_semi")
-
 
 def apply_on_hand(work: DataFrame, src: Sources) -> DataFrame:
     """On-hand update, then NULL -> 0 for transfers and on hand."""
-    w = keyed_update(work, on_hand(src, work), ["item_code"], {"on_hand": F.col("_on_hand")})
+    w = keyed_update(work, on_hand(src), ["item_code"], {"on_hand": F.col("_on_hand")})
     return w.withColumns({
         "qty_trans": F.coalesce(F.col("qty_trans"), F.lit(0).cast("bigint")),
         "on_hand": F.coalesce(F.col("on_hand"), F.lit(0).cast("bigint")),

@@ -42,6 +42,8 @@ class RollupParams:
     start_date: datetime = DEFAULT_START
     generic_item_code: str = GENERIC_CROSS_STORE_ITEM
     report_cutoff: datetime = DEFAULT_REPORT_CUTOFF
+    # digits of a PO number; receipts and shipments carry it with a suffix or prefix
+    po_width: int = 6
 
     @property
     def end_date(self) -> datetime:
@@ -73,4 +75,5 @@ SYNTHETIC = RollupParams(
     start_date=datetime(1995, 1, 1),
     generic_item_code="00000000000000000001",
     report_cutoff=datetime(1999, 1, 1),
+    po_width=18,
 )

@@ -30,30 +30,30 @@ def reorder_items(src: Sources, prior: DataFrame, ol: DataFrame | None = None) -
     return od.join(pm, "item_code", "left_semi").select("item_code").distinct()
 
 
-def _store_receipt_pos(header: DataFrame, line: DataFrame, items: DataFrame, oh: DataFrame) -> DataFrame:
+def _store_receipt_pos(header: DataFrame, line: DataFrame, items: DataFrame, oh: DataFrame, width: int) -> DataFrame:
     h = header.where(F.col("shipment_type").isin("W", "R")).select(
-        "batch_id", F.right(F.col("shipment_no"), F.lit(6)).alias("po_number")
+        "batch_id", F.right(F.col("shipment_no"), F.lit(width)).alias("po_number")
     )
     j = line.select("batch_id", "item_code").join(items, "item_code", "left_semi").join(h, "batch_id")
     return j.join(oh, "po_number", "left_semi").select("item_code", "po_number")
 
 
-def _warehouse_receipt_pos(receipts: DataFrame, items: DataFrame) -> DataFrame:
+def _warehouse_receipt_pos(receipts: DataFrame, items: DataFrame, width: int) -> DataFrame:
     r = receipts.where(F.col("purchase_order_id").isNotNull()).select(
-        item_key("item").alias("item_code"), numeric_or_left("purchase_order_id", 6).alias("po_number")
+        item_key("item").alias("item_code"), numeric_or_left("purchase_order_id", width).alias("po_number")
     )
     return r.join(items, "item_code", "left_semi")
 
 
-def reorder_received(src: Sources, items: DataFrame) -> DataFrame:
+def reorder_received(src: Sources, items: DataFrame, po_width: int = 6) -> DataFrame:
     """(item, PO) pairs already received for the reorder items."""
     oh = src.order_header.select("po_number")
     store = current_and_archive(
-        _store_receipt_pos(src.sr_header, src.sr_line, items, oh),
-        _store_receipt_pos(src.sr_header_historical, src.sr_line_historical, items, oh),
+        _store_receipt_pos(src.sr_header, src.sr_line, items, oh, po_width),
+        _store_receipt_pos(src.sr_header_historical, src.sr_line_historical, items, oh, po_width),
     )
     warehouse = current_and_archive(
-        _warehouse_receipt_pos(src.receipt_current, items), _warehouse_receipt_pos(src.receipt_archive, items)
+        _warehouse_receipt_pos(src.receipt_current, items, po_width), _warehouse_receipt_pos(src.receipt_archive, items, po_width)
     )
     return store.unionByName(warehouse).distinct()
 

@@ -2,7 +2,7 @@
 
 Stages follow the original statement order wherever a later statement reads
 what an earlier one wrote.  Every stage is a lazy DataFrame; the ``Stager``
-cuts the lineage at 13 points by writing the frame to the shared staging
+cuts the lineage at 16 points by writing the frame to the shared staging
 folder (``spark.checkpoint.dir``) and reading it back.  That bounds plan size
 (one plan of all 60 statements is too large for the optimizer), lets each cut
 be reused by all later readers without recomputation, and lets a failed
@@ -62,7 +62,7 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
 
     # 1. activity summaries
     ship_hist = t["ship_hist"] = stager.cut(activity.shipment_history(src, p, sl), "ship_hist")
-    wh_receipts = t["ils_rcv"] = activity.warehouse_receipts(src, ship_hist)
+    wh_receipts = t["warehouse_receipts"] = stager.cut(activity.warehouse_receipts(src, ship_hist), "warehouse_receipts")
     a = t["received_a"] = stager.cut(activity.received_sources(src).select(*activity.RECEIVED_COLUMNS), "received_a")
     b = t["received_b"] = stager.cut(activity.received_union_distinct(src, a).select(*activity.RECEIVED_COLUMNS), "received_b")
     c = t["received_c"] = activity.distribution_received(src, p, a.unionByName(b)).select(*activity.RECEIVED_COLUMNS)
@@ -86,12 +86,12 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     t["sales_data"] = sales.sales_rekeyed_totals(src, p, upc, items=work)
     work = t["w23"] = sales.apply_sales(work, t["sales_data"])
     online = t["online"] = stager.cut(sales.online_sales(src, upc, p.start_date, p.end_date), "online_sales")
-    cross = t["bookworm"] = sales.cross_store_sales(src, p, items=work)
+    cross = t["cross_store"] = sales.cross_store_sales(src, p, items=work)
     work = t["w26"] = stager.cut(sales.apply_channel_sales(work, online, cross), "work_sales")
 
     # 4. reorders (through the previous snapshot) and open orders
-    items = t["tbri_items"] = pending.reorder_items(src, prior, ol)
-    rcvd_pos = t["tbri_rcvd"] = pending.reorder_received(src, items)
+    items = t["reorder_items"] = stager.cut(pending.reorder_items(src, prior, ol), "reorder_items")
+    rcvd_pos = t["reorder_received"] = pending.reorder_received(src, items, p.po_width)
     tbri = t["pend_tbri"] = pending.pending_reorders(src, p, items, rcvd_pos, ol)
     t["pend_pend"] = pending.pending_orders(src, p, work, tbri, ol, sl)
     pend_rows = t["pending"] = stager.cut(tbri.unionByName(t["pend_pend"]), "pending")
@@ -112,13 +112,13 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     # 6. alias re-key, rollup, returns, wholesale, status
     work = t["w51"] = summarise.rekey_aliases(work, upc, src)
     rollup = t["rollup0"] = stager.cut(summarise.item_rollup(work, upc), "rollup")
-    returns = t["bs_rtn"] = summarise.vendor_returns(src, rollup)
+    returns = t["vendor_returns"] = summarise.vendor_returns(src, rollup)
     rollup = t["rollup1"] = purchasing.drop_supplies(rollup, with_ecom=False)
-    txb = t["txb"] = summarise.wholesale_totals(src, rollup)
-    rollup = t["rollup2"] = summarise.status_reset(rollup, src, txb)
+    wholesale = t["wholesale"] = stager.cut(summarise.wholesale_totals(src, rollup), "wholesale")
+    rollup = t["rollup2"] = summarise.status_reset(rollup, src, wholesale)
 
     # 7. publish
-    t["published"] = publish.published_rollup(rollup, returns, txb, online, src, ol)
+    t["published"] = publish.published_rollup(rollup, returns, wholesale, online, src, ol)
     return t
 
 

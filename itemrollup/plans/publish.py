@@ -40,7 +40,7 @@ def published_rollup(
     pub = j.select(
         *rollup.columns,
         F.coalesce("total_returns", F.lit(0)).alias("qty_rtv"),
-        F.coalesce("quantity", F.lit(0)).cast("int").cast("bigint").alias("txb_qty"),
+        F.coalesce("quantity", F.lit(0)).cast("bigint").alias("txb_qty"),
         F.coalesce("xtndprce", F.lit(0)).cast(MONEY).alias("txb_amt"),
         F.coalesce("_o_qty", F.lit(0)).alias("online_qty_sold"),
         F.col("_o_price").alias("selling_price"),

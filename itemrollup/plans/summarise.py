@@ -118,7 +118,7 @@ def status_reset(rollup: DataFrame, src: Sources, txb: DataFrame) -> DataFrame:
     """P57: 'RCVD' -> '' for items logged out of stock and not available, or sold wholesale."""
     oos = src.oos_item.select(item_key("item").alias("item_code"))
     oos = not_in(oos, "item_code", src.available, "item_code")
-    sold = txb.where(F.coalesce(F.col("quantity"), F.lit(0)).cast("int") > 0).select(
+    sold = txb.where(F.coalesce(F.col("quantity"), F.lit(0)) > 0).select(
         trimmed_item_key("item_number").alias("item_code")
     )
     r = existence_flag(rollup, oos, ["item_code"], "_oos")

@@ -23,16 +23,16 @@ RECOMMENDED_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, max_partitions: int = 400_000) -> dict[str, str]:
     """Settings for a cluster run sized to the input volume.
 
     The widest shuffles (fact lines after projection and filters) carry about a
-    quarter of the input, so shuffle partitions ~ input / (4 x 256 MB), capped at
-    100k to bound map-status metadata.  AQE coalesces small partitions and splits
+    quarter of the input, so shuffle partitions ~ input / (4 x 256 MB), at least
+    200, and at most ``max_partitions`` (map-status metadata grows with them).  AQE coalesces small partitions and splits
     skewed ones: a partition 5x the median and over 256 MB is split, so one hot
     item, PO or source cannot pin a third of the data to one task.
     """
-    partitions = min(100_000, max(200, input_bytes // (4 * target_partition_bytes)))
+    partitions = min(max_partitions, max(200, input_bytes // (4 * target_partition_bytes)))
     conf = dict(RECOMMENDED_CONF)
     conf.update({
         "spark.sql.shuffle.partitions": str(partitions),
@@ -65,17 +65,18 @@ def staging_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and snapshots.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a checkpoint dir already set on
-    the context).  Only when neither is set -- a local test session -- a fresh
-    temporary folder is created and registered as the checkpoint dir.
+    the context).  When neither is set, a ``local`` master -- a test session -- gets a
+    temporary folder; any other master is refused, as its executors share no such folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="itemrollup-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
-        spark.conf.set("spark.checkpoint.dir", root)
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="itemrollup-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

@@ -1,12 +1,10 @@
 """Versioned snapshots of the published rollup (replace-all publish + previous-snapshot read).
 
-A publish appends a new ``snapshot_version=<n>`` partition.  Spark's commit
-protocol moves the files into place only when the job commits, so readers
-never see a half-written version, and the version being read by the same
-run (its previous snapshot) is never overwritten.  The current snapshot is
-the highest committed version.  This relies on the default (v1) file output
-committer; on object stores without atomic rename use a committer or table
-format with atomic commits for the same guarantee.
+Every version is a folder of its own, ``snapshot_version=<n>``, written once.  Its switch is
+the ``_SUCCESS`` marker that the job commit writes last: a version without it is not visible,
+so a reader sees whole versions only, also where a committer moves files one by one.  The
+current snapshot is the highest version with the marker; finding it lists folders and opens
+no data file.
 """
 
 from __future__ import annotations
@@ -14,31 +12,59 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 VERSION = "snapshot_version"
 
 
+def _listed(spark: SparkSession, root: str) -> tuple[list[int], list[int], list[str]] | None:
+    """(committed versions, unfinished versions, other visible names) of a root; None if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path(root)):
+        return None
+    done, open_, other = [], [], []
+    for status in fs.listStatus(path(root)):
+        name = status.getPath().getName()
+        key, _, value = name.partition("=")
+        if status.isDirectory() and key == VERSION and value.lstrip("-").isdigit():
+            (done if fs.exists(path(status.getPath(), "_SUCCESS")) else open_).append(int(value))
+        elif not name.startswith(("_", ".")):
+            other.append(name)
+    return done, open_, other
+
+
 def publish_snapshot(df: DataFrame, root: str, version: int | None = None) -> int:
-    """Write ``df`` as a new immutable version under ``root``; returns the version number."""
+    """Write ``df`` as a new immutable version under ``root``; returns the version number.
+
+    An existing version, finished or not, is never written again (ValueError).
+    """
     version = int(version if version is not None else time.time() * 1000)
-    df.withColumn(VERSION, F.lit(version).cast("bigint")).write.mode("append").partitionBy(VERSION).parquet(root)
+    have = _listed(df.sparkSession, root)
+    if have and version in have[0] + have[1]:
+        raise ValueError(f"snapshot version {version} exists already under {root}")
+    df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{VERSION}={version}")
     return version
 
 
 def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
-    """The given (default: latest) version, or ``None`` when nothing was published yet."""
-    try:
-        all_versions = spark.read.parquet(root)
-    except AnalysisException:
+    """The given (default: latest) version, or ``None`` when nothing was published yet.
+
+    A root that holds something else, but no version, is an error and not a first run.
+    """
+    have = _listed(spark, root)
+    if have is None:
+        return None
+    done, open_, other = have
+    if version is not None and version not in done:
+        raise ValueError(f"no published snapshot version {version} under {root}")
+    if not done:
+        if other:
+            raise ValueError(f"{root} holds no snapshot but {sorted(other)[:5]}")
         return None
-    if version is None:
-        latest = all_versions.select(F.max(VERSION)).scalar()
-        return all_versions.where(F.col(VERSION) == latest).drop(VERSION)
-    return all_versions.where(F.col(VERSION) == F.lit(version)).drop(VERSION)
+    return spark.read.parquet(f"{root.rstrip('/')}/{VERSION}={max(done) if version is None else version}")
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame:
-    """Published versions (distinct partition values)."""
-    return spark.read.parquet(root).select(VERSION).distinct()
+    """Published versions, one row each."""
+    have = _listed(spark, root)
+    return spark.createDataFrame([(v,) for v in sorted(have[0])] if have else [], f"{VERSION} bigint")

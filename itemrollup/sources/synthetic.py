@@ -17,8 +17,10 @@ _P_NEXT = "right(repeat('0',20) || cast((p_partkey + 1) + case when (p_partkey +
 _P_RAW = "cast(p_partkey + case when p_partkey % 50 = 7 then 20000000 else 0 end as string)"
 _LOC_CUST = "'000' || right('00' || cast(o_custkey % 25 as string), 2)"
 _TO_LOC = "case o_orderkey % 25 when 3 then '00300' when 4 then '00900' else '000' || right('00' || cast(o_orderkey % 25 as string), 2) end"
-_PO_L = "right(repeat('0',6) || cast(l_orderkey as string), 6)"
-_PO_O = "right(repeat('0',6) || cast(o_orderkey as string), 6)"
+# Document numbers hold the whole order key (PO_WIDTH digits): no two orders share one at any scale.
+PO_WIDTH = 18
+_PO_L = f"right(repeat('0',{PO_WIDTH}) || cast(l_orderkey as string), {PO_WIDTH})"
+_PO_O = f"right(repeat('0',{PO_WIDTH}) || cast(o_orderkey as string), {PO_WIDTH})"
 
 _RECEIPT = (
     f"select {_PK_RAW} item, case when l_suppkey % 9 = 0 then 'SUP' else 'CDC' end company, cast(l_quantity as int) total_qty, l_shipdate receipt_date, "
@@ -27,7 +29,7 @@ _RECEIPT = (
 )
 _SR_HEADER = (
     "select o_orderkey batch_id, case o_custkey % 3 when 0 then 'W' when 1 then 'R' else 'X' end shipment_type, "
-    "'SN' || right(repeat('0',6) || cast(o_orderkey as string), 6) shipment_no from {orders} where o_orderdate %s timestamp '1999-01-01 00:00:00'"
+    f"'SN' || {_PO_O} shipment_no from {{orders}} where o_orderdate %s timestamp '1999-01-01 00:00:00'"
 )
 _SR_LINE = (
     f"select l_orderkey batch_id, {_PK} item_code, l_shipdate process_date, cast(l_quantity as int) qty "
@@ -50,7 +52,7 @@ VIEWS: dict[str, str] = {
         "case when p_partkey % 3 = 0 then '' else '978' || right(repeat('0',10) || cast(p_partkey as string), 10) end isbn, p_type product_type, p_brand section_code, "
         "case when p_partkey % 11 = 0 then '' else p_name end title, p_name || ' desc' description, cast(cast(p_retailprice as decimal(19,4)) * 0.6 as decimal(19,4)) cost, "
         "cast(p_retailprice as decimal(19,4)) price, case when p_partkey % 13 = 0 then null else cast(p_retailprice as decimal(19,4)) end mfg_price, "
-        "case when p_size % 2 = 0 then 'Y' else 'N' end reorderable, right(repeat('0',6) || cast(p_partkey as string), 6) last_purchase_order, "
+        "case when p_size % 2 = 0 then 'Y' else 'N' end reorderable, right(repeat('0',18) || cast(p_partkey as string), 18) last_purchase_order, "
         "case when p_size < 25 then timestamp '1996-01-01 00:00:00' else timestamp '2005-01-01 00:00:00' end create_date, "
         "case when p_partkey % 40 = 1 then 'UPC' || cast(p_partkey - 1 as string) else '' end item_alias, case when p_type = 'PROMO' then 'TTB' else 'GEN' end user_class from {part}"
     ),

@@ -15,9 +15,7 @@ def spark():
 
     s = local_session(cores=4, shuffle_partitions=4, app="itemrollup-tests")
     if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="itemrollup-test-ckpt-")
-        s.sparkContext.setCheckpointDir(d)
-        s.conf.set("spark.checkpoint.dir", d)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="itemrollup-test-ckpt-"))
     yield s
     s.stop()
 

@@ -55,6 +55,12 @@ def duck(sf_dir):
     return con
 
 
+def registered():
+    from itemrollup.queries import QUERIES
+
+    return QUERIES
+
+
 def compare(spark, sf_dir, names=None):
     from itemrollup.queries import QUERIES
 
