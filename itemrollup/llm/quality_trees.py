@@ -89,12 +89,12 @@ def fit(x: np.ndarray, y: np.ndarray, prior: float, trees: int = 80, depth: int
 
     Rows are weighted so that the two sampled classes stand for their shares.
     """
-    weight = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9)) if 0 < y.mean() < 1 else np.ones(len(y))
     base = float(np.log(prior / (1 - prior)))
     edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS)[1:-1]).astype(np.float32)) for c in x.T] if len(x) else []
     if not len(x) or y.min() == y.max():
         one = np.zeros(1)
         return Forest(base, np.zeros(0, np.int64), one.astype(int), one, one.astype(int), one, depth)
+    weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
     codes = np.column_stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)])
     z = np.full(len(y), base)
     roots, feature, threshold, left, value = [], [], [], [], []
