@@ -114,8 +114,8 @@ def training_rows(docs: DataFrame, eligible, n: int, text: str = "text", lang: s
     return out
 
 
-def train(rows: list, dim: int = 12, epochs: int = 8, rate: float = 2.0, batch: int = 32, precision: float = 0.99, seed: int = 5) -> Model | None:
-    """SGD on the softmax loss; then temperature and rejection threshold on left-out rows."""
+def train(rows: list, dim: int = 12, epochs: int = 8, steps: int = 600, rate: float = 2.0, batch: int = 32, precision: float = 0.99, seed: int = 5) -> Model | None:
+    """SGD on the softmax loss (``epochs`` passes, and at least ``steps`` batches); then temperature and rejection threshold on left-out rows."""
     labels = sorted({r[0] for r in rows})
     if not labels:
         return None
@@ -139,6 +139,7 @@ def train(rows: list, dim: int = 12, epochs: int = 8, rate: float = 2.0, batch:
         p = np.exp(z - z.max(axis=1, keepdims=True))
         return p / p.sum(axis=1, keepdims=True)
 
+    epochs = max(epochs, -(-steps * batch // max(1, len(order))))
     for epoch in range(epochs):
         lr = rate * (1 - epoch / epochs)
         seen = rng.permutation(order)
