@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType
 
 # Money is a fixed-point amount with four decimals; report ratios use two.
+ASSORTMENT_FROM = "19999999"  # fixed value: assortment codes have a suffix above it
 MONEY = DecimalType(19, 4)
 RATIO = DecimalType(12, 2)
 
@@ -103,12 +104,12 @@ def initials(name: str | Column) -> Column:
 
 def assortment(item_code: str | Column) -> Column:
     """Assortment items carry a code whose last 8 characters sort above '19999999'."""
-    return F.right(col(item_code), F.lit(8)) > F.lit("19999999")
+    return F.right(col(item_code), F.lit(8)) > F.lit(ASSORTMENT_FROM)
 
 
 def title_item(item_code: str | Column) -> Column:
     """Mirror of ``assortment`` with a strict '<' (a suffix of exactly '19999999' is neither)."""
-    return F.right(col(item_code), F.lit(8)) < F.lit("19999999")
+    return F.right(col(item_code), F.lit(8)) < F.lit(ASSORTMENT_FROM)
 
 
 def ymd(c: str | Column) -> Column:

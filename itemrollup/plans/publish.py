@@ -28,11 +28,11 @@ from .params import AVAILABLE_COMPANY
 
 
 def published_rollup(
-    rollup: DataFrame, returns: DataFrame, txb: DataFrame, online: DataFrame, src: Sources, ol: DataFrame | None = None
+    rollup: DataFrame, returns: DataFrame, wholesale: DataFrame, online: DataFrame, src: Sources, ol: DataFrame | None = None
 ) -> DataFrame:
     """Add returns, wholesale and online columns, fill blank notes, compute sell-through."""
     r = returns.select(F.col("item_code").alias("_r_item"), "total_returns")
-    t = txb.select(trimmed_item_key("item_number").alias("_t_item"), "quantity", "xtndprce")
+    t = wholesale.select(trimmed_item_key("item_number").alias("_t_item"), "quantity", "extended_price")
     o = online.select(F.col("item_code").alias("_o_item"), F.col("online_qty_sold").alias("_o_qty"), F.col("selling_price").alias("_o_price"))
     j = rollup.join(r, rollup["item_code"] == r["_r_item"], "left")
     j = j.join(t, j["item_code"] == t["_t_item"], "left")
@@ -41,7 +41,7 @@ def published_rollup(
         *rollup.columns,
         F.coalesce("total_returns", F.lit(0)).alias("qty_rtv"),
         F.coalesce("quantity", F.lit(0)).cast("bigint").alias("txb_qty"),
-        F.coalesce("xtndprce", F.lit(0)).cast(MONEY).alias("txb_amt"),
+        F.coalesce("extended_price", F.lit(0)).cast(MONEY).alias("txb_amt"),
         F.coalesce("_o_qty", F.lit(0)).alias("online_qty_sold"),
         F.col("_o_price").alias("selling_price"),
     )

@@ -136,35 +136,35 @@ def cross_store_sales(src: Sources, p: RollupParams, items: DataFrame | None = N
 
     The sales window is half-open here ([start, end)).
     """
-    shh = src.sales_header.where((F.col("status") == "A") & (F.col("xaction_type") == "S")).select(
+    heads = src.sales_header.where((F.col("status") == "A") & (F.col("xaction_type") == "S")).select(
         "location_id", "business_date", "sales_xaction_id"
     )
-    sih = src.sales_item.where(
+    rung = src.sales_item.where(
         (F.col("item_code") == p.generic_item_code)
         & (F.col("business_date") >= ts_lit(p.start_date))
         & (F.col("business_date") < ts_lit(p.end_date))
     ).select("location_id", "business_date", "sales_xaction_id", "line_number", "is_return", "quantity")
-    lines = sih.join(shh, ["location_id", "business_date", "sales_xaction_id"])
-    bw = src.cross_order.select(
-        F.col("location_id").alias("_bw_loc"),
-        F.concat(F.col("till_number"), item_key("transaction_number", 9)).alias("_bw_xaction"),
-        F.col("detail_number").alias("_bw_line"),
-        item_key("sku").alias("_bw_item"),
-        F.col("price").alias("_bw_price"),
+    lines = rung.join(heads, ["location_id", "business_date", "sales_xaction_id"])
+    named = src.cross_order.select(
+        F.col("location_id").alias("_ord_loc"),
+        F.concat(F.col("till_number"), item_key("transaction_number", 9)).alias("_ord_xaction"),
+        F.col("detail_number").alias("_ord_line"),
+        item_key("sku").alias("_ord_item"),
+        F.col("price").alias("_ord_price"),
     )
     j = lines.join(
-        bw,
-        (lines["location_id"] == bw["_bw_loc"])
-        & (lines["sales_xaction_id"] == bw["_bw_xaction"])
-        & (lines["line_number"] == bw["_bw_line"]),
+        named,
+        (lines["location_id"] == named["_ord_loc"])
+        & (lines["sales_xaction_id"] == named["_ord_xaction"])
+        & (lines["line_number"] == named["_ord_line"]),
     )
     pm = src.product.select(F.col("item_code"))
-    j = j.join(pm, j["_bw_item"] == pm["item_code"])
+    j = j.join(pm, j["_ord_item"] == pm["item_code"])
     if items is not None:
         j = j.join(items.select("item_code").distinct(), "item_code", "left_semi")
     sold = F.col("is_return") == "N"
     return j.groupBy("item_code").agg(
-        F.sum(F.when(sold, F.col("_bw_price")).otherwise(F.lit(0))).cast(MONEY).alias("extended_amt"),
+        F.sum(F.when(sold, F.col("_ord_price")).otherwise(F.lit(0))).cast(MONEY).alias("extended_amt"),
         F.sum(F.when(sold, F.col("quantity")).otherwise(F.lit(0))).cast("bigint").alias("qty_sold"),
     )
 

@@ -110,22 +110,22 @@ def wholesale_totals(src: Sources, rollup: DataFrame | None = None) -> DataFrame
         lines = lines.join(rollup.select(F.col("item_code").alias("_padded")).distinct(), "_padded", "left_semi")
     return lines.groupBy("item_number").agg(
         F.sum(F.coalesce(F.col("qty_to_invoice"), F.lit(0))).cast("bigint").alias("quantity"),
-        F.sum(F.coalesce(F.col("extended_price"), F.lit(0))).cast(MONEY).alias("xtndprce"),
+        F.sum(F.coalesce(F.col("extended_price"), F.lit(0))).cast(MONEY).alias("extended_price"),
     )
 
 
-def status_reset(rollup: DataFrame, src: Sources, txb: DataFrame) -> DataFrame:
+def status_reset(rollup: DataFrame, src: Sources, wholesale: DataFrame) -> DataFrame:
     """P57: 'RCVD' -> '' for items logged out of stock and not available, or sold wholesale."""
     oos = src.oos_item.select(item_key("item").alias("item_code"))
     oos = not_in(oos, "item_code", src.available, "item_code")
-    sold = txb.where(F.coalesce(F.col("quantity"), F.lit(0)) > 0).select(
+    sold = wholesale.where(F.coalesce(F.col("quantity"), F.lit(0)) > 0).select(
         trimmed_item_key("item_number").alias("item_code")
     )
     r = existence_flag(rollup, oos, ["item_code"], "_oos")
-    r = existence_flag(r, sold, ["item_code"], "_txb")
-    reset = (F.col("parent") == "RCVD") & (F.col("_oos") | F.col("_txb"))
+    r = existence_flag(r, sold, ["item_code"], "_wholesale")
+    reset = (F.col("parent") == "RCVD") & (F.col("_oos") | F.col("_wholesale"))
     return r.withColumn("parent", F.when(F.coalesce(reset, F.lit(False)), F.lit("")).otherwise(F.col("parent"))).drop(
-        "_oos", "_txb"
+        "_oos", "_wholesale"
     )
 
 

@@ -150,13 +150,13 @@ def _last_minute_sql() -> str:
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
-    "sales_totals": (q_sales_totals, _sql(f"SELECT {O.SALES_OUT} FROM sales_totals_all GROUP BY item_code")),
-    "sales_rekeyed_totals": (q_sales_rekeyed, _sql(f"SELECT {O.SALES_OUT} FROM sales_rekeyed_all GROUP BY item_code")),
+    "sales_totals": (q_sales_totals, _sql("SELECT * FROM store_totals")),
+    "sales_rekeyed_totals": (q_sales_rekeyed, _sql("SELECT * FROM credited_totals")),
     "shipment_totals": (_stage("ship_hist"), _sql("SELECT item_code, drop_ship, qty_shipped FROM r1_ship_hist")),
     "transfer_and_damage_totals": (q_transfers, _sql(
-        "SELECT coalesce(t.item_code, d.item_code) AS item_code, CAST(t.qty AS BIGINT) AS qty_trans, CAST(d.qty AS BIGINT) AS qty_damaged "
-        "FROM r1_trans t FULL JOIN r1_dmg d ON t.item_code = d.item_code")),
-    "warehouse_receipts": (_stage("warehouse_receipts"), _sql("SELECT item_code, qty_rcvd FROM r1_ils_rcv")),
+        "SELECT item_code, CAST(qty_trans AS BIGINT) AS qty_trans, CAST(qty_damaged AS BIGINT) AS qty_damaged "
+        "FROM r1_transfers WHERE qty_trans IS NOT NULL OR qty_damaged IS NOT NULL")),
+    "warehouse_receipts": (_stage("warehouse_receipts"), _sql("SELECT item_code, qty_rcvd FROM r1_direct_receipts")),
     "received_sources": (_stage("received_a"), _sql("SELECT * FROM r1_received_a")),
     "received_union_distinct": (_stage("received_b"), _sql("SELECT * FROM r1_received_b")),
     "received_all": (_stage("received"), _sql("SELECT * FROM r1_received")),
@@ -170,10 +170,10 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "alias_items": (_stage("upc_items"), _sql("SELECT item_code, report_item_code FROM upc_items")),
     "store_sales_update": (_stage("w23"), _sql(f"SELECT {WC} FROM r1_w23")),
     "online_sales": (q_online, _sql(O.online_sql(P.start_date, ONLINE_END))),
-    "cross_store_sales": (_stage("cross_store"), _sql("SELECT item_code, extended_amt, qty_sold FROM r1_bookworm")),
+    "cross_store_sales": (_stage("cross_store"), _sql("SELECT item_code, extended_amt, qty_sold FROM r1_cross_store")),
     "add_channel_sales": (_stage("w26"), _sql(f"SELECT {WC} FROM r1_w26")),
-    "reorder_items": (_stage("reorder_items", True), _sql("SELECT item_code FROM r2_tbri_items", True)),
-    "reorder_received": (_stage("reorder_received", True), _sql("SELECT item_code, po_number FROM r2_tbri_rcvd", True)),
+    "reorder_items": (_stage("reorder_items", True), _sql("SELECT item_code FROM r2_reorder_items", True)),
+    "reorder_received": (_stage("reorder_received", True), _sql("SELECT item_code, po_number FROM r2_reorder_received", True)),
     "pending_reorders": (_stage("pend_tbri", True), _sql(f"SELECT {WC} FROM r2_pend_tbri", True)),
     "pending_orders": (_stage("pend_pend"), _sql(f"SELECT {WC} FROM r1_pend_pend")),
     "append_pending": (_stage("w34"), _sql(f"SELECT {WC} FROM r1_w34")),
@@ -187,8 +187,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "null_fills": (_stage("w50"), _sql(f"SELECT {WC} FROM r1_w50")),
     "inherit_parent_attributes": (_stage("w51"), _sql(f"SELECT {WC} FROM r1_w51")),
     "item_rollup": (_stage("rollup0"), _sql(f"SELECT {WC} FROM r1_rollup0")),
-    "vendor_returns": (_stage("vendor_returns"), _sql("SELECT item_code, total_returns FROM r1_bs_rtn")),
-    "wholesale_totals": (_stage("wholesale"), _sql("SELECT item_number, quantity, xtndprce FROM r1_txb")),
+    "vendor_returns": (_stage("vendor_returns"), _sql("SELECT item_code, total_returns FROM r1_vendor_returns")),
+    "wholesale_totals": (_stage("wholesale"), _sql("SELECT item_number, quantity, extended_price FROM r1_wholesale")),
     "status_reset": (_stage("rollup2"), _sql(f"SELECT {WC} FROM r1_rollup2")),
     "published_rollup": (_stage("published"), _sql(f"SELECT {PUB} FROM r1_published")),
     "published_rollup_second_run": (_stage("published", True), _sql(f"SELECT {PUB} FROM r2_published", True)),
