@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 
@@ -65,6 +66,24 @@ def numbered(df: DataFrame, group: str, slot: str = "slot", rows_per_part: int =
     return joined.withColumn(slot, F.col("_off") + F.col("_rn")).drop("_part", "_g", "_p", "_off", "_rn")
 
 
+def freed(run: Callable) -> Callable:
+    """``run`` for mapInArrow, whose Python worker gives its freed memory back when the task ends.
+
+    Workers are kept for later stages; without this each holds its largest task's memory on.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim:
+                trim(0)
+
+    return task
+
+
 def map_blocks(df: DataFrame, schema: str, make: Callable, text: str = "text", block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
     """Apply ``make(batch_part, buf, offs) -> dict of arrays`` to blocks of whole texts.
 
@@ -81,7 +100,7 @@ def map_blocks(df: DataFrame, schema: str, make: Callable, text: str = "text", b
                 if out is not None:
                     yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in (out[n] for n in names)], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(freed(run), schema)
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:

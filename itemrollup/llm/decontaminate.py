@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .common import cut
+from .common import cut, freed
 
 WINDOW = 10
 SLOP = 2
@@ -75,7 +75,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None) -> DataFr
                     names=["key", "rid", "first_word", "n_words", "terms", "lists", "positions"])
 
     rows = docs.select("key", F.monotonically_increasing_id().alias("rid"), "text")
-    return cut(rows.mapInArrow(index, schema), "positional-index")
+    return cut(rows.mapInArrow(freed(index), schema), "positional-index")
 
 
 class Phrases:
@@ -196,7 +196,7 @@ def search(index: DataFrame, phrases: Phrases, slop: int = SLOP) -> DataFrame:
                         "items": [[p.ids[i] for i in x[1]] for x in got.values()], "near_items": [[p.ids[i] for i in x[2]] for x in got.values()],
                     }, schema=_RANGES_ARROW)
 
-    return index.select("rid", "first_word", "n_words", "terms", "lists", "positions").mapInArrow(find, _RANGES)
+    return index.select("rid", "first_word", "n_words", "terms", "lists", "positions").mapInArrow(freed(find), _RANGES)
 
 
 def covered(starts: list[int], ends: list[int]) -> int:
@@ -240,7 +240,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     if n > 1:
         flat = [F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends", "items", "near_items")]  # an entry a block
         hits = hits.groupBy("rid").agg(*flat)
-    hits = hits.mapInArrow(_finish, "rid bigint, n_hit bigint, n_items bigint, items_sha256 string, n_near_items bigint")
+    hits = hits.mapInArrow(freed(_finish), "rid bigint, n_hit bigint, n_items bigint, items_sha256 string, n_near_items bigint")
     every = index.select(F.explode(F.arrays_zip("key", "rid", "n_words")).alias("d")).select("d.*")
     zero = F.lit(0).cast("long")
     return every.join(hits, "rid", "left").select(

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .common import cut, map_blocks
+from .common import cut, freed, map_blocks
 from .components import components
 
 SHINGLE = 5
@@ -182,7 +182,7 @@ def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                     keep.append(r)
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-    return both.mapInArrow(verify, "a bigint, b bigint")
+    return both.mapInArrow(freed(verify), "a bigint, b bigint")
 
 
 def bucket_links(uid: list[int], c: list[int], sets: list[bytes], threshold: float) -> Iterator[tuple[int, int]]:
@@ -227,7 +227,7 @@ def local_links(members: DataFrame, threshold: float) -> DataFrame:
         yield _pairs(list(bucket_links(*rows, threshold)))
 
     dealt = members.select("bucket", "uid", "c", "elements").repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(freed(run), "a bigint, b bigint").distinct()
 
 
 def _pairs(of: list[tuple[int, int]]) -> pa.RecordBatch:

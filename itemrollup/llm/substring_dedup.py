@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .common import cut, map_blocks
+from .common import cut, freed, map_blocks
 
 WINDOW = 50
 GRAM = 10
@@ -253,7 +253,7 @@ def repeated_spans(segs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
                                               pa.array(out[3], pa.int32())], names=["h1", "h2", "s", "e"])
 
-    found = streams.mapInArrow(match, "h1 bigint, h2 bigint, s int, e int")
+    found = streams.mapInArrow(freed(match), "h1 bigint, h2 bigint, s int, e int")
     return found.groupBy("h1", "h2").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
 
 
