@@ -68,12 +68,9 @@ def _shift_months(ts: datetime, months: int) -> datetime:
 
 
 # Parameters used with the synthetic test tables (order dates 1995-2001).
-# The synthetic sales lines never carry the production generic item code, so the
-# cross-store re-attribution is exercised with the code of part 1 instead.
 SYNTHETIC = RollupParams(
     as_of=datetime(2001, 8, 1),
     start_date=datetime(1995, 1, 1),
-    generic_item_code="00000000000000000001",
     report_cutoff=datetime(1999, 1, 1),
     po_width=18,
 )

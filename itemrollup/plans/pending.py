@@ -24,24 +24,24 @@ def reorder_items(src: Sources, prior: DataFrame, ol: DataFrame | None = None) -
         & is_blank("skeleton_created_from")
         & (F.col("created_from_requisition") == 0)
         & F.col("cancel_date").isNull()
-    ).select("po_number", "item_code")
+    ).select("item_code").distinct()
     od = od.join(prior.select("item_code").distinct(), "item_code", "left_semi")
     pm = src.product.where(F.col("user_class") == REORDER_CLASS).select("item_code")
-    return od.join(pm, "item_code", "left_semi").select("item_code").distinct()
+    return od.join(pm, "item_code", "left_semi")
 
 
 def _store_receipt_pos(header: DataFrame, line: DataFrame, items: DataFrame, oh: DataFrame, width: int) -> DataFrame:
     h = header.where(F.col("shipment_type").isin("W", "R")).select(
         "batch_id", F.right(F.col("shipment_no"), F.lit(width)).alias("po_number")
     )
-    j = line.select("batch_id", "item_code").join(items, "item_code", "left_semi").join(h, "batch_id")
+    j = line.select("batch_id", "item_code").distinct().join(items, "item_code", "left_semi").join(h, "batch_id")
     return j.join(oh, "po_number", "left_semi").select("item_code", "po_number")
 
 
 def _warehouse_receipt_pos(receipts: DataFrame, items: DataFrame, width: int) -> DataFrame:
     r = receipts.where(F.col("purchase_order_id").isNotNull()).select(
         item_key("item").alias("item_code"), numeric_or_left("purchase_order_id", width).alias("po_number")
-    )
+    ).distinct()
     return r.join(items, "item_code", "left_semi")
 
 

@@ -11,12 +11,13 @@ executor be recovered from the last cut instead of from the base tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_run_dir
+from ..session import drop_run_dir, new_run_dir
 from ..sources import Sources
 from . import activity, candidates, lines, pending, publish, purchasing, sales, summarise
 from .contracts import PUBLISHED
@@ -34,7 +35,6 @@ class Stager:
     spark: SparkSession
     enabled: bool = True
     root: str | None = None
-    written: list = field(default_factory=list)
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         if not self.enabled:
@@ -43,9 +43,15 @@ class Stager:
             self.root = new_run_dir(self.spark, "rebuild")
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
-        self.written.append(path)
         return self.spark.read.parquet(path)
 
+    def close(self) -> None:
+        """Delete this run's own folder.  Call it when the result is stored elsewhere: frames
+        that read the cuts end with it."""
+        if self.root is not None:
+            drop_run_dir(self.spark, self.root)
+            self.root = None
+
 
 def empty_prior(spark: SparkSession) -> DataFrame:
     """The previous snapshot of a first run: no rows, published schema."""
@@ -55,6 +61,15 @@ def empty_prior(spark: SparkSession) -> DataFrame:
 def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stager) -> dict[str, DataFrame]:
     """Run all stages; returns every named intermediate (``published`` is the result)."""
     t: dict[str, DataFrame] = {}
+    for t in stage_groups(src, prior, p, stager):
+        pass
+    return t
+
+
+def stage_groups(src: Sources, prior: DataFrame, p: RollupParams, stager: Stager) -> Iterator[dict[str, DataFrame]]:
+    """The stages group by group: yields the growing dict of intermediates after each group, so a
+    caller that needs an early one stops there and pays for no later cut."""
+    t: dict[str, DataFrame] = {}
 
     # 0. fact lines joined to their headers once
     ol = t["order_lines"] = stager.cut(lines.order_lines(src), "order_lines")
@@ -70,6 +85,8 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     t["last_proc"] = activity.last_processed(rcvd)
     rcvd_items = t["received_items"] = activity.received_per_item(rcvd)
 
+    yield t
+
     # 2. candidate items, quantities and status
     cands = candidates.candidates(src, p, ship_hist, wh_receipts, rcvd_items, ol)
     t["cand_ship"] = candidates.work_rows(cands.where(F.col("_kind") == candidates.SHIPPED))
@@ -80,6 +97,7 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     work = t["w13"] = candidates.apply_drop_ship_received(work, ship_hist, rcvd_items)
     work = t["w16"] = candidates.apply_received_status(work, rcvd_items)
     work = t["w18"] = stager.cut(candidates.apply_on_hand(work, src), "work_candidates")
+    yield t
 
     # 3. sales
     upc = t["upc_items"] = stager.cut(sales.alias_items(src), "alias_items")
@@ -88,6 +106,7 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     online = t["online"] = stager.cut(sales.online_sales(src, upc, p.start_date, p.end_date), "online_sales")
     cross = t["cross_store"] = sales.cross_store_sales(src, p, items=work)
     work = t["w26"] = stager.cut(sales.apply_channel_sales(work, online, cross), "work_sales")
+    yield t
 
     # 4. reorders (through the previous snapshot) and open orders
     items = t["reorder_items"] = stager.cut(pending.reorder_items(src, prior, ol), "reorder_items")
@@ -96,6 +115,7 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     t["pend_pend"] = pending.pending_orders(src, p, work, tbri, ol, sl)
     pend_rows = t["pending"] = stager.cut(tbri.unionByName(t["pend_pend"]), "pending")
     work = t["w34"] = pending.append_pending(work, pend_rows)
+    yield t
 
     # 5. last PO, notes, publisher, buyer, section, clean-up
     t["pos"] = purchasing.po_candidates(src, work, pend_rows, ol)
@@ -108,6 +128,7 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     work = t["w48"] = purchasing.apply_section(work, src)
     work = t["w49"] = purchasing.drop_supplies(work)
     work = t["w50"] = stager.cut(purchasing.null_fills(work), "work_final")
+    yield t
 
     # 6. alias re-key, rollup, returns, wholesale, status
     work = t["w51"] = summarise.rekey_aliases(work, upc, src)
@@ -116,10 +137,11 @@ def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stag
     rollup = t["rollup1"] = purchasing.drop_supplies(rollup, with_ecom=False)
     wholesale = t["wholesale"] = stager.cut(summarise.wholesale_totals(src, rollup), "wholesale")
     rollup = t["rollup2"] = summarise.status_reset(rollup, src, wholesale)
+    yield t
 
     # 7. publish
     t["published"] = publish.published_rollup(rollup, returns, wholesale, online, src, ol)
-    return t
+    yield t
 
 
 def rebuild(
@@ -143,4 +165,4 @@ def report(rollup: DataFrame, src: Sources, params: RollupParams, ordered: bool
     return publish.report(rollup, src.buyer, src.available, params.report_cutoff, ordered=ordered)
 
 
-__all__ = ["rebuild", "rebuild_stages", "report", "Stager", "empty_prior"]
+__all__ = ["rebuild", "rebuild_stages", "stage_groups", "report", "Stager", "empty_prior"]

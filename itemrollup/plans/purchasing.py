@@ -17,10 +17,11 @@ def po_candidates(src: Sources, work: DataFrame, pending: DataFrame, ol: DataFra
 
     (a) the highest shipped PO per item with blank notes, (b) the highest
     ordered PO per (item, notes) other than the item's (a) PO; pending POs are
-    excluded from both (globally, not per item).
+    excluded from both (globally, not per item).  Lines are reduced to distinct
+    (item, PO, notes) before any join, and only one row per (item, notes) meets
+    the work items: a hot item is combined map-side.
     """
-    items = work.select("item_code").distinct()
-    sd = src.shipment_line.select("item_code", "po_number").join(items, "item_code", "left_semi")
+    sd = src.shipment_line.select("item_code", "po_number").distinct()
     sd = not_in(sd, "po_number", pending, "last_po")
     shipped = sd.groupBy("item_code").agg(
         F.max("po_number").alias("po_number"),
@@ -30,15 +31,15 @@ def po_candidates(src: Sources, work: DataFrame, pending: DataFrame, ol: DataFra
     ol = ol if ol is not None else order_lines(src)
     od = ol.where(
         is_blank("skeleton_created_from") & (F.col("created_from_requisition") == 0) & F.col("cancel_date").isNull()
-    ).select("po_number", "item_code", "special_instructions", "spec_instructions")
-    od = od.join(items, "item_code", "left_semi")
+    ).select(
+        "po_number", "item_code", left("spec_instructions", 250).alias("fob_po"), left("special_instructions", 250).alias("fob_item")
+    ).distinct()
     od = not_in(od, "po_number", shipped.select(F.col("item_code").alias("_a_item"), "po_number"), "po_number", by={"item_code": "_a_item"})
     od = not_in(od, "po_number", pending, "last_po")
-    ordered = od.groupBy(
-        "item_code", left("spec_instructions", 250).alias("fob_po"), left("special_instructions", 250).alias("fob_item")
-    ).agg(F.max("po_number").alias("po_number"))
+    ordered = od.groupBy("item_code", "fob_po", "fob_item").agg(F.max("po_number").alias("po_number"))
     both = shipped.unionByName(ordered)
-    return both.groupBy("item_code", "fob_po", "fob_item").agg(F.max("po_number").alias("po_number"))
+    pos = both.groupBy("item_code", "fob_po", "fob_item").agg(F.max("po_number").alias("po_number"))
+    return pos.join(work.select("item_code").distinct(), "item_code", "left_semi")
 
 
 def best_po(pos: DataFrame) -> DataFrame:
@@ -137,14 +138,13 @@ def original_buyer(src: Sources, work: DataFrame, ol: DataFrame | None = None) -
     Per (PO, item) the earliest header date is taken, and the buyer of a header
     with that date (smallest name when several match); a PO without a matching
     buyer, or without a date, contributes ' ' (filled later from the last PO).
-    The order lines already carry the header date and buyer id, so this is one
-    aggregation over the work items' lines.
+    The order lines already carry the header date and buyer id.  They are reduced to
+    one row per (PO, item, date, buyer) before the join to the buyer names, and to one
+    row per item before the join to the work items.
     """
     ol = ol if ol is not None else order_lines(src)
     names = first_per_key(src.buyer.select("buyer_id", "name"), ["buyer_id"], [F.col("name")])
-    od = ol.select("po_number", "item_code", "po_date", "buyer_id").join(
-        work.select("item_code").distinct(), "item_code", "left_semi"
-    )
+    od = ol.select("po_number", "item_code", "po_date", "buyer_id").distinct()
     od = od.join(names, "buyer_id", "left")
     first = F.min(F.struct(
         F.col("po_date").isNull().alias("d_null"), F.col("po_date").alias("d"),
@@ -155,11 +155,12 @@ def original_buyer(src: Sources, work: DataFrame, ol: DataFrame | None = None) -
         "po_number", "item_code", F.col("_first.d").alias("po_date"),
         F.when(no_buyer, F.lit(" ")).otherwise(F.col("_first.n")).alias("buyer"),
     )
-    return first_per_key(
+    best = first_per_key(
         bp.select("item_code", "po_date", "po_number", "buyer"),
         ["item_code"],
         [F.col("po_date").isNull(), F.col("po_date"), F.col("po_number")],
     )
+    return best.join(work.select("item_code").distinct(), "item_code", "left_semi")
 
 
 def apply_buyer(work: DataFrame, src: Sources, ol: DataFrame | None = None) -> DataFrame:

@@ -105,13 +105,16 @@ def wholesale_totals(src: Sources, rollup: DataFrame | None = None) -> DataFrame
         _wholesale_lines(src.sop_header_open, src.sop_line_open),
         _wholesale_lines(src.sop_header_history, src.sop_line_history),
     )
-    lines = lines.withColumn("_padded", trimmed_item_key("item_number"))
-    if rollup is not None:
-        lines = lines.join(rollup.select(F.col("item_code").alias("_padded")).distinct(), "_padded", "left_semi")
-    return lines.groupBy("item_number").agg(
+    totals = lines.groupBy("item_number").agg(
         F.sum(F.coalesce(F.col("qty_to_invoice"), F.lit(0))).cast("bigint").alias("quantity"),
         F.sum(F.coalesce(F.col("extended_price"), F.lit(0))).cast(MONEY).alias("extended_price"),
     )
+    if rollup is None:
+        return totals
+    # the item depends on the grouping key alone: one row per raw number meets the rollup
+    items = rollup.select(F.col("item_code").alias("_padded")).distinct()
+    totals = totals.withColumn("_padded", trimmed_item_key("item_number")).join(items, "_padded", "left_semi")
+    return totals.drop("_padded")
 
 
 def status_reset(rollup: DataFrame, src: Sources, wholesale: DataFrame) -> DataFrame:

@@ -1,14 +1,15 @@
 """Registry of the operator-level queries: a Spark callable and its DuckDB oracle SQL.
 
 Stage queries return an intermediate of a full rebuild over the synthetic
-tables (each run is computed once per session and data folder; the lineage
-cuts land in the shared staging folder).  ``*_second_run`` and the reorder
+tables.  A run is kept per session and data folder and computed only as far as
+the queries asked so far need; the lineage cuts land in the shared staging
+folder.  ``*_second_run`` and the reorder
 queries use a second rebuild whose previous snapshot is the first run's output.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,33 +20,38 @@ from .functions import discount_pct, initials, item_key, ts_lit
 from .operators import not_in
 from .plans import activity, sales
 from .plans.params import SYNTHETIC
-from .plans.pipeline import Stager, empty_prior, rebuild_stages, report
+from .plans.pipeline import Stager, empty_prior, report, stage_groups
 from .plans.publish import report_filter
+from .session import new_run_dir
 from .sources import raw_tables, synthetic_sources
+from .sources.snapshot import publish_snapshot, read_snapshot
 
 P = SYNTHETIC
-# Online marketplace rows of the synthetic tables are dated January 2024; the
-# operator query reads them over the whole window up to 2024-02-01.
-ONLINE_END = datetime(2024, 2, 1)
 
 _RUNS: dict = {}
 
 
-def run(spark: SparkSession, sf_dir: str, second: bool = False) -> dict[str, DataFrame]:
-    """All stage frames of the first (or second) rebuild over ``sf_dir``."""
+def _stages(spark: SparkSession, sf_dir: str, second: bool) -> Iterator[dict[str, DataFrame]]:
+    prior = run(spark, sf_dir) if second else empty_prior(spark)
+    stager = Stager(spark, True)
+    for trace in stage_groups(synthetic_sources(spark, sf_dir), prior, P, stager):
+        if "published" in trace:
+            trace["published"] = stager.cut(trace["published"], "published")
+        yield trace
+
+
+def run(spark: SparkSession, sf_dir: str, second: bool = False, stage: str = "published") -> DataFrame:
+    """A stage frame of the first (or second) rebuild over ``sf_dir``; no later stage group is run."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), second)
-    if key not in _RUNS:
-        src = synthetic_sources(spark, sf_dir)
-        prior = run(spark, sf_dir)["published"] if second else empty_prior(spark)
-        stager = Stager(spark, True)
-        trace = rebuild_stages(src, prior, P, stager)
-        trace["published"] = stager.cut(trace["published"], "published")
-        _RUNS[key] = trace
-    return _RUNS[key]
+    groups, trace = _RUNS.get(key) or (_stages(spark, sf_dir, second), {})
+    while stage not in trace:
+        trace = next(groups)
+        _RUNS[key] = groups, trace
+    return trace[stage]
 
 
 def _stage(name: str, second: bool = False) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf: run(spark, sf, second)[name]
+    return lambda spark, sf: run(spark, sf, second, name)
 
 
 def _src(spark, sf):
@@ -76,7 +82,7 @@ def q_last_processed_minute(spark, sf):
 
 def q_online(spark, sf):
     src = _src(spark, sf)
-    return sales.online_sales(src, sales.alias_items(src), P.start_date, ONLINE_END)
+    return sales.online_sales(src, sales.alias_items(src), P.start_date, P.end_date)
 
 
 def q_not_in(spark, sf):
@@ -94,33 +100,48 @@ def q_not_in(spark, sf):
 
 
 def q_pct_sold(spark, sf):
-    return run(spark, sf)["published"].select("item_code", "parent", "qty_sold", "qty_shipped", "pct_sold")
+    return run(spark, sf).select("item_code", "parent", "qty_sold", "qty_shipped", "pct_sold")
 
 
 def q_discount(spark, sf):
-    u = run(spark, sf)["published"]
+    u = run(spark, sf)
     return u.select("item_code", "parent", "register_price", "qty_sold", "price",
                     discount_pct("register_price", "qty_sold", "price").alias("discount_pct"))
 
 
 def q_initials(spark, sf):
     """Initials of every published row's buyer name (the report's abbreviation)."""
-    u = run(spark, sf)["published"]
+    u = run(spark, sf)
     return u.select("item_code", "parent", "buyer", initials("buyer").alias("initials"))
 
 
 def q_available_text(spark, sf):
     src = _src(spark, sf)
-    return report(run(spark, sf)["published"], src, P, ordered=False).select("item_code", "parent", "ttb_inv")
+    return report(run(spark, sf), src, P, ordered=False).select("item_code", "parent", "ttb_inv")
 
 
 def q_report_filter(spark, sf):
-    u = run(spark, sf)["published"]
+    u = run(spark, sf)
     return u.where(report_filter(u, P.report_cutoff)).select("item_code", "parent", "vendor_id", "title", "pct_sold")
 
 
 def q_report(spark, sf, second=False):
-    return report(run(spark, sf, second)["published"], _src(spark, sf), P)
+    return report(run(spark, sf, second), _src(spark, sf), P)
+
+
+def q_publish_read(spark, sf):
+    """The published rollup after a publish to a snapshot root and a read of its latest version."""
+    root = new_run_dir(spark, "snapshots")
+    publish_snapshot(run(spark, sf), root, 1)
+    return read_snapshot(spark, root)
+
+
+def q_shipments(spark, sf):
+    return activity.shipment_history(_src(spark, sf), P)
+
+
+def q_alias_items(spark, sf):
+    return sales.alias_items(_src(spark, sf))
 
 
 # -- oracle SQL ----------------------------------------------------------------------------------
@@ -152,7 +173,7 @@ def _last_minute_sql() -> str:
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "sales_totals": (q_sales_totals, _sql("SELECT * FROM store_totals")),
     "sales_rekeyed_totals": (q_sales_rekeyed, _sql("SELECT * FROM credited_totals")),
-    "shipment_totals": (_stage("ship_hist"), _sql("SELECT item_code, drop_ship, qty_shipped FROM r1_ship_hist")),
+    "shipment_totals": (q_shipments, _sql("SELECT item_code, drop_ship, qty_shipped FROM r1_ship_hist")),
     "transfer_and_damage_totals": (q_transfers, _sql(
         "SELECT item_code, CAST(qty_trans AS BIGINT) AS qty_trans, CAST(qty_damaged AS BIGINT) AS qty_damaged "
         "FROM r1_transfers WHERE qty_trans IS NOT NULL OR qty_damaged IS NOT NULL")),
@@ -167,9 +188,9 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "dropship_quantity_update": (_stage("w13"), _sql(f"SELECT {WC} FROM r1_w13")),
     "status_rules": (_stage("w16"), _sql(f"SELECT {WC} FROM r1_w16")),
     "on_hand": (_stage("w18"), _sql(f"SELECT {WC} FROM r1_w18")),
-    "alias_items": (_stage("upc_items"), _sql("SELECT item_code, report_item_code FROM upc_items")),
+    "alias_items": (q_alias_items, _sql("SELECT item_code, report_item_code FROM upc_items")),
     "store_sales_update": (_stage("w23"), _sql(f"SELECT {WC} FROM r1_w23")),
-    "online_sales": (q_online, _sql(O.online_sql(P.start_date, ONLINE_END))),
+    "online_sales": (q_online, _sql("SELECT * FROM r1_online")),
     "cross_store_sales": (_stage("cross_store"), _sql("SELECT item_code, extended_amt, qty_sold FROM r1_cross_store")),
     "add_channel_sales": (_stage("w26"), _sql(f"SELECT {WC} FROM r1_w26")),
     "reorder_items": (_stage("reorder_items", True), _sql("SELECT item_code FROM r2_reorder_items", True)),
@@ -192,6 +213,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "status_reset": (_stage("rollup2"), _sql(f"SELECT {WC} FROM r1_rollup2")),
     "published_rollup": (_stage("published"), _sql(f"SELECT {PUB} FROM r1_published")),
     "published_rollup_second_run": (_stage("published", True), _sql(f"SELECT {PUB} FROM r2_published", True)),
+    "publish_read_cycle": (q_publish_read, _sql(f"SELECT {PUB} FROM r1_published")),
     "not_in_null_semantics": (q_not_in, _not_in_sql()),
     "pct_sold": (q_pct_sold, _sql("SELECT item_code, parent, qty_sold, qty_shipped, pct_sold FROM r1_published")),
     "discount_pct": (q_discount, _sql(

@@ -80,6 +80,14 @@ def staging_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def drop_run_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``new_run_dir`` named, on whatever file system holds it."""
+    if not path.startswith(f"{staging_root(spark)}/itemrollup/"):
+        raise ValueError(f"{path} is no run folder under the staging root")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def new_run_dir(spark: SparkSession, label: str = "run") -> str:
     """A unique sub-folder of the staging root for one pipeline run."""
     return f"{staging_root(spark)}/itemrollup/{label}-{uuid.uuid4().hex[:12]}"

@@ -1,7 +1,9 @@
 """Inputs of the rollup: 32 base relations plus the previously published snapshot.
 
 ``Sources`` is a plain bundle of DataFrames.  ``load_tables`` reads a folder
-of per-relation tables (parquet by default; any Spark format works) and
+of per-relation tables (parquet by default; any Spark format works),
+``load_catalog`` the tables of a catalog database, ``load_relations`` whatever a
+reader function returns (JDBC, say); all three normalise codes.
 ``synthetic_sources`` derives the relations from the TPC-H-like test tables.
 Nothing is read until an action runs: Spark prunes columns and pushes the
 stage filters into each scan.
@@ -9,9 +11,11 @@ stage filters into each scan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .synthetic import RAW_TABLES, VIEWS
 
@@ -86,7 +90,40 @@ def stage_sources(src: Sources, root: str, files_per_table: int | None = None) -
     return Sources(**out)
 
 
-def load_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> Sources:
+# Columns that hold codes: the original compares them without regard to case or trailing blanks.
+CODE_COLUMNS = frozenset((
+    "item_code", "report_item_code", "new_item_code", "item", "item_alias", "item_number", "sku", "upc", "isbn",
+    "po_number", "purchase_order_id", "last_purchase_order", "shipment_no", "sop_number", "sales_xaction_id",
+    "till_number", "transaction_number", "buyer_id", "vendor_id", "purchase_vendor_id", "customer_number",
+    "location_no", "from_location_no", "to_location_no", "company", "scheme_id", "user_class", "shipment_type",
+    "distribution_type", "po_type", "xaction_type", "status", "is_return", "odpc_flag", "reorderable", "location_type",
+))
+
+
+def normalised(df: DataFrame) -> DataFrame:
+    """Text without trailing blanks, codes in upper case: equal keys of the original (padded
+    ``char`` columns, case-insensitive collation) become equal strings, once, at ingest."""
+
+    def clean(name: str, kind: str):
+        if not kind.startswith(("string", "char", "varchar")):
+            return F.col(name)
+        text = F.rtrim(F.col(name))
+        return (F.upper(text) if name in CODE_COLUMNS else text).alias(name)
+
+    return df.select(*[clean(name, kind) for name, kind in df.dtypes])
+
+
+def load_relations(read: Callable[[str], DataFrame], normalise: bool = True) -> Sources:
+    """The relations that ``read(name)`` returns, e.g. ``lambda n: spark.read.jdbc(url, n)``."""
+    return Sources(**{name: normalised(read(name)) if normalise else read(name) for name in RELATIONS})
+
+
+def load_tables(spark: SparkSession, root: str, fmt: str = "parquet", normalise: bool = True) -> Sources:
     """Read ``root/<relation>`` for every relation (production layout)."""
     reader = spark.read.format(fmt)
-    return Sources(**{name: reader.load(f"{root.rstrip('/')}/{name}") for name in RELATIONS})
+    return load_relations(lambda name: reader.load(f"{root.rstrip('/')}/{name}"), normalise)
+
+
+def load_catalog(spark: SparkSession, database: str, normalise: bool = True) -> Sources:
+    """Read the table ``database.<relation>`` of the session catalog for every relation."""
+    return load_relations(lambda name: spark.table(f"{database}.{name}"), normalise)

@@ -22,6 +22,11 @@ PO_WIDTH = 18
 _PO_L = f"right(repeat('0',{PO_WIDTH}) || cast(l_orderkey as string), {PO_WIDTH})"
 _PO_O = f"right(repeat('0',{PO_WIDTH}) || cast(o_orderkey as string), {PO_WIDTH})"
 
+# Lines rung under the generic cross-store code (fixed value, as in plans/params.py): the third line
+# of an order at some stores; its order names the real SKU.
+GENERIC_ITEM = "00000000000010222778"
+_RUNG = f"case when l_linenumber = 3 and l_suppkey % 10 in (2, 5, 8) then '{GENERIC_ITEM}' else {_PK} end"
+
 _RECEIPT = (
     f"select {_PK_RAW} item, case when l_suppkey % 9 = 0 then 'SUP' else 'CDC' end company, cast(l_quantity as int) total_qty, l_shipdate receipt_date, "
     f"case when l_linenumber = 1 then null when l_linenumber = 2 then {_PO_L} || '-A' else {_PO_L} end purchase_order_id "
@@ -99,7 +104,7 @@ VIEWS: dict[str, str] = {
     "receive_header": "select o_orderkey receiver, o_orderdate distribution_posted_date from {orders}",
     "receive_line": f"select l_orderkey receiver, {_PK} item_code, cast(l_quantity as int) qty_counted from {{lineitem}} where l_linenumber = 1",
     "sales_item": (
-        f"select {_PK} item_code, l_suppkey % 10 location_id, l_shipdate business_date, right(repeat('0',12) || cast(l_orderkey as string), 12) sales_xaction_id, l_linenumber line_number, "
+        f"select {_RUNG} item_code, l_suppkey % 10 location_id, l_shipdate business_date, right(repeat('0',12) || cast(l_orderkey as string), 12) sales_xaction_id, l_linenumber line_number, "
         "case when l_tax = 0 then 'V' else 'S' end xaction_type, case when l_suppkey % 20 = 0 then 'D' else 'A' end status, "
         "case when l_returnflag = 'R' then 'Y' else 'N' end is_return, case when l_linenumber = 2 then 'C' else '' end odpc_flag, "
         "cast(l_quantity as int) quantity, cast(l_extendedprice as decimal(19,4)) extended_amt, "
@@ -109,7 +114,7 @@ VIEWS: dict[str, str] = {
     ),
     "online_sale": (
         "select right(repeat('0',20) || cast(user_id + case when user_id % 50 = 7 then 20000000 else 0 end as string), 20) item_code, "
-        "cast(value as decimal(19,4)) selling_price, 1 quantity, ts date_sold from {events} where event_type = 'purchase'"
+        "cast(value as decimal(19,4)) selling_price, 1 quantity, ts - interval '25' year date_sold from {events} where event_type = 'purchase'"
     ),
     "cross_order": (
         "select distinct l_suppkey % 10 location_id, substring(right(repeat('0',12) || cast(l_orderkey as string), 12), 1, 3) till_number, "

@@ -10,8 +10,6 @@ batches) calls it once per refresh.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
 from ..plans.params import RollupParams
 from ..plans.pipeline import Stager, empty_prior, rebuild_stages
 from ..sources import Sources
@@ -19,17 +17,20 @@ from ..sources.snapshot import publish_snapshot, read_snapshot
 
 
 def run_cycle(src: Sources, params: RollupParams, snapshot_root: str, version: int | None = None) -> int:
-    """One refresh: previous snapshot -> rebuild -> new snapshot version (returned)."""
+    """One refresh: previous snapshot -> rebuild -> new snapshot version (returned).
+
+    The run's staged intermediates are deleted once the version is committed, or the run failed.
+    """
     spark = src.product.sparkSession
     prior = read_snapshot(spark, snapshot_root)
     if prior is None:
         prior = empty_prior(spark)
-    published = rebuild_stages(src, prior, params, Stager(spark, True))["published"]
-    return publish_snapshot(published, snapshot_root, version)
-
-
-def current(src: Sources, snapshot_root: str) -> DataFrame | None:
-    return read_snapshot(src.product.sparkSession, snapshot_root)
+    stager = Stager(spark, True)
+    try:
+        published = rebuild_stages(src, prior, params, stager)["published"]
+        return publish_snapshot(published, snapshot_root, version)
+    finally:
+        stager.close()
 
 
-__all__ = ["run_cycle", "current"]
+__all__ = ["run_cycle"]
