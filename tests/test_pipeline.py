@@ -28,9 +28,13 @@ def test_entry_smoke(spark):
 
 def test_snapshot_cycle_detects_reorders(spark, small_sources):
     from itemrollup.plans.params import SYNTHETIC
+    import glob
+
+    from itemrollup.session import staging_root
     from itemrollup.sources.snapshot import read_snapshot, versions
     from itemrollup.streaming import run_cycle
 
+    before = set(glob.glob(staging_root(spark).removeprefix("file:") + "/itemrollup/rebuild-*"))
     root = tempfile.mkdtemp(prefix="itemrollup-snap-") + "/rollup"
     v1 = run_cycle(small_sources, SYNTHETIC, root, version=1)
     first = read_snapshot(spark, root)
@@ -42,6 +46,9 @@ def test_snapshot_cycle_detects_reorders(spark, small_sources):
     assert second.where(F.col("parent") == "TBRI").count() > 0
     # the first version is unchanged by the second publish
     assert read_snapshot(spark, root, 1).count() == first.count()
+    # both runs deleted their own staged intermediates
+    staged = staging_root(spark).removeprefix("file:") + "/itemrollup"
+    assert set(glob.glob(staged + "/rebuild-*")) <= before
 
 
 def test_snapshot_versions_are_written_once_and_read_whole(spark):
@@ -176,3 +183,64 @@ def test_flagship_schema_is_the_report_contract(spark):
     entry = importlib.import_module("__spark_entry__")
     got = [(f.name, f.dataType.simpleString()) for f in entry.entry(spark).schema.fields]
     assert got == [(f.name, f.dataType.simpleString()) for f in REPORT.fields]
+
+
+def test_only_run_folders_are_deleted(spark):
+    from itemrollup.session import drop_run_dir
+
+    kept = tempfile.mkdtemp(prefix="itemrollup-kept-")
+    with pytest.raises(ValueError):
+        drop_run_dir(spark, kept)
+    assert os.path.isdir(kept)
+
+
+def test_early_stages_run_no_later_group(spark):
+    """A candidate stage is answered while the publish group has not been run."""
+    from itemrollup import queries
+
+    before, queries._RUNS = queries._RUNS, {}
+    try:
+        assert queries.QUERIES["warehouse_receipts"][0](spark, SF_SMALL).count() > 0
+        (_, trace), = queries._RUNS.values()
+        assert "received" in trace and "w18" not in trace and "published" not in trace
+    finally:
+        queries._RUNS = before
+
+
+def test_padded_and_respelled_codes_give_the_same_rollup(spark, small_sources):
+    """Trailing blanks in all text and lower-case codes: equal to the plain input after ingest."""
+    from itemrollup.plans import SYNTHETIC, rebuild
+    from itemrollup.session import new_run_dir
+    from itemrollup.sources import CODE_COLUMNS, RELATIONS, load_catalog, load_relations, load_tables, stage_sources
+
+    root = new_run_dir(spark, "sources-test")
+    stage_sources(small_sources, root, files_per_table=1)
+
+    def padded(name):
+        df = spark.read.parquet(f"{root}/{name}")
+        text = lambda c: F.concat(F.lower(c) if c in CODE_COLUMNS else F.col(c), F.lit("  ")).alias(c)
+        return df.select(*[text(c) if kind == "string" else F.col(c) for c, kind in df.dtypes])
+
+    plain, other = rebuild(load_tables(spark, root), None, SYNTHETIC), rebuild(load_relations(padded), None, SYNTHETIC)
+    assert plain.count() > 0
+    assert plain.exceptAll(other).count() == 0 and other.exceptAll(plain).count() == 0
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS rollup_sources")
+    for name in RELATIONS[:32]:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS rollup_sources.{name} USING parquet LOCATION '{root}/{name}'")
+    assert load_catalog(spark, "rollup_sources").product.exceptAll(load_tables(spark, root).product).count() == 0
+
+
+def test_channel_rows_reach_the_published_rollup(spark):
+    """Online and cross-store sales change rows, and an item without store sales stays without (Q14)."""
+    from itemrollup.plans.params import GENERIC_CROSS_STORE_ITEM
+    from itemrollup.queries import run
+    from itemrollup.sources.synthetic import GENERIC_ITEM
+
+    assert GENERIC_ITEM == GENERIC_CROSS_STORE_ITEM
+    assert run(spark, SF_SMALL, stage="cross_store").count() > 50
+    channels = run(spark, SF_SMALL, stage="cross_store").select("item_code").unionByName(run(spark, SF_SMALL, stage="online").select("item_code"))
+    before, after = run(spark, SF_SMALL, stage="w23"), run(spark, SF_SMALL, stage="w26")
+    unsold = before.where("qty_sold is null").join(channels, "item_code", "left_semi").select("item_code")
+    assert after.join(unsold, "item_code", "left_semi").where("qty_sold is not null").count() == 0
+    assert run(spark, SF_SMALL).where("online_qty_sold > 0").count() > 0

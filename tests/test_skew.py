@@ -85,3 +85,81 @@ def test_first_per_key_is_a_partial_aggregate(spark):
     # the check does detect a raw shuffle
     raw = df.repartition(4, "k")._jdf.queryExecution().executedPlan().toString()
     assert not _ancestors_have_partial_aggregate(raw, "Range")
+
+
+def _order_lines(spark, n=1200):
+    """Order lines as after the header join: every third line is of item HOT, POs repeat."""
+    rows = [(f"PO{i % 40}", "HOT" if i % 3 == 0 else f"I{i % 17}", datetime(1998, 1, 1 + i % 40 % 28), f"b{i % 40 % 4}",
+             "00944" if i % 2 else "00001", 0, None, None, f"h{i % 2}" if i % 5 else None, f"l{i % 3}")
+            for i in range(n)]
+    return spark.createDataFrame(rows, "po_number string, item_code string, po_date timestamp, buyer_id string, location_no string, "
+                                 "created_from_requisition int, skeleton_created_from string, cancel_date timestamp, "
+                                 "spec_instructions string, special_instructions string"), rows
+
+
+def _stored(spark, df, name):
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix=f"itemrollup-{name}-") + "/t"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_item_in_last_pos_buyers_and_reorders(spark, small_sources):
+    """Equal to brute force, and no raw order, shipment or wholesale line reaches an exchange."""
+    from itemrollup.plans import pending, purchasing, summarise
+
+    df, raw = _order_lines(spark)
+    ol = _stored(spark, df, "hot-orders")
+    work = spark.createDataFrame([("HOT",), ("I3",), ("I5",), ("NONE",)], "item_code string")
+    none = spark.createDataFrame([], "last_po string")
+    shipped = frame(spark, small_sources.shipment_line, [
+        {"transfer_id": i, "item_code": "HOT" if i % 3 == 0 else "I3", "qty": 1, "po_number": f"PO{i % 30}"} for i in range(600)])
+    buyers = spark.createDataFrame([(f"b{i}", f"name {i}") for i in range(3)], "buyer_id string, name string")
+    src = replace(small_sources, shipment_line=_stored(spark, shipped, "hot-shipments"), buyer=buyers)
+
+    top = {}
+    for i in range(600):
+        item = "HOT" if i % 3 == 0 else "I3"
+        top[item] = max(top.get(item, ""), f"PO{i % 30}")
+    want = {}
+    for po, item, *_, head, line in raw:
+        if item in ("HOT", "I3", "I5") and po != top.get(item):
+            want[item, head, line] = max(want.get((item, head, line), ""), po)
+    for item, po in top.items():
+        want[item, "", ""] = max(want.get((item, "", ""), ""), po)
+    pos = purchasing.po_candidates(src, work, none, ol)
+    assert {(r.item_code, r.fob_po, r.fob_item): r.po_number for r in pos.collect()} == want
+    assert _ancestors_have_partial_aggregate(_plan(pos), "itemrollup-hot-orders-")
+    assert _ancestors_have_partial_aggregate(_plan(pos), "itemrollup-hot-shipments-")
+
+    first = {}
+    for po, item, day, buyer, *_ in raw:
+        if item in ("HOT", "I3", "I5"):
+            name = f"name {buyer[1]}" if buyer != "b3" else " "
+            first[item] = min(first.get(item, (day, po, name)), (day, po, name))
+    ob = purchasing.original_buyer(src, work, ol)
+    assert {r.item_code: (r.po_date, r.po_number, r.buyer) for r in ob.collect()} == first
+    assert _ancestors_have_partial_aggregate(_plan(ob), "itemrollup-hot-orders-")
+
+    product = spark.createDataFrame([(c, "TTB") for c in ("HOT", "I1", "I3")], "item_code string, user_class string")
+    again = pending.reorder_items(replace(src, product=product), work, ol)
+    assert sorted(r.item_code for r in again.collect()) == sorted({r[1] for r in raw if r[4] == "00944"} & {"HOT", "I3"})
+    assert _ancestors_have_partial_aggregate(_plan(again), "itemrollup-hot-orders-")
+
+    sop = frame(spark, small_sources.sop_line_open, [
+        {"sop_number": str(i % 9), "item_number": "HOT" if i % 3 == 0 else f" I{i % 7} ", "qty_to_invoice": 1, "extended_price": Decimal(2)}
+        for i in range(900)])
+    head = frame(spark, small_sources.sop_header_open, [
+        {"sop_number": str(i), "sop_type": 3, "customer_number": "C1", "doc_id": "STD", "batch_source": "Sales"} for i in range(9)])
+    src = replace(src, sop_line_open=_stored(spark, sop, "hot-wholesale"), sop_header_open=head,
+                  sop_line_history=sop.limit(0), sop_header_history=head.limit(0))
+    rollup = spark.createDataFrame([("HOT".rjust(20, "0"),), ("I1".rjust(20, "0"),)], "item_code string")
+    got = {r.item_number: (r.quantity, r.extended_price) for r in summarise.wholesale_totals(src, rollup).collect()}
+    n1 = sum(i % 3 != 0 and i % 7 == 1 for i in range(900))
+    assert got == {"HOT": (300, Decimal(600)), " I1 ": (n1, Decimal(2 * n1))}
+    assert _ancestors_have_partial_aggregate(_plan(summarise.wholesale_totals(src, rollup)), "itemrollup-hot-wholesale-")
