@@ -23,12 +23,13 @@ RECOMMENDED_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, max_partitions: int = 400_000) -> dict[str, str]:
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> dict[str, str]:
     """Settings for a cluster run sized to the input volume.
 
     The widest shuffles (fact lines after projection and filters) carry about a
     quarter of the input, so shuffle partitions ~ input / (4 x 256 MB), at least
-    200, and at most ``max_partitions`` (map-status metadata grows with them).  AQE coalesces small partitions and splits
+    200, and at most ``max_partitions`` (map-status metadata grows with them; above
+    about 100 TB of input raise it, or partitions grow beyond the target).  AQE coalesces small partitions and splits
     skewed ones: a partition 5x the median and over 256 MB is split, so one hot
     item, PO or source cannot pin a third of the data to one task.
     """
