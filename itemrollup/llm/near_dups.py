@@ -15,11 +15,14 @@ bucket emits all its pairs:
   a family of copies of any size collapses with one comparison a member and bucket;
 * a bucket that still holds several classes, and is within ``LOCAL_UNITS`` and ``LOCAL_BYTES``,
   is compared inside one task over an inverted index of its elements; members of its largest
-  class are not compared with each other, and only links leave it;
-* a larger one is split by a second band (then a third, ...), on which its similar pairs agree
-  in many more places still, and goes through the same steps.
+  class are not compared with each other, and only links that join classes leave it;
+* a larger one is dealt into chunks, and any two chunks that can hold a link meet in a task of
+  their own, within about the same limits; two chunks of its largest class need not meet.
 
-Every link is decided by the exact similarity of the whole shingle sets.
+Every link is decided by the exact similarity of the whole shingle sets, and every two units
+that share a band are compared or already in one class.  The cost of a large bucket is its
+units times those outside its largest class, spread over tasks; only a pair that shares no
+band at all is lost.
 
 Words are runs of digits, letters (A-Z lower-cased) and non-ASCII characters; a text of one to
 four words is one shingle.  Defined cases: null and empty texts are each a class of their
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
@@ -46,7 +49,7 @@ BANDS, ROWS = 32, 6  # at similarity 0.8 a pair shares no band with probability
 K = BANDS * ROWS
 U64 = np.uint64
 CELLS_AT_ONCE = 1 << 20
-LOCAL_UNITS, LOCAL_BYTES = 4096, 32 << 20  # a bucket that one task compares (larger ones are split)
+LOCAL_UNITS, LOCAL_BYTES = 4096, 32 << 20  # a bucket that one task compares (larger ones are dealt over several)
 _POISSON = np.cumsum([0.36787944117144233, 0.36787944117144233, 0.18393972058572117, 0.06131324019524039, 0.015328310048810098,
                       0.0030656620097620196, 0.00051094366829367, 7.299195261338e-05, 9.12399407667e-06, 1.01377711963e-06, 1.0137771196e-07])
 
@@ -185,94 +188,121 @@ def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(freed(verify), "a bigint, b bigint")
 
 
-def bucket_links(uid: list[int], c: list[int], sets: list[bytes], threshold: float) -> Iterator[tuple[int, int]]:
-    """Links between different classes among a bucket's units, by exact similarity."""
+def bucket_links(uid: list[int], c: list[int], sets: list[bytes], side: list[bool], threshold: float) -> Iterator[tuple[int, int]]:
+    """Links that join the classes of a bucket's units, by exact similarity (at most a link a unit).
+
+    If ``side`` has both values, units are compared with those of the other side only.
+    """
     if len(set(c)) < 2:
         return
     size = np.array([len(x) // 8 for x in sets])
     all_e = np.frombuffer(b"".join(sets), U64)
     owner = np.repeat(np.arange(len(uid)), size)
-    order = np.argsort(all_e, kind="stable")
+    of, far = np.array(c), np.array(side)
+    if far.any() and not far.all():
+        left, right = np.flatnonzero(~far), far
+    else:
+        left, right = np.flatnonzero(of != max(dict.fromkeys(c), key=c.count)), np.ones(len(uid), dtype=bool)
+    _, inverse = np.unique(all_e, return_inverse=True)
+    order = np.argsort(inverse, kind="stable")
+    order = order[right[owner[order]]]
     posting = owner[order]
-    _, inverse, counts = np.unique(all_e, return_inverse=True, return_counts=True)
+    counts = np.bincount(inverse[order], minlength=int(inverse.max()) + 1)
     ends = np.cumsum(counts)
-    of, classes = np.array(c), dict.fromkeys(c)
-    main = max(classes, key=c.count)
     own = np.concatenate([[0], np.cumsum(size)])
-    for i in np.flatnonzero(of != main):
+    for i in left:
         terms = inverse[own[i]:own[i + 1]]
         n = counts[terms]
         at = np.repeat(ends[terms] - n, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         common = np.bincount(posting[at], minlength=len(uid))
-        hit = (common >= threshold * (size + size[i] - common)) & (of != of[i])
+        hit = right & (common >= threshold * (size + size[i] - common)) & (of != of[i])
         for j in np.flatnonzero(hit):
-            yield min(uid[i], uid[j]), max(uid[i], uid[j])
+            if of[j] != of[i]:  # not joined by an earlier link
+                yield min(uid[i], uid[j]), max(uid[i], uid[j])
+                of[of == of[j]] = of[i]
 
 
 def local_links(members: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) of rows (bucket, uid, c, elements); buckets hold at most LOCAL_UNITS rows and
-    LOCAL_BYTES of elements, so a task holds one such bucket at a time."""
+    """Links (a, b) of rows (bucket, uid, c, elements, side); buckets hold at most about LOCAL_UNITS
+    rows and LOCAL_BYTES of elements, so a task holds one such bucket at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, rows = None, ([], [], [])
+        at, rows = None, ([], [], [], [])
         for batch in batches:
             out: list[tuple[int, int]] = []
-            bucket, uid, c = (batch.column(i).to_pylist() for i in range(3))
+            bucket, uid, c, side = (batch.column(i).to_pylist() for i in (0, 1, 2, 4))
             for r in range(batch.num_rows):
                 if bucket[r] != at:
                     out += bucket_links(*rows, threshold)
-                    at, rows = bucket[r], ([], [], [])
-                rows[0].append(uid[r]), rows[1].append(c[r]), rows[2].append(batch.column(3)[r].as_py())
+                    at, rows = bucket[r], ([], [], [], [])
+                rows[0].append(uid[r]), rows[1].append(c[r]), rows[2].append(batch.column(3)[r].as_py()), rows[3].append(side[r])
             yield _pairs(out)
         yield _pairs(list(bucket_links(*rows, threshold)))
 
-    dealt = members.select("bucket", "uid", "c", "elements").repartition("bucket").sortWithinPartitions("bucket")
+    dealt = members.select("bucket", "uid", "c", "elements", "side").repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(freed(run), "a bigint, b bigint").distinct()
 
 
+def chunk_cells(large: DataFrame) -> DataFrame:
+    """Rows (bucket, uid, c, bytes) of large buckets dealt into cells (bucket, uid, c, side) of about
+    LOCAL_UNITS rows and LOCAL_BYTES at most, so that any two units of a bucket meet in a cell
+    unless both are of the bucket's largest class."""
+    main = large.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "c")).alias("m"))
+    told = large.join(main.select("bucket", F.col("m.c").alias("main")), "bucket").withColumn("rest", F.col("c") != F.col("main"))
+    half = F.greatest(F.ceil(F.count(F.lit(1)) * 2 / F.lit(LOCAL_UNITS)), F.ceil(F.sum("bytes") * 2 / F.lit(LOCAL_BYTES))).cast("long")
+    parts = told.groupBy("bucket", "rest").agg(half.alias("k")).groupBy("bucket").agg(
+        F.max(F.when(F.col("rest"), F.col("k"))).alias("k_rest"), F.max(F.when(~F.col("rest"), F.col("k"))).alias("k_main"))
+    dealt = told.join(parts, "bucket").withColumn("h", F.xxhash64("uid", F.lit(3)))
+    # the chunks of other classes come first and meet every chunk, those of the largest class only them
+    p = F.when(F.col("rest"), F.pmod("h", "k_rest")).otherwise(F.col("k_rest") + F.pmod("h", "k_main"))
+    last = F.when(F.col("rest"), F.col("k_rest") + F.col("k_main")).otherwise(F.col("k_rest")) - 1
+    met = dealt.select("bucket", "uid", "c", p.alias("p"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("q"))
+    return met.select(F.xxhash64("bucket", F.least("p", "q"), F.greatest("p", "q")).alias("bucket"), "uid", "c", (F.col("p") > F.col("q")).alias("side"))
+
+
 def _pairs(of: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[k] for x in of], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
 def link_units(docs: DataFrame, units: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(labels (node, root) of the units in any link, links (a, b)) over all buckets."""
-    members = units.select("uid", F.explode("keys").alias("bucket")).withColumn("used", F.array("bucket"))
-    members, sets, links = shared(members), None, None
+    members = shared(units.select("uid", F.explode("keys").alias("bucket")))
     sets = element_sets(docs, units.join(members.select("uid").distinct(), "uid", "left_semi"))
-    while True:
-        # the lead is the unit that meets the most others over all its buckets: the original of a
-        # family, which its copies are nearer to than to each other
-        sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-        meets = members.join(sizes, "bucket").groupBy("uid").agg(F.sum("n").alias("met"))
-        weighed = cut(members.join(meets, "uid"), "weighed")
-        lead = weighed.groupBy("bucket").agg(F.max(F.struct("met", "uid")).alias("m")).select("bucket", F.col("m.uid").alias("lead"))
-        pairs = weighed.join(lead, "bucket").where("uid <> lead").select(F.least("uid", "lead").alias("a"), F.greatest("uid", "lead").alias("b")).distinct()
-        found = cut(similar(pairs, sets, threshold), "linked")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-
-        known = members.join(labels, members["uid"] == labels["node"], "left").select("bucket", "used", "uid", F.coalesce("root", "uid").alias("c"))
-        known = cut(known, "classed")
-        weight = F.sum("bytes").alias("bytes")
-        open_ = known.join(sets.select("uid", F.octet_length("elements").cast("long").alias("bytes")), "uid")
-        open_ = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), weight, F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-        fits = ((F.col("n") <= LOCAL_UNITS) & (F.col("bytes") <= LOCAL_BYTES)).alias("fits")
-        known = cut(known.join(open_.select("bucket", fits), "bucket"), "open")
-        links = links.unionByName(cut(local_links(known.where("fits").join(sets, "uid"), threshold), "linked"))
-        labels = components(links)
-
-        large = known.where("not fits")
-        if large.isEmpty():
-            return labels, links.distinct()
-        parts = large.join(units.select("uid", "keys"), "uid").select("uid", "used", F.explode(F.array_except("keys", "used")).alias("key"))
-        parts = parts.select("uid", F.array_sort(F.array_append("used", F.col("key"))).alias("used"))
-        members = shared(parts.select("uid", F.xxhash64("used").alias("bucket"), "used").distinct())
+    # the lead is the unit that meets the most others over all its buckets: the original of a
+    # family, which its copies are nearer to than to each other
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    meets = members.join(sizes, "bucket").groupBy("uid").agg(F.sum("n").alias("met"))
+    weighed = cut(members.join(meets, "uid"), "weighed")
+    lead = weighed.groupBy("bucket").agg(F.max(F.struct("met", "uid")).alias("m")).select("bucket", F.col("m.uid").alias("lead"))
+    pairs = weighed.join(lead, "bucket").where("uid <> lead").select(F.least("uid", "lead").alias("a"), F.greatest("uid", "lead").alias("b")).distinct()
+    links = cut(similar(pairs, sets, threshold), "linked")
+
+    limits = ((F.col("n") <= LOCAL_UNITS) & (F.col("bytes") <= LOCAL_BYTES)).alias("fits")
+    known = classed(members, components(links), sets, limits)
+    here = known.where("fits").join(sets, "uid").withColumn("side", F.lit(False))
+    links = links.unionByName(cut(local_links(here, threshold), "linked"))
+    labels = components(links)
+    large = known.where("not fits")
+    if large.isEmpty():
+        return labels, links.distinct()
+    large = classed(large.select("bucket", "uid"), labels, sets, limits)  # the small buckets joined classes too
+    cells = chunk_cells(large).join(sets, "uid")
+    links = links.unionByName(cut(local_links(cells, threshold), "linked"))
+    return components(links), links.distinct()
+
+
+def classed(members: DataFrame, labels: DataFrame, sets: DataFrame, limits: Column) -> DataFrame:
+    """Stored (bucket, uid, c, bytes, fits) of the buckets that hold several classes c."""
+    known = members.join(labels, members["uid"] == labels["node"], "left").select("bucket", "uid", F.coalesce("root", "uid").alias("c"))
+    known = cut(known.join(sets.select("uid", F.octet_length("elements").cast("long").alias("bytes")), "uid"), "classed")
+    open_ = known.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    return cut(known.join(open_.where("lo < hi").select("bucket", limits), "bucket"), "open")
 
 
 def shared(members: DataFrame) -> DataFrame:
-    """Stored (bucket, uid, used) of the buckets with more than one unit."""
+    """Stored (bucket, uid) of the buckets with more than one unit."""
     more = members.groupBy("bucket").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("bucket")
-    return cut(members.join(more, "bucket", "left_semi").select("bucket", "uid", "used"), "buckets")
+    return cut(members.join(more, "bucket", "left_semi").select("bucket", "uid"), "buckets")
 
 
 def text_classes(docs: DataFrame, threshold: float) -> DataFrame:
