@@ -17,10 +17,9 @@ from pyspark.sql import functions as F
 
 from itemrollup.llm.common import cut, prepare, table
 from itemrollup.llm.decontaminate import drop_contaminated
-from itemrollup.llm.labelled import labelled_texts
 from itemrollup.llm.near_dups import drop_near_duplicates
 from itemrollup.llm.packing import pack
-from itemrollup.llm.quality_rules import SAMPLE_PER_CLASS, keep_good, train
+from itemrollup.llm.quality_rules import keep_good, trained
 from itemrollup.llm.secret_scan import redact
 
 
@@ -28,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the trained verdict reject go."""
     prepare(spark)
     labels = table(spark, sf_dir, "labels")
-    return keep_good(docs, train(labelled_texts(docs, labels, "quality", SAMPLE_PER_CLASS)))
+    return keep_good(docs, trained(docs, labels))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,9 @@ regression is trained on a bounded sample of labelled rows (AdaGrad), its logits
 into probabilities on rows left out of training (Platt scaling), and texts are scored in
 Arrow batches against fixed thresholds: below 50 words or with over half the words in
 repeated 3-word windows the base rules reject; a probability of good quality under
-``THRESHOLD`` rejects too.
+``THRESHOLD`` rejects too.  The sample holds a bounded number of rows of each class, so rows
+are weighted to the classes' shares among all labels, in training and in calibration: the
+threshold means the same probability at every table size.
 
 Defined cases: null and empty texts have no words, so the base rules reject them; without any
 labelled row of either class the base rules decide alone and score is null; repeated rows are
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from . import blocks as B
 from .common import map_blocks
 from .doc_stats import base_counts
-from .labelled import labelled_texts
+from .labelled import labelled_texts, share_of_ones
 
 BITS = 12  # buckets of each of the three feature groups
 GROUPS = 3
@@ -81,8 +83,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of the probability given a logit, by Newton steps on smoothed targets."""
+def class_weights(y: np.ndarray, prior: float) -> np.ndarray:
+    """Row weights under which label 1 has the share ``prior`` (1 each if only one label occurs)."""
+    ones = y.mean()
+    return np.where(y == 1, prior / ones, (1 - prior) / (1 - ones)) if 0 < ones < 1 else np.ones(len(y))
+
+
+def platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept of the probability given a logit, by weighted Newton steps on smoothed targets."""
     hi, lo = (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2)
     t = np.where(y == 1, hi, lo)
     scale = max(np.abs(z).std(), 1e-6)
@@ -90,8 +98,9 @@ def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     a, b = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-        w = np.maximum(p * (1 - p), 1e-6)
-        grad = np.array([((p - t) * z).sum() + 1e-3 * a, (p - t).sum()])
+        w = weight * np.maximum(p * (1 - p), 1e-6)
+        off = weight * (p - t)
+        grad = np.array([(off * z).sum() + 1e-3 * a, off.sum()])
         hess = np.array([[(w * z * z).sum() + 1e-3, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-6]])
         step = np.linalg.solve(hess, grad)
         a, b = a - np.clip(step[0], -1, 1), b - np.clip(step[1], -1, 1)
@@ -100,12 +109,17 @@ def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return a / scale, b
 
 
-def train(rows: DataFrame, epochs: int = 12, rate: float = 0.5, l2: float = 1e-7, batch: int = 32, seed: int = 7) -> Model | None:
-    """Fit on (doc_id, label, text) rows; the driver sees their bounded sparse features only."""
+def train(rows: DataFrame, prior: float | None = None, epochs: int = 12, rate: float = 0.5, l2: float = 1e-7, batch: int = 32, seed: int = 7) -> Model | None:
+    """Fit on (doc_id, label, text) rows; the driver sees their bounded sparse features only.
+
+    ``prior`` is the label-1 share before class sampling (None: that of the rows).
+    """
     t = map_blocks(rows, "doc_id string, label int, ids array<int>, vals array<float>", sparse_rows).toArrow().sort_by("doc_id")
     y = t.column("label").to_numpy().astype(float)
     if len(set(y)) < 2:
         return None
+    prior = y.mean() if prior is None or not 0 < prior < 1 else prior
+    weight = class_weights(y, prior)
     ids = [x.values.to_numpy() for x in t.column("ids")]
     vals = [x.values.to_numpy() for x in t.column("vals")]
     rng = np.random.default_rng(seed)
@@ -122,15 +136,20 @@ def train(rows: DataFrame, epochs: int = 12, rate: float = 0.5, l2: float = 1e-7
     for epoch in range(epochs):
         for at in np.array_split(rng.permutation(fit), max(1, len(fit) // batch)):
             i, v, owner, z = logits(at)
-            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[at]) / len(at)
+            g = weight[at] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[at]) / len(at)
             grad = np.bincount(i, weights=v * g[owner], minlength=len(w)) + l2 * w
             seen += grad * grad
             w -= rate * grad / np.sqrt(seen)
             bias -= 0.05 * g.sum()
-    a, b = platt(logits(held)[3], y[held])
+    a, b = platt(logits(held)[3], y[held], class_weights(y[held], prior))
     return Model(w * a, bias * a + b)
 
 
+def trained(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model | None:
+    """The model of at most ``per_class`` labelled rows of each class and the class shares of all labels."""
+    return train(labelled_texts(docs, labels, "quality", per_class), share_of_ones(labels, "quality"))
+
+
 def judge(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns, the base counts, base_failed, score (null without a model) and kept."""
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
@@ -173,4 +192,4 @@ def keep_good(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD
 
 def quality_rules(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Train on at most ``per_class`` labelled rows of each class, then judge every row."""
-    return judge(docs, train(labelled_texts(docs, labels, "quality", per_class)), keep=keep)
+    return judge(docs, trained(docs, labels, per_class), keep=keep)

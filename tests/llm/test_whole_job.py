@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from itemrollup.llm import near_dups as nd
+from itemrollup.llm import quality_rules
 from itemrollup.llm.common import prepare
 
 
@@ -32,3 +33,15 @@ def test_pairs_that_share_one_large_bucket_are_compared(spark, monkeypatch, unit
     want = {i: int(t[1]) for i, t in enumerate(texts)}
     assert set(root) == set(want)
     assert {(i, j) for i in root for j in root if root[i] == root[j]} == {(i, j) for i in want for j in want if want[i] == want[j]}
+
+
+def test_quality_probabilities_keep_the_class_shares_of_all_labels(spark):
+    rng = random.Random(6)
+    vocab = [f"w{i}" for i in range(40)]
+    # texts that tell nothing of their label: the probability is the share of good labels, 0.9
+    rows = [(i, " ".join(rng.choices(vocab, k=80)), int(i % 10 > 0)) for i in range(3000)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, quality int")
+    for per_class in (300, 5000):  # sampled to equal shares, and not sampled
+        out = quality_rules.quality_rules(docs, labels, per_class).collect()
+        assert abs(sum(r["score"] for r in out) / len(out) - 0.9) < 0.06, per_class
