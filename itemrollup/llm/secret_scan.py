@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 8, 16, 32
 
-# Values with a credential word before them, wider than ``assign``.
+# Places where a value of at least 6 characters follows a credential word, wider than ``assign``;
+# after a sign, a scheme word may stand before the value (Authorization: Basic ...).
 CONTEXT = re.compile(
     r"""(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|api[_-]?key|(?:access|private|secret|auth)[_-]?key|bearer|authorization)"""
-    r"""["']?[\x20\t]*(?:[:=]>?|\bis\b|(?<=bearer))[\x20\t]*["']?([!-~]{6,})""", re.I | re.A)
+    r"""["']?[\x20\t]*(?:[:=]>?[\x20\t]*["']?(?:(?:basic|bearer|negotiate|ntlm|token|apikey)[\x20\t]+)?|(?:\bis\b|(?<=bearer))[\x20\t]*["']?)(?=[!-~]{6})""",
+    re.I | re.A)
+RUN = re.compile(r"[!-~]+")
 GUESSES = 10.0  # log10 of the tries from which on a value counts as a secret
 MIN_GUESS_LEN = 8
 
@@ -60,24 +64,19 @@ def _adjacent(a: str, b: str) -> bool:
     return near or (a.isascii() and a.isalpha() and b.isalpha() and abs(ord(a) - ord(b)) == 1)
 
 
-def guess_cost(value: str, words: dict[str, int] | None = None) -> float:
-    """log10 of the guesses of the cheapest segmentation of ``value``."""
+def suffix_costs(value: str, words: dict[str, int] | None = None) -> list[float]:
+    """Per position, log10 of the guesses of the cheapest segmentation of ``value`` from there on."""
     rank = _RANKS if words is None else words
     longest = max(map(len, rank), default=0)
     low = value.lower()
     n = len(value)
-    best = [0.0] + [math.inf] * n
+    best = [math.inf] * n + [0.0]
     glue = math.log10(2)  # a segment more makes one more choice of form
     chars = [_char_cost(c) for c in value]
     # brute-force characters from a hexadecimal run are drawn from 16
     for m in re.finditer(r"[0-9a-f]{8,}|[0-9A-F]{8,}", value):
         for i in range(*m.span()):
             chars[i] = min(chars[i], math.log10(16))
-    dates: dict[int, int] = {}
-    for i in range(n):
-        m = DATE.match(value, i)
-        if m:
-            dates[i] = m.end()
     same, walk = [0] * (n + 1), [0] * (n + 1)
     again = {u: [0] * (n + 1) for u in (2, 3, 4)}  # a unit of u characters written again and again
     for i in range(n - 2, -1, -1):  # run lengths from i on: equal characters, keyboard neighbours
@@ -87,18 +86,19 @@ def guess_cost(value: str, words: dict[str, int] | None = None) -> float:
             runs[i] = runs[i + 1] + 1 if i + u < n and value[i] == value[i + u] else 0
 
     def offer(i: int, j: int, cost: float) -> None:
-        if best[i] + cost < best[j]:
-            best[j] = best[i] + cost
+        if cost + best[j] < best[i]:
+            best[i] = cost + best[j]
 
-    for i in range(n):
+    for i in range(n - 1, -1, -1):
         offer(i, i + 1, chars[i])
         for j in range(i + 3, min(n, i + longest) + 1):
             r = rank.get(low[i:j])
             if r is not None:
                 shout = 0 if value[i:j] == low[i:j] else math.log10(2) * min(2, j - i)
                 offer(i, j, math.log10(r + 1) + shout + glue)
-        if i in dates:
-            offer(i, dates[i], math.log10(365 * 120) + glue)
+        date = DATE.match(value, i)
+        if date:
+            offer(i, date.end(), math.log10(365 * 120) + glue)
         if same[i] >= 2:
             offer(i, i + same[i] + 1, chars[i] + math.log10(same[i] + 1) + glue)
         if walk[i] >= 3:
@@ -107,7 +107,29 @@ def guess_cost(value: str, words: dict[str, int] | None = None) -> float:
             times = (runs[i] + unit) // unit
             if times >= 3:
                 offer(i, i + times * unit, sum(chars[i:i + unit]) + math.log10(times) + glue)
-    return best[n]
+    return best
+
+
+def guess_cost(value: str, words: dict[str, int] | None = None) -> float:
+    """log10 of the guesses of the cheapest segmentation of ``value``."""
+    return suffix_costs(value, words)[0]
+
+
+def guess_spans(text: str, words: dict[str, int] | None = None) -> Iterator[tuple[int, str, int]]:
+    """The ``guess`` spans.  After a value that is no secret the search goes on at the value's own
+    start, as it may be a credential word itself; values of one run share their costs."""
+    pos, first, stop, costs = 0, 0, 0, None  # value run text[first:stop] whose costs are known
+    while m := CONTEXT.search(text, pos):
+        start = pos = m.end()
+        if start >= stop:
+            first, stop, costs = start, RUN.match(text, start).end(), None
+            end = first + len(text[first:stop].rstrip("\"'`.,;:!?)]}>"))
+        if end - start < MIN_GUESS_LEN:
+            continue
+        costs = suffix_costs(text[first:end], words) if costs is None else costs
+        if costs[start - first] >= GUESSES:
+            yield start, "guess", end
+            pos = stop
 
 
 _RANKS = {w: i + 1 for i, w in enumerate(WORDS)}
@@ -118,10 +140,7 @@ def spans_of(text: str, words: dict[str, int] | None = None) -> list[tuple[int,
     found = [(m.start(), "assign", m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_VALUE]
     found += [(m.start(), "access", m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     found += [(m.start(), "hex", m.end()) for m in HEX.finditer(text) if m.end() - m.start() >= MIN_HEX]
-    for m in CONTEXT.finditer(text):
-        value = m[1].rstrip("\"'`.,;:!?)]}>")
-        if len(value) >= MIN_GUESS_LEN and guess_cost(value, words) >= GUESSES:
-            found.append((m.start(1), "guess", m.start(1) + len(value)))
+    found += guess_spans(text, words)
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[1]), s[2]))
 
 

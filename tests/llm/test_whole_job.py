@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from itemrollup.llm import near_dups as nd
-from itemrollup.llm import quality_rules
+from itemrollup.llm import quality_rules, secret_scan
 from itemrollup.llm.common import prepare
 
 
@@ -45,3 +45,22 @@ def test_quality_probabilities_keep_the_class_shares_of_all_labels(spark):
     for per_class in (300, 5000):  # sampled to equal shares, and not sampled
         out = quality_rules.quality_rules(docs, labels, per_class).collect()
         assert abs(sum(r["score"] for r in out) / len(out) - 0.9) < 0.06, per_class
+
+
+@pytest.mark.parametrize("before,value", [
+    ("Authorization: Bearer ", "q7Zr.92LmXw-Tk4vB"), ("Authorization: Basic ", "dXNlcjp4OSRLcSF2ODI="), ('"authorization": "token ', "ghp_8Kd2mQ0sVx"),
+    ("token: password: ", "x9$Kq!v82Lm@"), ("secret: token: pwd = ", "x9$Kq!v82Lm@"), ("pwd:" * 50 + " pwd: ", "x9$Kq!v82Lm@"), ("authorization: ", "x9$Kq!v82Lm@")])
+def test_values_after_a_credential_word_that_is_a_value_itself(spark, before, value):
+    text = f"see {before}{value} there"
+    guesses = [(s, e) for s, kind, e in secret_scan.spans_of(text) if kind == "guess"]
+    assert (4 + len(before), 4 + len(before) + len(value)) in guesses
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert value not in secret_scan.redact(df).first()["text"]
+
+
+def test_nested_values_share_the_costs_of_their_run():
+    value = "pwd:token=secret=qwerty1990"
+    costs = secret_scan.suffix_costs(value)
+    for start in (0, 4, 10, 17):
+        assert abs(costs[start] - secret_scan.guess_cost(value[start:])) < 1e-9
+    assert [s for s in secret_scan.spans_of("password is basic password") if s[1] == "guess"] == []
