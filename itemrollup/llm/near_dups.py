@@ -306,26 +306,24 @@ def shared(members: DataFrame) -> DataFrame:
 
 
 def text_classes(docs: DataFrame, threshold: float) -> DataFrame:
-    """Per distinct non-empty text of (doc_id, text): h1, h2, own (its smallest doc_id), class_id,
-    n_links (to different texts) and kept (it is the class's one kept text)."""
+    """Per distinct non-empty text of (doc_id, text): h1, h2, own (its smallest doc_id), class_id
+    and kept (it is the class's one kept text)."""
     units = units_of(docs)
-    labels, links = link_units(docs, units, threshold)
-    ends = links.select(F.explode(F.array("a", "b")).alias("uid")).groupBy("uid").agg(F.count(F.lit(1)).alias("n_links"))
+    labels, _ = link_units(docs, units, threshold)
     named = units.select("uid", "h1", "h2", "doc_id").join(labels, F.col("uid") == labels["node"], "left").select(
-        "uid", "h1", "h2", "doc_id", F.coalesce("root", "uid").alias("root")).join(ends, "uid", "left")
+        "uid", "h1", "h2", "doc_id", F.coalesce("root", "uid").alias("root"))
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("uid").alias("uid"))
     lead = named.groupBy("root").agg(F.min(order).alias("m")).select("root", F.col("m.id").alias("class_id"), F.col("m.uid").alias("lead"))
-    return named.join(lead, "root").select("h1", "h2", F.col("doc_id").alias("own"), "class_id",
-                                           F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), (F.col("uid") == F.col("lead")).alias("kept"))
+    return named.join(lead, "root").select("h1", "h2", F.col("doc_id").alias("own"), "class_id", (F.col("uid") == F.col("lead")).alias("kept"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a document: doc_id, class_id and n_links (of its text to different texts)."""
+    """One row a document: doc_id and class_id."""
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    classes = text_classes(docs, threshold).select("h1", "h2", "class_id", "n_links")
+    classes = text_classes(docs, threshold).select("h1", "h2", "class_id")
     rows = docs.select("doc_id", *_identity(), (F.coalesce(F.octet_length("text"), F.lit(0)) == 0).alias("blank"))
-    out = rows.where("not blank").join(classes, ["h1", "h2"]).select("doc_id", "class_id", "n_links")
-    return out.unionByName(rows.where("blank").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+    out = rows.where("not blank").join(classes, ["h1", "h2"]).select("doc_id", "class_id")
+    return out.unionByName(rows.where("blank").select("doc_id", F.col("doc_id").alias("class_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:

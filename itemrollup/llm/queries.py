@@ -56,7 +56,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,3 +64,9 @@ def test_nested_values_share_the_costs_of_their_run():
     for start in (0, 4, 10, 17):
         assert abs(costs[start] - secret_scan.guess_cost(value[start:])) < 1e-9
     assert [s for s in secret_scan.spans_of("password is basic password") if s[1] == "guess"] == []
+
+
+def test_near_duplicates_report_no_partial_link_count(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, None)], "doc_id bigint, text string")
+    out = nd.near_duplicates(docs)
+    assert out.columns == ["doc_id", "class_id"] and {(r[0], r[1]) for r in out.collect()} == {(1, 1), (2, 1), (3, 3)}
