@@ -21,6 +21,7 @@ from itemrollup.llm.near_dups import drop_near_duplicates
 from itemrollup.llm.packing import pack
 from itemrollup.llm.quality_rules import keep_good, trained
 from itemrollup.llm.secret_scan import redact
+from itemrollup.llm.token_counts import build, load_pieces
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +54,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of the remaining texts in optimal length buckets and batches."""
+    """Sequences of the remaining texts, with their bytes, in optimal length buckets and batches."""
     prepare(spark)
-    return pack(docs)
+    return pack(docs, automaton=build(load_pieces()))
 
 
 STAGES = [

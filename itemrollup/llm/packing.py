@@ -1,30 +1,74 @@
 """Optimal length buckets: padding-minimal bucket boundaries and token-budget batches inside.
 
-A text of n tokens becomes ceil(n / max_len) sequences of at most ``max_len`` tokens.  The
-global histogram of sequence lengths has at most ``max_len`` entries, whatever the corpus, and
+A text of n tokens becomes ceil(n / max_len) sequences of at most ``max_len`` tokens.  Tokens are
+the pieces of an automaton (see ``token_counts``), or words where none is given.  A sequence begins
+where its first token does and ends where the next one begins, so the sequences of a row are its
+text's bytes without a gap; a row id tells rows of equal or no key apart.  The global histogram of sequence lengths has at most ``max_len`` entries, whatever the corpus, and
 is all the driver sees.  Dynamic programming over it chooses at most ``buckets`` upper bounds
 with the least total padding; every batch holds sequences of one bucket, padded to its bound,
 and at most ``budget`` padded tokens.
 
 Defined cases: null, empty and blank texts have no token, hence one row with n_tokens 0 and no
-bucket or batch; ties in length share a bucket; repeated rows are packed each on its own;
+bucket or batch; a token may end inside a character, hence sequences are bytes (null for null); ties in length share a bucket; repeated rows are packed each on its own;
 extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, numbered
+from . import blocks as B
+from .common import cut, map_blocks, numbered
+from .token_counts import Automaton, tokens_of
 
-WORD = r"[^\x20\x09-\x0D]+"
 
+def sequence_starts(buf: np.ndarray, offs: np.ndarray, max_len: int, automaton: Automaton | None) -> tuple[np.ndarray, ...]:
+    """Per sequence of a block's texts: its document, piece number, tokens and first byte."""
+    words = B.Words(buf, offs, B.NON_BLANK)
+    per = np.ones(len(words), dtype=np.int64) if automaton is None else tokens_of(automaton, words)
+    before = np.concatenate([[0], np.cumsum(per)])  # tokens before every word
+    first, total = before[words.ranges[:-1]], np.diff(before[words.ranges])
+    n = np.maximum(1, -(-total // max_len))
+    doc = np.repeat(np.arange(len(n)), n)
+    piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+    start = offs[doc].copy()
+    later = np.flatnonzero(piece)
+    token = first[doc[later]] + piece[later] * max_len
+    word = np.searchsorted(before, token, side="right") - 1
+    start[later] = words.starts[word]
+    inside, known = token - before[word], (-1, [])
+    for i in np.flatnonzero(inside):  # the sequence begins within a word
+        w = int(word[i])
+        if known[0] != w:
+            known = w, automaton.token_starts(buf[words.starts[w]:words.ends[w]].tobytes())
+        start[later[i]] += known[1][inside[i]]
+    return doc, piece, np.minimum(max_len, total[doc] - piece * max_len), start
 
-def word_tokens(text: str) -> Column:
-    """Tokens as runs of non-blank characters (null: 0)."""
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+
+def sequences(docs: DataFrame, key: str, text: str, max_len: int, automaton: Automaton | None) -> DataFrame:
+    """Stored rows: doc_id, row_id, piece, n_tokens, start_byte, end_byte, sequence and rid."""
+    sent = docs.sparkSession.sparkContext.broadcast(automaton)  # the vocabulary's size
+    rows = docs.select(F.col(key).alias("doc_id"), F.monotonically_increasing_id().alias("row_id"), F.col(text).alias("text"))
+
+    def split(batch, buf, offs):
+        doc, piece, tokens, start = sequence_starts(buf, offs, max_len, sent.value)
+        stop = np.append(start[1:], offs[-1])
+        kind = pa.large_binary() if offs[-1] >= 1 << 31 else pa.binary()
+        at = np.append(start, offs[-1]).astype(np.int64 if pa.types.is_large_binary(kind) else np.int32)
+        body = pa.Array.from_buffers(kind, len(doc), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(buf))])
+        own = pa.array(doc)
+        none = pc.is_null(batch.column(2)).take(own)
+        return {"doc_id": batch.column(0).take(own), "row_id": batch.column(1).take(own), "piece": piece, "n_tokens": tokens,
+                "start_byte": start - offs[doc], "end_byte": stop - offs[doc], "sequence": pc.if_else(none, pa.scalar(None, kind), body)}
+
+    kind = docs.schema[key].dataType.simpleString()
+    schema = f"doc_id {kind}, row_id bigint, piece bigint, n_tokens bigint, start_byte bigint, end_byte bigint, sequence binary"
+    out = map_blocks(rows, schema, split, block_bytes=4 * B.BLOCK_BYTES)
+    return cut(out.withColumn("rid", F.monotonically_increasing_id()), "sequences")
 
 
 def bucket_bounds(histogram: dict[int, int], buckets: int) -> list[int]:
@@ -59,22 +103,17 @@ def bucket_bounds(histogram: dict[int, int], buckets: int) -> list[int]:
     return out[::-1]
 
 
-def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens: Column | None = None,
+def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", automaton: Automaton | None = None,
          max_len: int = 2048, buckets: int = 8, budget: int = 16_384) -> DataFrame:
-    """One row a sequence: doc_id, piece, n_tokens, bucket, bucket_len, batch, slot, padding.
+    """One row a sequence: doc_id, piece, n_tokens, bucket, bucket_len, batch, slot, padding, and
+    row_id (unique per row of ``docs``), start_byte, end_byte and sequence (the text's bytes there).
 
     ``batch`` numbers the batches of a bucket from 0; ``slot`` is the row within the batch.
     ``budget`` must be at least ``max_len``.
     """
     if budget < max_len:
         raise ValueError("budget must hold one sequence of max_len tokens")
-    n = word_tokens(text) if tokens is None else tokens
-    rows = docs.select(F.col(key).alias("doc_id"), n.alias("_total"))
-    last = F.greatest(F.lit(0).cast("long"), F.ceil(F.col("_total") / F.lit(max_len)).cast("long") - 1)
-    rows = rows.select("doc_id", "_total", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
-    rows = rows.select("doc_id", "piece", F.least(F.lit(max_len).cast("long"), F.col("_total") - F.col("piece") * max_len).alias("n_tokens"),
-                       F.monotonically_increasing_id().alias("rid"))
-    rows = cut(rows, "sequences")
+    rows = sequences(docs, key, text, max_len, automaton)
     counts = rows.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("c")).collect()  # at most max_len + 1 rows
     bounds = bucket_bounds({int(r["n_tokens"]): int(r["c"]) for r in counts}, buckets)
 
@@ -91,4 +130,5 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens: Colum
         F.floor(F.col("_slot") / room).cast("long").alias("batch"),
         F.when(F.col("bucket").isNotNull(), F.col("_slot") % room).cast("long").alias("slot"),
         (F.col("bucket_len") - F.col("n_tokens")).alias("padding"),
+        "row_id", "start_byte", "end_byte", "sequence",
     )

@@ -16,7 +16,7 @@ from .quality_trees import quality_classifier
 from .secret_scan import scan
 from .sharding import shard_documents
 from .substring_dedup import dedup_substrings
-from .token_counts import count_tokens
+from .token_counts import build, count_tokens, load_pieces
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,8 @@ def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    prepare(spark)
+    return pack(table(spark, sf_dir, "documents"), automaton=build(load_pieces()))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

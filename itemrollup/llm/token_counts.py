@@ -55,6 +55,8 @@ class Automaton:
     fail: np.ndarray
     popped: np.ndarray  # pieces popped along the failure link
     final: np.ndarray  # pieces popped when the word ends in this node
+    _edges: dict | None = None  # edges and piece marks as plain Python, made where they are used
+    _pieces: list | None = None
 
     def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """The node after reading ``byte``, or -1 where no edge has it."""
@@ -84,6 +86,26 @@ class Automaton:
         return count
 
 
+    def token_starts(self, word: bytes) -> list[int]:
+        """Where the pieces of one word begin (a piece that begins with the space before it: 0)."""
+        if self._edges is None:
+            self._edges = dict(zip(self.keys.tolist(), self.targets.tolist()))
+            self._pieces = (self.fail == 0).tolist()  # only pieces go back to the root
+        edges, is_piece = self._edges, self._pieces
+        raw, at, out = bytes([SPACE]) + word, 0, []
+        while at < len(raw):
+            out.append(max(0, at - 1))
+            node, stop = 0, at + 1
+            for pos in range(at, len(raw)):
+                node = edges.get(node * 256 + raw[pos], -1)
+                if node < 0:
+                    break
+                if is_piece[node]:
+                    stop = pos + 1
+            at = stop
+        return out
+
+
 def build(pieces: Iterable[bytes]) -> Automaton:
     """Trie, failure links and popped counts, breadth first."""
     edges: dict[int, int] = {}
@@ -115,6 +137,12 @@ def build(pieces: Iterable[bytes]) -> Automaton:
     return Automaton(keys, np.array([edges[int(k)] for k in keys], dtype=np.int64), np.array(fail), np.array(popped), np.array(final))
 
 
+def tokens_of(automaton: Automaton, words: B.Words) -> np.ndarray:
+    """Pieces of every word of a block; equal words are read once."""
+    _, first, of = np.unique(words.hashes(), return_index=True, return_inverse=True)
+    return automaton.lengths(words.buf, words.starts[first], words.ends[first])[of]
+
+
 def count_tokens(docs: DataFrame, pieces: Iterable[bytes] | None = None, path: str = VOCABULARY,
                  keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns with n_words and n_tokens of every whole text."""
@@ -125,9 +153,7 @@ def count_tokens(docs: DataFrame, pieces: Iterable[bytes] | None = None, path: s
 
     def count(batch, buf, offs):
         words = B.Words(buf, offs, B.NON_BLANK)
-        _, first, of = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        pieces_of = sent.value.lengths(buf, words.starts[first], words.ends[first])
-        tokens = B.sums_by_doc(pieces_of[of], words.ranges) if len(words) else np.zeros(len(offs) - 1, np.int64)
+        tokens = B.sums_by_doc(tokens_of(sent.value, words), words.ranges)
         return {c: batch.column(at[c]) for c in keep} | {"n_words": words.counts.astype(np.int64), "n_tokens": tokens}
 
     schema = ", ".join([*(f"`{c}` {fields[c]}" for c in keep), "n_words bigint, n_tokens bigint"])

@@ -1,12 +1,14 @@
 """Cases in which an operator once did less than its whole job."""
 
+import base64
+import collections
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from itemrollup.llm import near_dups as nd
-from itemrollup.llm import quality_rules, secret_scan
+from itemrollup.llm import packing, quality_rules, queries, secret_scan, token_counts
 from itemrollup.llm.common import prepare
 
 
@@ -70,3 +72,49 @@ def test_near_duplicates_report_no_partial_link_count(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, None)], "doc_id bigint, text string")
     out = nd.near_duplicates(docs)
     assert out.columns == ["doc_id", "class_id"] and {(r[0], r[1]) for r in out.collect()} == {(1, 1), (2, 1), (3, 3)}
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def automaton():
+    return token_counts.build(token_counts.load_pieces())
+
+
+def test_pieces_of_a_word_are_as_many_as_counted(automaton):
+    rng = random.Random(9)
+    words = [b"a", "\u4f60\u597d\u4e16\u754c".encode() * 40, base64.b64encode(rng.randbytes(600)), b"-" * 300, b"internationalization"]
+    for w in words:
+        starts = automaton.token_starts(w)
+        buf = packing.np.frombuffer(w, packing.np.uint8)
+        assert len(starts) == automaton.lengths(buf, packing.np.array([0]), packing.np.array([len(w)]))[0]
+        assert starts == sorted(starts) and starts[0] == 0
+
+
+def test_packing_bounds_real_tokens_and_carries_the_texts(spark, automaton):
+    rng = random.Random(10)
+    prose = "  the quick brown fox, internationalization \u00e9t\u00e9 \n" * 30
+    texts = [None, "", "  ", prose, "\u4f60\u597d\u4e16\u754c" * 500, base64.b64encode(rng.randbytes(3000)).decode(), prose + "x", "one"]
+    rows = [*enumerate(texts), (None, prose), (None, "two words"), (3, "again 3")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    out = packing.pack(docs, automaton=automaton, max_len=50, buckets=3, budget=200).collect()
+    whole = collections.defaultdict(list)
+    for r in out:
+        whole[r["row_id"], r["doc_id"]].append(r)
+        assert r["n_tokens"] <= 50 and (r["sequence"] is None or len(r["sequence"]) == r["end_byte"] - r["start_byte"])
+    got = collections.Counter()
+    for (_, doc), pieces in whole.items():
+        pieces.sort(key=lambda r: r["piece"])
+        assert [r["piece"] for r in pieces] == list(range(len(pieces)))
+        body = None if pieces[0]["sequence"] is None else b"".join(bytes(r["sequence"]) for r in pieces).decode()
+        got[doc, body, sum(r["n_tokens"] for r in pieces)] += 1
+    counts = token_counts.count_tokens(docs, keep=("doc_id", "text")).collect()
+    assert got == collections.Counter((r["doc_id"], r["text"], r["n_tokens"]) for r in counts)
+    assert max(len(p) for p in whole.values()) > 20
+
+
+def test_registered_packing_uses_the_token_counts(spark):
+    out = queries.op9_packing(spark, SF).groupBy("doc_id").agg(F.sum("n_tokens").alias("n"))
+    want = queries.op1_token_counts(spark, SF).groupBy("doc_id").agg(F.sum("n_tokens").alias("n"))
+    assert out.exceptAll(want).isEmpty() and want.exceptAll(out).isEmpty()
