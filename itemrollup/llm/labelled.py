@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sample_by_hash
+from .common import one_per_key, sample_by_hash
 
 
 def usable_labels(labels: DataFrame, label: str, eligible=None, key: str = "doc_id") -> DataFrame:
@@ -26,10 +26,10 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, per_class: in
     """(key, label, text) of at most ``per_class`` documents of each of the labels 0 and 1.
 
     The sample is a top-n by a hash of the key over the narrow label table; only its rows'
-    texts are read on.
+    texts are read on, one row of each key.
     """
     marks = usable_labels(labels, label, eligible, key)
     zero = sample_by_hash(marks.where("label = 0"), key, per_class)
     one = sample_by_hash(marks.where("label = 1"), key, per_class)
-    few = F.broadcast(zero.unionByName(one))  # at most 2 * per_class narrow rows
-    return docs.select(F.col(key), F.col(text).alias("text")).join(few, key).select(key, F.col("label").cast("int").alias("label"), "text")
+    few = zero.unionByName(one)  # at most 2 * per_class narrow rows
+    return one_per_key(docs.select(F.col(key), F.col(text).alias("text")), few, key).select(key, F.col("label").cast("int").alias("label"), "text")

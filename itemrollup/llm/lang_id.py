@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .common import crc_fold, map_blocks, sample_by_hash, segment_ids
+from .common import crc_fold, map_blocks, one_per_key, sample_by_hash, segment_ids
 
 UNKNOWN = "und"
 BITS = 14
@@ -90,11 +90,11 @@ def training_rows(docs: DataFrame, eligible, n: int, text: str = "text", lang: s
     """At most ``n`` labelled rows as sparse subword counts: (label, ids, counts).
 
     The sample is chosen on keys alone (bounded top-n), then only its rows' whole texts are
-    read and reduced to counts over the fixed table, in the tasks.
+    read, one row of each key, and reduced to counts over the fixed table, in the tasks.
     """
     keys = sample_by_hash(docs.where(eligible & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(key).distinct(), key, n)
     rows = docs.where(eligible & F.col(lang).isNotNull()).select(key, F.col(lang).alias("label"), F.col(text).alias("text"))
-    rows = rows.join(F.broadcast(keys), key, "left_semi").select("label", "text")  # at most n keys
+    rows = one_per_key(rows, keys, key).select("label", "text")  # at most n rows
 
     def counts(batch, buf, offs):
         ids, owner = subword_ids(buf, offs)

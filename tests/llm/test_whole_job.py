@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from itemrollup.llm import near_dups as nd
-from itemrollup.llm import packing, quality_rules, queries, secret_scan, token_counts
+from itemrollup.llm import lang_id, packing, quality_rules, queries, secret_scan, token_counts
 from itemrollup.llm.common import prepare
+from itemrollup.llm.labelled import labelled_texts
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -118,3 +119,13 @@ def test_registered_packing_uses_the_token_counts(spark):
     out = queries.op9_packing(spark, SF).groupBy("doc_id").agg(F.sum("n_tokens").alias("n"))
     want = queries.op1_token_counts(spark, SF).groupBy("doc_id").agg(F.sum("n_tokens").alias("n"))
     assert out.exceptAll(want).isEmpty() and want.exceptAll(out).isEmpty()
+
+
+def test_samples_hold_one_row_of_a_repeated_key(spark):
+    rows = [(i, f"text {i}", "en") for i in range(20)] + [(3, f"copy {i}", "de") for i in range(300)] + [(4, "same", "en")] * 300
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id bigint, quality int")
+    got = labelled_texts(docs, labels, "quality", 10).collect()
+    assert sorted((r["doc_id"], r["label"]) for r in got) == [(i, i % 2) for i in range(20)]
+    assert {(r["doc_id"], r["text"]) for r in got} <= {r[:2] for r in rows}
+    assert 20 <= len(lang_id.training_rows(docs, F.lit(True), 20)) <= 21  # with or without the second language of a key
