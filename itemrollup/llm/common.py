@@ -120,12 +120,13 @@ def sample_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key), F.lit(17)), F.col(key)).limit(n)
 
 
-def one_per_key(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """``rows`` joined to the distinct sampled ``keys`` (bounded, broadcast), one row a key: that of the
-    smallest hash of its own columns.  A key that repeats in many rows brings no more rows on."""
-    rows = rows.withColumn("_h", F.xxhash64(*[c for c in rows.columns if c != key]))
-    first = rows.select(key, "_h").join(F.broadcast(keys), key).groupBy(*keys.columns).agg(F.min("_h").alias("_h"))
-    return rows.join(F.broadcast(first), [key, "_h"]).dropDuplicates([key]).drop("_h")
+def one_per_key(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` joined to the distinct sampled ``keys`` (bounded, broadcast) on their common columns, one
+    row a key: that of the smallest hash of its own columns.  A key in many rows brings no more rows on."""
+    on = [c for c in keys.columns if c in rows.columns]
+    rows = rows.withColumn("_h", F.xxhash64(*[c for c in rows.columns if c not in on]))
+    first = rows.select(*on, "_h").join(F.broadcast(keys), on).groupBy(*keys.columns).agg(F.min("_h").alias("_h"))
+    return rows.join(F.broadcast(first), [*on, "_h"]).dropDuplicates(on).drop("_h")
 
 
 def segment_ids(counts: np.ndarray) -> np.ndarray:

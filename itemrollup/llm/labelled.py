@@ -32,4 +32,4 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, per_class: in
     zero = sample_by_hash(marks.where("label = 0"), key, per_class)
     one = sample_by_hash(marks.where("label = 1"), key, per_class)
     few = zero.unionByName(one)  # at most 2 * per_class narrow rows
-    return one_per_key(docs.select(F.col(key), F.col(text).alias("text")), few, key).select(key, F.col("label").cast("int").alias("label"), "text")
+    return one_per_key(docs.select(F.col(key), F.col(text).alias("text")), few).select(key, F.col("label").cast("int").alias("label"), "text")

@@ -3,12 +3,15 @@
 A text is the bag of its subwords: the byte 3-grams and 4-grams of its lower-cased words with
 a boundary mark on either side, hashed into a fixed table.  Its vector is the average of the
 subword embeddings, and a linear softmax over it gives the languages' probabilities.  Both
-layers are trained by stochastic gradient descent in numpy on a bounded sample.  For scoring,
+layers are trained by stochastic gradient descent in numpy on a bounded sample of each label,
+so a rare label is learned from a table of any size; the bias then takes the log of the labels'
+shares among all rows over those in the sample.  For scoring,
 the two layers collapse into one table of class scores per subword, so a text costs a few
 array operations a byte and all of it counts.
 
 Calibration: on sample rows left out of training, one temperature is fitted to the logits and
-the rejection threshold is the lowest score whose accepted rows are right as often as asked.
+the rejection threshold is the lowest score whose accepted rows, weighted to the labels' shares
+among all rows, are right as often as asked.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; rows without a
 label are never learned from; if no label can be learned from at all, every text is ``und``;
@@ -21,11 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .common import crc_fold, map_blocks, one_per_key, sample_by_hash, segment_ids
+from .common import crc_fold, map_blocks, one_per_key, segment_ids
 
 UNKNOWN = "und"
 BITS = 14
@@ -87,14 +90,16 @@ class Model:
 
 
 def training_rows(docs: DataFrame, eligible, n: int, text: str = "text", lang: str = "lang", key: str = "doc_id") -> list:
-    """At most ``n`` labelled rows as sparse subword counts: (label, ids, counts).
+    """At most ``n`` rows of each label as sparse subword counts: (label, ids, counts).
 
-    The sample is chosen on keys alone (bounded top-n), then only its rows' whole texts are
-    read, one row of each key, and reduced to counts over the fixed table, in the tasks.
+    The sample is chosen on keys and labels alone (a top-n a label, of which every task sends at
+    most n on), then only its rows' whole texts are read, one row of each key and label, and
+    reduced to counts over the fixed table, in the tasks.  The driver gets n rows a label.
     """
-    keys = sample_by_hash(docs.where(eligible & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(key).distinct(), key, n)
-    rows = docs.where(eligible & F.col(lang).isNotNull()).select(key, F.col(lang).alias("label"), F.col(text).alias("text"))
-    rows = one_per_key(rows, keys, key).select("label", "text")  # at most n rows
+    rows = docs.where(eligible & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(key, F.col(lang).alias("label"), F.col(text).alias("text"))
+    least = Window.partitionBy("label").orderBy(F.xxhash64(F.col(key), F.lit(17)), F.col(key))
+    keys = rows.select(key, "label").distinct().withColumn("_nth", F.row_number().over(least)).where(F.col("_nth") <= n).drop("_nth")
+    rows = one_per_key(rows, keys).select("label", "text")
 
     def counts(batch, buf, offs):
         ids, owner = subword_ids(buf, offs)
@@ -114,8 +119,17 @@ def training_rows(docs: DataFrame, eligible, n: int, text: str = "text", lang: s
     return out
 
 
-def train(rows: list, dim: int = 12, epochs: int = 8, steps: int = 600, rate: float = 2.0, batch: int = 32, precision: float = 0.99, seed: int = 5) -> Model | None:
-    """SGD on the softmax loss (``epochs`` passes, and at least ``steps`` batches); then temperature and rejection threshold on left-out rows."""
+def label_counts(docs: DataFrame, eligible, lang: str = "lang", key: str = "doc_id") -> dict[str, int]:
+    """Rows of every label that can be learned from: one entry a label."""
+    found = docs.where(eligible & F.col(lang).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(lang).alias("label")).count().collect()
+    return {r["label"]: r["count"] for r in found}
+
+
+def train(rows: list, counts: dict[str, int] | None = None, dim: int = 12, epochs: int = 8, steps: int = 600, rate: float = 2.0, batch: int = 32, precision: float = 0.99, seed: int = 5) -> Model | None:
+    """SGD on the softmax loss (``epochs`` passes, and at least ``steps`` batches); then temperature and rejection threshold on left-out rows.
+
+    ``counts`` are the rows of every label before sampling (None: those of the sample).
+    """
     labels = sorted({r[0] for r in rows})
     if not labels:
         return None
@@ -125,6 +139,9 @@ def train(rows: list, dim: int = 12, epochs: int = 8, steps: int = 600, rate: fl
     order = order[len(rows) // 5:] if len(rows) >= 25 else order
     of = {x: i for i, x in enumerate(labels)}
     y = np.array([of[r[0]] for r in rows])
+    had = np.bincount(y, minlength=len(labels))
+    full = had if counts is None else np.array([max(counts.get(x, 0), 1) for x in labels])
+    lift = full / full.sum() * had.sum() / had  # of every label: its share of all rows over that of the sample
     emb = rng.uniform(-1 / dim, 1 / dim, (1 << BITS, dim))
     out = np.zeros((dim, len(labels)))
     bias = np.zeros(len(labels))
@@ -161,12 +178,12 @@ def train(rows: list, dim: int = 12, epochs: int = 8, steps: int = 600, rate: fl
         z = vectors(held)[3] @ out + bias
         fits = [(-np.log(np.maximum(soft(z * t)[np.arange(len(held)), y[held]], 1e-12)).mean(), t) for t in np.geomspace(0.1, 10, 41)]
         temperature = min(fits)[1]
-        p = soft(z * temperature)
-        top, right = p.max(axis=1), p.argmax(axis=1) == y[held]
+        p = soft(z * temperature + np.log(lift))
+        top, right, weight = p.max(axis=1), p.argmax(axis=1) == y[held], lift[y[held]]
         by = np.argsort(-top, kind="stable")
-        good = np.cumsum(right[by]) / np.arange(1, len(by) + 1) >= precision
+        good = np.cumsum((right * weight)[by]) / np.cumsum(weight[by]) >= precision
         threshold = float(top[by][np.flatnonzero(good)[-1]]) if good.any() else 1.0
-    return Model(labels, np.ascontiguousarray((emb @ out).T * temperature), bias * temperature, threshold)
+    return Model(labels, np.ascontiguousarray((emb @ out).T * temperature), bias * temperature + np.log(lift), threshold)
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -192,9 +209,9 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: tup
     return map_blocks(rows, schema, predict, text="_text")
 
 
-def language_id(docs: DataFrame, sample: int = 3000, fold: int = 4, held_fold: int = 2) -> DataFrame:
-    """Learn from the rows outside the held-out fold (at most ``sample``) and predict every row."""
+def language_id(docs: DataFrame, sample: int = 1000, fold: int = 4, held_fold: int = 2) -> DataFrame:
+    """Learn from the rows outside the held-out fold (at most ``sample`` of each label) and predict every row."""
     eligible = crc_fold("doc_id", fold) != held_fold
-    model = train(training_rows(docs, eligible, sample))
+    model = train(training_rows(docs, eligible, sample), label_counts(docs, eligible))
     out = identify(docs, model)
     return out.select("doc_id", F.coalesce(crc_fold("doc_id", fold) == held_fold, F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted")

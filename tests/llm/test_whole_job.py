@@ -128,4 +128,15 @@ def test_samples_hold_one_row_of_a_repeated_key(spark):
     got = labelled_texts(docs, labels, "quality", 10).collect()
     assert sorted((r["doc_id"], r["label"]) for r in got) == [(i, i % 2) for i in range(20)]
     assert {(r["doc_id"], r["text"]) for r in got} <= {r[:2] for r in rows}
-    assert 20 <= len(lang_id.training_rows(docs, F.lit(True), 20)) <= 21  # with or without the second language of a key
+    assert len(lang_id.training_rows(docs, F.lit(True), 20)) == 21  # key 3 has a second language
+
+
+def test_a_rare_language_is_learned_from_a_sampled_table(spark):
+    rng = random.Random(11)
+    say = lambda letters: " ".join("".join(rng.choices(letters, k=5)) for _ in range(12))
+    rows = [(i, say("uvwxyz") if i % 100 == 0 else say("abcdef"), "rare" if i % 100 == 0 else "usual") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = collections.Counter(r[0] for r in lang_id.training_rows(docs, F.lit(True), 25))
+    assert got == {"rare": 25, "usual": 25}  # a plain sample of 50 rows has none or few of the rare ones
+    out = {r["doc_id"]: r["lang_pred"] for r in lang_id.language_id(docs, sample=25).collect()}
+    assert all(out[r[0]] == r[2] for r in rows)
