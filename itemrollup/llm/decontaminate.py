@@ -16,8 +16,9 @@ merged per document, so nothing that grows is broadcast whole.
 
 Words are runs of digits, letters a-z (A-Z lower-cased) and non-ASCII characters, known by
 64-bit hashes of their bytes.  Defined cases: null, empty and word-free texts have no words;
-items without an id or a word are not searched for; equal item rows count once; repeated
-documents are searched each on its own; extra columns pass by.
+items without a word are not searched for; items without an id add to the hit words and make
+a document contaminated, but are not in its items; equal item rows count once; repeated documents
+are searched each on its own; extra columns pass by.
 """
 
 from __future__ import annotations
@@ -82,14 +83,15 @@ class Phrases:
     """The phrases of a block of items: distinct windows of term numbers, grouped by length.
 
     ``groups`` has per length (matrix of term numbers, item offsets, item numbers): window w
-    belongs to the items numbered items[offsets[w]:offsets[w + 1]].
+    belongs to the items numbered items[offsets[w]:offsets[w + 1]]; ``ids`` ends with the number
+    of all items without an id.
     """
 
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW):
         raw = [t.encode() for _, t in items]
         offs = np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64)
         words, h = _words(np.frombuffer(b"".join(raw), np.uint8), offs)
-        self.ids = sorted({i for i, _ in items})
+        self.ids = [*sorted({i for i, _ in items if i is not None}), None]
         of = {x: k for k, x in enumerate(self.ids)}
         number = np.array([of[i] for i, _ in items], dtype=np.int64)
         self.vocabulary, term = np.unique(h, return_inverse=True)
@@ -189,11 +191,12 @@ def search(index: DataFrame, phrases: Phrases, slop: int = SLOP) -> DataFrame:
                             if e:
                                 ranges.add((s - int(first[d]), s - int(first[d]) + size))
                                 sure.update(own)
+                named = lambda found: [p.ids[i] for i in found if p.ids[i] is not None]
                 if got:
                     yield pa.RecordBatch.from_pydict({
                         "rid": [int(rids[d]) for d in got],
                         "starts": [[s for s, _ in x[0]] for x in got.values()], "ends": [[e for _, e in x[0]] for x in got.values()],
-                        "items": [[p.ids[i] for i in x[1]] for x in got.values()], "near_items": [[p.ids[i] for i in x[2]] for x in got.values()],
+                        "items": [named(x[1]) for x in got.values()], "near_items": [named(x[2]) for x in got.values()],
                     }, schema=_RANGES_ARROW)
 
     return index.select("rid", "first_word", "n_words", "terms", "lists", "positions").mapInArrow(freed(find), _RANGES)
@@ -223,7 +226,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
                   block_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
     """Every document: doc_id (the key), n_words, n_hit, n_items, items_sha256, contaminated, n_near_items."""
     rows = docs.select((F.col(key) if isinstance(key, str) else key).alias("key"), F.col("text"))
-    items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
+    items = benchmark.where(F.col("text").isNotNull())
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     size = items.agg(F.sum(F.octet_length("text")).alias("b")).collect()[0]["b"] or 0
     n = max(1, -(-size // (block_bytes // 2)))  # aims at half the bound, as hashed blocks vary

@@ -2,12 +2,14 @@
 
 import base64
 import collections
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from itemrollup.llm import near_dups as nd
+from itemrollup.llm import decontaminate as dec
 from itemrollup.llm import lang_id, packing, quality_rules, queries, secret_scan, token_counts
 from itemrollup.llm.common import prepare
 from itemrollup.llm.labelled import labelled_texts
@@ -140,3 +142,17 @@ def test_a_rare_language_is_learned_from_a_sampled_table(spark):
     assert got == {"rare": 25, "usual": 25}  # a plain sample of 50 rows has none or few of the rare ones
     out = {r["doc_id"]: r["lang_pred"] for r in lang_id.language_id(docs, sample=25).collect()}
     assert all(out[r[0]] == r[2] for r in rows)
+
+
+@pytest.mark.parametrize("block_bytes", [dec.ITEM_BLOCK_BYTES, 100])
+def test_items_without_an_id_contaminate(spark, block_bytes):
+    passage = " ".join(f"p{i}" for i in range(14))
+    bench = spark.createDataFrame([(None, passage), (7, "q " * 12), (None, "...")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "so " + passage + " end"), (2, passage + " q" * 12), (3, "clean"), (4, None)], "doc_id bigint, text string")
+    out = {r["doc_id"]: r for r in dec.decontaminate(docs, bench, block_bytes=block_bytes).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    cols = ("n_hit", "n_items", "items_sha256", "contaminated", "n_near_items")
+    assert tuple(out[1][c] for c in cols) == (14, 0, sha(""), True, 0)
+    assert tuple(out[2][c] for c in cols) == (26, 1, sha("7"), True, 1)
+    assert not out[3]["contaminated"] and not out[4]["contaminated"]
+    assert {r["doc_id"] for r in dec.drop_contaminated(docs, bench).collect()} == {3, 4}
