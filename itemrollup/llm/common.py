@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ref(name: str) -> Column:
+    """The column of this very name, also where it holds dots or back-ticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free_name(taken: Iterable[str], base: str) -> str:
+    """``base``, lengthened until no column of ``taken`` has it (column names ignore case)."""
+    have = {t.lower() for t in taken}
+    while base.lower() in have:
+        base += "_"
+    return base
+
+
 def prepare(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it (no-op if installed)."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

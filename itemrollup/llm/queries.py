@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .collocations import collocations
 from .common import prepare, table
 from .decontaminate import decontaminate
+from .filter_audit import filter_audit
 from .lang_id import language_id
 from .near_dups import near_duplicates
 from .packing import pack
@@ -15,8 +17,10 @@ from .quality_rules import quality_rules
 from .quality_trees import quality_classifier
 from .secret_scan import scan
 from .sharding import shard_documents
+from .sql import ORACLE_SQL
 from .substring_dedup import dedup_substrings
 from .token_counts import build, count_tokens, load_pieces
+from .url_filter import filter_urls
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +72,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
@@ -79,5 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dups": op8_near_dups,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
+    "op11_url_filter": op11_url_filter,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_collocations": op13_collocations,
 }
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "ORACLE_SQL"]
