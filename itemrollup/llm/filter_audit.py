@@ -49,7 +49,7 @@ class Diagram:
     """
 
     def __init__(self, counts: dict[int, tuple[int, ...]], filters: int):
-        self.size = len(next(iter(counts.values()), (0,)))
+        self.size = len(next(iter(counts.values()), (0, 0, 0)))
         self.order = list(range(filters))
         self.nodes: list[tuple] = [()]  # id -> (level, low, high), or () for a leaf
         self.weights: list[tuple[int, ...]] = [(0,) * self.size]
