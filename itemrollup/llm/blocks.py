@@ -17,6 +17,7 @@ U64 = np.uint64
 _P = 0x9E3779B97F4A7C15  # odd multipliers of the two rolling hashes (any odd 64-bit value works)
 _Q = 0xC2B2AE3D27D4EB4F
 BLOCK_BYTES = 1 << 20
+RANGE = 1 << 18  # bytes (or words) hashed at once
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -113,16 +114,37 @@ class Words:
     def doc_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.offs) - 1), self.counts)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of every word's bytes."""
-        if not len(self.starts):
-            return np.empty(0, U64)
-        up, down = _pow_tables(_P, len(self.buf))
-        total = np.empty(len(self.buf) + 1, U64)
-        total[0] = 0
-        np.cumsum((self.buf.astype(U64) + U64(1)) * up, out=total[1:])
-        h = (total[self.ends] - total[self.starts]) * down[self.starts]
-        return mix(h + (self.ends - self.starts).astype(U64))
+    def hashes(self, range_bytes: int = RANGE) -> np.ndarray:
+        """A 64-bit hash of every word's bytes.
+
+        Read in ranges of about ``range_bytes``, so the arrays of powers and sums stay that small
+        however long a text is; a longer word is summed piece by piece.
+        """
+        n = len(self.starts)
+        out = np.empty(n, U64)
+        lo = 0
+        while lo < n:
+            first = int(self.starts[lo])
+            hi = max(lo + 1, int(np.searchsorted(self.ends, first + range_bytes, side="right")))
+            last = int(self.ends[hi - 1])
+            if last - first > range_bytes:  # one long word
+                out[lo] = self._long_sum(first, last, range_bytes)
+            else:
+                up, down = _pow_tables(_P, last - first)
+                total = np.zeros(last - first + 1, U64)
+                np.cumsum((self.buf[first:last].astype(U64) + U64(1)) * up, out=total[1:])
+                at = self.starts[lo:hi] - first
+                out[lo:hi] = (total[self.ends[lo:hi] - first] - total[at]) * down[at]
+            lo = hi
+        return mix(out + (self.ends - self.starts).astype(U64))
+
+    def _long_sum(self, first: int, last: int, range_bytes: int) -> np.uint64:
+        total, power = 0, 1
+        for at in range(first, last, range_bytes):
+            piece = self.buf[at:min(last, at + range_bytes)].astype(U64) + U64(1)
+            total += int((piece * _pow_tables(_P, len(piece))[0]).sum()) * power
+            power = power * pow(_P, range_bytes, 1 << 64) & (1 << 64) - 1
+        return U64(total & (1 << 64) - 1)
 
 
 def ngram_hashes(h: np.ndarray, ranges: np.ndarray, n: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -132,17 +154,22 @@ def ngram_hashes(h: np.ndarray, ranges: np.ndarray, n: int, seed: int = 0) -> tu
     """
     if len(h) < n:
         return np.empty(0, U64), np.empty(0, np.int64)
-    up, down = _pow_tables(_Q, len(h))
-    total = np.empty(len(h) + 1, U64)
-    total[0] = 0
-    np.cumsum(h * up, out=total[1:])
     ok = np.ones(len(h), dtype=bool)
     ends = ranges[1:]
     for back in range(1, n):  # the last n-1 words of a document start no window
         at = ends - back
         ok[at[at >= ranges[:-1]]] = False
     at = np.flatnonzero(ok)
-    return mix((total[at + n] - total[at]) * down[at], seed), at
+    out = np.empty(len(at), U64)
+    up, down = _pow_tables(_Q, min(len(h), RANGE + n))
+    for lo in range(0, len(h), RANGE):  # windows that start in this range of words
+        part = slice(*np.searchsorted(at, [lo, lo + RANGE]))
+        own = h[lo:lo + RANGE + n - 1]
+        total = np.zeros(len(own) + 1, U64)
+        np.cumsum(own * up[:len(own)], out=total[1:])
+        start = at[part] - lo
+        out[part] = (total[start + n] - total[start]) * down[start]
+    return mix(out, seed), at
 
 
 def sums_by_doc(values: np.ndarray, offs: np.ndarray) -> np.ndarray:

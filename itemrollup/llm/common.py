@@ -5,13 +5,14 @@ from __future__ import annotations
 import ctypes
 import os
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import new_run_dir
+from ..session import drop_run_dir, new_run_dir
 from . import blocks as B
 
 
@@ -41,6 +42,31 @@ def prepare(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def cuts() -> Iterator[list[str]]:
+    """The folders that ``cut`` writes inside the block, for ``drop_cuts`` once no frame reads them."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes.pop(next(i for i, x in enumerate(_scopes) if x is made))
+
+
+def drop_cuts(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        drop_run_dir(spark, path)
+
+
+def schema_of(df: DataFrame, columns: Iterable[str] | None = None) -> str:
+    """The columns (default: all) as DDL, with names that may hold dots or back-ticks."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return ", ".join("`" + c.replace("`", "``") + "` " + kinds[c] for c in (df.columns if columns is None else columns))
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared staging folder and read it back.
 
@@ -48,6 +74,8 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     readers all see the same rows (also where a column was not deterministic).
     """
     path = new_run_dir(df.sparkSession, label)
+    for made in _scopes:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -104,10 +132,13 @@ def map_blocks(df: DataFrame, schema: str, make: Callable, text: str = "text", b
     text offsets.  Memory is bounded by one Arrow batch plus a few arrays per block.
     """
     names = [f.name for f in df.sparkSession.createDataFrame([], schema).schema.fields]
+    at = df.columns.index(text)
+    if any("." in c or "`" in c for c in df.columns):  # mapInArrow resolves plain names only
+        df = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, offs = B.buffers(batch.column(batch.schema.get_field_index(text)))
+            buf, offs = B.buffers(batch.column(at))
             for lo, hi in B.split_blocks(offs, block_bytes):
                 out = make(batch.slice(lo, hi - lo), buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
                 if out is not None:
@@ -116,15 +147,6 @@ def map_blocks(df: DataFrame, schema: str, make: Callable, text: str = "text", b
     return df.mapInArrow(freed(run), schema)
 
 
-def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
-    """The texts of a batch as Python strings, null as empty."""
-    return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
-
-
-def column(batch: pa.RecordBatch, name: str) -> pa.Array:
-    return batch.column(batch.schema.get_field_index(name))
-
-
 def sample_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     """At most ``n`` rows with the smallest hash of ``key``: the bounded training samples.
 
