@@ -4,7 +4,9 @@ A text of n tokens becomes ceil(n / max_len) sequences of at most ``max_len`` to
 the pieces of an automaton (see ``token_counts``), or words where none is given.  A sequence begins
 where its first token does and ends where the next one begins, so the sequences of a row are its
 text's bytes without a gap; a row id tells rows of equal or no key apart.  The global histogram of sequence lengths has at most ``max_len`` entries, whatever the corpus, and
-is all the driver sees.  Dynamic programming over it chooses at most ``buckets`` upper bounds
+is all the driver sees.  Texts are tokenised twice, for the histogram and to write the sequences:
+then a sequence knows its bucket when it is written, its task numbers it within the bucket, and
+no sequence is shuffled.  Counts per (bucket, task) give where each task's numbers begin.  Dynamic programming over it chooses at most ``buckets`` upper bounds
 with the least total padding; every batch holds sequences of one bucket, padded to its bound,
 and at most ``budget`` padded tokens.
 
@@ -15,16 +17,21 @@ extra columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .common import cut, map_blocks, numbered
+from .common import cut, freed, map_blocks, ref
 from .token_counts import Automaton, tokens_of
 
+BROADCAST_BEGINS = 1 << 20  # rows of (bucket, task, begin) that may be broadcast; more are joined by a shuffle
+
 
 def sequence_starts(buf: np.ndarray, offs: np.ndarray, max_len: int, automaton: Automaton | None) -> tuple[np.ndarray, ...]:
     """Per sequence of a block's texts: its document, piece number, tokens and first byte."""
@@ -49,26 +56,67 @@ def sequence_starts(buf: np.ndarray, offs: np.ndarray, max_len: int, automaton:
     return doc, piece, np.minimum(max_len, total[doc] - piece * max_len), start
 
 
-def sequences(docs: DataFrame, key: str, text: str, max_len: int, automaton: Automaton | None) -> DataFrame:
-    """Stored rows: doc_id, row_id, piece, n_tokens, start_byte, end_byte, sequence and rid."""
-    sent = docs.sparkSession.sparkContext.broadcast(automaton)  # the vocabulary's size
-    rows = docs.select(F.col(key).alias("doc_id"), F.monotonically_increasing_id().alias("row_id"), F.col(text).alias("text"))
+def length_histogram(rows: DataFrame, max_len: int, sent: Broadcast) -> dict[int, int]:
+    """Sequences of every number of tokens: at most ``max_len`` + 1 entries."""
+
+    def count(batch, buf, offs):
+        _, _, tokens, _ = sequence_starts(buf, offs, max_len, sent.value)
+        sizes, n = np.unique(tokens, return_counts=True)
+        return {"n_tokens": sizes.astype(np.int64), "n": n}
+
+    counts = map_blocks(rows, "n_tokens bigint, n bigint", count).groupBy("n_tokens").agg(F.sum("n").alias("n"))
+    return {r["n_tokens"]: r["n"] for r in counts.collect()}
+
 
-    def split(batch, buf, offs):
+def sequences(rows: DataFrame, kind: str, max_len: int, sent: Broadcast, bounds: list[int]) -> DataFrame:
+    """Stored rows: doc_id, row_id, piece, n_tokens, start_byte, end_byte, sequence, bucket (null: no
+    token), task and place, the number of the row among those of its bucket and task."""
+    names = ["doc_id", "row_id", "piece", "n_tokens", "start_byte", "end_byte", "sequence", "bucket", "place"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used = np.zeros(len(bounds) + 1, dtype=np.int64)
+        for batch in batches:
+            buf, offs = B.buffers(batch.column(2))
+            for lo, hi in B.split_blocks(offs):
+                yield split(batch.slice(lo, hi - lo), buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], used)
+
+    def split(batch: pa.RecordBatch, buf: np.ndarray, offs: np.ndarray, used: np.ndarray) -> pa.RecordBatch:
         doc, piece, tokens, start = sequence_starts(buf, offs, max_len, sent.value)
         stop = np.append(start[1:], offs[-1])
-        kind = pa.large_binary() if offs[-1] >= 1 << 31 else pa.binary()
-        at = np.append(start, offs[-1]).astype(np.int64 if pa.types.is_large_binary(kind) else np.int32)
-        body = pa.Array.from_buffers(kind, len(doc), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(buf))])
+        wide = pa.large_binary() if offs[-1] >= 1 << 31 else pa.binary()
+        at = np.append(start, offs[-1]).astype(np.int64 if pa.types.is_large_binary(wide) else np.int32)
+        body = pa.Array.from_buffers(wide, len(doc), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(buf))])
         own = pa.array(doc)
         none = pc.is_null(batch.column(2)).take(own)
-        return {"doc_id": batch.column(0).take(own), "row_id": batch.column(1).take(own), "piece": piece, "n_tokens": tokens,
-                "start_byte": start - offs[doc], "end_byte": stop - offs[doc], "sequence": pc.if_else(none, pa.scalar(None, kind), body)}
-
-    kind = docs.schema[key].dataType.simpleString()
-    schema = f"doc_id {kind}, row_id bigint, piece bigint, n_tokens bigint, start_byte bigint, end_byte bigint, sequence binary"
-    out = map_blocks(rows, schema, split, block_bytes=4 * B.BLOCK_BYTES)
-    return cut(out.withColumn("rid", F.monotonically_increasing_id()), "sequences")
+        bucket = np.where(tokens > 0, np.searchsorted(bounds, tokens), len(bounds))
+        order = np.argsort(bucket, kind="stable")
+        size = np.bincount(bucket, minlength=len(used))
+        place = np.empty(len(bucket), dtype=np.int64)
+        place[order] = used[bucket[order]] + np.arange(len(order)) - (np.cumsum(size) - size)[bucket[order]]
+        used += size
+        columns = [batch.column(0).take(own), batch.column(1).take(own), piece, tokens, start - offs[doc], stop - offs[doc],
+                   pc.if_else(none, pa.scalar(None, wide), body), pa.array(bucket.astype(np.int32), mask=bucket == len(bounds)), place]
+        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
+
+    schema = (f"doc_id {kind}, row_id bigint, piece bigint, n_tokens bigint, start_byte bigint, end_byte bigint, sequence binary, "
+              "bucket int, place bigint")
+    out = rows.mapInArrow(freed(run), schema)
+    return cut(out.withColumn("task", F.shiftrightunsigned("row_id", 33)), "sequences")
+
+
+def slots(rows: DataFrame) -> DataFrame:
+    """``rows`` of ``sequences`` with ``_slot``, gapless from 0 within every bucket.
+
+    Where a task's numbers begin is a row a (bucket, task): a window over tasks, not rows.
+    """
+    counts = rows.groupBy("bucket", "task").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("bucket").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select(F.col("bucket").alias("_b"), F.col("task").alias("_t"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
+    begins = cut(begins, "slot-begins")
+    if begins.count() <= BROADCAST_BEGINS:
+        begins = F.broadcast(begins)
+    joined = rows.join(begins, rows["bucket"].eqNullSafe(begins["_b"]) & (rows["task"] == begins["_t"]))
+    return joined.withColumn("_slot", F.col("_first") + F.col("place")).drop("_b", "_t", "_first")
 
 
 def bucket_bounds(histogram: dict[int, int], buckets: int) -> list[int]:
@@ -113,17 +161,13 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", automaton: Au
     """
     if budget < max_len:
         raise ValueError("budget must hold one sequence of max_len tokens")
-    rows = sequences(docs, key, text, max_len, automaton)
-    counts = rows.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("c")).collect()  # at most max_len + 1 rows
-    bounds = bucket_bounds({int(r["n_tokens"]): int(r["c"]) for r in counts}, buckets)
-
-    bucket, width = F.lit(None).cast("int"), F.lit(None).cast("long")
-    for i in range(len(bounds) - 1, -1, -1):
-        fits = (F.col("n_tokens") > 0) & (F.col("n_tokens") <= bounds[i])
-        bucket = F.when(fits, F.lit(i)).otherwise(bucket)
-        width = F.when(fits, F.lit(bounds[i]).cast("long")).otherwise(width)
-    rows = rows.withColumn("bucket", bucket.cast("int")).withColumn("bucket_len", width.cast("long"))
-    out = numbered(rows, "bucket", "_slot")
+    # the row id holds the number of the task that reads the row
+    rows = docs.select(ref(key).alias("doc_id"), F.monotonically_increasing_id().alias("row_id"), ref(text).alias("text"))
+    sent = docs.sparkSession.sparkContext.broadcast(automaton)  # the vocabulary's size
+    bounds = bucket_bounds(length_histogram(rows, max_len, sent), buckets)
+    rows = sequences(rows, rows.schema["doc_id"].dataType.simpleString(), max_len, sent, bounds)
+    width = F.element_at(F.array(*[F.lit(b).cast("long") for b in bounds]), F.col("bucket") + 1) if bounds else F.lit(None).cast("long")
+    out = slots(rows).withColumn("bucket_len", width)
     room = F.floor(F.lit(budget) / F.col("bucket_len")).cast("long")
     return out.select(
         "doc_id", "piece", "n_tokens", "bucket", "bucket_len",

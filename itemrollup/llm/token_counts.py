@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from . import blocks as B
-from .common import map_blocks
+from .common import map_blocks, ref, schema_of
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 SPACE = 0x20
@@ -147,8 +147,7 @@ def count_tokens(docs: DataFrame, pieces: Iterable[bytes] | None = None, path: s
                  keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns with n_words and n_tokens of every whole text."""
     sent = docs.sparkSession.sparkContext.broadcast(build(load_pieces(path) if pieces is None else pieces))  # the vocabulary's size
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    plain = docs.select(*[docs[c] for c in dict.fromkeys([*keep, text])])
+    plain = docs.select(*[ref(c) for c in dict.fromkeys([*keep, text])])
     at = {c: i for i, c in enumerate(plain.columns)}
 
     def count(batch, buf, offs):
@@ -156,5 +155,5 @@ def count_tokens(docs: DataFrame, pieces: Iterable[bytes] | None = None, path: s
         tokens = B.sums_by_doc(tokens_of(sent.value, words), words.ranges)
         return {c: batch.column(at[c]) for c in keep} | {"n_words": words.counts.astype(np.int64), "n_tokens": tokens}
 
-    schema = ", ".join([*(f"`{c}` {fields[c]}" for c in keep), "n_words bigint, n_tokens bigint"])
-    return map_blocks(plain, schema, count, text=text, block_bytes=4 * B.BLOCK_BYTES)
+    schema = ", ".join([schema_of(docs, keep), "n_words bigint, n_tokens bigint"])
+    return map_blocks(plain, schema, count, text=text)
