@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .common import cut, freed
+from .common import cut, free_name, freed, ref
 
 WINDOW = 10
 SLOP = 2
@@ -235,8 +235,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     for k in range(n):
         own = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
         phrases = Phrases([(r["item_id"], r["text"]) for r in own.collect()], window)
-        if index is None:  # of a single block, no other term can matter
-            index = build_index(rows, phrases.vocabulary if n == 1 else None)
+        if index is None:
+            index = build_index(rows)
         found = search(index, phrases, slop)
         found = found if n == 1 else cut(found, "phrase-hits")
         hits = found if hits is None else hits.unionByName(found)
@@ -255,7 +255,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without an exact benchmark window, with all columns unchanged."""
-    row = F.xxhash64(F.col(key), F.col(text))  # rows with equal key and text share their fate
-    found = decontaminate(docs.select(row.alias("doc_id"), F.col(text).alias("text")), benchmark)
-    bad = found.where("contaminated").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.withColumn("__row", row).join(bad, F.col("__row") == F.col("__bad"), "left_anti").select(*docs.columns)
+    # rows with equal key and text share their fate; two hashes, as one would name a clean row too in 10^11
+    row = F.struct(F.xxhash64(ref(key), ref(text)).alias("a"), F.xxhash64(ref(key), ref(text), F.lit(1)).alias("b"))
+    found = decontaminate(docs.select(row.alias("doc_id"), ref(text).alias("text")), benchmark)
+    named = [free_name(docs.columns, f"__{c}") for c in ("bad", "worse")]
+    bad = found.where("contaminated").select(*(F.col(f"doc_id.{f}").alias(n) for f, n in zip("ab", named))).distinct()
+    rows = docs.withColumns({n: row[f] for f, n in zip("ab", named)})
+    return rows.join(bad, named, "left_anti").select(*[ref(c) for c in docs.columns])
