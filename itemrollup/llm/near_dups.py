@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .common import cut, freed, map_blocks
+from .common import cut, cuts, drop_cuts, free_name, freed, map_blocks, ref
 from .components import components
 
 SHINGLE = 5
@@ -319,7 +319,7 @@ def text_classes(docs: DataFrame, threshold: float) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a document: doc_id and class_id."""
-    docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(ref(key).alias("doc_id"), ref(text).alias("text"))
     classes = text_classes(docs, threshold).select("h1", "h2", "class_id")
     rows = docs.select("doc_id", *_identity(), (F.coalesce(F.octet_length("text"), F.lit(0)) == 0).alias("blank"))
     out = rows.where("not blank").join(classes, ["h1", "h2"]).select("doc_id", "class_id")
@@ -328,10 +328,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "d
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of every class stays (smallest doc_id), with all columns; null and empty texts stay."""
-    kept = text_classes(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), threshold).where("kept")
-    kept = kept.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.col("own").alias("__own"))
-    full = F.octet_length(F.col(text)) > 0
-    rows = docs.where(full).withColumns({"__h1": F.xxhash64(text), "__h2": F.xxhash64(text, F.lit(1))})
-    rows = rows.join(kept, ["__h1", "__h2"]).where(F.col(key).eqNullSafe(F.col("__own")))
-    one = rows.dropDuplicates(["__h1", "__h2"]).select(*docs.columns)  # repeated rows
+    spark = docs.sparkSession
+    with cuts() as made:
+        kept = text_classes(docs.select(ref(key).alias("doc_id"), ref(text).alias("text")), threshold).where("kept")
+        kept = cut(kept.select("h1", "h2", "own"), "kept-texts")  # a stored side: AQE can split a text with many copies
+    drop_cuts(spark, made[:-1])
+    a, b, own = (free_name(docs.columns, f"__{c}") for c in ("h1", "h2", "own"))
+    kept = kept.select(F.col("h1").alias(a), F.col("h2").alias(b), F.col("own").alias(own))
+    full = F.octet_length(ref(text)) > 0
+    rows = docs.where(full).withColumns({a: F.xxhash64(ref(text)), b: F.xxhash64(ref(text), F.lit(1))})
+    rows = rows.join(kept, [a, b]).where(ref(key).eqNullSafe(ref(own)))
+    columns = [ref(c) for c in docs.columns]
+    one = rows.dropDuplicates([a, b]).select(*columns)  # repeated rows
     return one.unionByName(docs.where(~F.coalesce(full, F.lit(False))))

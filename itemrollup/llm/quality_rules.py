@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import blocks as B
-from .common import map_blocks
+from .common import map_blocks, ref, schema_of
 from .doc_stats import base_counts
 from .labelled import labelled_texts, share_of_ones
 
@@ -152,11 +152,10 @@ def trained(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLAS
 
 def judge(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns, the base counts, base_failed, score (null without a model) and kept."""
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    schema = ", ".join([*(f"`{c}` {fields[c]}" for c in keep), *(f"{c} bigint" for c in base), "base_failed boolean, score double, kept boolean"])
+    schema = ", ".join([schema_of(docs, keep), *(f"{c} bigint" for c in base), "base_failed boolean, score double, kept boolean"])
     sent = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
-    plain = docs.select(*[docs[c] for c in dict.fromkeys([*keep, text])])
+    plain = docs.select(*[ref(c) for c in dict.fromkeys([*keep, text])])
     at = {c: i for i, c in enumerate(plain.columns)}
 
     def score(batch, buf, offs):
@@ -187,7 +186,7 @@ def keep_good(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD
         kept = pa.array(good)
         return {c: batch.column(i).filter(kept) for i, c in enumerate(names)}
 
-    return map_blocks(docs, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), choose, text=text)
+    return map_blocks(docs, schema_of(docs), choose, text=text)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import blocks as B
-from .common import map_blocks
+from .common import map_blocks, ref, schema_of
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -168,8 +168,7 @@ def suspects(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", words: dict[str, int] | None = None) -> DataFrame:
     """``keep`` columns with n_assign, n_access, n_hex, n_guess, base_sha256 and spans."""
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    plain = docs.select(*[docs[c] for c in dict.fromkeys([*keep, text])])
+    plain = docs.select(*[ref(c) for c in dict.fromkeys([*keep, text])])
     at = {c: i for i, c in enumerate(plain.columns)}
     none = hashlib.sha256(b"").hexdigest()
 
@@ -187,7 +186,7 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text
         return {c: batch.column(at[c]) for c in keep} | {f"n_{k}": counts[k] for k in KINDS} | {
             "base_sha256": pa.array(digest, pa.string()), "spans": pa.array(joined, pa.string())}
 
-    schema = ", ".join([*(f"`{c}` {fields[c]}" for c in keep), *(f"n_{k} bigint" for k in KINDS), "base_sha256 string, spans string"])
+    schema = ", ".join([schema_of(docs, keep), *(f"n_{k} bigint" for k in KINDS), "base_sha256 string, spans string"])
     return map_blocks(plain, schema, find, text=text)
 
 
@@ -216,5 +215,5 @@ def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", words: d
         done = column if out is None else pa.array(out, pa.string())
         return {c: done if i == i_text else batch.column(i) for i, c in enumerate(names)}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    schema = schema_of(docs)
     return map_blocks(docs, schema, clean, text=text)
