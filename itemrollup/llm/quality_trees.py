@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, map_blocks
+from .common import crc_fold, map_blocks, ref, schema_of
 from .doc_stats import FEATURES, features
-from .labelled import labelled_texts
+from .labelled import labelled_texts, usable_labels
 
 BINS = 64
 SAMPLE_PER_CLASS = 3000
@@ -119,8 +119,7 @@ def _rows(batch, buf, offs):
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = SAMPLE_PER_CLASS, eligible=None) -> Forest:
     """Fit on at most ``per_class`` labelled rows of each class; the class shares come from all labels."""
-    marks = labels if eligible is None else labels.where(eligible)
-    n = marks.where(F.col(label).isin(0, 1)).agg(F.sum(F.col(label)).alias("one"), F.count(label).alias("all")).collect()[0]
+    n = usable_labels(labels, label, eligible).agg(F.sum("label").alias("one"), F.count("label").alias("all")).collect()[0]
     prior = ((n["one"] or 0) + 1) / (n["all"] + 2)
     t = map_blocks(labelled_texts(docs, labels, label, per_class, eligible), "doc_id string, label int, x array<float>", _rows).toArrow().sort_by("doc_id")
     x = np.array([r.values.to_numpy() for r in t.column("x")]).reshape(-1, len(FEATURES))
@@ -129,8 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
 
 def score(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns with score (probability of label 1) and predicted (score >= threshold)."""
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    plain = docs.select(*[docs[c] for c in dict.fromkeys([*keep, text])])
+    plain = docs.select(*[ref(c) for c in dict.fromkeys([*keep, text])])
     at = {c: i for i, c in enumerate(plain.columns)}
     sent = docs.sparkSession.sparkContext.broadcast(forest)  # fixed size
 
@@ -138,7 +136,7 @@ def score(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD, keep: t
         p = sent.value.scores(features(buf, offs))
         return {c: batch.column(at[c]) for c in keep} | {"score": p, "predicted": (p >= threshold).astype(np.int32)}
 
-    return map_blocks(plain, ", ".join([*(f"`{c}` {fields[c]}" for c in keep), "score double, predicted int"]), predict, text=text)
+    return map_blocks(plain, ", ".join([schema_of(docs, keep), "score double, predicted int"]), predict, text=text)
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, fold: int = 5, held_fold: int = 0) -> DataFrame:

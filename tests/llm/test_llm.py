@@ -374,5 +374,5 @@ def test_pipeline_stages(spark):
 
 
 def test_registered_queries():
-    assert len(queries.QUERIES) == 10 and [int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES] == list(range(1, 11))
+    assert len(queries.QUERIES) == 13 and [int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES] == list(range(1, 14))
     assert duckdb.sql("select 1").fetchall() == [(1,)] and EMPTY

@@ -284,3 +284,77 @@ def test_equal_ids_start_anew_with_another_seed(spark, monkeypatch):
 def test_new_queries_are_registered_with_sql():
     for name in ("op11_url_filter", "op12_filter_audit", "op13_collocations"):
         assert name in queries.QUERIES and name in queries.ORACLE_SQL
+
+
+# -- shared kernels and stage columns --------------------------------------------------------------
+
+
+def test_hashing_in_ranges_equals_hashing_at_once():
+    rng = random.Random(8)
+    raw = bytes(rng.choice(b"ab  ") for _ in range(4000)) + b"x" * 1500 + b" y"
+    buf = np.frombuffer(raw, np.uint8)
+    words = B.Words(buf, np.array([0, 900, 900, len(raw)]), B.NON_BLANK)
+    whole = words.hashes(1 << 20)
+    assert len(set(whole.tolist())) == len({raw[a:b] for a, b in zip(words.starts, words.ends)})
+    for size in (1, 7, 64, 1000):
+        assert (words.hashes(size) == whole).all()
+
+
+def test_windows_over_range_edges(monkeypatch):
+    h = B.mix(np.arange(5000, dtype=U64))
+    ranges = np.array([0, 3, 700, 700, 5000])
+    want = B.ngram_hashes(h, ranges, 4)
+    monkeypatch.setattr(B, "RANGE", 97)
+    got = B.ngram_hashes(h, ranges, 4)
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all() and len(got[1]) == 694 + 4297
+
+
+AWKWARD = ["__h1", "__h2", "__row", "__own", "__bad", "__worse", "a.b", "h1", "key", "uid", "c`d"]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    from itemrollup.llm.decontaminate import drop_contaminated
+    from itemrollup.llm.near_dups import drop_near_duplicates
+    from itemrollup.llm.quality_rules import keep_good
+    from itemrollup.llm.secret_scan import redact
+
+    rng = random.Random(1)
+    say = lambda n: " ".join(rng.choice("abcdefghijklmnop") + rng.choice("xyz") for _ in range(n))
+    passage = say(30)
+    texts = [say(80), say(90) + " " + passage, say(70) + " password = 9f$Kq!v82Lm@xZ", "", None]
+    rows = [(i, t, *[f"{n}-{i}" for n in AWKWARD]) for i, t in enumerate([*texts, texts[0]])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join("`" + n.replace("`", "``") + "` string" for n in AWKWARD))
+    bench = spark.createDataFrame([("i", passage)], "item_id string, text string")
+    outs = [drop_near_duplicates(docs), drop_contaminated(docs, bench), redact(docs), keep_good(docs, None)]
+    for out, ids in zip(outs, ([0, 1, 2, 3, 4], [0, 2, 3, 4, 5], [0, 1, 2, 3, 4, 5], [0, 1, 2, 5])):
+        assert out.columns == docs.columns
+        got = {r[0]: tuple(r)[2:] for r in out.collect()}
+        assert got == {i: tuple(f"{n}-{i}" for n in AWKWARD) for i in ids}
+
+
+def test_packing_numbers_without_moving_sequences(spark):
+    from itemrollup.llm import packing
+
+    docs = spark.createDataFrame([(i, "w " * (i % 37)) for i in range(3000)], "doc_id bigint, text string").repartition(7)
+    out = packing.pack(docs, max_len=20, buckets=4, budget=60)
+    rows = out.collect()
+    for b in {r["bucket"] for r in rows} - {None}:
+        own = [r for r in rows if r["bucket"] == b]
+        room = 60 // own[0]["bucket_len"]
+        assert sorted((r["batch"], r["slot"]) for r in own) == [(k // room, k % room) for k in range(len(own))]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+    assert not [line for line in shuffled if "sequence" in line]
+
+
+def test_pipeline_leaves_only_what_its_result_reads(spark, tmp_path):
+    import os
+
+    import corpus_pipeline
+    from itemrollup.session import staging_root
+
+    root = os.path.join(staging_root(spark).removeprefix("file:"), "itemrollup")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = {n.rsplit("-", 1)[0] for n in set(os.listdir(root)) - before}
+    assert left == {"pipeline-secrets", "sequences", "slot-begins"} and out.count() > 0
