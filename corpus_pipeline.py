@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemrollup.llm.common import cut, prepare, table
+from itemrollup.llm.common import cut, cuts, drop_cuts, prepare, table
 from itemrollup.llm.decontaminate import drop_contaminated
 from itemrollup.llm.near_dups import drop_near_duplicates
 from itemrollup.llm.packing import pack
@@ -72,9 +72,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages over documents.  A stage's own folders go when its result is stored, and that
+    result when the next one is; only what the returned frame reads is left."""
+    docs, old = table(spark, sf_dir, "documents"), []
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        with cuts() as made:
+            docs = stage(spark, docs, sf_dir)
+            if i < len(STAGES) - 1:
+                docs = cut(docs, "pipeline-" + name.replace(" ", "-"))
         if i < len(STAGES) - 1:
-            docs = cut(docs, "pipeline-" + name.replace(" ", "-"))
+            drop_cuts(spark, [*old, *made[:-1]])
+            old = made[-1:]
     return docs
