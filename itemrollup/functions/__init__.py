@@ -53,6 +53,20 @@ def equals_blank(c: str | Column) -> Column:
     return F.rtrim(col(c)) == ""
 
 
+# Text is compared without regard to case or trailing blanks, and never changed for it.
+TEXT_COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def text_key(c: str | Column) -> Column:
+    """The text under the comparison rule: equality, joins and grouping ignore case and trailing blanks."""
+    return F.collate(col(c), TEXT_COLLATION)
+
+
+def same_text(c: str | Column, value: str | Column) -> Column:
+    """``c = value`` under the comparison rule; NULL stays NULL."""
+    return text_key(c) == (F.lit(value) if isinstance(value, str) else text_key(value))
+
+
 def left(c: str | Column, n: int) -> Column:
     return F.substring(col(c), 1, n)
 

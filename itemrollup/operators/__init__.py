@@ -14,7 +14,8 @@ close three gaps between SQL-Server-style set statements and Spark:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,9 @@ __all__ = [
     "current_and_archive",
     "rekey",
     "distinct_keys",
+    "FusedSource",
+    "fused_sources",
+    "fused_join",
 ]
 
 
@@ -170,6 +174,53 @@ def keyed_update(
     return joined.select(*out)
 
 
+@dataclass(frozen=True)
+class FusedSource:
+    """One source of a group of keyed updates: raw or aggregated rows and what to keep of them per key.
+
+    ``aggs`` gets an accessor for the source's columns and returns the aggregates by name, e.g.
+    ``lambda c: {"on_hand": F.sum(c("quantity"))}``.  A choice among rows is a ``max``/``min`` over
+    a struct, so it is combined map-side like a sum.
+    """
+
+    rows: DataFrame
+    key: str
+    aggs: Callable[[Callable[[str], Column]], Mapping[str, Column]]
+
+
+def fused_sources(sources: Mapping[str, FusedSource], key: str = "_fk") -> DataFrame:
+    """One row a key with a struct column per source: its aggregates, or NULL where it has no row.
+
+    The rows of all sources are united, each in a struct column of its own, and grouped once: the
+    sources share one shuffle, into which each sends at most one partial row a key and task.
+    """
+    kinds = {n: F.struct(*[F.col(c) for c in s.rows.columns]) for n, s in sources.items()}
+    typed = {n: s.rows.select(kinds[n].alias("x")).schema["x"].dataType for n, s in sources.items()}
+    parts = None
+    for name, s in sources.items():
+        part = s.rows.where(F.col(s.key).isNotNull()).select(
+            F.col(s.key).alias(key), *[(kinds[n] if n == name else F.lit(None).cast(typed[n])).alias(n) for n in sources])
+        parts = part if parts is None else parts.unionByName(part)
+    aggs, shapes = [], []
+    for name, s in sources.items():
+        own = s.aggs(lambda c, n=name: F.col(n).getField(c))
+        aggs.append(F.max(F.col(name).isNotNull()).alias(f"_{name}_hit"))
+        aggs += [agg.alias(f"_{name}_{out}") for out, agg in own.items()]
+        inner = F.struct(F.lit(True).alias("hit"), *[F.col(f"_{name}_{out}").alias(out) for out in own])
+        shapes.append(F.when(F.col(f"_{name}_hit"), inner).alias(name))
+    return parts.groupBy(key).agg(*aggs).select(key, *shapes)
+
+
+def fused_join(target: DataFrame, sources: Mapping[str, FusedSource], on: str) -> DataFrame:
+    """``target`` with one struct column per source (see ``fused_sources``), by one left join.
+
+    The caller writes the statements of the group in their order as column assignments over the
+    structs; ``<source>.hit`` is TRUE where the source has the row's key.
+    """
+    fused = fused_sources(sources)
+    return target.join(fused, target[on] == fused["_fk"], "left").drop("_fk")
+
+
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
     """Remove rows where ``predicate`` is TRUE; rows where it is NULL stay."""
     return df.where(~F.coalesce(predicate, F.lit(False)))

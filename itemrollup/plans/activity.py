@@ -128,19 +128,6 @@ def distribution_received(src: Sources, p: RollupParams, received_ab: DataFrame)
 RECEIVED_COLUMNS = ["item_code", "first_received", "last_received", "parent", "rcvd_qty"]
 
 
-def received_parts(src: Sources, p: RollupParams) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Each later part adds only items absent from the earlier parts."""
-    a = received_sources(src).select(*RECEIVED_COLUMNS)
-    b = received_union_distinct(src, a).select(*RECEIVED_COLUMNS)
-    c = distribution_received(src, p, a.unionByName(b)).select(*RECEIVED_COLUMNS)
-    return a, b, c
-
-
-def received(src: Sources, p: RollupParams) -> DataFrame:
-    a, b, c = received_parts(src, p)
-    return a.unionByName(b).unionByName(c)
-
-
 def received_per_item(rcvd: DataFrame) -> DataFrame:
     """P07 and the P13/P14 inputs in one aggregation per item.
 

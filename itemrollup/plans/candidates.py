@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import equals_blank, is_present, left, money, number_or_zero, ts_lit
-from ..operators import delete_where, existence_flag, keyed_update, not_in
+from ..functions import equals_blank, money, number_or_zero, same_text, ts_lit
+from ..operators import FusedSource, delete_where, not_in
 from ..sources import Sources
 from .contracts import WORK, conform
-from .lines import order_lines
 from .params import BASE_INVENTORY_SCHEME, SUPPLIES_VENDOR, RollupParams
 
 
@@ -28,41 +27,20 @@ def item_title(pm: DataFrame) -> Column:
     return F.when(equals_blank(pm["title"]), pm["description"]).otherwise(pm["title"])
 
 
-def order_notes(src: Sources, ol: DataFrame | None = None) -> DataFrame:
-    """Distinct (PO, item, header note, line note) where either note is present.
-
-    Only (item, last purchase order) pairs of the item master can match, so the
-    order lines are semi-joined to those pairs before the de-duplication.
-    """
-    ol = ol if ol is not None else order_lines(src)
-    pairs = src.product.select("item_code", F.col("last_purchase_order").alias("po_number")).distinct()
-    notes = ol.join(pairs, ["item_code", "po_number"], "left_semi").where(is_present("spec_instructions") | is_present("special_instructions"))
-    return notes.select(
-        F.col("po_number").alias("_note_po"),
-        F.col("item_code").alias("_note_item"),
-        left("spec_instructions", 250).alias("fob_po"),
-        left("special_instructions", 250).alias("fob_item"),
-    ).distinct()
-
-
-def received_dates(last_proc: DataFrame) -> DataFrame:
-    """Per item first/last received from per-(item, source) or per-item rounded dates."""
-    return last_proc.groupBy(F.col("item_code").alias("_rcv_item")).agg(
-        F.min("first_rcvd").alias("first_received"), F.max("last_rcvd").alias("last_received")
-    )
-
-
 SHIPPED, RECEIVED = "S", "R"
 
 
-def _candidates(pm: DataFrame, qty: DataFrame, dates: DataFrame, notes: DataFrame, p: RollupParams) -> DataFrame:
+def _candidates(pm: DataFrame, qty: DataFrame, rcvd_items: DataFrame, notes: DataFrame, p: RollupParams) -> DataFrame:
     """Candidate rows for every (item master row, quantity row) pair of the window.
 
-    ``qty`` holds (``_qty_item``, ``qty``, ``_kind``); the kind decides the status:
+    ``rcvd_items`` has one row an item (``activity.received_per_item``), ``notes`` the distinct order
+    notes (``lines.order_notes``).  ``qty`` holds (``_qty_item``, ``qty``, ``_kind``); the kind decides the status:
     'SHIP' for shipped items, ' ' / 'RCVD' (reorderable or not) for received ones.
     """
     j = pm.join(qty, pm["item_code"] == qty["_qty_item"])
+    dates = rcvd_items.select(F.col("item_code").alias("_rcv_item"), F.col("first_rcvd").alias("first_received"), F.col("last_rcvd").alias("last_received"))
     j = j.join(dates, j["item_code"] == dates["_rcv_item"], "left")
+    notes = notes.select(F.col("item_code").alias("_note_item"), F.col("po_number").alias("_note_po"), "fob_po", "fob_item")
     j = j.join(
         notes, (j["item_code"] == notes["_note_item"]) & (j["last_purchase_order"] == notes["_note_po"]), "left"
     )
@@ -114,8 +92,7 @@ def _received_qty(wh_receipts: DataFrame) -> DataFrame:
 
 
 def candidates(
-    src: Sources, p: RollupParams, ship_hist: DataFrame, wh_receipts: DataFrame, last_proc: DataFrame,
-    ol: DataFrame | None = None,
+    src: Sources, p: RollupParams, ship_hist: DataFrame, wh_receipts: DataFrame, rcvd_items: DataFrame, notes: DataFrame,
 ) -> DataFrame:
     """P08 + P09 in one pass over the item master, received dates and order notes.
 
@@ -125,92 +102,58 @@ def candidates(
     shipped item key, so they filter the shipped quantities instead.
     """
     qty = _shipped_qty(src, ship_hist).unionByName(_received_qty(wh_receipts))
-    return _candidates(item_master(src), qty, received_dates(last_proc), order_notes(src, ol), p)
+    return _candidates(item_master(src), qty, rcvd_items, notes, p)
 
 
 def work_rows(cands: DataFrame) -> DataFrame:
     return conform(cands, WORK)
 
 
-def candidates_shipped(
-    src: Sources, p: RollupParams, ship_hist: DataFrame, last_proc: DataFrame, ol: DataFrame | None = None
-) -> DataFrame:
-    """P08 alone: shipped items ('SHIP'), minus items replaced through receiving re-coding."""
-    qty = _shipped_qty(src, ship_hist)
-    return work_rows(_candidates(item_master(src), qty, received_dates(last_proc), order_notes(src, ol), p))
+def activity_sources(src: Sources, transfers: DataFrame, ship_hist: DataFrame, rcvd_items: DataFrame) -> dict[str, FusedSource]:
+    """The item-keyed sources of P10-P17: base inventory, transfers, drop ships, receipts and stock.
 
+    ``rcvd_items`` is ``activity.received_per_item`` and ``transfers`` has one row an item; the shares of
+    a warehouse's stock are summed where they meet.
+    """
+    one = lambda *names: lambda c: {n: F.max(c(n)) for n in names}  # noqa: E731  (one row a key)
+    stock = src.product_inventory.select("item_code", F.coalesce(F.col("quantity_on_hand"), F.lit(0)).alias("quantity"))
+    return {
+        "base": FusedSource(src.base_inventory.select("item_code"), "item_code", lambda c: {}),
+        "moved": FusedSource(transfers.select("item_code", "qty_trans", "qty_damaged"), "item_code", one("qty_trans", "qty_damaged")),
+        "dropped": FusedSource(ship_hist.where(F.col("drop_ship") == 1).select("item_code"), "item_code", lambda c: {}),
+        "rcvd": FusedSource(rcvd_items, "item_code", one("rcvd_qty", "store_received", "first_rcvd", "last_rcvd")),
+        "stock": FusedSource(stock, "item_code", lambda c: {"on_hand": F.sum(c("quantity"))}),
+    }
 
-def candidates_received(
-    src: Sources, p: RollupParams, wh_receipts: DataFrame, last_proc: DataFrame, ol: DataFrame | None = None
-) -> DataFrame:
-    """P09 alone: received but never shipped items: ' ' when reorderable, else 'RCVD'."""
-    qty = _received_qty(wh_receipts)
-    return work_rows(_candidates(item_master(src), qty, received_dates(last_proc), order_notes(src, ol), p))
 
+def _hit(source: str) -> Column:
+    return F.coalesce(F.col(f"{source}.hit"), F.lit(False))
 
-def drop_base_inventory(work: DataFrame, src: Sources) -> DataFrame:
+
+def drop_base_inventory(joined: DataFrame) -> DataFrame:
     """P10: remove base-inventory items and supplies."""
-    flagged = existence_flag(work, src.base_inventory, {"item_code": "item_code"}, "_is_base")
-    pred = (
-        F.col("_is_base")
-        | (F.col("scheme_id") == BASE_INVENTORY_SCHEME)
-        | (F.col("vendor_id") == SUPPLIES_VENDOR)
-        | (F.col("reorder_vendor_id") == SUPPLIES_VENDOR)
-    )
-    return delete_where(flagged, pred).drop("_is_base")
-
-
-def apply_transfers(work: DataFrame, transfers: DataFrame) -> DataFrame:
-    """Transfer and damage quantities."""
-    t = transfers.select(F.col("item_code"), F.col("qty_trans").alias("_t_trans"), F.col("qty_damaged").alias("_t_dmg"))
-    return keyed_update(
-        work,
-        t,
-        ["item_code"],
-        {
-            "qty_trans": F.coalesce(F.col("_t_trans"), F.col("qty_trans")),
-            "qty_damaged": F.coalesce(F.col("_t_dmg"), F.col("qty_damaged")),
-        },
-    )
+    return delete_where(joined, _hit("base") | same_text("scheme_id", BASE_INVENTORY_SCHEME)
+                        | same_text("vendor_id", SUPPLIES_VENDOR) | same_text("reorder_vendor_id", SUPPLIES_VENDOR))
 
 
-def apply_drop_ship_received(work: DataFrame, ship_hist: DataFrame, rcvd_items: DataFrame) -> DataFrame:
-    """Items with any drop-ship shipment take their store-received quantity as shipped.
+def set_transfers(joined: DataFrame) -> DataFrame:
+    """Transfer and damage quantities; a kind without a line keeps the value."""
+    return joined.withColumns({c: F.coalesce(F.col(f"moved.{c}"), F.col(c)) for c in ("qty_trans", "qty_damaged")})
 
-    ``rcvd_items`` is ``activity.received_per_item`` (one row per item).
-    """
-    ds = ship_hist.where(F.col("drop_ship") == 1).select("item_code").distinct()
-    rq = rcvd_items.select("item_code", F.col("rcvd_qty").alias("_rcvd_qty")).join(ds, "item_code", "left_semi")
-    return keyed_update(
-        work,
-        rq,
-        ["item_code"],
-        {"qty_shipped": F.col("_rcvd_qty")},
-        where=F.trim(F.col("parent")).isin("DS", "SHIP"),
-    )
 
+def set_drop_ship_received(joined: DataFrame) -> DataFrame:
+    """Items with any drop-ship shipment take their store-received quantity as shipped."""
+    takes = _hit("dropped") & _hit("rcvd") & F.coalesce(F.trim(F.col("parent")).isin("DS", "SHIP"), F.lit(False))
+    return joined.withColumn("qty_shipped", F.when(takes, F.col("rcvd.rcvd_qty")).otherwise(F.col("qty_shipped")).cast("bigint"))
 
-def apply_received_status(work: DataFrame, rcvd_items: DataFrame) -> DataFrame:
-    """Received status and dates, then the never-received statuses.
 
-    ``rcvd_items`` is ``activity.received_per_item`` (one row per item).
-    """
-    per_item = rcvd_items.select(
-        "item_code",
-        F.col("store_received").alias("_store_rcvd"),
-        F.col("last_rcvd").alias("_last"),
-        F.col("first_rcvd").alias("_first"),
-    )
-    w = keyed_update(
-        work,
-        per_item,
-        ["item_code"],
-        {
-            "parent": F.when(F.col("_store_rcvd"), F.lit(" ")).otherwise(F.col("parent")),
-            "last_received": F.col("_last"),
-            "first_received": F.col("_first"),
-        },
-    )
+def set_received_status(joined: DataFrame) -> DataFrame:
+    """Received status and dates, then the never-received statuses."""
+    w = joined.withColumns({
+        "parent": F.when(F.col("rcvd.store_received"), F.lit(" ")).otherwise(F.col("parent")),
+        "last_received": F.when(_hit("rcvd"), F.col("rcvd.last_rcvd")).otherwise(F.col("last_received")),
+        "first_received": F.when(_hit("rcvd"), F.col("rcvd.first_rcvd")).otherwise(F.col("first_received")),
+    })
     never = F.col("last_received").isNull()
     blank = never & ((F.col("reorderable") == "N") | (F.col("qty_shipped") == 0))
     w = w.withColumn("parent", F.when(F.coalesce(blank, F.lit(False)), F.lit(" ")).otherwise(F.col("parent")))
@@ -218,23 +161,16 @@ def apply_received_status(work: DataFrame, rcvd_items: DataFrame) -> DataFrame:
     return w.withColumn("parent", F.when(F.coalesce(srpr, F.lit(False)), F.lit("SRPR")).otherwise(F.col("parent")))
 
 
-def on_hand(src: Sources) -> DataFrame:
-    """Stock on hand per item (the keyed update drops items without work rows)."""
-    return src.product_inventory.groupBy("item_code").agg(
-        F.sum(F.coalesce(F.col("quantity_on_hand"), F.lit(0))).alias("_on_hand")
-    )
-
-def apply_on_hand(work: DataFrame, src: Sources) -> DataFrame:
+def set_on_hand(joined: DataFrame) -> DataFrame:
     """On-hand update, then NULL -> 0 for transfers and on hand."""
-    w = keyed_update(work, on_hand(src), ["item_code"], {"on_hand": F.col("_on_hand")})
-    return w.withColumns({
+    stock = F.when(_hit("stock"), F.col("stock.on_hand")).otherwise(F.col("on_hand")).cast("bigint")
+    return joined.withColumns({
         "qty_trans": F.coalesce(F.col("qty_trans"), F.lit(0).cast("bigint")),
-        "on_hand": F.coalesce(F.col("on_hand"), F.lit(0).cast("bigint")),
+        "on_hand": F.coalesce(stock, F.lit(0).cast("bigint")),
     })
 
 
 __all__ = [
-    "item_master", "order_notes", "candidates", "candidates_shipped", "candidates_received", "work_rows",
-    "drop_base_inventory",
-    "apply_transfers", "apply_drop_ship_received", "apply_received_status", "apply_on_hand",
+    "item_master", "candidates", "work_rows", "activity_sources", "drop_base_inventory",
+    "set_transfers", "set_drop_ship_received", "set_received_status", "set_on_hand",
 ]

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import is_present, left
 from ..sources import Sources
 
 
@@ -32,3 +33,22 @@ def shipment_lines(src: Sources) -> DataFrame:
     """Shipment lines with header locations and drop-ship flag."""
     sh = src.shipment_header.select("transfer_id", "from_location_no", "to_location_no", "drop_shipment")
     return src.shipment_line.select("transfer_id", "item_code", "qty", "date_received", "po_number").join(sh, "transfer_id")
+
+
+def order_notes(ol: DataFrame) -> DataFrame:
+    """Distinct (item, PO, header note, line note) of the order lines with a note, at most 250 characters each.
+
+    The one place where order lines are read for notes.  The lines are de-duplicated map-side, so a
+    hot item or PO sends its distinct notes on, not its lines.
+    """
+    return ol.where(is_present("spec_instructions") | is_present("special_instructions")).select(
+        "item_code", "po_number", left("spec_instructions", 250).alias("fob_po"), left("special_instructions", 250).alias("fob_item")
+    ).distinct()
+
+
+def note_picks(notes: DataFrame) -> DataFrame:
+    """Per (item, PO): the highest (line note, header note) pair with a line note (``by_line``) and the
+    highest with a header note (``by_header``); the pair's own notes are ``i`` and ``h``."""
+    pair = F.struct(F.col("fob_item").alias("i"), F.col("fob_po").alias("h"))
+    return notes.groupBy("item_code", "po_number").agg(
+        F.max(F.when(is_present("fob_item"), pair)).alias("by_line"), F.max(F.when(is_present("fob_po"), pair)).alias("by_header"))

@@ -10,7 +10,7 @@ from ..operators import current_and_archive
 from ..sources import Sources
 from .candidates import item_isbn, item_master, item_title
 from .contracts import WORK, conform
-from .lines import order_lines, shipment_lines
+from .lines import order_lines
 from .params import REORDER_CLASS, REORDER_LOCATION, RollupParams
 
 PENDING_COLUMNS = [f.name for f in WORK.fields]
@@ -103,25 +103,27 @@ def pending_reorders(
     return _pending_rows(j, "TBRI")
 
 
-def pending_orders(
-    src: Sources, p: RollupParams, work: DataFrame, reorders: DataFrame,
-    ol: DataFrame | None = None, sl: DataFrame | None = None,
-) -> DataFrame:
+def known_items(work: DataFrame, reorders: DataFrame, sl: DataFrame) -> DataFrame:
+    """Items that were shipped or are listed already (work rows and 'TBRI' rows), once each.
+
+    To be stored before ``pending_orders`` reads it: AQE splits a hot item of the open lines only
+    where the other side of their join is a stored table.
+    """
+    return sl.select("item_code").unionByName(work.select("item_code")).unionByName(reorders.select("item_code")).distinct()
+
+
+def pending_orders(src: Sources, p: RollupParams, known: DataFrame, ol: DataFrame) -> DataFrame:
     """Open orders of the last 12 months for items never shipped and not yet listed ('PEND').
 
-    Every qualifying order line gives a row; the exclusion sees only rows
-    listed before this step (work rows and 'TBRI' rows).
+    Every qualifying order line gives a row; ``known`` is the stored ``known_items``.
     """
-    lines = (ol if ol is not None else order_lines(src)).where(
+    lines = ol.where(
         (F.col("distribution_type") != "A")
         & ~F.coalesce(F.col("po_type"), F.lit("")).isin("S", "C")
         & (F.col("po_date") > ts_lit(p.one_year_ago))
         & F.col("cancel_date").isNull()
     )
-    shipped = (sl if sl is not None else shipment_lines(src)).select("item_code")
-    listed = work.select("item_code").unionByName(reorders.select("item_code"))
-    lines = lines.join(shipped.distinct(), "item_code", "left_anti").join(listed.distinct(), "item_code", "left_anti")
-    j = lines.join(item_master(src).drop("scheme_id"), "item_code")
+    j = lines.join(known, "item_code", "left_anti").join(item_master(src).drop("scheme_id"), "item_code")
     return _pending_rows(j, "PEND")
 
 

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import fused_join
 from ..session import drop_run_dir, new_run_dir
 from ..sources import Sources
 from . import activity, candidates, lines, pending, publish, purchasing, sales, summarise
@@ -74,6 +75,8 @@ def stage_groups(src: Sources, prior: DataFrame, p: RollupParams, stager: Stager
     # 0. fact lines joined to their headers once
     ol = t["order_lines"] = stager.cut(lines.order_lines(src), "order_lines")
     sl = t["shipment_lines"] = stager.cut(lines.shipment_lines(src), "shipment_lines")
+    notes = t["order_notes"] = stager.cut(lines.order_notes(ol), "order_notes")
+    picks = t["note_picks"] = stager.cut(lines.note_picks(notes), "note_picks")
 
     # 1. activity summaries
     ship_hist = t["ship_hist"] = stager.cut(activity.shipment_history(src, p, sl), "ship_hist")
@@ -88,44 +91,58 @@ def stage_groups(src: Sources, prior: DataFrame, p: RollupParams, stager: Stager
     yield t
 
     # 2. candidate items, quantities and status
-    cands = candidates.candidates(src, p, ship_hist, wh_receipts, rcvd_items, ol)
+    cands = candidates.candidates(src, p, ship_hist, wh_receipts, rcvd_items, notes)
     t["cand_ship"] = candidates.work_rows(cands.where(F.col("_kind") == candidates.SHIPPED))
     t["cand_rcvd"] = candidates.work_rows(cands.where(F.col("_kind") == candidates.RECEIVED))
-    work = t["w10"] = candidates.drop_base_inventory(candidates.work_rows(cands), src)
     t["transfers"] = activity.transfer_totals(src, p, sl)
-    work = t["w12"] = candidates.apply_transfers(work, t["transfers"])
-    work = t["w13"] = candidates.apply_drop_ship_received(work, ship_hist, rcvd_items)
-    work = t["w16"] = candidates.apply_received_status(work, rcvd_items)
-    work = t["w18"] = stager.cut(candidates.apply_on_hand(work, src), "work_candidates")
+    sources = candidates.activity_sources(src, t["transfers"], ship_hist, rcvd_items)
+    joined = fused_join(candidates.work_rows(cands), sources, "item_code")  # P10-P18 read one join
+    plain = lambda df: df.drop(*sources)
+    joined = candidates.drop_base_inventory(joined)
+    t["w10"] = plain(joined)
+    joined = candidates.set_transfers(joined)
+    t["w12"] = plain(joined)
+    joined = candidates.set_drop_ship_received(joined)
+    t["w13"] = plain(joined)
+    joined = candidates.set_received_status(joined)
+    t["w16"] = plain(joined)
+    work = t["w18"] = stager.cut(plain(candidates.set_on_hand(joined)), "work_candidates")
     yield t
 
     # 3. sales
     upc = t["upc_items"] = stager.cut(sales.alias_items(src), "alias_items")
     t["sales_data"] = sales.sales_rekeyed_totals(src, p, upc, items=work)
-    work = t["w23"] = sales.apply_sales(work, t["sales_data"])
     online = t["online"] = stager.cut(sales.online_sales(src, upc, p.start_date, p.end_date), "online_sales")
     cross = t["cross_store"] = sales.cross_store_sales(src, p, items=work)
-    work = t["w26"] = stager.cut(sales.apply_channel_sales(work, online, cross), "work_sales")
+    sources = sales.sales_sources(t["sales_data"], online, cross)
+    joined = sales.set_sales(fused_join(work, sources, "item_code"))  # P23 and P26 read one join
+    t["w23"] = joined.drop(*sources)
+    work = t["w26"] = stager.cut(sales.set_channel_sales(joined).drop(*sources), "work_sales")
     yield t
 
     # 4. reorders (through the previous snapshot) and open orders
     items = t["reorder_items"] = stager.cut(pending.reorder_items(src, prior, ol), "reorder_items")
     rcvd_pos = t["reorder_received"] = pending.reorder_received(src, items, p.po_width)
     tbri = t["pend_tbri"] = pending.pending_reorders(src, p, items, rcvd_pos, ol)
-    t["pend_pend"] = pending.pending_orders(src, p, work, tbri, ol, sl)
+    known = t["known_items"] = stager.cut(pending.known_items(work, tbri, sl), "known_items")
+    t["pend_pend"] = pending.pending_orders(src, p, known, ol)
     pend_rows = t["pending"] = stager.cut(tbri.unionByName(t["pend_pend"]), "pending")
     work = t["w34"] = pending.append_pending(work, pend_rows)
     yield t
 
     # 5. last PO, notes, publisher, buyer, section, clean-up
-    t["pos"] = purchasing.po_candidates(src, work, pend_rows, ol)
-    best = t["best_po"] = purchasing.best_po(t["pos"])
-    work = t["w38"] = purchasing.apply_po_notes(work, best)
-    work = t["w40"] = purchasing.fill_notes_from_last_po(work, src, ol)
-    work = t["w42"] = purchasing.apply_last_po(work, best, src)
-    work = t["w43"] = purchasing.apply_publisher(work, src)
-    work = t["w47"] = purchasing.apply_buyer(work, src, ol)
-    work = t["w48"] = purchasing.apply_section(work, src)
+    pos = t["pos"] = stager.cut(purchasing.po_candidates(src, work, pend_rows, ol), "po_candidates")
+    work = t["w38"] = purchasing.apply_po_notes(work, pos)
+    work = t["w40"] = purchasing.fill_notes_from_last_po(work, picks)
+    sources = purchasing.item_sources(src, pos, ol)
+    joined = purchasing.set_last_po(fused_join(work, sources, "item_code"))  # P41-P48 read one join by item
+    plain = lambda df: df.drop(*sources)
+    t["w42"] = plain(joined)
+    joined = purchasing.apply_publisher(joined, src)
+    t["w43"] = plain(joined)
+    joined = purchasing.fill_buyer_from_last_po(purchasing.set_buyer(joined), src)
+    t["w47"] = plain(joined)
+    work = t["w48"] = plain(purchasing.set_section(joined))
     work = t["w49"] = purchasing.drop_supplies(work)
     work = t["w50"] = stager.cut(purchasing.null_fills(work), "work_final")
     yield t
@@ -140,7 +157,7 @@ def stage_groups(src: Sources, prior: DataFrame, p: RollupParams, stager: Stager
     yield t
 
     # 7. publish
-    t["published"] = publish.published_rollup(rollup, returns, wholesale, online, src, ol)
+    t["published"] = publish.published_rollup(rollup, returns, wholesale, online, src, picks)
     yield t
 
 

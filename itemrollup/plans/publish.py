@@ -20,43 +20,38 @@ from ..functions import (
     ts_lit,
     ymd,
 )
-from ..operators import first_per_key, keyed_update
+from ..operators import FusedSource, first_per_key, fused_join, keyed_update
 from ..sources import Sources
 from .contracts import PUBLISHED, REPORT, conform
-from .lines import order_lines
 from .params import AVAILABLE_COMPANY
 
 
 def published_rollup(
-    rollup: DataFrame, returns: DataFrame, wholesale: DataFrame, online: DataFrame, src: Sources, ol: DataFrame | None = None
+    rollup: DataFrame, returns: DataFrame, wholesale: DataFrame, online: DataFrame, src: Sources, picks: DataFrame
 ) -> DataFrame:
-    """Add returns, wholesale and online columns, fill blank notes, compute sell-through."""
-    r = returns.select(F.col("item_code").alias("_r_item"), "total_returns")
+    """Add returns, wholesale and online columns, fill blank notes, compute sell-through.
+
+    ``picks`` is ``lines.note_picks``.
+    """
+    j = fused_join(rollup, {
+        "rtv": FusedSource(returns.select("item_code", "total_returns"), "item_code", lambda c: {"qty": F.max(c("total_returns"))}),
+        "web": FusedSource(online.select("item_code", "online_qty_sold", "selling_price"), "item_code",
+                           lambda c: {"qty": F.max(c("online_qty_sold")), "price": F.max(c("selling_price"))}),
+    }, "item_code")
+    # several raw item numbers may stand for one item: each gives a row
     t = wholesale.select(trimmed_item_key("item_number").alias("_t_item"), "quantity", "extended_price")
-    o = online.select(F.col("item_code").alias("_o_item"), F.col("online_qty_sold").alias("_o_qty"), F.col("selling_price").alias("_o_price"))
-    j = rollup.join(r, rollup["item_code"] == r["_r_item"], "left")
     j = j.join(t, j["item_code"] == t["_t_item"], "left")
-    j = j.join(o, j["item_code"] == o["_o_item"], "left")
     pub = j.select(
         *rollup.columns,
-        F.coalesce("total_returns", F.lit(0)).alias("qty_rtv"),
+        F.coalesce("rtv.qty", F.lit(0)).alias("qty_rtv"),
         F.coalesce("quantity", F.lit(0)).cast("bigint").alias("txb_qty"),
         F.coalesce("extended_price", F.lit(0)).cast(MONEY).alias("txb_amt"),
-        F.coalesce("_o_qty", F.lit(0)).alias("online_qty_sold"),
-        F.col("_o_price").alias("selling_price"),
+        F.coalesce("web.qty", F.lit(0)).alias("online_qty_sold"),
+        F.col("web.price").alias("selling_price"),
     )
     pub = conform(pub, PUBLISHED)
-    od = (ol if ol is not None else order_lines(src)).select("po_number", "item_code", "special_instructions")
-    # only the rollup's (item, last PO) pairs can match: restrict the fact before aggregating it
-    wanted = pub.where(F.col("last_po").isNotNull()).select("item_code", F.col("last_po").alias("po_number")).distinct()
-    od = od.join(wanted, ["item_code", "po_number"], "left_semi")
-    line_notes = first_per_key(
-        od.where(is_present("special_instructions")).select(
-            F.col("item_code").alias("_n_item"), F.col("po_number").alias("_n_po"),
-            left("special_instructions", 250).alias("_n_note"),
-        ),
-        ["_n_item", "_n_po"], [F.col("_n_note")], descending=True,
-    )
+    line_notes = picks.where(F.col("by_line").isNotNull()).select(
+        F.col("item_code").alias("_n_item"), F.col("po_number").alias("_n_po"), F.col("by_line.i").alias("_n_note"))
     pub = keyed_update(
         pub, line_notes, {"item_code": "_n_item", "last_po": "_n_po"}, {"fob_item": F.col("_n_note")},
         where=is_blank("fob_item"),

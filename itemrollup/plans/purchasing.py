@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import assortment, is_blank, is_present, left
-from ..operators import delete_where, first_per_key, keyed_update, not_in
+from ..functions import assortment, is_blank, left, same_text, text_key
+from ..operators import FusedSource, delete_where, first_per_key, keyed_update, not_in
 from ..sources import Sources
 from .lines import order_lines
 from .params import ECOM_SCHEME, SUPPLIES_VENDOR
@@ -60,68 +60,54 @@ def apply_po_notes(work: DataFrame, best: DataFrame) -> DataFrame:
     return work
 
 
-def _po_line_notes(src: Sources, ol: DataFrame | None = None) -> DataFrame:
-    ol = ol if ol is not None else order_lines(src)
-    return ol.select(
-        F.col("item_code").alias("_n_item"),
-        F.col("po_number").alias("_n_po"),
-        left("special_instructions", 250).alias("_n_item_note"),
-        left("spec_instructions", 250).alias("_n_po_note"),
-    )
-
+def item_sources(src: Sources, pos: DataFrame, ol: DataFrame) -> dict[str, FusedSource]:
+    """The item-keyed sources of P41-P48: candidate POs, item master, order lines, section master.
 
-def fill_notes_from_last_po(work: DataFrame, src: Sources, ol: DataFrame | None = None) -> DataFrame:
+    All are raw rows; the row that counts per item is a ``max`` or ``min`` over a struct.  ``best`` is the
+    highest candidate PO, ties by header then line note.
+    """
+    lines = buyer_lines(src, ol)
+    product = src.product.select("item_code", "last_purchase_order")
+    section = src.section.select("item_code", F.upper(F.coalesce(F.col("section_code"), F.lit("NONE"))).alias("section"))
+    return {
+        "best": FusedSource(pos, "item_code", lambda c: {"po": F.max(F.struct(c("po_number"), c("fob_po"), c("fob_item"))).getField("po_number")}),
+        "master": FusedSource(product, "item_code", lambda c: {"last_po": F.max(c("last_purchase_order"))}),
+        "ordered": FusedSource(lines, "item_code", lambda c: {"buyer": F.min(c("choice")).getField("buyer")}),
+        "sections": FusedSource(section, "item_code", lambda c: {"section": F.max(c("section"))}),
+    }
+
+
+def fill_notes_from_last_po(work: DataFrame, picks: DataFrame) -> DataFrame:
     """P39 then P40: when a note is blank, take both notes from the row's last PO line.
 
-    P39 needs a line note, P40 a header note; the second reads the first's
-    result.  Several order lines of one (PO, item) resolve to the highest
-    notes.  Both candidates come from one aggregation and one join.
+    P39 needs a line note, P40 a header note; the second reads the first's result.  ``picks`` is
+    ``lines.note_picks``: several order lines of one (PO, item) resolve to the highest notes.
     """
-    wanted = work.where(F.col("last_po").isNotNull()).select(
-        F.col("item_code").alias("_n_item"), F.col("last_po").alias("_n_po")
-    ).distinct()
-    notes = _po_line_notes(src, ol).join(wanted, ["_n_item", "_n_po"], "left_semi")
-    pair = F.struct(F.col("_n_item_note").alias("i"), F.col("_n_po_note").alias("h"))
-    picks = notes.groupBy("_n_item", "_n_po").agg(
-        F.max(F.when(is_present("_n_item_note"), pair)).alias("_by_line"),
-        F.max(F.when(is_present("_n_po_note"), pair)).alias("_by_header"),
-    )
-    j = work.join(
-        picks, (work["item_code"] == picks["_n_item"]) & (work["last_po"] == picks["_n_po"]), "left"
-    )
-    line_hit = F.col("_by_line").isNotNull() & is_blank("fob_item")
-    j = j.withColumns({
-        "fob_item": F.when(line_hit, F.col("_by_line.i")).otherwise(F.col("fob_item")),
-        "fob_po": F.when(line_hit, F.col("_by_line.h")).otherwise(F.col("fob_po")),
-    })
-    header_hit = F.col("_by_header").isNotNull() & is_blank("fob_po")
-    j = j.withColumns({
-        "fob_item": F.when(header_hit, F.col("_by_header.i")).otherwise(F.col("fob_item")),
-        "fob_po": F.when(header_hit, F.col("_by_header.h")).otherwise(F.col("fob_po")),
-    })
+    picks = picks.select(F.col("item_code").alias("_n_item"), F.col("po_number").alias("_n_po"), F.col("by_line").alias("_by_line"), F.col("by_header").alias("_by_header"))
+    j = work.join(picks, (work["item_code"] == picks["_n_item"]) & (work["last_po"] == picks["_n_po"]), "left")
+    for pick, blank in (("_by_line", "fob_item"), ("_by_header", "fob_po")):
+        hit = F.col(pick).isNotNull() & is_blank(blank)
+        j = j.withColumns({
+            "fob_item": F.when(hit, F.col(f"{pick}.i")).otherwise(F.col("fob_item")),
+            "fob_po": F.when(hit, F.col(f"{pick}.h")).otherwise(F.col("fob_po")),
+        })
     return j.select(*work.columns)
 
 
-def apply_last_po(work: DataFrame, best: DataFrame, src: Sources) -> DataFrame:
+def set_last_po(joined: DataFrame) -> DataFrame:
     """Last PO from the candidates (not for 'TBRI' rows), then the item master's
     last purchase order for assortments and rows still without one."""
-    b = best.select("item_code", F.col("po_number").alias("_b_po"))
-    w = keyed_update(work, b, ["item_code"], {"last_po": F.col("_b_po")}, where=F.col("parent") != "TBRI")
-    pm = first_per_key(
-        src.product.select("item_code", F.col("last_purchase_order").alias("_pm_last_po")), ["item_code"],
-        [F.col("_pm_last_po")], descending=True,
-    )
-    return keyed_update(
-        w, pm, ["item_code"], {"last_po": F.col("_pm_last_po")},
-        where=assortment("item_code") | F.col("last_po").isNull(),
-    )
+    named = F.coalesce(F.col("best.hit"), F.lit(False)) & F.coalesce(F.col("parent") != "TBRI", F.lit(False))
+    w = joined.withColumn("last_po", F.when(named, F.col("best.po")).otherwise(F.col("last_po")))
+    again = F.coalesce(F.col("master.hit"), F.lit(False)) & (F.coalesce(assortment("item_code"), F.lit(False)) | F.col("last_po").isNull())
+    return w.withColumn("last_po", F.when(again, F.col("master.last_po")).otherwise(F.col("last_po")))
 
 
 def apply_publisher(work: DataFrame, src: Sources) -> DataFrame:
     """Publisher and author by ISBN (first 250 characters)."""
     i = first_per_key(
         src.isbn.select(
-            F.col("isbn").alias("_i_isbn"),
+            text_key("isbn").alias("_i_isbn"),
             left("publisher_name", 250).alias("_i_pub"),
             left("author", 250).alias("_i_author"),
         ),
@@ -129,68 +115,63 @@ def apply_publisher(work: DataFrame, src: Sources) -> DataFrame:
         [F.col("_i_pub"), F.col("_i_author")],
         descending=True,
     )
-    return keyed_update(work, i, {"isbn": "_i_isbn"}, {"publisher": F.col("_i_pub"), "author": F.col("_i_author")})
+    keyed = work.withColumn("_isbn_key", text_key("isbn"))
+    keyed = keyed_update(keyed, i, {"_isbn_key": "_i_isbn"}, {"publisher": F.col("_i_pub"), "author": F.col("_i_author")})
+    return keyed.drop("_isbn_key")
 
 
-def original_buyer(src: Sources, work: DataFrame, ol: DataFrame | None = None) -> DataFrame:
-    """The buyer of each item's earliest PO (NULL dates last, then lowest PO).
+def buyer_lines(src: Sources, ol: DataFrame) -> DataFrame:
+    """(item_code, choice) of the order lines' POs: the smallest ``choice`` of an item names its buyer.
 
-    Per (PO, item) the earliest header date is taken, and the buyer of a header
-    with that date (smallest name when several match); a PO without a matching
-    buyer, or without a date, contributes ' ' (filled later from the last PO).
-    The order lines already carry the header date and buyer id.  They are reduced to
-    one row per (PO, item, date, buyer) before the join to the buyer names, and to one
-    row per item before the join to the work items.
+    Per (PO, item) the earliest header date is taken, and the buyer of a header with that date
+    (smallest name when several match); a PO without a matching buyer, or without a date,
+    contributes ' ' (filled later from the last PO).  An item's choice is its earliest PO (NULL
+    dates last, then lowest PO).  The lines already carry the header date and buyer id and are
+    reduced to one row per (PO, item, date, buyer) before the join to the buyer names.
     """
-    ol = ol if ol is not None else order_lines(src)
     names = first_per_key(src.buyer.select("buyer_id", "name"), ["buyer_id"], [F.col("name")])
-    od = ol.select("po_number", "item_code", "po_date", "buyer_id").distinct()
-    od = od.join(names, "buyer_id", "left")
+    od = ol.select("po_number", "item_code", "po_date", "buyer_id").distinct().join(names, "buyer_id", "left")
     first = F.min(F.struct(
         F.col("po_date").isNull().alias("d_null"), F.col("po_date").alias("d"),
         F.col("name").isNull().alias("n_null"), F.col("name").alias("n"),
     )).alias("_first")
     no_buyer = F.col("_first.d").isNull() | F.col("_first.n").isNull()
-    bp = od.groupBy("po_number", "item_code").agg(first).select(
-        "po_number", "item_code", F.col("_first.d").alias("po_date"),
-        F.when(no_buyer, F.lit(" ")).otherwise(F.col("_first.n")).alias("buyer"),
-    )
-    best = first_per_key(
-        bp.select("item_code", "po_date", "po_number", "buyer"),
-        ["item_code"],
-        [F.col("po_date").isNull(), F.col("po_date"), F.col("po_number")],
-    )
-    return best.join(work.select("item_code").distinct(), "item_code", "left_semi")
+    return od.groupBy("po_number", "item_code").agg(first).select("item_code", F.struct(
+        F.col("_first.d_null").alias("no_date"), F.col("_first.d").alias("po_date"), "po_number",
+        F.when(no_buyer, F.lit(" ")).otherwise(F.col("_first.n")).alias("buyer")).alias("choice"))
+
+
+def original_buyer(src: Sources, work: DataFrame, ol: DataFrame) -> DataFrame:
+    """P44-P46 alone: (item_code, po_date, po_number, buyer) of the work items."""
+    best = buyer_lines(src, ol).groupBy("item_code").agg(F.min("choice").alias("c"))
+    return best.select("item_code", "c.po_date", "c.po_number", "c.buyer").join(work.select("item_code").distinct(), "item_code", "left_semi")
 
 
-def apply_buyer(work: DataFrame, src: Sources, ol: DataFrame | None = None) -> DataFrame:
-    """Original buyer, then the last PO's buyer where still blank."""
-    ob = original_buyer(src, work, ol).select("item_code", F.col("buyer").alias("_ob_buyer"))
-    w = keyed_update(work, ob, ["item_code"], {"buyer": F.col("_ob_buyer")})
+def set_buyer(joined: DataFrame) -> DataFrame:
+    """The original buyer."""
+    return joined.withColumn("buyer", F.when(F.col("ordered.hit"), F.col("ordered.buyer")).otherwise(F.col("buyer")))
+
+
+def fill_buyer_from_last_po(work: DataFrame, src: Sources) -> DataFrame:
+    """The last PO's buyer where the buyer is still blank."""
     names = first_per_key(src.buyer.select("buyer_id", "name"), ["buyer_id"], [F.col("name")])
     po_buyer = src.order_header.select("po_number", "buyer_id").join(names, "buyer_id")
     po_buyer = first_per_key(
         po_buyer.select(F.col("po_number").alias("_pb_po"), F.col("name").alias("_pb_name")), ["_pb_po"], [F.col("_pb_name")]
     )
-    return keyed_update(w, po_buyer, {"last_po": "_pb_po"}, {"buyer": F.col("_pb_name")}, where=is_blank("buyer"))
+    return keyed_update(work, po_buyer, {"last_po": "_pb_po"}, {"buyer": F.col("_pb_name")}, where=is_blank("buyer"))
 
 
-def apply_section(work: DataFrame, src: Sources) -> DataFrame:
+def set_section(joined: DataFrame) -> DataFrame:
     """Section code from the section master (upper case, 'NONE' when NULL)."""
-    s = first_per_key(
-        src.section.select("item_code", F.upper(F.coalesce(F.col("section_code"), F.lit("NONE"))).alias("_sec")),
-        ["item_code"],
-        [F.col("_sec")],
-        descending=True,
-    )
-    return keyed_update(work, s, ["item_code"], {"section_code": F.col("_sec")})
+    return joined.withColumn("section_code", F.when(F.col("sections.hit"), F.col("sections.section")).otherwise(F.col("section_code")))
 
 
 def drop_supplies(work: DataFrame, with_ecom: bool = True) -> DataFrame:
     """Remove supplies vendors (and the e-commerce scheme)."""
-    pred = (F.col("vendor_id") == SUPPLIES_VENDOR) | (F.col("reorder_vendor_id") == SUPPLIES_VENDOR)
+    pred = same_text("vendor_id", SUPPLIES_VENDOR) | same_text("reorder_vendor_id", SUPPLIES_VENDOR)
     if with_ecom:
-        pred = pred | (F.col("scheme_id") == ECOM_SCHEME)
+        pred = pred | same_text("scheme_id", ECOM_SCHEME)
     return delete_where(work, pred)
 
 

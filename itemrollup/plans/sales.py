@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import MONEY, item_key, money, ts_lit
-from ..operators import conditional_totals, keyed_update, not_in, rekey
+from ..operators import FusedSource, conditional_totals, not_in, rekey
 from ..sources import Sources
 from .params import RollupParams
 
@@ -95,25 +95,21 @@ def sales_rekeyed_totals(src: Sources, p: RollupParams, upc: DataFrame, items: D
     return totals
 
 
-def apply_sales(work: DataFrame, totals: DataFrame) -> DataFrame:
+def sales_sources(totals: DataFrame, online: DataFrame, cross: DataFrame) -> dict[str, FusedSource]:
+    """The item-keyed sources of P23-P26; each has one row an item."""
+    one = lambda *names: lambda c: {n: F.max(c(n)) for n in names}
+    return {
+        "store": FusedSource(totals, "item_code", one(*SALES_MEASURES)),
+        "web": FusedSource(online.select("item_code", "online_qty_sold", "extended_amt"), "item_code", one("online_qty_sold", "extended_amt")),
+        "rung": FusedSource(cross.select("item_code", "qty_sold", "extended_amt"), "item_code", one("qty_sold", "extended_amt")),
+    }
+
+
+def set_sales(joined: DataFrame) -> DataFrame:
     """Nine sales columns from the per-item totals."""
-    s = totals.select("item_code", *[F.col(c).alias(f"_s_{c}") for c in SALES_MEASURES])
-    return keyed_update(
-        work,
-        s,
-        ["item_code"],
-        {
-            "qty_sold": F.col("_s_qty_sold"),
-            "register_price": F.col("_s_register_price"),
-            "qty_returned": F.col("_s_qty_returned"),
-            "extended_amt": F.col("_s_extended_amt"),
-            "coupons": F.col("_s_coupons"),
-            "coupon_amt": F.col("_s_coupon_amt"),
-            "qty_disc": F.col("_s_qty_disc"),
-            "disc_amt": F.col("_s_disc_amt"),
-            "qty_marked_down": F.col("_s_marked_down"),
-        },
-    )
+    named = {"qty_marked_down" if c == "marked_down" else c: c for c in SALES_MEASURES}
+    return joined.withColumns({
+        out: F.when(F.col("store.hit"), F.col(f"store.{c}")).otherwise(F.col(out)).cast(joined.schema[out].dataType) for out, c in named.items()})
 
 
 def online_sales(src: Sources, upc: DataFrame, start, end) -> DataFrame:
@@ -169,34 +165,17 @@ def cross_store_sales(src: Sources, p: RollupParams, items: DataFrame | None = N
     )
 
 
-def apply_channel_sales(work: DataFrame, online: DataFrame, cross: DataFrame) -> DataFrame:
+def set_channel_sales(joined: DataFrame) -> DataFrame:
     """Add online and cross-store sales; a NULL store total stays NULL."""
-    o = online.select(
-        F.col("item_code").alias("_ch_item"),
-        F.col("online_qty_sold").alias("_o_qty"),
-        F.col("extended_amt").alias("_o_amt"),
-    )
-    c = cross.select(F.col("item_code").alias("_cs_item"), F.col("qty_sold").alias("_c_qty"), F.col("extended_amt").alias("_c_amt"))
-    ch = o.join(c, o["_ch_item"] == c["_cs_item"], "full").select(
-        F.coalesce("_ch_item", "_cs_item").alias("_ch_key"),
-        F.coalesce("_o_qty", F.lit(0)).alias("_o_qty"),
-        F.coalesce("_o_amt", F.lit(0)).alias("_o_amt"),
-        F.coalesce("_c_qty", F.lit(0)).alias("_c_qty"),
-        F.coalesce("_c_amt", F.lit(0)).alias("_c_amt"),
-    )
-    return keyed_update(
-        work,
-        ch,
-        {"item_code": "_ch_key"},
-        {
-            "qty_sold": F.col("qty_sold") + F.col("_o_qty") + F.col("_c_qty"),
-            "register_price": F.col("register_price") + F.col("_o_amt") + F.col("_c_amt"),
-            "extended_amt": F.col("extended_amt") + F.col("_o_amt") + F.col("_c_amt"),
-        },
-    )
+    sold = F.coalesce(F.col("web.hit"), F.col("rung.hit"), F.lit(False))
+    qty = F.coalesce("web.online_qty_sold", F.lit(0)) + F.coalesce("rung.qty_sold", F.lit(0))
+    amount = F.coalesce("web.extended_amt", F.lit(0)) + F.coalesce("rung.extended_amt", F.lit(0))
+    more = {"qty_sold": qty, "register_price": amount, "extended_amt": amount}
+    return joined.withColumns({
+        c: F.when(sold, F.col(c) + x).otherwise(F.col(c)).cast(joined.schema[c].dataType) for c, x in more.items()})
 
 
 __all__ = [
-    "alias_items", "sales_totals", "sales_rekeyed_totals", "apply_sales", "online_sales",
-    "cross_store_sales", "apply_channel_sales",
+    "alias_items", "sales_totals", "sales_rekeyed_totals", "sales_sources", "set_sales", "online_sales",
+    "cross_store_sales", "set_channel_sales",
 ]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import MONEY, item_key, trimmed_item_key
-from ..operators import current_and_archive, existence_flag, first_per_key, keyed_update, not_in
+from ..operators import FusedSource, current_and_archive, first_per_key, fused_join, keyed_update, not_in
 from ..sources import Sources
 from .contracts import GROUP_COLUMNS, MAX_COLUMNS, MIN_COLUMNS, ROLLUP, SUM_COLUMNS, conform
 from .params import (
@@ -124,12 +124,12 @@ def status_reset(rollup: DataFrame, src: Sources, wholesale: DataFrame) -> DataF
     sold = wholesale.where(F.coalesce(F.col("quantity"), F.lit(0)) > 0).select(
         trimmed_item_key("item_number").alias("item_code")
     )
-    r = existence_flag(rollup, oos, ["item_code"], "_oos")
-    r = existence_flag(r, sold, ["item_code"], "_wholesale")
-    reset = (F.col("parent") == "RCVD") & (F.col("_oos") | F.col("_wholesale"))
-    return r.withColumn("parent", F.when(F.coalesce(reset, F.lit(False)), F.lit("")).otherwise(F.col("parent"))).drop(
-        "_oos", "_wholesale"
-    )
+    r = fused_join(rollup, {
+        "_oos": FusedSource(oos, "item_code", lambda c: {}),
+        "_sold": FusedSource(sold, "item_code", lambda c: {}),
+    }, "item_code")
+    reset = (F.col("parent") == "RCVD") & F.coalesce(F.col("_oos.hit"), F.col("_sold.hit"), F.lit(False))
+    return r.withColumn("parent", F.when(reset, F.lit("")).otherwise(F.col("parent"))).drop("_oos", "_sold")
 
 
 __all__ = ["rekey_aliases", "item_rollup", "vendor_returns", "wholesale_totals", "status_reset"]

@@ -118,7 +118,8 @@ def test_wholesale_spellings_duplicate_published_rows(spark, small_sources):
     assert reset.first().parent == ""
     online = spark.createDataFrame([], "item_code string, online_qty_sold bigint, selling_price decimal(19,4)")
     returns = spark.createDataFrame([], "item_code string, total_returns bigint")
-    pub = published_rollup(reset, returns, txb, online, s)
+    picks = spark.createDataFrame([], "item_code string, po_number string, by_line struct<i: string, h: string>, by_header struct<i: string, h: string>")
+    pub = published_rollup(reset, returns, txb, online, s, picks)
     assert sorted(r.txb_qty for r in pub.collect()) == [1, 2]
 
 
@@ -136,14 +137,17 @@ def test_report_orders_by_last_received_desc_nulls_last(spark, small_sources):
     assert out[0].buyer == "J.S."
 
 
-def test_drop_ship_fix_keeps_invoiced_amount(spark):
+def test_drop_ship_fix_keeps_invoiced_amount(spark, small_sources):
+    from itemrollup.operators import fused_join
     from itemrollup.plans import candidates
 
     work = _work(spark, [{"item_code": "I", "parent": "SHIP", "cost": Decimal(2), "qty_shipped": 10, "amt_invoiced": Decimal(20)}])
     ship_hist = spark.createDataFrame([("I", 1, 10)], "item_code string, drop_ship int, qty_shipped bigint")
-    rcvd = spark.createDataFrame([("I", D, D, "DS", 7)],
-                                 "item_code string, first_received timestamp_ntz, last_received timestamp_ntz, parent string, rcvd_qty bigint")
-    r = candidates.apply_drop_ship_received(work, ship_hist, rcvd).first()
+    rcvd = spark.createDataFrame([("I", D, D, True, 7)],
+                                 "item_code string, first_rcvd timestamp_ntz, last_rcvd timestamp_ntz, store_received boolean, rcvd_qty bigint")
+    moved = spark.createDataFrame([], "item_code string, qty_trans bigint, qty_damaged bigint")
+    joined = fused_join(work, candidates.activity_sources(small_sources, moved, ship_hist, rcvd), "item_code")
+    r = candidates.set_drop_ship_received(joined).first()
     assert (r.qty_shipped, r.amt_invoiced) == (7, Decimal("20.0000"))
 
 
