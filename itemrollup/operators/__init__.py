@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import col
+from ..functions import col, text_key
 
 __all__ = [
     "not_in",
@@ -32,6 +32,7 @@ __all__ = [
     "current_and_archive",
     "rekey",
     "distinct_keys",
+    "group_text",
     "FusedSource",
     "fused_sources",
     "fused_join",
@@ -43,6 +44,16 @@ def distinct_keys(df: DataFrame, key: str | Column, alias: str = "_key") -> Data
     return df.select(col(key).alias(alias)).where(F.col(alias).isNotNull()).distinct()
 
 
+def group_text(df: DataFrame, texts: Sequence[str], aggs: Sequence[Column] = (), by: Sequence[str] = ()) -> DataFrame:
+    """``groupBy(by, texts)`` that takes ``texts`` as equal without regard to case and trailing blanks.
+
+    A group shows the smallest of its spellings, column by column; ``by`` is compared exactly.
+    """
+    keys = [text_key(t).alias(f"_g_{t}") for t in texts]
+    out = df.groupBy(*by, *keys).agg(*[F.min(t).alias(t) for t in texts], *aggs)
+    return out.drop(*[f"_g_{t}" for t in texts])
+
+
 def not_in(
     left: DataFrame,
     left_key: str | Column,

@@ -45,9 +45,9 @@ def _candidates(pm: DataFrame, qty: DataFrame, rcvd_items: DataFrame, notes: Dat
         notes, (j["item_code"] == notes["_note_item"]) & (j["last_purchase_order"] == notes["_note_po"]), "left"
     )
     window = lambda c: c.between(ts_lit(p.start_date), ts_lit(p.end_date))
-    j = j.where(window(F.col("create_date")) | (F.col("reorderable") == "Y") | window(F.col("last_received")))
+    j = j.where(window(F.col("create_date")) | same_text("reorderable", "Y") | window(F.col("last_received")))
     parent = F.when(F.col("_kind") == SHIPPED, F.lit("SHIP")).otherwise(
-        F.when(F.col("reorderable") == "Y", F.lit(" ")).otherwise(F.lit("RCVD"))
+        F.when(same_text("reorderable", "Y"), F.lit(" ")).otherwise(F.lit("RCVD"))
     )
     out = j.select(
         F.col("vendor_id"),
@@ -155,9 +155,9 @@ def set_received_status(joined: DataFrame) -> DataFrame:
         "first_received": F.when(_hit("rcvd"), F.col("rcvd.first_rcvd")).otherwise(F.col("first_received")),
     })
     never = F.col("last_received").isNull()
-    blank = never & ((F.col("reorderable") == "N") | (F.col("qty_shipped") == 0))
+    blank = never & (same_text("reorderable", "N") | (F.col("qty_shipped") == 0))
     w = w.withColumn("parent", F.when(F.coalesce(blank, F.lit(False)), F.lit(" ")).otherwise(F.col("parent")))
-    srpr = never & (F.col("reorderable") == "Y") & (F.col("qty_shipped") > 0)
+    srpr = never & same_text("reorderable", "Y") & (F.col("qty_shipped") > 0)
     return w.withColumn("parent", F.when(F.coalesce(srpr, F.lit(False)), F.lit("SRPR")).otherwise(F.col("parent")))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_present, left
+from ..operators import group_text
 from ..sources import Sources
 
 
@@ -38,12 +39,13 @@ def shipment_lines(src: Sources) -> DataFrame:
 def order_notes(ol: DataFrame) -> DataFrame:
     """Distinct (item, PO, header note, line note) of the order lines with a note, at most 250 characters each.
 
-    The one place where order lines are read for notes.  The lines are de-duplicated map-side, so a
+    The one place where order lines are read for notes.  Notes that differ in case or trailing blanks
+    are one note.  The lines are de-duplicated map-side, so a
     hot item or PO sends its distinct notes on, not its lines.
     """
-    return ol.where(is_present("spec_instructions") | is_present("special_instructions")).select(
-        "item_code", "po_number", left("spec_instructions", 250).alias("fob_po"), left("special_instructions", 250).alias("fob_item")
-    ).distinct()
+    noted = ol.where(is_present("spec_instructions") | is_present("special_instructions")).select(
+        "item_code", "po_number", left("spec_instructions", 250).alias("fob_po"), left("special_instructions", 250).alias("fob_item"))
+    return group_text(noted.distinct(), ["fob_po", "fob_item"], by=["item_code", "po_number"])
 
 
 def note_picks(notes: DataFrame) -> DataFrame:

@@ -87,35 +87,36 @@ def _pending_rows(j: DataFrame, parent: str) -> DataFrame:
     )
 
 
-def pending_reorders(
-    src: Sources, p: RollupParams, items: DataFrame, rcvd_pos: DataFrame, ol: DataFrame | None = None
-) -> DataFrame:
-    """Open reorder lines of the last year not yet received ('TBRI')."""
-    lines = (ol if ol is not None else order_lines(src)).where(
+def item_rows(src: Sources, items: DataFrame, listed: bool) -> DataFrame:
+    """The item master rows of the given items (``listed``) or of all others.
+
+    To be stored before open order lines are joined to it: AQE splits a hot item of the lines only
+    in a join whose other side is a stored table, and only where no second join by item follows.
+    """
+    return item_master(src).drop("scheme_id").join(items.select("item_code").distinct(), "item_code", "left_semi" if listed else "left_anti")
+
+
+def pending_reorders(p: RollupParams, items: DataFrame, rcvd_pos: DataFrame, ol: DataFrame) -> DataFrame:
+    """Open reorder lines of the last year not yet received ('TBRI').
+
+    ``items`` is the stored ``item_rows`` of the reorder items, ``rcvd_pos`` the stored
+    ``reorder_received``.
+    """
+    lines = ol.where(
         (F.col("location_no") == REORDER_LOCATION)
         & (F.col("created_from_requisition") == 0)
         & (F.coalesce(F.col("po_date"), ts_lit(p.as_of)) > ts_lit(p.one_year_ago))
         & F.col("cancel_date").isNull()
     )
-    lines = lines.join(items, "item_code", "left_semi")
-    lines = lines.join(rcvd_pos.select("item_code", "po_number"), ["item_code", "po_number"], "left_anti")
-    j = lines.join(item_master(src).drop("scheme_id"), "item_code")
+    j = lines.join(items, "item_code").join(rcvd_pos.select("item_code", "po_number"), ["item_code", "po_number"], "left_anti")
     return _pending_rows(j, "TBRI")
 
 
-def known_items(work: DataFrame, reorders: DataFrame, sl: DataFrame) -> DataFrame:
-    """Items that were shipped or are listed already (work rows and 'TBRI' rows), once each.
-
-    To be stored before ``pending_orders`` reads it: AQE splits a hot item of the open lines only
-    where the other side of their join is a stored table.
-    """
-    return sl.select("item_code").unionByName(work.select("item_code")).unionByName(reorders.select("item_code")).distinct()
-
-
-def pending_orders(src: Sources, p: RollupParams, known: DataFrame, ol: DataFrame) -> DataFrame:
+def pending_orders(p: RollupParams, items: DataFrame, ol: DataFrame) -> DataFrame:
     """Open orders of the last 12 months for items never shipped and not yet listed ('PEND').
 
-    Every qualifying order line gives a row; ``known`` is the stored ``known_items``.
+    Every qualifying order line gives a row; ``items`` is the stored ``item_rows`` of the items that
+    are neither shipped nor listed (work rows and 'TBRI' rows).
     """
     lines = ol.where(
         (F.col("distribution_type") != "A")
@@ -123,8 +124,7 @@ def pending_orders(src: Sources, p: RollupParams, known: DataFrame, ol: DataFram
         & (F.col("po_date") > ts_lit(p.one_year_ago))
         & F.col("cancel_date").isNull()
     )
-    j = lines.join(known, "item_code", "left_anti").join(item_master(src).drop("scheme_id"), "item_code")
-    return _pending_rows(j, "PEND")
+    return _pending_rows(lines.join(items, "item_code"), "PEND")
 
 
 def append_pending(work: DataFrame, pending: DataFrame) -> DataFrame:

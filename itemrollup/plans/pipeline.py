@@ -122,10 +122,12 @@ def stage_groups(src: Sources, prior: DataFrame, p: RollupParams, stager: Stager
 
     # 4. reorders (through the previous snapshot) and open orders
     items = t["reorder_items"] = stager.cut(pending.reorder_items(src, prior, ol), "reorder_items")
-    rcvd_pos = t["reorder_received"] = pending.reorder_received(src, items, p.po_width)
-    tbri = t["pend_tbri"] = pending.pending_reorders(src, p, items, rcvd_pos, ol)
-    known = t["known_items"] = stager.cut(pending.known_items(work, tbri, sl), "known_items")
-    t["pend_pend"] = pending.pending_orders(src, p, known, ol)
+    rcvd_pos = t["reorder_received"] = stager.cut(pending.reorder_received(src, items, p.po_width), "reorder_received")
+    again = stager.cut(pending.item_rows(src, items, listed=True), "reorder_item_rows")
+    tbri = t["pend_tbri"] = pending.pending_reorders(p, again, rcvd_pos, ol)
+    known = sl.select("item_code").unionByName(work.select("item_code")).unionByName(tbri.select("item_code"))
+    new = stager.cut(pending.item_rows(src, known, listed=False), "new_item_rows")
+    t["pend_pend"] = pending.pending_orders(p, new, ol)
     pend_rows = t["pending"] = stager.cut(tbri.unionByName(t["pend_pend"]), "pending")
     work = t["w34"] = pending.append_pending(work, pend_rows)
     yield t

@@ -15,6 +15,7 @@ from ..functions import (
     is_present,
     left,
     pct_sold,
+    text_key,
     title_item,
     trimmed_item_key,
     ts_lit,
@@ -94,7 +95,7 @@ def report(rollup: DataFrame, buyers: DataFrame, available: DataFrame, cutoff, o
     w = available.where(F.col("company") == AVAILABLE_COMPANY).select(
         F.col("item_code").alias("_w_item"), F.col("available_qty").alias("_w_qty")
     )
-    j = u.join(b, F.rtrim(u["buyer"]) == F.rtrim(b["_b_name"]), "left").join(w, u["item_code"] == w["_w_item"], "left")
+    j = u.join(b, text_key(u["buyer"]) == text_key(b["_b_name"]), "left").join(w, u["item_code"] == w["_w_item"], "left")
     j = j.where(report_filter(j, cutoff))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     out = j.select(

@@ -120,6 +120,11 @@ def apply_publisher(work: DataFrame, src: Sources) -> DataFrame:
     return keyed.drop("_isbn_key")
 
 
+def buyer_names(src: Sources) -> DataFrame:
+    """The smallest name of every buyer id."""
+    return src.buyer.groupBy(text_key("buyer_id").alias("_buyer")).agg(F.min("name").alias("name"))
+
+
 def buyer_lines(src: Sources, ol: DataFrame) -> DataFrame:
     """(item_code, choice) of the order lines' POs: the smallest ``choice`` of an item names its buyer.
 
@@ -129,8 +134,8 @@ def buyer_lines(src: Sources, ol: DataFrame) -> DataFrame:
     dates last, then lowest PO).  The lines already carry the header date and buyer id and are
     reduced to one row per (PO, item, date, buyer) before the join to the buyer names.
     """
-    names = first_per_key(src.buyer.select("buyer_id", "name"), ["buyer_id"], [F.col("name")])
-    od = ol.select("po_number", "item_code", "po_date", "buyer_id").distinct().join(names, "buyer_id", "left")
+    names = buyer_names(src)
+    od = ol.select("po_number", "item_code", "po_date", "buyer_id").distinct().withColumn("_buyer", text_key("buyer_id")).join(names, "_buyer", "left")
     first = F.min(F.struct(
         F.col("po_date").isNull().alias("d_null"), F.col("po_date").alias("d"),
         F.col("name").isNull().alias("n_null"), F.col("name").alias("n"),
@@ -154,8 +159,8 @@ def set_buyer(joined: DataFrame) -> DataFrame:
 
 def fill_buyer_from_last_po(work: DataFrame, src: Sources) -> DataFrame:
     """The last PO's buyer where the buyer is still blank."""
-    names = first_per_key(src.buyer.select("buyer_id", "name"), ["buyer_id"], [F.col("name")])
-    po_buyer = src.order_header.select("po_number", "buyer_id").join(names, "buyer_id")
+    names = buyer_names(src)
+    po_buyer = src.order_header.select("po_number", text_key("buyer_id").alias("_buyer")).join(names, "_buyer")
     po_buyer = first_per_key(
         po_buyer.select(F.col("po_number").alias("_pb_po"), F.col("name").alias("_pb_name")), ["_pb_po"], [F.col("_pb_name")]
     )

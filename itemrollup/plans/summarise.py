@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import MONEY, item_key, trimmed_item_key
-from ..operators import FusedSource, current_and_archive, first_per_key, fused_join, keyed_update, not_in
+from ..operators import FusedSource, current_and_archive, first_per_key, fused_join, group_text, keyed_update, not_in
 from ..sources import Sources
 from .contracts import GROUP_COLUMNS, MAX_COLUMNS, MIN_COLUMNS, ROLLUP, SUM_COLUMNS, conform
 from .params import (
@@ -65,7 +66,9 @@ def item_rollup(work: DataFrame, upc: DataFrame) -> DataFrame:
         + [F.max(c).alias(c) for c in MAX_COLUMNS]
         + [F.min(c).alias(c) for c in MIN_COLUMNS]
     )
-    rolled = conform(grouped.groupBy(*GROUP_COLUMNS).agg(*aggs), ROLLUP)
+    texts = [c for c in GROUP_COLUMNS if c != "item_code" and isinstance(types[c], StringType)]
+    rolled = group_text(grouped, texts, aggs, by=[c for c in GROUP_COLUMNS if c not in texts])
+    rolled = conform(rolled, ROLLUP)
     reorders = conform(work.where(F.col("parent") == "TBRI"), ROLLUP)
     return rolled.unionByName(reorders)
 
@@ -105,10 +108,10 @@ def wholesale_totals(src: Sources, rollup: DataFrame | None = None) -> DataFrame
         _wholesale_lines(src.sop_header_open, src.sop_line_open),
         _wholesale_lines(src.sop_header_history, src.sop_line_history),
     )
-    totals = lines.groupBy("item_number").agg(
-        F.sum(F.coalesce(F.col("qty_to_invoice"), F.lit(0))).cast("bigint").alias("quantity"),
-        F.sum(F.coalesce(F.col("extended_price"), F.lit(0))).cast(MONEY).alias("extended_price"),
-    )
+    per_number = lines.groupBy("item_number").agg(  # spelling by spelling first, combined map-side
+        F.sum(F.coalesce(F.col("qty_to_invoice"), F.lit(0))).alias("quantity"), F.sum(F.coalesce(F.col("extended_price"), F.lit(0))).alias("extended_price"))
+    totals = group_text(per_number, ["item_number"], [
+        F.sum("quantity").cast("bigint").alias("quantity"), F.sum("extended_price").cast(MONEY).alias("extended_price")])
     if rollup is None:
         return totals
     # the item depends on the grouping key alone: one row per raw number meets the rollup

@@ -90,25 +90,27 @@ def stage_sources(src: Sources, root: str, files_per_table: int | None = None) -
     return Sources(**out)
 
 
-# Columns that hold codes: the original compares them without regard to case or trailing blanks.
+# Join keys and type codes: the original compares them without regard to case or trailing blanks.
+# None but item_code and the PO number is published; every other text keeps its spelling and is
+# compared under ``functions.TEXT_COLLATION`` where it is joined, grouped or tested.
 CODE_COLUMNS = frozenset((
-    "item_code", "report_item_code", "new_item_code", "item", "item_alias", "item_number", "sku", "upc", "isbn",
+    "item_code", "report_item_code", "new_item_code", "item", "item_alias", "sku", "upc",
     "po_number", "purchase_order_id", "last_purchase_order", "shipment_no", "sop_number", "sales_xaction_id",
-    "till_number", "transaction_number", "buyer_id", "vendor_id", "purchase_vendor_id", "customer_number",
-    "location_no", "from_location_no", "to_location_no", "company", "scheme_id", "user_class", "shipment_type",
-    "distribution_type", "po_type", "xaction_type", "status", "is_return", "odpc_flag", "reorderable", "location_type",
+    "till_number", "transaction_number", "customer_number",
+    "location_no", "from_location_no", "to_location_no", "company", "user_class", "shipment_type",
+    "distribution_type", "po_type", "xaction_type", "status", "is_return", "odpc_flag", "location_type",
 ))
 
 
 def normalised(df: DataFrame) -> DataFrame:
-    """Text without trailing blanks, codes in upper case: equal keys of the original (padded
-    ``char`` columns, case-insensitive collation) become equal strings, once, at ingest."""
+    """Key and type codes in upper case without trailing blanks: equal keys of the original (padded
+    ``char`` columns, case-insensitive collation) become equal strings, once, at ingest, and the
+    fact joins stay binary.  No other text is changed."""
 
     def clean(name: str, kind: str):
-        if not kind.startswith(("string", "char", "varchar")):
+        if name not in CODE_COLUMNS or not kind.startswith(("string", "char", "varchar")):
             return F.col(name)
-        text = F.rtrim(F.col(name))
-        return (F.upper(text) if name in CODE_COLUMNS else text).alias(name)
+        return F.upper(F.rtrim(F.col(name))).alias(name)
 
     return df.select(*[clean(name, kind) for name, kind in df.dtypes])
 

@@ -7,6 +7,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from conftest import frame
+from itemrollup.operators import fused_join
 from itemrollup.plans import activity, purchasing, sales, summarise
 from itemrollup.plans.contracts import WORK, conform
 from itemrollup.plans.params import SYNTHETIC as P
@@ -66,7 +67,8 @@ def test_channel_sales_leave_null_store_totals_null_until_filled(spark):
     work = _work(spark, [{"item_code": "A", "qty_sold": None}, {"item_code": "B", "qty_sold": 2, "register_price": Decimal(1), "extended_amt": Decimal(1)}])
     online = spark.createDataFrame([("A", 3, Decimal("10")), ("B", 3, Decimal("10"))], "item_code string, online_qty_sold bigint, extended_amt decimal(19,4)")
     cross = spark.createDataFrame([], "item_code string, qty_sold bigint, extended_amt decimal(19,4)")
-    out = sales.apply_channel_sales(work, online, cross)
+    totals = spark.createDataFrame([], "item_code string, " + ", ".join(f"{c} bigint" for c in sales.SALES_MEASURES))
+    out = sales.set_channel_sales(fused_join(work, sales.sales_sources(totals, online, cross), "item_code"))
     got = {r.item_code: (r.qty_sold, r.register_price) for r in out.collect()}
     assert got == {"A": (None, None), "B": (5, Decimal("11.0000"))}
     filled = {r.item_code: r.qty_sold for r in purchasing.null_fills(out).collect()}
@@ -138,7 +140,6 @@ def test_report_orders_by_last_received_desc_nulls_last(spark, small_sources):
 
 
 def test_drop_ship_fix_keeps_invoiced_amount(spark, small_sources):
-    from itemrollup.operators import fused_join
     from itemrollup.plans import candidates
 
     work = _work(spark, [{"item_code": "I", "parent": "SHIP", "cost": Decimal(2), "qty_shipped": 10, "amt_invoiced": Decimal(20)}])

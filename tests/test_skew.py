@@ -163,3 +163,79 @@ def test_hot_item_in_last_pos_buyers_and_reorders(spark, small_sources):
     n1 = sum(i % 3 != 0 and i % 7 == 1 for i in range(900))
     assert got == {"HOT": (300, Decimal(600)), " I1 ": (n1, Decimal(2 * n1))}
     assert _ancestors_have_partial_aggregate(_plan(summarise.wholesale_totals(src, rollup)), "itemrollup-hot-wholesale-")
+
+
+SPLIT = {  # thresholds small enough for the test's rows
+    "spark.sql.adaptive.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def _with_split(spark, run):
+    old = {k: spark.conf.get(k, None) for k in SPLIT}
+    for k, v in SPLIT.items():
+        spark.conf.set(k, v)
+    try:
+        return run()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _open_lines(spark, n=9000):
+    """Open order lines with a third on item HOT, over several map tasks."""
+    rows = [(f"PO{i}", "HOT" if i % 3 == 0 else f"I{i % 300}", datetime(2001, 1, 1 + i % 28), f"b{i % 7}", "00944", 0, None, None,
+             "M", "B", None, f"note {i}", "x", i % 9) for i in range(n)]
+    df = spark.createDataFrame(rows, "po_number string, item_code string, po_date timestamp_ntz, buyer_id string, location_no string, "
+                                     "created_from_requisition int, skeleton_created_from string, cancel_date timestamp_ntz, distribution_type string, "
+                                     "po_type string, spec_instructions string, special_instructions string, line_scheme_id string, order_qty int")
+    return _stored(spark, df.repartition(8), "open-lines"), rows
+
+
+def test_hot_item_of_open_orders_is_split(spark, small_sources):
+    """A third of the open lines on one item; equal to brute force, and the join is split."""
+    from itemrollup.plans import pending
+
+    ol, rows = _open_lines(spark)
+    codes = ["HOT", *(f"I{i}" for i in range(0, 300, 2))]
+    master = frame(spark, small_sources.product, [{f.name: "" for f in small_sources.product.schema.fields if not f.nullable} | {"item_code": c, "title": c} for c in codes])
+    src = replace(small_sources, product=master, product_dist=frame(spark, small_sources.product_dist, [{f.name: "" for f in small_sources.product_dist.schema.fields if not f.nullable} | {"item_code": c} for c in codes]))
+    known = spark.createDataFrame([("I2",), ("I4",), ("I4",)], "item_code string")
+
+    def run():
+        new = _stored(spark, pending.item_rows(src, known, listed=False), "new-items")
+        out = pending.pending_orders(P, new, ol)
+        got = sorted((r.item_code, r.last_po) for r in out.collect())
+        return got, _plan(out)
+
+    got, plan = _with_split(spark, run)
+    assert got == sorted((r[1], r[0]) for r in rows if r[1] in codes and r[1] not in ("I2", "I4"))
+    assert "skew=true" in plan, plan
+
+    def again():
+        items = _stored(spark, pending.item_rows(src, spark.createDataFrame([("HOT",), ("I4",)], "item_code string"), listed=True), "again")
+        received = _stored(spark, spark.createDataFrame([("HOT", f"PO{i}") for i in range(0, 9000, 6)], "item_code string, po_number string"), "received")
+        out = pending.pending_reorders(P, items, received, ol)
+        return sorted((r.item_code, r.last_po) for r in out.collect()), _plan(out)
+
+    got, plan = _with_split(spark, again)
+    assert got == sorted((r[1], r[0]) for i, r in enumerate(rows) if r[1] == "I4" or r[1] == "HOT" and i % 6)
+    assert "skew=true" in plan, plan
+
+
+def test_notes_of_a_hot_item_leave_the_lines_once(spark):
+    """A third of the lines on one item: notes are combined before the exchange, and equal brute force."""
+    from itemrollup.plans import lines
+
+    df, raw = _order_lines(spark)
+    notes = lines.order_notes(_stored(spark, df, "hot-notes"))
+    want = {(r[1], r[0], r[8], r[9]) for r in raw if r[8] or r[9]}
+    assert {(r.item_code, r.po_number, r.fob_po, r.fob_item) for r in notes.collect()} == want
+    assert _ancestors_have_partial_aggregate(_plan(notes), "itemrollup-hot-notes-")
+    picks = {(r.item_code, r.po_number): (r.by_line, r.by_header) for r in lines.note_picks(notes).collect()}
+    for (item, po), (line, head) in picks.items():
+        own = [(i, h) for a, b, h, i in want if (a, b) == (item, po)]
+        order = lambda t: (t[0] or "", t[1] or "")
+        assert tuple(line) == max((t for t in own if t[0]), key=order)
+        assert (tuple(head) if head else None) == max((t for t in own if t[1]), key=order, default=None)
