@@ -35,7 +35,8 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

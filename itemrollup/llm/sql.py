@@ -96,7 +96,52 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
 
 
+DECONTAMINATION = r"""
+WITH lowered AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS size,
+    unnest([array_to_string(w[i:i + least(10, len(w)) - 1], ' ') FOR i IN range(1, len(w) - least(10, len(w)) + 2)]) AS phrase
+  FROM items WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM windows),
+starts AS (
+  SELECT rid, size, unnest(range(1, len(w) - size + 2)) AS i,
+    unnest([array_to_string(w[i:i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS phrase
+  FROM lowered, sizes WHERE len(w) >= size),
+hits AS (SELECT rid, i, size, item_id FROM starts JOIN windows USING (size, phrase)),
+words AS (SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(i, i + size)) AS pos FROM hits) GROUP BY rid),
+named AS (
+  SELECT rid, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hits GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM lowered LEFT JOIN words USING (rid) LEFT JOIN named USING (rid)"""
+
+
+SUBSTRING_DEDUP = r"""
+WITH words AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (
+  SELECT doc_id, rid, unnest(range(1, len(w) - 48)) AS i, unnest([sha256(array_to_string(w[i:i + 49], ' ')) FOR i IN range(1, len(w) - 48)]) AS h
+  FROM words WHERE len(w) >= 50),
+first AS (SELECT h, min(doc_id) AS lowest FROM starts GROUP BY h HAVING count(*) > 1),
+covered AS (
+  SELECT DISTINCT rid, unnest(range(i, i + 50)) AS pos FROM starts JOIN first USING (h) WHERE doc_id > lowest),
+gone AS (SELECT rid, list(pos) AS gone FROM covered GROUP BY rid),
+each AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM words WHERE rid IN (SELECT rid FROM gone)),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY pos) AS kept FROM each ANTI JOIN covered USING (rid, pos) GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+  sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ') ELSE coalesce(kept, '') END) AS kept_sha256
+FROM words LEFT JOIN gone USING (rid) LEFT JOIN kept USING (rid)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": DECONTAMINATION,
+    "op4_substring_dedup": SUBSTRING_DEDUP,
     "op11_url_filter": url_filter(),
     "op12_filter_audit": FILTER_AUDIT,
     "op13_collocations": COLLOCATIONS,
