@@ -12,21 +12,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_present, left
+from ..functions import is_present, left, text_key
 from ..operators import group_text
 from ..sources import Sources
 
 
+def buyer_names(src: Sources) -> DataFrame:
+    """The smallest name of every buyer id (``_buyer``, under the comparison rule)."""
+    return src.buyer.groupBy(text_key("buyer_id").alias("_buyer")).agg(F.min("name").alias("buyer_name"))
+
+
 def order_lines(src: Sources) -> DataFrame:
-    """Order lines with header attributes (inner join: a line without header is never used)."""
+    """Order lines with header attributes and the header's buyer name (inner join: a line without
+    header is never used).  Headers, not lines, meet the buyers."""
     od = src.order_line.select(
         "po_number", "item_code", "order_qty", F.col("scheme_id").alias("line_scheme_id"),
         "special_instructions", "distribution_type",
     )
     oh = src.order_header.select(
         "po_number", "po_date", "buyer_id", "location_no", "created_from_requisition",
-        "skeleton_created_from", "cancel_date", "po_type", "spec_instructions",
-    )
+        "skeleton_created_from", "cancel_date", "po_type", "spec_instructions", text_key("buyer_id").alias("_buyer"),
+    ).join(buyer_names(src), "_buyer", "left").drop("_buyer")
     return od.join(oh, "po_number")
 
 
@@ -45,7 +51,7 @@ def order_notes(ol: DataFrame) -> DataFrame:
     """
     noted = ol.where(is_present("spec_instructions") | is_present("special_instructions")).select(
         "item_code", "po_number", left("spec_instructions", 250).alias("fob_po"), left("special_instructions", 250).alias("fob_item"))
-    return group_text(noted.distinct(), ["fob_po", "fob_item"], by=["item_code", "po_number"])
+    return group_text(noted, ["fob_po", "fob_item"], by=["item_code", "po_number"])
 
 
 def note_picks(notes: DataFrame) -> DataFrame:

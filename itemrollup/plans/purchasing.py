@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import assortment, is_blank, left, same_text, text_key
 from ..operators import FusedSource, delete_where, first_per_key, keyed_update, not_in
 from ..sources import Sources
-from .lines import order_lines
+from .lines import buyer_names, order_lines
 from .params import ECOM_SCHEME, SUPPLIES_VENDOR
 
 
@@ -66,13 +66,13 @@ def item_sources(src: Sources, pos: DataFrame, ol: DataFrame) -> dict[str, Fused
     All are raw rows; the row that counts per item is a ``max`` or ``min`` over a struct.  ``best`` is the
     highest candidate PO, ties by header then line note.
     """
-    lines = buyer_lines(src, ol)
+    lines = ol.select("item_code", buyer_choice().alias("choice"))
     product = src.product.select("item_code", "last_purchase_order")
     section = src.section.select("item_code", F.upper(F.coalesce(F.col("section_code"), F.lit("NONE"))).alias("section"))
     return {
         "best": FusedSource(pos, "item_code", lambda c: {"po": F.max(F.struct(c("po_number"), c("fob_po"), c("fob_item"))).getField("po_number")}),
         "master": FusedSource(product, "item_code", lambda c: {"last_po": F.max(c("last_purchase_order"))}),
-        "ordered": FusedSource(lines, "item_code", lambda c: {"buyer": F.min(c("choice")).getField("buyer")}),
+        "ordered": FusedSource(lines, "item_code", lambda c: {"buyer": chosen_buyer(F.min(c("choice")))}),
         "sections": FusedSource(section, "item_code", lambda c: {"section": F.max(c("section"))}),
     }
 
@@ -120,36 +120,25 @@ def apply_publisher(work: DataFrame, src: Sources) -> DataFrame:
     return keyed.drop("_isbn_key")
 
 
-def buyer_names(src: Sources) -> DataFrame:
-    """The smallest name of every buyer id."""
-    return src.buyer.groupBy(text_key("buyer_id").alias("_buyer")).agg(F.min("name").alias("name"))
+def buyer_choice() -> Column:
+    """What orders an item's lines when its buyer is chosen: the earliest PO date (NULL last), then the
+    lowest PO, then the smallest buyer name.  Only the least counts, so it is a partial aggregate."""
+    return F.struct(F.col("po_date").isNull().alias("no_date"), "po_date", "po_number", F.col("buyer_name").isNull().alias("no_name"), "buyer_name")
 
 
-def buyer_lines(src: Sources, ol: DataFrame) -> DataFrame:
-    """(item_code, choice) of the order lines' POs: the smallest ``choice`` of an item names its buyer.
+def chosen_buyer(choice: Column) -> Column:
+    """' ' (filled later from the last PO) where the chosen PO has no date or no matching buyer."""
+    return F.when(choice.getField("no_date") | choice.getField("no_name"), F.lit(" ")).otherwise(choice.getField("buyer_name"))
 
-    Per (PO, item) the earliest header date is taken, and the buyer of a header with that date
-    (smallest name when several match); a PO without a matching buyer, or without a date,
-    contributes ' ' (filled later from the last PO).  An item's choice is its earliest PO (NULL
-    dates last, then lowest PO).  The lines already carry the header date and buyer id and are
-    reduced to one row per (PO, item, date, buyer) before the join to the buyer names.
-    """
-    names = buyer_names(src)
-    od = ol.select("po_number", "item_code", "po_date", "buyer_id").distinct().withColumn("_buyer", text_key("buyer_id")).join(names, "_buyer", "left")
-    first = F.min(F.struct(
-        F.col("po_date").isNull().alias("d_null"), F.col("po_date").alias("d"),
-        F.col("name").isNull().alias("n_null"), F.col("name").alias("n"),
-    )).alias("_first")
-    no_buyer = F.col("_first.d").isNull() | F.col("_first.n").isNull()
-    return od.groupBy("po_number", "item_code").agg(first).select("item_code", F.struct(
-        F.col("_first.d_null").alias("no_date"), F.col("_first.d").alias("po_date"), "po_number",
-        F.when(no_buyer, F.lit(" ")).otherwise(F.col("_first.n")).alias("buyer")).alias("choice"))
 
+def original_buyer(work: DataFrame, ol: DataFrame) -> DataFrame:
+    """P44-P46 alone: (item_code, po_date, po_number, buyer) of the work items.
 
-def original_buyer(src: Sources, work: DataFrame, ol: DataFrame) -> DataFrame:
-    """P44-P46 alone: (item_code, po_date, po_number, buyer) of the work items."""
-    best = buyer_lines(src, ol).groupBy("item_code").agg(F.min("choice").alias("c"))
-    return best.select("item_code", "c.po_date", "c.po_number", "c.buyer").join(work.select("item_code").distinct(), "item_code", "left_semi")
+    The buyer of an item's earliest PO; of the PO's headers with that date, the smallest name.
+    """
+    best = ol.groupBy("item_code").agg(F.min(buyer_choice()).alias("c"))
+    best = best.select("item_code", "c.po_date", "c.po_number", chosen_buyer(F.col("c")).alias("buyer"))
+    return best.join(work.select("item_code").distinct(), "item_code", "left_semi")
 
 
 def set_buyer(joined: DataFrame) -> DataFrame:
@@ -159,11 +148,8 @@ def set_buyer(joined: DataFrame) -> DataFrame:
 
 def fill_buyer_from_last_po(work: DataFrame, src: Sources) -> DataFrame:
     """The last PO's buyer where the buyer is still blank."""
-    names = buyer_names(src)
-    po_buyer = src.order_header.select("po_number", text_key("buyer_id").alias("_buyer")).join(names, "_buyer")
-    po_buyer = first_per_key(
-        po_buyer.select(F.col("po_number").alias("_pb_po"), F.col("name").alias("_pb_name")), ["_pb_po"], [F.col("_pb_name")]
-    )
+    po_buyer = src.order_header.select("po_number", text_key("buyer_id").alias("_buyer")).join(buyer_names(src), "_buyer")
+    po_buyer = po_buyer.groupBy(F.col("po_number").alias("_pb_po")).agg(F.min("buyer_name").alias("_pb_name"))
     return keyed_update(work, po_buyer, {"last_po": "_pb_po"}, {"buyer": F.col("_pb_name")}, where=is_blank("buyer"))
 
 

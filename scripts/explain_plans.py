@@ -52,7 +52,7 @@ def main() -> None:
          "hash-partitioned by item for the semi join, so neither the (PO, item) pick nor the per-item pick "
          "adds an exchange; on unpartitioned input the partial aggregate runs before the exchange, so a "
          "hot key is combined map-side.",
-         purchasing.original_buyer(src, src.product, lines.order_lines(src))),
+         purchasing.original_buyer(src.product, lines.order_lines(src))),
         ("Vendor returns (P54) without a lines x rows join",
          "Transfer lines are summed per item and multiplied by the item's rollup row count.",
          summarise.vendor_returns(src, summarise.wholesale_totals(src).select("item_number").withColumnRenamed(
