@@ -81,3 +81,29 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
     ])
+
+
+class ContractError(ValueError):
+    """A key that has to be unique is not."""
+
+
+# Observed while a cut is written (``Stager.cut``), so they cost no job of their own:
+#   rollup, published   rows: the joins of the publish group are on unique keys, so they keep the rows
+#   work_final          most rows of a work item in the item master and in the section master
+OBSERVED = {
+    "rollup_rows": "rows of the rollup",
+    "published_rows": "rows of the published rollup",
+    "master_rows": "most item master rows of an item",
+    "section_rows": "most section master rows of an item",
+}
+
+
+def check_unique_keys(seen: dict[str, int]) -> None:
+    """Raise where observed metrics show a duplicated key in the item or section master, or one in the
+    wholesale, returns or online totals (it makes the published rollup longer than the rollup)."""
+    wrong = [f"{OBSERVED[m]}: {seen[m]}" for m in ("master_rows", "section_rows") if (seen.get(m) or 0) > 1]
+    before, after = seen.get("rollup_rows"), seen.get("published_rows")
+    if before is not None and after is not None and before != after:
+        wrong.append(f"{before} rollup rows became {after} published rows (several wholesale numbers of an item?)")
+    if wrong:
+        raise ContractError("; ".join(wrong))

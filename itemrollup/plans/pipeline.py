@@ -11,10 +11,10 @@ executor be recovered from the last cut instead of from the base tables.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import fused_join
@@ -36,14 +36,18 @@ class Stager:
     spark: SparkSession
     enabled: bool = True
     root: str | None = None
+    seen: dict[str, int] = field(default_factory=dict)  # observed metrics by name
 
-    def cut(self, df: DataFrame, name: str) -> DataFrame:
+    def cut(self, df: DataFrame, name: str, **metrics: Column) -> DataFrame:
+        """Write and read back; ``metrics`` are aggregates observed while the rows are written."""
         if not self.enabled:
             return df
         if self.root is None:
             self.root = new_run_dir(self.spark, "rebuild")
         path = f"{self.root}/{name}"
+        df, told = observed(df, **metrics)
         df.write.mode("overwrite").parquet(path)
+        self.seen.update(told())
         return self.spark.read.parquet(path)
 
     def close(self) -> None:
@@ -54,6 +58,18 @@ class Stager:
             self.root = None
 
 
+def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``df`` with aggregates that are computed while it is written, and what tells them afterwards."""
+    if not metrics:
+        return df, dict
+    watch = Observation()
+    return df.observe(watch, *[c.alias(n) for n, c in metrics.items()]), lambda: dict(watch.get)
+
+
+def rows_seen() -> Column:
+    return F.count(F.lit(1))
+
+
 def empty_prior(spark: SparkSession) -> DataFrame:
     """The previous snapshot of a first run: no rows, published schema."""
     return spark.createDataFrame([], PUBLISHED)
@@ -144,9 +160,14 @@ def stage_groups(src: Sources, prior: DataFrame, p: RollupParams, stager: Stager
     t["w43"] = plain(joined)
     joined = purchasing.fill_buyer_from_last_po(purchasing.set_buyer(joined), src)
     t["w47"] = plain(joined)
-    work = t["w48"] = plain(purchasing.set_section(joined))
-    work = t["w49"] = purchasing.drop_supplies(work)
-    work = t["w50"] = stager.cut(purchasing.null_fills(work), "work_final")
+    joined = purchasing.set_section(joined)
+    t["w48"] = plain(joined)
+    t["w49"] = purchasing.drop_supplies(t["w48"])
+    final = purchasing.null_fills(purchasing.drop_supplies(joined))
+    final, told = observed(final, master_rows=F.max("master.rows"), section_rows=F.max("sections.rows"))
+    work = t["w50"] = stager.cut(plain(final), "work_final")
+    if stager.enabled:
+        stager.seen.update(told())
     yield t
 
     # 6. alias re-key, rollup, returns, wholesale, status
@@ -155,7 +176,7 @@ def stage_groups(src: Sources, prior: DataFrame, p: RollupParams, stager: Stager
     returns = t["vendor_returns"] = summarise.vendor_returns(src, rollup)
     rollup = t["rollup1"] = purchasing.drop_supplies(rollup, with_ecom=False)
     wholesale = t["wholesale"] = stager.cut(summarise.wholesale_totals(src, rollup), "wholesale")
-    rollup = t["rollup2"] = summarise.status_reset(rollup, src, wholesale)
+    rollup = t["rollup2"] = stager.cut(summarise.status_reset(rollup, src, wholesale), "rollup_status", rollup_rows=rows_seen())
     yield t
 
     # 7. publish
@@ -184,4 +205,4 @@ def report(rollup: DataFrame, src: Sources, params: RollupParams, ordered: bool
     return publish.report(rollup, src.buyer, src.available, params.report_cutoff, ordered=ordered)
 
 
-__all__ = ["rebuild", "rebuild_stages", "stage_groups", "report", "Stager", "empty_prior"]
+__all__ = ["rebuild", "rebuild_stages", "stage_groups", "report", "Stager", "empty_prior", "observed", "rows_seen"]

@@ -71,9 +71,9 @@ def item_sources(src: Sources, pos: DataFrame, ol: DataFrame) -> dict[str, Fused
     section = src.section.select("item_code", F.upper(F.coalesce(F.col("section_code"), F.lit("NONE"))).alias("section"))
     return {
         "best": FusedSource(pos, "item_code", lambda c: {"po": F.max(F.struct(c("po_number"), c("fob_po"), c("fob_item"))).getField("po_number")}),
-        "master": FusedSource(product, "item_code", lambda c: {"last_po": F.max(c("last_purchase_order"))}),
+        "master": FusedSource(product, "item_code", lambda c: {"last_po": F.max(c("last_purchase_order")), "rows": F.count(c("item_code"))}),
         "ordered": FusedSource(lines, "item_code", lambda c: {"buyer": chosen_buyer(F.min(c("choice")))}),
-        "sections": FusedSource(section, "item_code", lambda c: {"section": F.max(c("section"))}),
+        "sections": FusedSource(section, "item_code", lambda c: {"section": F.max(c("section")), "rows": F.count(c("item_code"))}),
     }
 
 

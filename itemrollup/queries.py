@@ -45,7 +45,11 @@ def run(spark: SparkSession, sf_dir: str, second: bool = False, stage: str = "pu
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), second)
     groups, trace = _RUNS.get(key) or (_stages(spark, sf_dir, second), {})
     while stage not in trace:
-        trace = next(groups)
+        try:
+            trace = next(groups)
+        except BaseException:
+            _RUNS.pop(key, None)  # the generator is dead: the next query starts the run anew
+            raise
         _RUNS[key] = groups, trace
     return trace[stage]
 

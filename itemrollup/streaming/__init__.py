@@ -10,15 +10,19 @@ batches) calls it once per refresh.
 
 from __future__ import annotations
 
+from ..plans.contracts import check_unique_keys
 from ..plans.params import RollupParams
-from ..plans.pipeline import Stager, empty_prior, rebuild_stages
+from ..plans.pipeline import Stager, empty_prior, observed, rebuild_stages, rows_seen
 from ..sources import Sources
 from ..sources.snapshot import publish_snapshot, read_snapshot
 
 
-def run_cycle(src: Sources, params: RollupParams, snapshot_root: str, version: int | None = None) -> int:
+def run_cycle(src: Sources, params: RollupParams, snapshot_root: str, version: int | None = None, unique_keys: bool = False) -> int:
     """One refresh: previous snapshot -> rebuild -> new snapshot version (returned).
 
+    With ``unique_keys`` a duplicated key in the item or section master or in the published totals
+    stops the publish (``ContractError``); it is observed while the run's own tables are written, so
+    no job is added.  Without it duplicates give what they gave in the original.
     The run's staged intermediates are deleted once the version is committed, or the run failed.
     """
     spark = src.product.sparkSession
@@ -28,7 +32,9 @@ def run_cycle(src: Sources, params: RollupParams, snapshot_root: str, version: i
     stager = Stager(spark, True)
     try:
         published = rebuild_stages(src, prior, params, stager)["published"]
-        return publish_snapshot(published, snapshot_root, version)
+        published, rows = observed(published, published_rows=rows_seen())
+        check = (lambda: check_unique_keys(stager.seen | rows())) if unique_keys else None
+        return publish_snapshot(published, snapshot_root, version, check)
     finally:
         stager.close()
 

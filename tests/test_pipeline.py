@@ -61,17 +61,88 @@ def test_snapshot_versions_are_written_once_and_read_whole(spark):
     with pytest.raises(ValueError):
         publish_snapshot(spark.range(5).toDF("x"), root, 1)
     assert read_snapshot(spark, root).count() == 5
-    # a half-written version (no commit marker) is invisible and its number is not reused
-    spark.range(9).toDF("x").write.parquet(root + "/snapshot_version=2")
-    os.remove(root + "/snapshot_version=2/_SUCCESS")
+    # rows without a pointer are not visible, whatever marker their folder has
+    spark.range(9).toDF("x").write.parquet(root + "/snapshot_version=2-left")
     assert read_snapshot(spark, root).count() == 5 and versions(spark, root).count() == 1
-    with pytest.raises(ValueError):
-        publish_snapshot(spark.range(5).toDF("x"), root, 2)
+    publish_snapshot(spark.range(7).toDF("x"), root, 2)
+    assert read_snapshot(spark, root).count() == 7 and read_snapshot(spark, root, 1).count() == 5
+    # a pointer that is being written (empty) is not a version yet
+    open(root + "/_published/3", "w").close()
+    assert read_snapshot(spark, root).count() == 7
     os.makedirs(base + "/junk/other")
     with pytest.raises(ValueError):
         read_snapshot(spark, base + "/junk")
 
 
+def test_snapshots_need_no_commit_marker(spark):
+    from itemrollup.sources.snapshot import publish_snapshot, read_snapshot
+
+    root = tempfile.mkdtemp(prefix="itemrollup-snap-") + "/rollup"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        publish_snapshot(spark.range(5).toDF("x"), root, 1)
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert not [f for _, _, names in os.walk(root) for f in names if f == "_SUCCESS"]
+    assert read_snapshot(spark, root).count() == 5
+
+
+def test_of_two_publishers_of_one_version_the_first_wins(spark):
+    """The second one has listed the versions before the first created its pointer."""
+    from itemrollup.sources.snapshot import publish_snapshot, read_snapshot
+
+    root = tempfile.mkdtemp(prefix="itemrollup-snap-") + "/rollup"
+    with pytest.raises(ValueError):
+        publish_snapshot(spark.range(9).toDF("x"), root, 1, check=lambda: publish_snapshot(spark.range(5).toDF("x"), root, 1))
+    assert read_snapshot(spark, root, 1).count() == 5
+    assert len([n for n in os.listdir(root) if n.startswith("snapshot_version=1-")]) == 1  # the loser's rows are gone
+
+    def fails():
+        raise RuntimeError("no")
+
+    with pytest.raises(RuntimeError):
+        publish_snapshot(spark.range(9).toDF("x"), root, 2, check=fails)
+    assert read_snapshot(spark, root).count() == 5 and not [n for n in os.listdir(root) if n.startswith("snapshot_version=2")]
+
+
+def test_a_duplicated_key_stops_the_publish(spark, small_sources):
+    """Observed while the run's tables are written: no job more than without the check."""
+    from dataclasses import replace
+
+    from itemrollup.plans import SYNTHETIC
+    from itemrollup.plans.contracts import ContractError
+    from itemrollup.sources.snapshot import read_snapshot
+    from itemrollup.streaming import run_cycle
+
+    root = tempfile.mkdtemp(prefix="itemrollup-snap-") + "/rollup"
+    with pytest.raises(ContractError, match="published rows"):  # the synthetic wholesale lines spell numbers in two ways
+        run_cycle(small_sources, SYNTHETIC, root, 1, unique_keys=True)
+    assert read_snapshot(spark, root) is None
+    one = replace(small_sources, sop_line_open=small_sources.sop_line_open.withColumn("item_number", F.trim("item_number")),
+                  sop_line_history=small_sources.sop_line_history.withColumn("item_number", F.trim("item_number")))
+    one = replace(one, **{n: getattr(one, n).withColumn("item_number", F.expr("right(concat(repeat('0', 20), item_number), 20)")) for n in ("sop_line_open", "sop_line_history")})
+    assert run_cycle(one, SYNTHETIC, root, 1, unique_keys=True) == 1
+    twice = replace(one, section=one.section.unionByName(one.section))
+    with pytest.raises(ContractError, match="section master"):
+        run_cycle(twice, SYNTHETIC, root, 2, unique_keys=True)
+
+
+def test_a_failed_stage_does_not_end_later_queries(spark, monkeypatch):
+    from itemrollup import queries
+    from itemrollup.plans import pipeline
+
+    key = (spark.sparkContext.applicationId, SF_SMALL, False)
+    monkeypatch.setattr(queries, "_RUNS", {})
+    real = pipeline.lines.order_lines
+    monkeypatch.setattr(pipeline.lines, "order_lines", lambda src: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        queries.run(spark, SF_SMALL, stage="ship_hist")
+    assert key not in queries._RUNS
+    monkeypatch.setattr(pipeline.lines, "order_lines", real)
+    assert queries.run(spark, SF_SMALL, stage="ship_hist").count() > 0
+
+
 def test_document_numbers_hold_the_whole_order_key(spark):
     """Orders whose keys agree in the last six digits keep their own headers and lines."""
     from itemrollup.sources.synthetic import RAW_TABLES, VIEWS

@@ -198,9 +198,11 @@ def test_hot_item_of_open_orders_is_split(spark, small_sources):
     from itemrollup.plans import pending
 
     ol, rows = _open_lines(spark)
+    loose = lambda like, data: spark.createDataFrame(
+        [tuple(d.get(n) for n in like.columns) for d in data], ", ".join(f"{n} {t}" for n, t in like.dtypes))
     codes = ["HOT", *(f"I{i}" for i in range(0, 300, 2))]
-    master = frame(spark, small_sources.product, [{f.name: "" for f in small_sources.product.schema.fields if not f.nullable} | {"item_code": c, "title": c} for c in codes])
-    src = replace(small_sources, product=master, product_dist=frame(spark, small_sources.product_dist, [{f.name: "" for f in small_sources.product_dist.schema.fields if not f.nullable} | {"item_code": c} for c in codes]))
+    master = loose(small_sources.product, [{"item_code": c, "title": c} for c in codes])
+    src = replace(small_sources, product=master, product_dist=loose(small_sources.product_dist, [{"item_code": c} for c in codes]))
     known = spark.createDataFrame([("I2",), ("I4",), ("I4",)], "item_code string")
 
     def run():
