@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import blocks as B
 from .common import cut, freed, map_blocks, ref
-from .token_counts import Automaton, tokens_of
+from .token_counts import BLOCK_BYTES, Automaton, tokens_of
 
 BROADCAST_BEGINS = 1 << 20  # rows of (bucket, task, begin) that may be broadcast; more are joined by a shuffle
 
@@ -64,7 +64,7 @@ def length_histogram(rows: DataFrame, max_len: int, sent: Broadcast) -> dict[int
         sizes, n = np.unique(tokens, return_counts=True)
         return {"n_tokens": sizes.astype(np.int64), "n": n}
 
-    counts = map_blocks(rows, "n_tokens bigint, n bigint", count).groupBy("n_tokens").agg(F.sum("n").alias("n"))
+    counts = map_blocks(rows, "n_tokens bigint, n bigint", count, block_bytes=BLOCK_BYTES).groupBy("n_tokens").agg(F.sum("n").alias("n"))
     return {r["n_tokens"]: r["n"] for r in counts.collect()}
 
 
@@ -77,7 +77,7 @@ def sequences(rows: DataFrame, kind: str, max_len: int, sent: Broadcast, bounds:
         used = np.zeros(len(bounds) + 1, dtype=np.int64)
         for batch in batches:
             buf, offs = B.buffers(batch.column(2))
-            for lo, hi in B.split_blocks(offs):
+            for lo, hi in B.split_blocks(offs, BLOCK_BYTES):
                 yield split(batch.slice(lo, hi - lo), buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], used)
 
     def split(batch: pa.RecordBatch, buf: np.ndarray, offs: np.ndarray, used: np.ndarray) -> pa.RecordBatch:

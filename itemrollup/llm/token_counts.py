@@ -29,6 +29,7 @@ from .common import map_blocks, ref, schema_of
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 SPACE = 0x20
+BLOCK_BYTES = 2 << 20  # larger blocks share more words, smaller ones need less memory
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -57,6 +58,7 @@ class Automaton:
     final: np.ndarray  # pieces popped when the word ends in this node
     _edges: dict | None = None  # edges and piece marks as plain Python, made where they are used
     _pieces: list | None = None
+    remembered: tuple[np.ndarray, np.ndarray] = (np.empty(0, np.uint64), np.empty(0, np.int64))  # word hashes, ascending, and their pieces
 
     def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """The node after reading ``byte``, or -1 where no edge has it."""
@@ -137,10 +139,26 @@ def build(pieces: Iterable[bytes]) -> Automaton:
     return Automaton(keys, np.array([edges[int(k)] for k in keys], dtype=np.int64), np.array(fail), np.array(popped), np.array(final))
 
 
+REMEMBERED = 1 << 18  # words whose pieces a worker remembers (16 bytes each)
+
+
 def tokens_of(automaton: Automaton, words: B.Words) -> np.ndarray:
-    """Pieces of every word of a block; equal words are read once."""
-    _, first, of = np.unique(words.hashes(), return_index=True, return_inverse=True)
-    return automaton.lengths(words.buf, words.starts[first], words.ends[first])[of]
+    """Pieces of every word of a block; equal words are read once, also over the blocks of a worker
+    as long as there is room to remember them."""
+    hashes, first, of = np.unique(words.hashes(), return_index=True, return_inverse=True)
+    known, pieces = automaton.remembered
+    at = np.searchsorted(known, hashes)
+    old = np.zeros(len(hashes), dtype=bool)
+    if len(known):
+        old = known[np.minimum(at, len(known) - 1)] == hashes
+    out = np.empty(len(hashes), dtype=np.int64)
+    out[old] = pieces[at[old]]
+    new = np.flatnonzero(~old)
+    out[new] = automaton.lengths(words.buf, words.starts[first[new]], words.ends[first[new]])
+    keep = new[:max(0, REMEMBERED - len(known))]
+    if len(keep):
+        automaton.remembered = np.insert(known, at[keep], hashes[keep]), np.insert(pieces, at[keep], out[keep])
+    return out[of]
 
 
 def count_tokens(docs: DataFrame, pieces: Iterable[bytes] | None = None, path: str = VOCABULARY,
@@ -156,4 +174,4 @@ def count_tokens(docs: DataFrame, pieces: Iterable[bytes] | None = None, path: s
         return {c: batch.column(at[c]) for c in keep} | {"n_words": words.counts.astype(np.int64), "n_tokens": tokens}
 
     schema = ", ".join([schema_of(docs, keep), "n_words bigint, n_tokens bigint"])
-    return map_blocks(plain, schema, count, text=text)
+    return map_blocks(plain, schema, count, text=text, block_bytes=BLOCK_BYTES)
