@@ -37,7 +37,7 @@ from .common import cut, free_name, freed, ref
 WINDOW = 10
 SLOP = 2
 ITEM_BLOCK_BYTES = 4 << 20
-SHARD_BYTES = 1 << 20  # word hashing takes about 50 bytes of memory a text byte
+SHARD_BYTES = 1 << 19  # a shard is one row of the index, held whole by the task that writes it and by the one that searches it
 CANDIDATES_AT_ONCE = 1 << 20  # phrase starts held at once while searching a shard
 
 def _words(buf: np.ndarray, offs: np.ndarray) -> tuple[B.Words, np.ndarray]:
