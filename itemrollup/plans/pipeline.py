@@ -2,7 +2,7 @@
 
 Stages follow the original statement order wherever a later statement reads
 what an earlier one wrote.  Every stage is a lazy DataFrame; the ``Stager``
-cuts the lineage at 16 points by writing the frame to the shared staging
+cuts the lineage at 24 points by writing the frame to the shared staging
 folder (``spark.checkpoint.dir``) and reading it back.  That bounds plan size
 (one plan of all 60 statements is too large for the optimizer), lets each cut
 be reused by all later readers without recomputation, and lets a failed

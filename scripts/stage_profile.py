@@ -28,11 +28,11 @@ def main() -> None:
     run_no = [0]
     original = pipeline.Stager.cut
 
-    def cut(self, df, name):
+    def cut(self, df, name, **metrics):
         group = f"run{run_no[0]}-cut-{name}"
         sc.setJobGroup(group, name)
         t0 = time.time()
-        out = original(self, df, name)
+        out = original(self, df, name, **metrics)
         jobs = sc.statusTracker().getJobIdsForGroup(group)
         stages = sum(len(sc.statusTracker().getJobInfo(j).stageIds) for j in jobs)
         rows.append((name, len(jobs), stages, time.time() - t0))

@@ -60,9 +60,9 @@ def test_a_stage_group_is_few_stages(spark, small_sources):
     plans = {}
     real = Stager.cut
 
-    def cut(self, df, name):
+    def cut(self, df, name, **metrics):
         plans[name] = _plan(df)
-        return real(self, df, name)
+        return real(self, df, name, **metrics)
 
     Stager.cut = cut
     try:
