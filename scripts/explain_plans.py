@@ -48,9 +48,9 @@ def main() -> None:
          lines.order_lines(src)),
         ("Deterministic first row per key (first_per_key, used for every multi-row update source)",
          "A min over a struct (order columns first, then the payload) computed as a partial and a final "
-         "aggregate: no window and no sort of a whole key group. Here the order lines were already "
-         "hash-partitioned by item for the semi join, so neither the (PO, item) pick nor the per-item pick "
-         "adds an exchange; on unpartitioned input the partial aggregate runs before the exchange, so a "
+         "aggregate: no window and no sort of a whole key group. For the original buyer the order lines are "
+         "combined to one least choice per item map-side, and only these rows are "
+         "exchanged before the semi join with the work items, so a "
          "hot key is combined map-side.",
          purchasing.original_buyer(src.product, lines.order_lines(src))),
         ("Vendor returns (P54) without a lines x rows join",
