@@ -1,11 +1,13 @@
 """Secret scans: fixed patterns plus password guess costs of credential-context values.
 
 Base kinds are pattern matches (assign, access, hex).  The method adds ``guess`` spans: a value
-that follows a credential word is split at minimum cost into words, dates, repeats, keyboard
-walks and brute-force characters, by dynamic programming over its positions; if an attacker
-who knows these forms would need at least 10**GUESSES tries, the value is a secret.  Steps are
-linear in the value's length (every form has a bounded or run-length extent), so values of any
-length are judged whole.
+that follows a credential word is split at minimum cost into words (also capital or with digits
+and signs for letters), dates, repeats, keyboard walks and brute-force characters, by dynamic
+programming over its positions; if an attacker who knows these forms would need at least
+10**GUESSES tries, the value is a secret.  The words are the letter pieces of a public vocabulary
+in its order, so ordinary prose after a credential word is cheap.  Steps are linear in the value's
+length (every form has a bounded or run-length extent) and the tables are flat arrays, so values of
+any length are judged whole.
 
 Defined cases: null texts are empty and have no span; repeated rows are scanned each on its own;
 overlapping spans of different kinds all stay; extra columns pass by.
@@ -16,7 +18,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +29,7 @@ from pyspark.sql import DataFrame
 
 from . import blocks as B
 from .common import map_blocks, ref, schema_of
+from .token_counts import load_pieces
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -38,20 +44,49 @@ CONTEXT = re.compile(
     r"""["']?[\x20\t]*(?:[:=]>?[\x20\t]*["']?(?:(?:basic|bearer|negotiate|ntlm|token|apikey)[\x20\t]+)?|(?:\bis\b|(?<=bearer))[\x20\t]*["']?)(?=[!-~]{6})""",
     re.I | re.A)
 RUN = re.compile(r"[!-~]+")
+# What closes a value: a quote with all signs behind it, or closing punctuation.
+TAIL = re.compile(r"""(?:["'`][^A-Za-z0-9]*|[.,;:!?)\]}>]+)$""")
 GUESSES = 10.0  # log10 of the tries from which on a value counts as a secret
 MIN_GUESS_LEN = 8
 
-# Words an attacker tries first, commonest first (their rank is their cost); a parameter.
+# Words an attacker tries first, commonest first, before those of the vocabulary.
 WORDS = ("password", "admin", "letmein", "welcome", "secret", "test", "default", "changeme", "example", "token", "user", "login", "master",
          "root", "guest", "dragon", "monkey", "shadow", "sunshine", "princess", "football", "baseball", "superman", "batman", "hello",
          "freedom", "whatever", "trustno", "iloveyou", "love", "pass", "key", "api", "access", "demo", "sample", "dummy", "none", "null",
          "true", "false", "yes", "your", "my", "the", "here", "value", "string", "server", "database", "service", "public", "private",
          "summer", "winter", "spring", "autumn", "january", "monday", "friday", "company", "office", "home", "local", "host", "temp")
+SWAPS = str.maketrans("01345789@$!", "oleastbgasi")  # signs written for letters
+SHORTEST_WORD = 3
+NEAR = 32
 KEYBOARD = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz")
 _PLACE = {c: (r, i) for r, row in enumerate(KEYBOARD[:4]) for i, c in enumerate(row)}
 DATE = re.compile(r"(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d|(?:19|20)\d\d")
 
 
+@dataclass(frozen=True)
+class Dictionary:
+    """Words by rank, 1 being tried first; the log10 of the rank is a word's cost."""
+
+    ranks: dict[str, int]
+    longest: int
+
+    @classmethod
+    def of(cls, words: Iterable[str]) -> "Dictionary":
+        ranks: dict[str, int] = {}
+        for w in words:
+            if len(w) >= SHORTEST_WORD:
+                ranks.setdefault(w.lower(), len(ranks) + 1)
+        return cls(ranks, max(map(len, ranks), default=0))
+
+
+@lru_cache(maxsize=1)
+def vocabulary() -> Dictionary:
+    """``WORDS``, then the pieces of the default vocabulary that are ASCII letters (with or without the
+    space before a word), in its order, which is by frequency.  Its size is the vocabulary's."""
+    pieces = (p.removeprefix(b" ") for p in load_pieces())
+    return Dictionary.of([*WORDS, *(p.decode("ascii") for p in pieces if p.isalpha())])
+
+
 def _char_cost(c: str) -> float:
     size = 10 if c.isdigit() else 26 if "a" <= c <= "z" or "A" <= c <= "Z" else 33 if c.isascii() else 100
     return math.log10(size)
@@ -64,21 +99,28 @@ def _adjacent(a: str, b: str) -> bool:
     return near or (a.isascii() and a.isalpha() and b.isalpha() and abs(ord(a) - ord(b)) == 1)
 
 
-def suffix_costs(value: str, words: dict[str, int] | None = None) -> list[float]:
+def _lengths(most: int, least: int) -> list[int]:
+    """The lengths of a run that are tried: all up to NEAR, and the whole run."""
+    return [*range(least, min(most, NEAR) + 1), *([most] if most > max(NEAR, least - 1) else [])]
+
+
+def suffix_costs(value: str, words: Dictionary | None = None) -> array:
     """Per position, log10 of the guesses of the cheapest segmentation of ``value`` from there on."""
-    rank = _RANKS if words is None else words
-    longest = max(map(len, rank), default=0)
-    low = value.lower()
+    words = vocabulary() if words is None else words
+    rank, longest = words.ranks, words.longest
+    low = "".join(c.lower() if c.isascii() else c for c in value)  # one character for one
+    plain = low.translate(SWAPS)
     n = len(value)
-    best = [math.inf] * n + [0.0]
+    best = array("d", [math.inf]) * n + array("d", [0.0])
     glue = math.log10(2)  # a segment more makes one more choice of form
-    chars = [_char_cost(c) for c in value]
+    chars = array("d", map(_char_cost, value))
     # brute-force characters from a hexadecimal run are drawn from 16
     for m in re.finditer(r"[0-9a-f]{8,}|[0-9A-F]{8,}", value):
         for i in range(*m.span()):
             chars[i] = min(chars[i], math.log10(16))
-    same, walk = [0] * (n + 1), [0] * (n + 1)
-    again = {u: [0] * (n + 1) for u in (2, 3, 4)}  # a unit of u characters written again and again
+    zeros = array("q", [0]) * (n + 1)
+    same, walk = zeros[:], zeros[:]
+    again = {u: zeros[:] for u in (2, 3, 4)}  # a unit of u characters written again and again
     for i in range(n - 2, -1, -1):  # run lengths from i on: equal characters, keyboard neighbours
         same[i] = same[i + 1] + 1 if low[i] == low[i + 1] else 0
         walk[i] = walk[i + 1] + 1 if _adjacent(low[i], low[i + 1]) else 0
@@ -91,31 +133,31 @@ def suffix_costs(value: str, words: dict[str, int] | None = None) -> list[float]
 
     for i in range(n - 1, -1, -1):
         offer(i, i + 1, chars[i])
-        for j in range(i + 3, min(n, i + longest) + 1):
-            r = rank.get(low[i:j])
+        for j in range(i + SHORTEST_WORD, min(n, i + longest) + 1):
+            r = rank.get(plain[i:j])
             if r is not None:
-                shout = 0 if value[i:j] == low[i:j] else math.log10(2) * min(2, j - i)
-                offer(i, j, math.log10(r + 1) + shout + glue)
+                swapped = sum(a != b for a, b in zip(low[i:j], plain[i:j]))
+                shout = 0 if value[i:j] == low[i:j] else min(2, j - i)
+                offer(i, j, math.log10(r + 1) + math.log10(2) * (shout + swapped) + glue)
         date = DATE.match(value, i)
         if date:
             offer(i, date.end(), math.log10(365 * 120) + glue)
-        if same[i] >= 2:
-            offer(i, i + same[i] + 1, chars[i] + math.log10(same[i] + 1) + glue)
-        if walk[i] >= 3:
-            offer(i, i + walk[i] + 1, math.log10(94 * (walk[i] + 1)) + 0.2 * walk[i] + glue)
+        for more in _lengths(same[i], 2):
+            offer(i, i + more + 1, chars[i] + math.log10(more + 1) + glue)
+        for more in _lengths(walk[i], 3):
+            offer(i, i + more + 1, math.log10(94 * (more + 1)) + 0.2 * more + glue)
         for unit, runs in again.items():
-            times = (runs[i] + unit) // unit
-            if times >= 3:
+            for times in _lengths((runs[i] + unit) // unit, 3):
                 offer(i, i + times * unit, sum(chars[i:i + unit]) + math.log10(times) + glue)
     return best
 
 
-def guess_cost(value: str, words: dict[str, int] | None = None) -> float:
+def guess_cost(value: str, words: Dictionary | None = None) -> float:
     """log10 of the guesses of the cheapest segmentation of ``value``."""
     return suffix_costs(value, words)[0]
 
 
-def guess_spans(text: str, words: dict[str, int] | None = None) -> Iterator[tuple[int, str, int]]:
+def guess_spans(text: str, words: Dictionary | None = None) -> Iterator[tuple[int, str, int]]:
     """The ``guess`` spans.  After a value that is no secret the search goes on at the value's own
     start, as it may be a credential word itself; values of one run share their costs."""
     pos, first, stop, costs = 0, 0, 0, None  # value run text[first:stop] whose costs are known
@@ -123,7 +165,7 @@ def guess_spans(text: str, words: dict[str, int] | None = None) -> Iterator[tupl
         start = pos = m.end()
         if start >= stop:
             first, stop, costs = start, RUN.match(text, start).end(), None
-            end = first + len(text[first:stop].rstrip("\"'`.,;:!?)]}>"))
+            end = first + len(TAIL.sub("", text[first:stop]))
         if end - start < MIN_GUESS_LEN:
             continue
         costs = suffix_costs(text[first:end], words) if costs is None else costs
@@ -132,10 +174,7 @@ def guess_spans(text: str, words: dict[str, int] | None = None) -> Iterator[tupl
             pos = stop
 
 
-_RANKS = {w: i + 1 for i, w in enumerate(WORDS)}
-
-
-def spans_of(text: str, words: dict[str, int] | None = None) -> list[tuple[int, str, int]]:
+def spans_of(text: str, words: Dictionary | None = None) -> list[tuple[int, str, int]]:
     """All (start, kind, end) of a text, by start, then kind as listed (code points)."""
     found = [(m.start(), "assign", m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_VALUE]
     found += [(m.start(), "access", m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
@@ -166,11 +205,12 @@ def suspects(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return out
 
 
-def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", words: dict[str, int] | None = None) -> DataFrame:
+def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", words: Dictionary | None = None) -> DataFrame:
     """``keep`` columns with n_assign, n_access, n_hex, n_guess, base_sha256 and spans."""
     plain = docs.select(*[ref(c) for c in dict.fromkeys([*keep, text])])
     at = {c: i for i, c in enumerate(plain.columns)}
     none = hashlib.sha256(b"").hexdigest()
+    words = vocabulary() if words is None else words  # read once, by the driver
 
     def find(batch, buf, offs):
         n = len(offs) - 1
@@ -190,13 +230,14 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text
     return map_blocks(plain, schema, find, text=text)
 
 
-def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", words: dict[str, int] | None = None) -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", words: Dictionary | None = None) -> DataFrame:
     """The same rows and columns with every span (overlaps merged) replaced by ``mask``.
 
     Texts without a span stay byte for byte (null stays null).
     """
     i_text = docs.columns.index(text)
     names = docs.columns
+    words = vocabulary() if words is None else words
 
     def clean(batch, buf, offs):
         column, out = batch.column(i_text), None

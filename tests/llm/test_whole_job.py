@@ -3,6 +3,8 @@
 import base64
 import collections
 import hashlib
+import itertools
+import math
 import random
 
 import pytest
@@ -71,6 +73,58 @@ def test_nested_values_share_the_costs_of_their_run():
     assert [s for s in secret_scan.spans_of("password is basic password") if s[1] == "guess"] == []
 
 
+BENIGN = """the password is incorrect|your token is deprecated since v2|authorization: required for admins|credentials: application default
+passcode is confidential information|the secret is consistency|api key is unavailable|her password is forgotten again|bearer authentication is supported
+the token is expired, please renew|password: <required>|password is unchanged|a credential is something you know|your passphrase is important
+secret is hidden-somewhere|the access key is temporary|private key is protected|the pwd is displayed below|authorization: denied|credentials: unauthenticated users
+token is 'authenticated'.|passcode is changed every monday|password: see documentation|the auth key is rejected|secret is p4ssw0rd|the password is qwertyuiop
+the pwd is 20240131|api-key is generated automatically|the passwd is stored encrypted|credential = refreshable""".replace("\n", "|").split("|")
+
+
+def test_ordinary_words_after_a_credential_word_are_no_secrets():
+    assert len(BENIGN) == 30
+    for text in BENIGN:
+        assert [s for s in secret_scan.spans_of(text) if s[1] == "guess"] == [], text
+    text = 'password="x9$Kq!v82Lm@"###'
+    assert [text[s:e] for s, kind, e in secret_scan.spans_of(text) if kind == "guess"] == ["x9$Kq!v82Lm@"]
+
+
+def form_costs(part, words):
+    """The cost of one segment in every form it has, straight from the forms' definitions."""
+    low = part.lower()
+    log, two, n = math.log10, math.log10(2), len(part)
+    char = lambda c: log(10 if c.isdigit() else 26 if c.isalpha() else 33)
+    if n == 1:
+        yield char(part)
+    swap = {"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i"}
+    plain = "".join(swap.get(c, c) for c in low)
+    if plain in words:
+        yield log(words.index(plain) + 2) + two * (1 + sum(a != b for a, b in zip(low, plain)) + (0 if part == low else 2))
+    if secret_scan.DATE.fullmatch(part):
+        yield log(365 * 120) + two
+    if n >= 3 and len(set(low)) == 1:
+        yield char(part[0]) + log(n) + two
+    if n >= 4 and all(secret_scan._adjacent(a, b) for a, b in zip(low, low[1:])):
+        yield log(94 * n) + 0.2 * (n - 1) + two
+    for u in (2, 3, 4):
+        if n % u == 0 and n // u >= 3 and part == part[:u] * (n // u):
+            yield sum(map(char, part[:u])) + log(n // u) + two
+
+
+def test_guess_cost_is_the_minimum_over_all_segmentations():
+    words = ["pass", "user", "love", "xyz", "password"]
+    rng = random.Random(5)
+    parts = ["pass", "User", "l0ve", "p4ss", "qwerty", "1990", "ooo", "xyxyxy", "Zq", "7", "!", "xyz", "2024", "lkjh"]
+    for _ in range(150):
+        value = "".join(rng.choice(parts) for _ in range(rng.randint(0, 3)))[:10]
+        want = math.inf
+        for cuts in itertools.product([0, 1], repeat=max(0, len(value) - 1)):  # every segmentation
+            edges = [0, *(i + 1 for i, c in enumerate(cuts) if c), len(value)]
+            segments = [value[a:b] for a, b in zip(edges, edges[1:]) if b > a]
+            want = min(want, sum(min(form_costs(x, words), default=math.inf) for x in segments))
+        assert abs(secret_scan.guess_cost(value, secret_scan.Dictionary.of(words)) - want) < 1e-9, value
+
+
 def test_near_duplicates_report_no_partial_link_count(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, None)], "doc_id bigint, text string")
     out = nd.near_duplicates(docs)
