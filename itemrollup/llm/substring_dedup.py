@@ -1,23 +1,27 @@
 """Substring dedup: word spans that an earlier document already has are removed.
 
-The method streams text through suffix automata of reference text and removes the maximal
-spans whose matching statistic reaches the threshold.  When a corpus is its own reference,
-its automata can neither be broadcast nor can every document visit every shard, so hashed
-windows first route each suspect passage to the one reference shard that can hold it:
+Text is streamed through suffix automata of reference text; the maximal spans whose matching
+statistic reaches the threshold, in the text of a smaller doc_id, go.  When a corpus is its own
+reference, its automata can neither be broadcast nor can every document visit every one, so
+they are dealt into shards and fingerprints alone route a passage to the shards it visits:
 
 1. Equal texts are one unit, judged at its smallest doc_id; the other copies lose every window.
 2. Winnowing: in every ``n`` consecutive words one k-gram is the fingerprint, the same one
    wherever those words stand.  Only windows under a fingerprint of two units go on; their
    text is stored as segments (the passages that may repeat, and nothing else).
-3. The window hashes of the segments are pre-aggregated to the first segment (smallest
-   doc_id) that has them.  That segment is the window's reference shard.
-4. Every (segment, reference) pair streams the segment's words through the suffix automaton of
-   the reference segment.  Words under matching statistics of at least ``n`` are the spans.
-5. The spans meet the whole texts again, which are cut to the kept words.
-
-No group is ever gathered by fingerprint or window: hot passages are counted with partial
-aggregation, and joins on them have one row on the reference side, so skewed stream sides can
-be split.
+3. Reference text: of every repeated window its first place (smallest doc_id), by a partial
+   aggregate over window hashes.  Runs of first places are the reference passages, cut into pieces
+   of at most PIECE words that overlap by n - 1, so every window is in exactly one piece.
+4. Pieces are dealt into shards of about SHARD words.  A fingerprint's shards are those of its
+   pieces; the parts of a segment under that fingerprint visit these shards, whole.
+5. A shard builds one suffix automaton over its pieces, every state marked with the document it
+   is from, and streams its visitors: words under matching statistics of at least ``n`` words in
+   a smaller doc_id are the spans.
+6. The spans meet the whole texts again, which are cut to the kept words.
+
+No group is gathered by fingerprint or window: both are counted with partial aggregation.  The
+visitors of a shard are dealt over as many tasks as their words ask for, each with the shard's
+pieces (of bounded size) sent once; a hot passage only makes its shard visited more often.
 
 A word is a run of non-blank characters.  Defined cases: null, empty and short texts (under
 ``n`` words) keep all their words; a null doc_id counts as larger than every other; rows with
@@ -41,6 +45,9 @@ from .common import cut, freed, map_blocks
 
 WINDOW = 50
 GRAM = 10
+SHARD = 32_768  # words of reference text in a shard's automaton, on average
+PIECE = 8_192  # most words of a piece beyond n - 1, so no shard is much larger than the average
+VISITS = 1_000_000  # words that visit one copy of a shard
 U64 = np.uint64
 
 
@@ -51,20 +58,25 @@ class SuffixAutomaton:
         self.next: list[dict] = [{}]
         self.link = [-1]
         self.length = [0]
+        self.owner: list = [None]
+
+    def add(self, words, owner=None) -> None:
+        """Append one sequence (matches never run from one sequence into the next).
 
-    def add(self, words) -> None:
-        """Append one sequence (matches never run from one sequence into the next)."""
+        ``owner`` marks the states made on the way: a string that only sequences of one owner hold
+        ends in a state of that owner.
+        """
         last = 0
         for w in words:
-            last = self._extend(last, w)
+            last = self._extend(last, w, owner)
 
-    def _extend(self, last: int, w) -> int:
+    def _extend(self, last: int, w, owner) -> int:
         nxt, link, length = self.next, self.link, self.length
         q = nxt[last].get(w)
         if q is not None:  # the word path exists already (a later sequence)
             return q if length[q] == length[last] + 1 else self._split(last, w, q)
         cur = len(nxt)
-        nxt.append({}), link.append(0), length.append(length[last] + 1)
+        nxt.append({}), link.append(0), length.append(length[last] + 1), self.owner.append(owner)
         p = last
         while p >= 0 and w not in nxt[p]:
             nxt[p][w] = cur
@@ -77,17 +89,17 @@ class SuffixAutomaton:
     def _split(self, p: int, w, q: int) -> int:
         nxt, link, length = self.next, self.link, self.length
         clone = len(nxt)
-        nxt.append(dict(nxt[q])), link.append(link[q]), length.append(length[p] + 1)
+        nxt.append(dict(nxt[q])), link.append(link[q]), length.append(length[p] + 1), self.owner.append(self.owner[q])
         link[q] = clone
         while p >= 0 and nxt[p].get(w) == q:
             nxt[p][w] = clone
             p = link[p]
         return clone
 
-    def statistics(self, words) -> list[int]:
-        """For every position, the length of the longest match that ends there."""
+    def statistics(self, words) -> tuple[list[int], list[int]]:
+        """For every position, the length of the longest match that ends there, and its state."""
         nxt, link, length = self.next, self.link, self.length
-        state, match, out = 0, 0, []
+        state, match, out, states = 0, 0, [], []
         for w in words:
             while state and w not in nxt[state]:
                 state = link[state]
@@ -97,8 +109,8 @@ class SuffixAutomaton:
                 match += 1
             else:
                 match = 0
-            out.append(match)
-        return out
+            out.append(match), states.append(state)
+        return out, states
 
 
 def spans_over(stats: list[int], threshold: int) -> list[tuple[int, int]]:
@@ -223,37 +235,126 @@ def windows(segs: DataFrame, n: int) -> DataFrame:
     return map_blocks(segs.select("gid", "doc_id", "text"), f"w bigint, gid bigint, doc_id {kind}, pos int", make)
 
 
-def repeated_spans(segs: DataFrame, n: int) -> DataFrame:
+def runs(at, n: int) -> list[tuple[int, int]]:
+    """Word ranges [start, end) of consecutive window starts (ascending, repeats allowed)."""
+    out: list[list[int]] = []
+    for x in at:
+        if out and x <= out[-1][1] - n + 1:
+            out[-1][1] = max(out[-1][1], x + n)
+        else:
+            out.append([x, x + n])
+    return [(a, b) for a, b in out]
+
+
+def pieces(segs: DataFrame, n: int, piece: int) -> DataFrame:
+    """Stored rows (doc_id, h1, part, n_words, text): the reference text.  Every window that
+    stands twice in the segments is in exactly one piece, as in its first document."""
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("gid").alias("gid"), F.col("pos").alias("pos"))
+    first = windows(segs, n).groupBy("w").agg(F.min(order).alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    starts = first.groupBy(F.col("m.gid").alias("gid")).agg(F.sort_array(F.collect_list("m.pos")).alias("at"))  # one segment's windows
+    rows = segs.join(starts, "gid").select("doc_id", "h1", "start", "at", "text")
+
+    def take(batch, buf, offs):
+        words = B.Words(buf, offs, B.NON_BLANK)
+        row, part, size, text = [], [], [], []
+        for d in range(len(offs) - 1):
+            base, first = int(words.ranges[d]), batch.column(2)[d].as_py()
+            for lo, hi in runs(batch.column(3)[d].values.to_pylist(), n):
+                for s in range(lo, hi - n + 1, piece):
+                    e = min(hi, s + piece + n - 1)
+                    row.append(d), part.append((first + s) // piece), size.append(e - s)
+                    text.append(buf[words.starts[base + s]:words.ends[base + e - 1]].tobytes().decode("utf-8", "replace"))
+        at = pa.array(row, pa.int64())
+        return {"doc_id": batch.column(0).take(at), "h1": batch.column(1).take(at), "part": pa.array(part, pa.int32()),
+                "n_words": pa.array(size, pa.int64()), "text": pa.array(text, pa.string())}
+
+    kind = segs.schema["doc_id"].dataType.simpleString()
+    return cut(map_blocks(rows, f"doc_id {kind}, h1 bigint, part int, n_words bigint, text string", take), "pieces")
+
+
+def places(rows: DataFrame, names: str, n: int, k: int) -> DataFrame:
+    """(``names``, fp, lo, hi): window starts lo to hi of the row's text have the fingerprint fp."""
+    keep = [c.split()[0] for c in names.split(", ")]
+
+    def make(batch, buf, offs):
+        words = B.Words(buf, offs, B.NON_BLANK)
+        fp, start, doc = winnow(words, words.hashes(), n, k)
+        last = words.counts[doc].astype(np.int64) - n  # of the document's windows
+        follows = np.concatenate([doc[1:] == doc[:-1], [False]]) if len(doc) else np.empty(0, bool)
+        hi = np.where(follows, np.concatenate([start[1:], [0]]) - 1, last) if len(doc) else last
+        take = pa.array(doc, pa.int64())
+        return {c: batch.column(i).take(take) for i, c in enumerate(keep)} | {
+            "fp": pa.array(fp.view(np.int64)), "lo": start.astype(np.int32), "hi": hi.astype(np.int32)}
+
+    return map_blocks(rows.select(*keep, "text"), f"{names}, fp bigint, lo int, hi int", make)
+
+
+def visits(segs: DataFrame, refs: DataFrame, n: int, k: int) -> DataFrame:
+    """Stored rows (shard, doc_id, h1, h2, start, n_words, text): what streams through a shard, routed by fingerprints."""
+    routes = cut(places(refs, "shard bigint", n, k).select("fp", "shard").distinct(), "routes")  # stored, so a hot fp can be split
+    parts = places(segs, "gid bigint", n, k).join(routes, "fp").groupBy("gid", "shard").agg(
+        F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("parts"))  # one segment's parts
+    rows = segs.join(parts, "gid").select("shard", "doc_id", "h1", "h2", "start", F.col("parts.lo").alias("lo"), F.col("parts.hi").alias("hi"), "text")
+
+    def take(batch, buf, offs):
+        words = B.Words(buf, offs, B.NON_BLANK)
+        row, start, size, text = [], [], [], []
+        for d in range(len(offs) - 1):
+            base, merged = int(words.ranges[d]), []
+            for lo, hi in zip(batch.column(5)[d].values.to_pylist(), batch.column(6)[d].values.to_pylist()):
+                if merged and lo <= merged[-1][1] + 1:
+                    merged[-1][1] = max(hi, merged[-1][1])
+                else:
+                    merged.append([lo, hi])
+            first = batch.column(4)[d].as_py()
+            for lo, hi in merged:
+                row.append(d), start.append(first + lo), size.append(hi - lo + n)
+                text.append(buf[words.starts[base + lo]:words.ends[base + hi + n - 1]].tobytes().decode("utf-8", "replace"))
+        at = pa.array(row, pa.int64())
+        return {c: batch.column(i).take(at) for i, c in enumerate(("shard", "doc_id", "h1", "h2"))} | {
+            "start": pa.array(start, pa.int32()), "n_words": pa.array(size, pa.int64()), "text": pa.array(text, pa.string())}
+
+    kind = segs.schema["doc_id"].dataType.simpleString()
+    return cut(map_blocks(rows, f"shard bigint, doc_id {kind}, h1 bigint, h2 bigint, start int, n_words bigint, text string", take), "visits")
+
+
+def repeated_spans(segs: DataFrame, n: int, k: int, shard: int = SHARD, most: int = VISITS, make: type = SuffixAutomaton) -> DataFrame:
     """(h1, h2, spans): per unit the word ranges that an earlier document has."""
-    every = windows(segs, n)
-    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("gid").alias("ref"))
-    first = every.groupBy("w").agg(F.min(order).alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    first = first.select("w", F.col("m.id").alias("first_doc"), F.col("m.ref").alias("ref"))
-    late = every.join(first, "w").where(_before(F.col("first_doc"), F.col("doc_id")))
-    pairs = late.groupBy("gid", "ref").agg(F.sort_array(F.collect_list("pos")).alias("at"))  # one segment's windows
-    a = segs.select("gid", "h1", "h2", "start", "text")
-    b = segs.select(F.col("gid").alias("ref"), F.col("text").alias("ref_text"))
-    streams = pairs.join(a, "gid").join(b, "ref").select("ref", "h1", "h2", "start", "at", "text", "ref_text")
+    known = pieces(segs, n, max(1, min(PIECE, shard)))
+    total = known.agg(F.sum("n_words")).first()[0] or 0
+    name = F.pmod(F.xxhash64("h1", "part"), F.lit(max(1, -(-total // shard))))  # the passages of a document stay together
+    refs = known.withColumn("shard", name.cast("long"))
+    seen = visits(segs, refs, n, k)
+    # copies of a shard, as many as its visitors' words ask for (rows for shards, not for texts)
+    copies = cut(seen.groupBy("shard").agg(F.ceil(F.sum("n_words") / most).cast("int").alias("copies")), "copies")
+    none = F.lit(None)
+    build = refs.join(copies, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("visitor"),
+                                              "doc_id", none.cast("long").alias("h1"), none.cast("long").alias("h2"), none.cast("int").alias("start"), "text")
+    stream = seen.join(copies, "shard").select("shard", F.pmod(F.xxhash64("h1", "h2", "start"), "copies").cast("int").alias("copy"),
+                                               F.lit(1).alias("visitor"), "doc_id", "h1", "h2", "start", "text")
+    dealt = build.unionByName(stream).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "visitor")
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, automaton, ids = None, None, {}
+        at, automaton, ids = None, make(), {}
         for batch in batches:
-            out = ([], [], [], [])
-            ref, h1, h2, start = (batch.column(i).to_pylist() for i in range(4))
+            out: tuple[list, list, list, list] = ([], [], [], [])
+            shards, copy, visitor, doc, h1, h2, start, texts = (batch.column(i).to_pylist() for i in range(8))
             for r in range(batch.num_rows):
-                if ref[r] != known:  # rows of one reference mostly follow each other
-                    known, automaton, ids = ref[r], SuffixAutomaton(), {}
-                    automaton.add([ids.setdefault(w, len(ids)) for w in split(batch.column(6)[r].as_py())])
-                words = split(batch.column(5)[r].as_py())
-                for lo, hi in runs(batch.column(4)[r].values.to_pylist(), n):
-                    stream = [ids.get(w, -1) for w in words[lo:hi]]
-                    for s, e in spans_over(automaton.statistics(stream), n):
-                        for column, value in zip(out, (h1[r], h2[r], start[r] + lo + s, start[r] + lo + e)):
-                            column.append(value)
+                if (shards[r], copy[r]) != at:
+                    at, automaton, ids = (shards[r], copy[r]), make(), {}
+                me = (doc[r] is None, doc[r])
+                if not visitor[r]:
+                    automaton.add([ids.setdefault(w, len(ids)) for w in split(texts[r])], me)
+                    continue
+                lengths, states = automaton.statistics([ids.get(w, -1) for w in split(texts[r])])
+                earlier = [m if m >= n and before(automaton.owner[s], me) else 0 for m, s in zip(lengths, states)]
+                for s, e in spans_over(earlier, n):
+                    for column, value in zip(out, (h1[r], h2[r], start[r] + s, start[r] + e)):
+                        column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
                                               pa.array(out[3], pa.int32())], names=["h1", "h2", "s", "e"])
 
-    found = streams.mapInArrow(freed(match), "h1 bigint, h2 bigint, s int, e int")
+    found = dealt.mapInArrow(freed(match), "h1 bigint, h2 bigint, s int, e int")
     return found.groupBy("h1", "h2").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
 
 
@@ -261,29 +362,25 @@ _BLANK = re.compile(r"[\x20\x09-\x0D]+")
 
 
 def split(text: str) -> list[str]:
-    """The words of a segment (it starts and ends with a word)."""
+    """The words of a passage (it starts and ends with a word)."""
     return _BLANK.split(text)
 
 
-def runs(at: list[int], n: int) -> list[tuple[int, int]]:
-    """Word ranges of consecutive window starts."""
-    out: list[list[int]] = []
-    for x in at:
-        if out and x == out[-1][1] - n + 1:
-            out[-1][1] = x + n
-        else:
-            out.append([x, x + n])
-    return [(a, b) for a, b in out]
+def before(a: tuple, b: tuple) -> bool:
+    """(is null, id) a is a smaller id than b, null being the largest."""
+    return a[0] < b[0] or (a[0] == b[0] and not a[0] and a[1] < b[1])
 
 
-def dedup_substrings(docs: DataFrame, n: int = WINDOW, k: int = GRAM, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
-    """Every row: doc_id, n_words, n_removed, kept_sha256 (and kept_text)."""
+def dedup_substrings(docs: DataFrame, n: int = WINDOW, k: int = GRAM, key: str = "doc_id", text: str = "text", with_text: bool = False,
+                     shard: int = SHARD, most: int = VISITS) -> DataFrame:
+    """Every row: doc_id, n_words, n_removed, kept_sha256 (and kept_text).  ``shard`` and ``most`` are the words of
+    a shard's automaton and of the visitors of one copy of it; the result does not depend on them."""
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     prints = fingerprints(docs, n, k)
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("pid").alias("pid"))
     units = prints.groupBy("h1", "h2").agg(F.min(order).alias("m")).select("h1", "h2", F.col("m.id").alias("doc_id"), F.col("m.pid").alias("pid"))
     units = cut(units, "units")
-    found = repeated_spans(segments(docs, units, prints, n), n)
+    found = repeated_spans(segments(docs, units, prints, n), n, k, shard, most)
     known = units.select("h1", "h2", F.col("doc_id").alias("first_doc")).join(found, ["h1", "h2"], "left")
     rows = docs.select("doc_id", *_identity(F.col("text")), "text").join(known, ["h1", "h2"], "left").select(
         "doc_id", _before(F.col("first_doc"), F.col("doc_id")).alias("copy"), F.col("spans.s").alias("s"), F.col("spans.e").alias("e"), "text")

@@ -148,11 +148,11 @@ def test_suffix_automaton_statistics():
             a.add(r)
         x = [rng.randint(0, 2) for _ in range(15)]
         subs = {tuple(r[i:j]) for r in ref for i in range(len(r)) for j in range(i, len(r) + 1)} | {()}
-        assert a.statistics(x) == [max(k for k in range(e + 1) if tuple(x[e - k:e]) in subs) for e in range(1, 16)]
+        assert a.statistics(x)[0] == [max(k for k in range(e + 1) if tuple(x[e - k:e]) in subs) for e in range(1, 16)]
 
 
-@pytest.mark.parametrize("n,k", [(50, 10), (6, 3)])
-def test_substring_dedup_equals_brute_force(docs, none, n, k):
+@pytest.mark.parametrize("n,k,sizes", [(50, 10, {}), (6, 3, {}), (6, 3, {"shard": 7, "most": 11}), (50, 10, {"shard": 100, "most": 60})])
+def test_substring_dedup_equals_brute_force(docs, none, n, k, sizes):
     rows = small_docs()
     first = {}
     rank = lambda i: (i is None, i or 0)
@@ -169,11 +169,32 @@ def test_substring_dedup_equals_brute_force(docs, none, n, k):
                 drop[s:s + n] = [True] * n
         return i, len(w), sum(drop), hashlib.sha256(" ".join(x for x, d in zip(w, drop) if not d).encode()).hexdigest()
 
-    got = counted(substring_dedup.dedup_substrings(docs, n, k), "doc_id", "n_words", "n_removed", "kept_sha256")
+    got = counted(substring_dedup.dedup_substrings(docs, n, k, **sizes), "doc_id", "n_words", "n_removed", "kept_sha256")
     assert got == collections.Counter(want(r[0], r[1]) for r in rows)
     assert substring_dedup.dedup_substrings(none, n, k).count() == 0
 
 
+def test_states_of_an_automaton_know_their_document():
+    a = substring_dedup.SuffixAutomaton()
+    a.add([1, 2, 3, 4], "x"), a.add([3, 4, 5, 1, 2], "y")  # no three words stand in both
+    lengths, states = a.statistics([9, 1, 2, 3, 4, 5, 1, 2])
+    assert lengths == [0, 1, 2, 3, 4, 3, 4, 5]
+    assert [a.owner[s] for m, s in zip(lengths, states) if m >= 3] == ["x", "x", "y", "y", "y"]
+
+
+def test_matching_statistics_decide_what_is_removed(spark):
+    """Routing alone removes nothing: an automaton without matches leaves every passage."""
+    passage = " ".join(f"w{i}" for i in range(60))
+    segs = spark.createDataFrame([(1, 11, 12, 0, passage, 0), (2, 21, 22, 5, "a b " + passage, 1)], "doc_id long, h1 long, h2 long, start int, text string, gid long")
+    assert substring_dedup.repeated_spans(segs, 50, 10).collect() == [(21, 22, [(7, 67)])]
+
+    class Blind(substring_dedup.SuffixAutomaton):
+        def statistics(self, words):
+            return [0] * len(words), [0] * len(words)
+
+    assert substring_dedup.repeated_spans(segs, 50, 10, make=Blind).collect() == []
+
+
 def base(text):
     w = WORD.findall(text or "")
     grams = collections.Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
