@@ -3,7 +3,7 @@
 Text is streamed through suffix automata of reference text; the maximal spans whose matching
 statistic reaches the threshold, in the text of a smaller doc_id, go.  When a corpus is its own
 reference, its automata can neither be broadcast nor can every document visit every one, so
-they are dealt into shards and fingerprints alone route a passage to the shards it visits:
+they are dealt into shards and window hashes route a passage to the shards it visits:
 
 1. Equal texts are one unit, judged at its smallest doc_id; the other copies lose every window.
 2. Winnowing: in every ``n`` consecutive words one k-gram is the fingerprint, the same one
@@ -11,15 +11,18 @@ they are dealt into shards and fingerprints alone route a passage to the shards
    text is stored as segments (the passages that may repeat, and nothing else).
 3. Reference text: of every repeated window its first place (smallest doc_id), by a partial
    aggregate over window hashes.  Runs of first places are the reference passages, cut into pieces
-   of at most PIECE words that overlap by n - 1, so every window is in exactly one piece.
-4. Pieces are dealt into shards of about SHARD words.  A fingerprint's shards are those of its
-   pieces; the parts of a segment under that fingerprint visit these shards, whole.
+   of at most PIECE windows, so every window is in exactly one piece.
+4. Pieces are dealt into shards of about SHARD words.  A zone of ZONE words of a segment visits,
+   whole, the shards of its windows' first places.  (Routing by fingerprint was tried: a common
+   passage has first places in a shard of every family of copies around it, and the routes grew
+   with the square of the families.  A window has one first place, so its route is one row.)
 5. A shard builds one suffix automaton over its pieces, every state marked with the document it
    is from, and streams its visitors: words under matching statistics of at least ``n`` words in
    a smaller doc_id are the spans.
 6. The spans meet the whole texts again, which are cut to the kept words.
 
-No group is gathered by fingerprint or window: both are counted with partial aggregation.  The
+No group is gathered by fingerprint or window: both are counted with partial aggregation, and
+windows meet their stored first places, one row a window, so AQE can split a hot window.  The
 visitors of a shard are dealt over as many tasks as their words ask for, each with the shard's
 pieces (of bounded size) sent once; a hot passage only makes its shard visited more often.
 
@@ -46,7 +49,9 @@ from .common import cut, freed, map_blocks
 WINDOW = 50
 GRAM = 10
 SHARD = 32_768  # words of reference text in a shard's automaton, on average
-PIECE = 8_192  # most words of a piece beyond n - 1, so no shard is much larger than the average
+PIECE = 4_096  # most windows of a piece, so no shard is much larger than the average
+TOGETHER = 8  # segments that follow each other, mostly of one document, share a shard
+ZONE = 256  # words of a segment that visit a shard together
 VISITS = 1_000_000  # words that visit one copy of a shard
 U64 = np.uint64
 
@@ -246,70 +251,54 @@ def runs(at, n: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def pieces(segs: DataFrame, n: int, piece: int) -> DataFrame:
-    """Stored rows (doc_id, h1, part, n_words, text): the reference text.  Every window that
-    stands twice in the segments is in exactly one piece, as in its first document."""
+def first_places(segs: DataFrame, n: int, shard: int) -> DataFrame:
+    """Stored rows (w, ref, pos, shard): where a window that stands twice is first, and the shard that has it."""
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("gid").alias("gid"), F.col("pos").alias("pos"))
     first = windows(segs, n).groupBy("w").agg(F.min(order).alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    starts = first.groupBy(F.col("m.gid").alias("gid")).agg(F.sort_array(F.collect_list("m.pos")).alias("at"))  # one segment's windows
-    rows = segs.join(starts, "gid").select("doc_id", "h1", "start", "at", "text")
+    first = cut(first.select("w", F.col("m.gid").alias("ref"), F.col("m.pos").alias("pos")), "first-places")
+    shards = max(1, -(-first.count() // shard))  # from the stored table's footers
+    return first.withColumn("shard", shard_of("ref", "pos", shards, min(PIECE, shard)))
 
-    def take(batch, buf, offs):
-        words = B.Words(buf, offs, B.NON_BLANK)
-        row, part, size, text = [], [], [], []
-        for d in range(len(offs) - 1):
-            base, first = int(words.ranges[d]), batch.column(2)[d].as_py()
-            for lo, hi in runs(batch.column(3)[d].values.to_pylist(), n):
-                for s in range(lo, hi - n + 1, piece):
-                    e = min(hi, s + piece + n - 1)
-                    row.append(d), part.append((first + s) // piece), size.append(e - s)
-                    text.append(buf[words.starts[base + s]:words.ends[base + e - 1]].tobytes().decode("utf-8", "replace"))
-        at = pa.array(row, pa.int64())
-        return {"doc_id": batch.column(0).take(at), "h1": batch.column(1).take(at), "part": pa.array(part, pa.int32()),
-                "n_words": pa.array(size, pa.int64()), "text": pa.array(text, pa.string())}
 
-    kind = segs.schema["doc_id"].dataType.simpleString()
-    return cut(map_blocks(rows, f"doc_id {kind}, h1 bigint, part int, n_words bigint, text string", take), "pieces")
+def shard_of(gid: str, pos: str, shards: int, piece: int) -> Column:
+    near = F.floor(F.col(gid) / TOGETHER), F.floor(F.col(pos) / piece)
+    return F.pmod(F.xxhash64(*near), F.lit(shards)).cast("long")
 
 
-def places(rows: DataFrame, names: str, n: int, k: int) -> DataFrame:
-    """(``names``, fp, lo, hi): window starts lo to hi of the row's text have the fingerprint fp."""
-    keep = [c.split()[0] for c in names.split(", ")]
+def pieces(segs: DataFrame, first: DataFrame, n: int) -> DataFrame:
+    """(shard, doc_id, text): the reference text, every window of ``first`` in exactly one piece."""
+    starts = first.groupBy("ref", "shard").agg(F.sort_array(F.collect_list("pos")).alias("at"))  # one segment's windows
+    rows = segs.join(starts, F.col("gid") == F.col("ref")).select("shard", "doc_id", "at", "text")
 
-    def make(batch, buf, offs):
+    def take(batch, buf, offs):
         words = B.Words(buf, offs, B.NON_BLANK)
-        fp, start, doc = winnow(words, words.hashes(), n, k)
-        last = words.counts[doc].astype(np.int64) - n  # of the document's windows
-        follows = np.concatenate([doc[1:] == doc[:-1], [False]]) if len(doc) else np.empty(0, bool)
-        hi = np.where(follows, np.concatenate([start[1:], [0]]) - 1, last) if len(doc) else last
-        take = pa.array(doc, pa.int64())
-        return {c: batch.column(i).take(take) for i, c in enumerate(keep)} | {
-            "fp": pa.array(fp.view(np.int64)), "lo": start.astype(np.int32), "hi": hi.astype(np.int32)}
+        row, text = [], []
+        for d in range(len(offs) - 1):
+            base = int(words.ranges[d])
+            for lo, hi in runs(batch.column(2)[d].values.to_pylist(), n):
+                row.append(d), text.append(buf[words.starts[base + lo]:words.ends[base + hi - 1]].tobytes().decode("utf-8", "replace"))
+        at = pa.array(row, pa.int64())
+        return {"shard": batch.column(0).take(at), "doc_id": batch.column(1).take(at), "text": pa.array(text, pa.string())}
 
-    return map_blocks(rows.select(*keep, "text"), f"{names}, fp bigint, lo int, hi int", make)
+    return map_blocks(rows, f"shard bigint, doc_id {segs.schema['doc_id'].dataType.simpleString()}, text string", take)
 
 
-def visits(segs: DataFrame, refs: DataFrame, n: int, k: int) -> DataFrame:
-    """Stored rows (shard, doc_id, h1, h2, start, n_words, text): what streams through a shard, routed by fingerprints."""
-    routes = cut(places(refs, "shard bigint", n, k).select("fp", "shard").distinct(), "routes")  # stored, so a hot fp can be split
-    parts = places(segs, "gid bigint", n, k).join(routes, "fp").groupBy("gid", "shard").agg(
-        F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("parts"))  # one segment's parts
-    rows = segs.join(parts, "gid").select("shard", "doc_id", "h1", "h2", "start", F.col("parts.lo").alias("lo"), F.col("parts.hi").alias("hi"), "text")
+def visits(segs: DataFrame, first: DataFrame, n: int) -> DataFrame:
+    """Stored rows (shard, doc_id, h1, h2, start, n_words, text): what streams through a shard."""
+    own = windows(segs, n).select("w", "gid", F.floor(F.col("pos") / ZONE).cast("int").alias("zone"))
+    routes = own.join(first.select("w", "ref", "shard"), "w").where("gid <> ref")  # its own text removes nothing of a segment
+    zones = routes.groupBy("gid", "shard").agg(F.sort_array(F.collect_set("zone")).alias("zones"))  # one segment's zones
+    rows = segs.join(zones, "gid").select("shard", "doc_id", "h1", "h2", "start", "zones", "text")
 
     def take(batch, buf, offs):
         words = B.Words(buf, offs, B.NON_BLANK)
         row, start, size, text = [], [], [], []
         for d in range(len(offs) - 1):
-            base, merged = int(words.ranges[d]), []
-            for lo, hi in zip(batch.column(5)[d].values.to_pylist(), batch.column(6)[d].values.to_pylist()):
-                if merged and lo <= merged[-1][1] + 1:
-                    merged[-1][1] = max(hi, merged[-1][1])
-                else:
-                    merged.append([lo, hi])
-            first = batch.column(4)[d].as_py()
-            for lo, hi in merged:
-                row.append(d), start.append(first + lo), size.append(hi - lo + n)
-                text.append(buf[words.starts[base + lo]:words.ends[base + hi + n - 1]].tobytes().decode("utf-8", "replace"))
+            base, first_word = int(words.ranges[d]), batch.column(4)[d].as_py()
+            for z, end in runs(batch.column(5)[d].values.to_pylist(), 1):
+                lo, hi = z * ZONE, min(int(words.counts[d]), end * ZONE + n - 1)
+                row.append(d), start.append(first_word + lo), size.append(hi - lo)
+                text.append(buf[words.starts[base + lo]:words.ends[base + hi - 1]].tobytes().decode("utf-8", "replace"))
         at = pa.array(row, pa.int64())
         return {c: batch.column(i).take(at) for i, c in enumerate(("shard", "doc_id", "h1", "h2"))} | {
             "start": pa.array(start, pa.int32()), "n_words": pa.array(size, pa.int64()), "text": pa.array(text, pa.string())}
@@ -318,13 +307,10 @@ def visits(segs: DataFrame, refs: DataFrame, n: int, k: int) -> DataFrame:
     return cut(map_blocks(rows, f"shard bigint, doc_id {kind}, h1 bigint, h2 bigint, start int, n_words bigint, text string", take), "visits")
 
 
-def repeated_spans(segs: DataFrame, n: int, k: int, shard: int = SHARD, most: int = VISITS, make: type = SuffixAutomaton) -> DataFrame:
+def repeated_spans(segs: DataFrame, n: int, shard: int = SHARD, most: int = VISITS, make: type = SuffixAutomaton) -> DataFrame:
     """(h1, h2, spans): per unit the word ranges that an earlier document has."""
-    known = pieces(segs, n, max(1, min(PIECE, shard)))
-    total = known.agg(F.sum("n_words")).first()[0] or 0
-    name = F.pmod(F.xxhash64("h1", "part"), F.lit(max(1, -(-total // shard))))  # the passages of a document stay together
-    refs = known.withColumn("shard", name.cast("long"))
-    seen = visits(segs, refs, n, k)
+    first = first_places(segs, n, shard)
+    refs, seen = pieces(segs, first, n), visits(segs, first, n)
     # copies of a shard, as many as its visitors' words ask for (rows for shards, not for texts)
     copies = cut(seen.groupBy("shard").agg(F.ceil(F.sum("n_words") / most).cast("int").alias("copies")), "copies")
     none = F.lit(None)
@@ -380,7 +366,7 @@ def dedup_substrings(docs: DataFrame, n: int = WINDOW, k: int = GRAM, key: str =
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("pid").alias("pid"))
     units = prints.groupBy("h1", "h2").agg(F.min(order).alias("m")).select("h1", "h2", F.col("m.id").alias("doc_id"), F.col("m.pid").alias("pid"))
     units = cut(units, "units")
-    found = repeated_spans(segments(docs, units, prints, n), n, k, shard, most)
+    found = repeated_spans(segments(docs, units, prints, n), n, shard, most)
     known = units.select("h1", "h2", F.col("doc_id").alias("first_doc")).join(found, ["h1", "h2"], "left")
     rows = docs.select("doc_id", *_identity(F.col("text")), "text").join(known, ["h1", "h2"], "left").select(
         "doc_id", _before(F.col("first_doc"), F.col("doc_id")).alias("copy"), F.col("spans.s").alias("s"), F.col("spans.e").alias("e"), "text")

@@ -186,13 +186,13 @@ def test_matching_statistics_decide_what_is_removed(spark):
     """Routing alone removes nothing: an automaton without matches leaves every passage."""
     passage = " ".join(f"w{i}" for i in range(60))
     segs = spark.createDataFrame([(1, 11, 12, 0, passage, 0), (2, 21, 22, 5, "a b " + passage, 1)], "doc_id long, h1 long, h2 long, start int, text string, gid long")
-    assert substring_dedup.repeated_spans(segs, 50, 10).collect() == [(21, 22, [(7, 67)])]
+    assert substring_dedup.repeated_spans(segs, 50).collect() == [(21, 22, [(7, 67)])]
 
     class Blind(substring_dedup.SuffixAutomaton):
         def statistics(self, words):
             return [0] * len(words), [0] * len(words)
 
-    assert substring_dedup.repeated_spans(segs, 50, 10, make=Blind).collect() == []
+    assert substring_dedup.repeated_spans(segs, 50, make=Blind).collect() == []
 
 
 def base(text):
