@@ -17,13 +17,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import col, text_key
 
 __all__ = [
     "not_in",
+    "global_position",
     "existence_flag",
     "keyed_update",
     "first_per_key",
@@ -268,3 +269,21 @@ def rekey(df: DataFrame, mapping: DataFrame, key: str, from_col: str, to_col: st
         F.when(F.col("_rk_hit").isNotNull(), F.col("_rk_to")).otherwise(F.col(key)).alias(out),
         F.col("_rk_hit").isNotNull().alias("_rekeyed"),
     )
+
+
+def global_position(df: DataFrame, order: Sequence[Column], store: Callable[[DataFrame], DataFrame], name: str = "position") -> DataFrame:
+    """``df`` with its 1-based position under ``order``, a total order up to identical rows.
+
+    One range shuffle, no window over the rows: every task sorts a range of the order and its rows are
+    stored (``store`` writes and reads back) with the task's number and their place in it.  The
+    rows counted per task, one row a shuffle partition, give each range's first position.
+    The written table also fixes the sampled range bounds, so a lost executor cannot move a row.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = store(ranged.withColumn("_at", F.monotonically_increasing_id()))  # task number above bit 33
+    stored = stored.withColumn("_range", F.shiftright("_at", 33))
+    counts = stored.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    firsts = counts.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return stored.join(firsts, "_range").select(*df.columns, (F.col("_before") + place + 1).alias(name))

@@ -21,7 +21,7 @@ from ..functions import (
     ts_lit,
     ymd,
 )
-from ..operators import FusedSource, first_per_key, fused_join, keyed_update
+from ..operators import FusedSource, first_per_key, fused_join, global_position, keyed_update
 from ..sources import Sources
 from .contracts import PUBLISHED, REPORT, conform
 from .params import AVAILABLE_COMPANY
@@ -88,8 +88,8 @@ def report_filter(u: DataFrame, cutoff) -> F.Column:
     return (assortment(u["item_code"]) & (u["qty_shipped"] > 19) & recent) | (title_item(u["item_code"]) & recent)
 
 
-def report(rollup: DataFrame, buyers: DataFrame, available: DataFrame, cutoff, ordered: bool = True) -> DataFrame:
-    """The filtered, formatted report (43 columns) ordered by last received, then sell-through."""
+def report_rows(rollup: DataFrame, buyers: DataFrame, available: DataFrame, cutoff) -> DataFrame:
+    """The filtered, formatted rows of the report with the values it is ordered by (``_sort_last``, ``_sort_pct``)."""
     u = rollup
     b = buyers.select(F.col("name").alias("_b_name"), F.col("buyer_id").alias("_b_buyer_id"))
     w = available.where(F.col("company") == AVAILABLE_COMPANY).select(
@@ -98,7 +98,7 @@ def report(rollup: DataFrame, buyers: DataFrame, available: DataFrame, cutoff, o
     j = u.join(b, text_key(u["buyer"]) == text_key(b["_b_name"]), "left").join(w, u["item_code"] == w["_w_item"], "left")
     j = j.where(report_filter(j, cutoff))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    out = j.select(
+    return j.select(
         "isbn", "vendor_id", "reorder_vendor_id",
         F.col("pct_sold").cast(RATIO).alias("pct_sold"),
         "reorderable",
@@ -123,6 +123,26 @@ def report(rollup: DataFrame, buyers: DataFrame, available: DataFrame, cutoff, o
         "online_qty_sold", "selling_price",
         F.col("last_received").alias("_sort_last"), F.col("pct_sold").alias("_sort_pct"),
     )
-    if ordered:
-        out = out.orderBy(F.col("_sort_last").desc_nulls_last(), F.col("_sort_pct").desc_nulls_last())
-    return conform(out, REPORT)
+
+
+def report_order() -> list[F.Column]:
+    """Last received, then sell-through, highest first."""
+    return [F.col("_sort_last").desc_nulls_last(), F.col("_sort_pct").desc_nulls_last()]
+
+
+def report(rollup: DataFrame, buyers: DataFrame, available: DataFrame, cutoff, ordered: bool = True) -> DataFrame:
+    """The filtered, formatted report (43 columns) ordered by last received, then sell-through."""
+    out = report_rows(rollup, buyers, available, cutoff)
+    return conform(out.orderBy(*report_order()) if ordered else out, REPORT)
+
+
+def positioned_report(rollup: DataFrame, buyers: DataFrame, available: DataFrame, cutoff, store) -> DataFrame:
+    """The report's rows with their ``position``: T1 as a column, for readers of a stored report.
+
+    Rows that the report's order leaves tied follow the order of their columns, NULLs first.
+    ``store`` writes a frame to the shared folder and reads it back (``Stager.cut``).
+    """
+    rows = report_rows(rollup, buyers, available, cutoff)
+    rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in REPORT], "_sort_last", "_sort_pct")
+    ties = [F.col(f.name).asc_nulls_first() for f in REPORT]
+    return global_position(rows, report_order() + ties, store).drop("_sort_last", "_sort_pct")

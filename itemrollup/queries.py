@@ -21,7 +21,7 @@ from .operators import not_in
 from .plans import activity, sales
 from .plans.params import SYNTHETIC
 from .plans.pipeline import Stager, empty_prior, report, stage_groups
-from .plans.publish import report_filter
+from .plans.publish import positioned_report, report_filter
 from .session import new_run_dir
 from .sources import raw_tables, synthetic_sources
 from .sources.snapshot import publish_snapshot, read_snapshot
@@ -133,6 +133,12 @@ def q_report(spark, sf, second=False):
     return report(run(spark, sf, second), _src(spark, sf), P)
 
 
+def q_report_ordered(spark, sf):
+    """The report with every row's position in its order."""
+    store = lambda df: Stager(spark, True).cut(df, "report_ordered")
+    return positioned_report(run(spark, sf), _src(spark, sf).buyer, _src(spark, sf).available, P.report_cutoff, store)
+
+
 def q_publish_read(spark, sf):
     """The published rollup after a publish to a snapshot root and a read of its latest version."""
     root = new_run_dir(spark, "snapshots")
@@ -229,5 +235,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
         "SELECT item_code, parent, ttb_inv FROM (" + O.report_sql("r1_published", P) + ") x")),
     "report_filter": (q_report_filter, _sql(O.report_sql("r1_published", P, where_only=True))),
     "report": (q_report, _sql(O.report_sql("r1_published", P))),
+    "report_ordered": (q_report_ordered, _sql(O.report_sql("r1_published", P, positioned=True))),
     "report_second_run": (lambda s, sf: q_report(s, sf, True), _sql(O.report_sql("r2_published", P), True)),
 }

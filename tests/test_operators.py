@@ -126,3 +126,31 @@ def test_not_in_two_lists_equals_not_in_their_union(spark):
         two = not_in(not_in(left, "k", ra, "r"), "k", rb, "r")
         one = not_in(left, "k", ra.unionByName(rb), "r")
         assert keys(two) == keys(one), (a, b)
+
+
+def test_global_position_equals_a_sort_without_a_window_over_the_rows(spark):
+    """NULLs, ties, identical rows and an empty frame; one range shuffle moves the rows."""
+    from itemrollup.operators import global_position
+    from itemrollup.session import new_run_dir
+
+    def store(df):
+        path = new_run_dir(spark, "position-test")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    data = [(None if i % 11 == 0 else (i * 37) % 101, "x" if i % 3 else None) for i in range(3000)]
+    df = spark.createDataFrame(data, "k int, t string").repartition(5)
+    order = [F.col("k").desc_nulls_last(), F.col("t").asc_nulls_first()]
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep several ranges
+    try:
+        out = global_position(df, order, store)
+        got = [tuple(r) for r in out.orderBy("position").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    want = sorted(data, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or ""))
+    assert got == [(k, t, i) for i, (k, t) in enumerate(want, 1)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window"):]
+    assert "Aggregate" in window.splitlines()[1] or "Aggregate" in window.splitlines()[2]  # only the counts
+    assert global_position(df.limit(0), order, store).count() == 0
