@@ -75,15 +75,22 @@ def empty_prior(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], PUBLISHED)
 
 
-def rebuild_stages(src: Sources, prior: DataFrame, p: RollupParams, stager: Stager) -> dict[str, DataFrame]:
-    """Run all stages; returns every named intermediate (``published`` is the result)."""
+def rebuild_stages(
+    src: Sources, prior: DataFrame, p: RollupParams, stager: Stager, sold: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Run all stages; returns every named intermediate (``published`` is the result).
+
+    ``sold`` are the sales window's sums per sold item where they are kept (``daily.totals_of_days``).
+    """
     t: dict[str, DataFrame] = {}
-    for t in stage_groups(src, prior, p, stager):
+    for t in stage_groups(src, prior, p, stager, sold):
         pass
     return t
 
 
-def stage_groups(src: Sources, prior: DataFrame, p: RollupParams, stager: Stager) -> Iterator[dict[str, DataFrame]]:
+def stage_groups(
+    src: Sources, prior: DataFrame, p: RollupParams, stager: Stager, sold: DataFrame | None = None
+) -> Iterator[dict[str, DataFrame]]:
     """The stages group by group: yields the growing dict of intermediates after each group, so a
     caller that needs an early one stops there and pays for no later cut."""
     t: dict[str, DataFrame] = {}
@@ -127,7 +134,7 @@ def stage_groups(src: Sources, prior: DataFrame, p: RollupParams, stager: Stager
 
     # 3. sales
     upc = t["upc_items"] = stager.cut(sales.alias_items(src), "alias_items")
-    t["sales_data"] = sales.sales_rekeyed_totals(src, p, upc, items=work)
+    t["sales_data"] = sales.sales_rekeyed_totals(src, p, upc, items=work, per_item=sold)
     online = t["online"] = stager.cut(sales.online_sales(src, upc, p.start_date, p.end_date), "online_sales")
     cross = t["cross_store"] = sales.cross_store_sales(src, p, items=work)
     sources = sales.sales_sources(t["sales_data"], online, cross)
@@ -190,14 +197,16 @@ def rebuild(
     params: RollupParams,
     spark: SparkSession | None = None,
     stage: bool = True,
+    sold: DataFrame | None = None,
 ) -> DataFrame:
     """The per-item rollup (published columns + ``pct_sold``).
 
-    ``prior`` is the previously published snapshot (``None`` for a first run).
+    ``prior`` is the previously published snapshot (``None`` for a first run), ``sold``
+    as in ``rebuild_stages``.
     """
     spark = spark or src.product.sparkSession
     prior = prior if prior is not None else empty_prior(spark)
-    return rebuild_stages(src, prior, params, Stager(spark, stage))["published"]
+    return rebuild_stages(src, prior, params, Stager(spark, stage), sold)["published"]
 
 
 def report(rollup: DataFrame, src: Sources, params: RollupParams, ordered: bool = True) -> DataFrame:

@@ -26,15 +26,15 @@ def alias_items(src: Sources) -> DataFrame:
     return pm.join(aliased, "item_code", "left_semi")
 
 
+def completed_sales(src: Sources) -> DataFrame:
+    """Completed store sale lines of any date."""
+    return src.sales_item.where((F.col("xaction_type") == "S") & (F.col("status") == "A"))
+
+
 def store_sales_lines(src: Sources, p: RollupParams) -> DataFrame:
     """Completed store sale lines in the sales window (closed at both ends)."""
-    s = src.sales_item
-    return s.where(
-        (F.col("xaction_type") == "S")
-        & (F.col("status") == "A")
-        & (F.col("business_date") >= ts_lit(p.start_date))
-        & (F.col("business_date") <= ts_lit(p.end_date))
-    )
+    return completed_sales(src).where(
+        (F.col("business_date") >= ts_lit(p.start_date)) & (F.col("business_date") <= ts_lit(p.end_date)))
 
 
 def sales_measures(df: DataFrame) -> dict:
@@ -65,19 +65,23 @@ def sales_totals(src: Sources, p: RollupParams) -> DataFrame:
     return _cast_measures(conditional_totals(lines, ["item_code"], sales_measures(lines)), ["item_code"])
 
 
-def sales_rekeyed_totals(src: Sources, p: RollupParams, upc: DataFrame, items: DataFrame | None = None) -> DataFrame:
+def sales_rekeyed_totals(
+    src: Sources, p: RollupParams, upc: DataFrame, items: DataFrame | None = None, per_item: DataFrame | None = None
+) -> DataFrame:
     """P20-P22 in one scan of the sales lines.
 
     Alias-item lines are credited to their report item; other lines count for
     their own item.  Like ``NOT IN``, a NULL alias code makes every direct line
     drop out.  ``items`` (the work items) restricts the totals after the
     aggregation, which equals restricting the direct lines first because the
-    totals are only ever matched to work items.
+    totals are only ever matched to work items.  ``per_item`` are the window's sums per sold
+    item where they are known (``daily.totals_of_days``); the sale lines then are not read.
     """
     lines = store_sales_lines(src, p)
     # Pre-aggregate per sold item (partial aggregation map-side): the re-key and the
     # exclusions depend only on the item, so they apply to one row per item.
-    per_item = conditional_totals(lines, ["item_code"], sales_measures(lines))
+    if per_item is None:
+        per_item = conditional_totals(lines, ["item_code"], sales_measures(lines))
     keyed = rekey(per_item, upc, "item_code", "item_code", "report_item_code", "_sale_key")
     upc_stats = upc.select(
         F.struct(F.count(F.lit(1)).alias("n"), F.count("item_code").alias("nn")).alias("s")

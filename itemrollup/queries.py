@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .functions import discount_pct, initials, item_key, ts_lit
 from .operators import not_in
-from .plans import activity, sales
+from .plans import activity, daily, sales
 from .plans.params import SYNTHETIC
 from .plans.pipeline import Stager, empty_prior, report, stage_groups
 from .plans.publish import positioned_report, report_filter
@@ -71,6 +71,16 @@ def q_sales_rekeyed(spark, sf):
     return sales.sales_rekeyed_totals(src, P, sales.alias_items(src))
 
 
+def q_sales_of_days(spark, sf):
+    """Credited sales totals from stored days, added by two runs of which the second reads new days only."""
+    src, folder, days = _src(spark, sf), new_run_dir(spark, "daily-sales"), (P.start_date.date(), P.end_date.date())
+    middle = days[0] + (days[1] - days[0]) / 2
+    daily.add_days(src, folder, days[0], middle, "month")
+    daily.add_days(src, folder, middle, days[1], "month")
+    sold = daily.totals_of_days(spark, folder, P, "month")
+    return sales.sales_rekeyed_totals(src, P, sales.alias_items(src), per_item=sold)
+
+
 def q_transfers(spark, sf):
     t = activity.transfer_totals(_src(spark, sf), P)
     return t.where(F.col("qty_trans").isNotNull() | F.col("qty_damaged").isNotNull())
@@ -183,6 +193,7 @@ def _last_minute_sql() -> str:
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "sales_totals": (q_sales_totals, _sql("SELECT * FROM store_totals")),
     "sales_rekeyed_totals": (q_sales_rekeyed, _sql("SELECT * FROM credited_totals")),
+    "sales_totals_from_days": (q_sales_of_days, _sql("SELECT * FROM credited_totals")),
     "shipment_totals": (q_shipments, _sql("SELECT item_code, drop_ship, qty_shipped FROM r1_ship_hist")),
     "transfer_and_damage_totals": (q_transfers, _sql(
         "SELECT item_code, CAST(qty_trans AS BIGINT) AS qty_trans, CAST(qty_damaged AS BIGINT) AS qty_damaged "
