@@ -24,7 +24,7 @@ def test_second_run_reads_the_first_ones_cuts_of_the_sources(spark, cuts):
     queries.run(spark, SF_SMALL, True, "reorder_items")
     assert cuts[len(first):] == ["reorder_items"]
     queries.run(spark, SF_SMALL, True)
-    assert cuts[len(first):] == first[first.index("reorder_items"):]
+    assert cuts[len(first):] == [name for name in first[first.index("reorder_items"):] if name != "wholesale_totals"]
 
 
 def test_an_early_stage_pays_for_no_later_cut(spark, cuts):
@@ -33,3 +33,65 @@ def test_an_early_stage_pays_for_no_later_cut(spark, cuts):
     queries.run(spark, SF_SMALL, stage="w23")
     assert "work_candidates" in cuts and "work_sales" not in cuts
     assert len(cuts) == len(set(cuts))
+
+
+def test_shipment_lines_meet_the_transfers_once(spark, cuts, monkeypatch):
+    """P02 and P11/P12 read one flag of the stored shipment lines, with the totals of a join each."""
+    from itemrollup.plans import activity
+    from itemrollup.sources import synthetic_sources
+
+    src = synthetic_sources(spark, SF_SMALL)
+    lines = queries.run(spark, SF_SMALL, stage="shipment_lines")
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    for summary in (activity.shipment_history, activity.transfer_totals):
+        flagged = summary(src, queries.P, lines)
+        assert same(flagged, summary(src, queries.P, lines.drop("is_transfer"))) and flagged.count() > 0
+        assert "orders.parquet" not in flagged._jdf.queryExecution().executedPlan().toString()  # no transfer is read
+
+
+def test_pending_pos_leave_before_the_lines_are_made_distinct(spark, small_sources):
+    """P35-P37 with NULLs: one exchange by item of the distinct lines, and the rows of three-valued NOT IN."""
+    from dataclasses import replace
+
+    from conftest import frame
+    from itemrollup.plans import purchasing
+
+    lines = [("P1", "A"), ("P1", "A"), ("P2", "A"), ("P3", "A"), ("P3", "B"), (None, "B"), ("P9", "C"), ("P2", "D"), ("P4", None)]
+    ol = spark.createDataFrame([(po, item, None, 0, None, "h", "l") for po, item in lines], "po_number string, item_code string, "
+                               "skeleton_created_from string, created_from_requisition int, cancel_date timestamp_ntz, spec_instructions string, special_instructions string")
+    shipped = frame(spark, small_sources.shipment_line, [{"item_code": i, "po_number": po} for i, po in (("A", "P2"), ("A", "P1"), ("A", "P3"), ("D", None))])
+    src, work = replace(small_sources, shipment_line=shipped), spark.createDataFrame([(c,) for c in "ABCD"], "item_code string")
+    got = lambda pend: sorted((r.item_code, r.fob_po, r.po_number) for r in purchasing.po_candidates(
+        src, work, spark.createDataFrame(pend, "last_po string"), ol).collect())
+    assert got([("P3",)]) == [("A", "", "P2"), ("A", "h", "P1"), ("C", "h", "P9"), ("D", "h", "P2")]
+    assert got([]) == [("A", "", "P3"), ("A", "h", "P2"), ("B", "h", "P3"), ("C", "h", "P9"), ("D", "", None)]
+    assert got([("P3",), (None,)]) == []
+    stored = lambda df, path: (df.write.mode("overwrite").parquet(path), spark.read.parquet(path))[1]
+    root = queries.new_run_dir(spark, "pos-test")
+    ol, pend = stored(ol, f"{root}/ol"), stored(spark.createDataFrame([("P3",)], "last_po string"), f"{root}/pend")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = purchasing.po_candidates(src, work, pend, ol)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning(item_code") + plan.count("Exchange hashpartitioning(po_number") <= 8, plan
+
+
+def test_sales_headers_are_exchanged_once(spark):
+    """The distinct sales headers keep their exchange for the join on the same columns."""
+    from itemrollup.plans import sales
+    from itemrollup.sources import synthetic_sources
+    from itemrollup.sources.synthetic import view_sql
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        src = synthetic_sources(spark, SF_SMALL)
+        plan = sales.cross_store_sales(src, queries.P)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning(location_id") == 4, plan
+    want = spark.sql(view_sql("sales_header", lambda t: f"parquet.`{SF_SMALL}/{t}.parquet`"))
+    assert src.sales_header.schema == want.schema
+    assert src.sales_header.exceptAll(want).count() == 0 and want.exceptAll(src.sales_header).count() == 0
