@@ -1,6 +1,7 @@
 """Runs behind the stage queries: each cut is paid for once, and only by the queries that need it."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from itemrollup import queries
@@ -27,6 +28,73 @@ def test_second_run_reads_the_first_ones_cuts_of_the_sources(spark, cuts):
     assert cuts[len(first):] == [name for name in first[first.index("reorder_items"):] if name != "wholesale_totals"]
 
 
+def test_second_run_reads_no_fact_that_the_first_one_summed_up(spark, monkeypatch):
+    """Buyers, vendor returns and listed items do not depend on the previous snapshot: the second run reads their sums."""
+    read, cut = {}, pipeline.Stager.cut
+    monkeypatch.setattr(pipeline.Stager, "cut", lambda self, df, name, **m: (read.update({name: " ".join(df.inputFiles())}), cut(self, df, name, **m))[1])
+    monkeypatch.setattr(queries, "_RUNS", {})
+    queries.run(spark, SF_SMALL)
+    assert "/order_lines/" in read["first_buyers"] and "lineitem.parquet" in read["return_totals"]
+    read.clear()
+    queries.run(spark, SF_SMALL, True)
+    assert "/first_buyers/" in read["work_final"] and "/order_lines/" not in read["work_final"]
+    assert "/listed_items/" in read["new_item_rows"] and "/shipment_lines/" not in read["new_item_rows"]
+    assert "/return_totals/" in read["published"] and "lineitem.parquet" not in read["published"]
+
+
+def test_cuts_without_a_common_frame_are_written_side_by_side(spark, monkeypatch):
+    """Two cuts that wait for each other end only if both run; job properties go with them, and an error comes back."""
+    import threading
+
+    meet, cut, seen = threading.Barrier(2, timeout=60), pipeline.Stager.cut, {}
+
+    def waiting(self, df, name, **metrics):
+        meet.wait()
+        seen[name] = spark.sparkContext.getLocalProperty("run.of")
+        return cut(self, df, name, **metrics)
+
+    monkeypatch.setattr(pipeline.Stager, "cut", waiting)
+    stager = pipeline.Stager(spark, True)
+    spark.sparkContext.setLocalProperty("run.of", "test")
+    try:
+        one, two = stager.cuts({"one": spark.range(3), "two": spark.range(5)})
+    finally:
+        spark.sparkContext.setLocalProperty("run.of", None)
+    assert (one.count(), two.count()) == (3, 5) and seen == {"one": "test", "two": "test"}
+    assert all(f"{stager.root}/{name}/" in df.inputFiles()[0] for name, df in (("one", one), ("two", two)))
+    monkeypatch.setattr(pipeline.Stager, "cut", lambda self, df, name, **m: 1 / 0 if name == "bad" else cut(self, df, name, **m))
+    with pytest.raises(ZeroDivisionError):
+        stager.cuts({"good": spark.range(3), "bad": spark.range(5)})
+    stager.close()
+
+
+def test_receipts_are_summed_once_for_both_statements(spark, small_sources):
+    """P03 and P05 from one pass over each receipts table, with NULL companies, quantities, dates and items."""
+    from dataclasses import replace
+    from datetime import datetime
+
+    from itemrollup.functions import item_key
+    from itemrollup.plans import activity
+
+    day = lambda n: datetime(2000, 1, n)
+    rows = lambda *r: spark.createDataFrame(list(r), "item string, company string, total_qty int, receipt_date timestamp_ntz")
+    now = rows(("1", "CDC", 5, day(3)), ("1", "SUP", 7, day(1)), ("2", "SUP", 1, day(2)), ("3", None, 4, None), ("4", "CDC", None, day(5)), (None, "CDC", 9, day(1)))
+    then = rows(("1", "CDC", 2, day(2)), ("4", "CDC", None, day(5)), ("5", "CDC", 3, day(9)))
+    src = replace(small_sources, receipt_current=now, receipt_archive=then)
+    code = lambda n: n and n.rjust(20, "0")
+    stored = activity.receipt_totals(src).localCheckpoint()
+    none = spark.createDataFrame([], "item_code string")
+    for totals in (None, stored):
+        got = {r.item_code: r.qty_rcvd for r in activity.warehouse_receipts(src, none, totals).collect()}
+        assert got == {code("1"): 7, code("4"): 0, code("5"): 3, None: 9}
+        shipped = spark.createDataFrame([(code("1"),)], "item_code string")
+        assert {r.item_code for r in activity.warehouse_receipts(src, shipped, totals).collect()} == {code("4"), code("5")}
+        got = {r.item_code: (r.first_received, r.last_received, r.rcvd_qty) for r in activity.received_union_distinct(src, shipped, totals).collect()}
+        assert got == {code("2"): (day(2), day(2), 1), code("3"): (None, None, 4), code("4"): (day(5), day(5), 0), code("5"): (day(9), day(9), 3)}
+    lines = now.unionByName(then).where("company <> 'SUP'").groupBy(item_key("item").alias("item_code")).agg(F.sum(F.coalesce("total_qty", F.lit(0))).alias("q"))
+    assert {r.item_code: r.q for r in lines.collect()} == {r.item_code: r.qty_rcvd for r in activity.warehouse_receipts(src, none).collect()}
+
+
 def test_an_early_stage_pays_for_no_later_cut(spark, cuts):
     assert "item_code" in queries.run(spark, SF_SMALL, stage="w16").columns
     assert "received" in cuts and "work_candidates" not in cuts
